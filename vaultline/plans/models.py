@@ -23,7 +23,7 @@ from vaultline.functions.columns import (
     title_case,
 )
 from vaultline.operators.dedupe import keep_latest
-from vaultline.operators.incremental import _ntz, new_or_newer, preserve_created, since_watermark
+from vaultline.operators.incremental import _ntz, new_or_newer, preserve_created, since_watermark, watermark_value
 from vaultline.tariff import DEFAULT_TARIFF, Tariff
 
 STR_ACCOUNT_COLUMNS = ("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
@@ -42,7 +42,8 @@ VALID = "VALID"
 
 # Latest version first: newest ingestion, then the later row in the file, then the
 # file hash so identical (time, row) pairs from two files still resolve deterministically.
-LATEST_FIRST = (F.col("_ingested_at").desc(), F.col("_row_number").desc(), F.col("_file_hash").desc())
+def latest_first():
+    return (F.col("_ingested_at").desc(), F.col("_row_number").desc(), F.col("_file_hash").desc())
 
 
 def _valid_key(raw_col: str):
@@ -96,7 +97,7 @@ def _lineage(with_flag: bool):
 def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None) -> DataFrame:
     """Structured accounts: watermark → cleanse → impute → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
-    latest = keep_latest(clean_accounts(src), ["account_id"], LATEST_FIRST)
+    latest = keep_latest(clean_accounts(src), ["account_id"], latest_first())
     out = preserve_created(latest, existing, "account_id", run_ts)
     return out.select(
         "account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
@@ -110,7 +111,7 @@ def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None)
 def str_customers(raw: DataFrame, existing: DataFrame | None = None, run_ts=None) -> DataFrame:
     """Structured customers: watermark → title case + boolean → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
-    latest = keep_latest(clean_customers(src), ["customer_id"], LATEST_FIRST)
+    latest = keep_latest(clean_customers(src), ["customer_id"], latest_first())
     out = preserve_created(latest, existing, "customer_id", run_ts)
     return out.select(
         "customer_id", "customer_name", "hasloan",
@@ -164,7 +165,6 @@ def fact_customer_balances(accounts: DataFrame, customers: DataFrame, existing:
     acc = savings_accounts(accounts)
     if existing is not None:
         if refresh_on == "both":
-            from vaultline.operators.incremental import watermark_value
             mark = watermark_value(existing, "modified_date")
             changed_cust = customers.filter(F.col("modified_date") > F.lit(mark).cast("timestamp_ntz")).select("customer_id")
             newer = acc.filter(F.col("modified_date") > F.lit(mark).cast("timestamp_ntz"))

@@ -163,3 +163,17 @@ TWO_RUNS = [
 
 def over(chain, select: str) -> str:
     return with_(*chain) + "\n" + select
+
+# Extra CTEs for curated deltas of the two-run chain.
+DIM_ACC_R1 = ("dim_account_r1", "select account_id, account_type, original_balance, customer_id, created_date, "
+              "modified_date, metadata_json from str_accounts_r1")
+DIM_CUST_R1 = ("dim_customer_r1", "select customer_id, customer_name, hasloan, created_date, modified_date, "
+               "metadata_json from str_customers_r1")
+
+
+def money(*cols: str) -> str:
+    """DuckDB ``* replace (...)`` list presenting decimals as DOUBLE."""
+    return "replace (" + ", ".join(f"cast({c} as double) as {c}" for c in cols) + ")"
+
+
+FACT_MONEY = money("original_balance", "interest_rate", "annual_interest", "new_balance")

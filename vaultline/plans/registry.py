@@ -69,3 +69,7 @@ def q_account_summary(spark, sf):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_account_summary(spark, sf_dir)
+
+
+# Register the remaining query groups (they import the helpers above).
+from vaultline.plans import registry_models  # noqa: E402,F401
