@@ -110,11 +110,11 @@ union all by name
 select * from {updates}"""
 
 
-RATE_SQL = """cast(case when {b} < 10000 then 0.01 when {b} between 10000 and 20000 then 0.015 else 0.02 end
+RATE_SQL = """cast(case when {b} < 10000 then 0.01 when {b} between 10000 and 20000 then 0.015 else {t3} end
      + case when {l} then 0.005 else 0 end as decimal(5,4))"""
 
 
-def fact_sql(accounts: str, customers: str, existing: str | None, run: str) -> str:
+def fact_sql(accounts: str, customers: str, existing: str | None, run: str, tier_3: str = "0.02") -> str:
     acc = f"(select * from {accounts} where account_type = 'savings')"
     acc = _since(acc, existing, "modified_date", "modified_date")
     created = f"coalesce(e.created_date, {lit_ts(run)})" if existing else lit_ts(run)
@@ -126,7 +126,7 @@ select p.account_id, p.customer_id, p.customer_name, p.account_type, p.original_
        cast(round(p.original_balance + cast(round(p.original_balance * p.interest_rate, 2) as decimal(15,2)), 2) as decimal(15,2)) as new_balance,
        {created} as created_date, {lit_ts(run)} as modified_date, p.metadata_json
 from (select a.account_id, a.customer_id, c.customer_name, a.account_type, a.original_balance, c.hasloan,
-             {RATE_SQL.format(b='a.original_balance', l='c.hasloan')} as interest_rate, a.metadata_json
+             {RATE_SQL.format(b='a.original_balance', l='c.hasloan', t3=tier_3)} as interest_rate, a.metadata_json
       from {acc} a join {customers} c on a.customer_id = c.customer_id) p {join}"""
 
 
