@@ -22,7 +22,12 @@ def structured_gate(raw_accounts: DataFrame, raw_customers: DataFrame,
     na = _count(has_new(raw_accounts, str_accounts, F.trim(raw_accounts["AccountID"]), "account_id"), "new_accounts")
     nc = _count(has_new(raw_customers, str_customers, F.trim(raw_customers["CustomerID"]), "customer_id"),
                 "new_customers")
-    return na.crossJoin(nc).withColumn("has_new_data", (F.col("new_accounts") > 0) | (F.col("new_customers") > 0))
+    # Two one-row counts combined by one more aggregate (no cartesian product).
+    both = na.select(F.col("new_accounts").alias("n"), F.lit("a").alias("k")) \
+        .unionByName(nc.select(F.col("new_customers").alias("n"), F.lit("c").alias("k")))
+    return both.agg(F.max(F.when(F.col("k") == "a", F.col("n"))).alias("new_accounts"),
+                    F.max(F.when(F.col("k") == "c", F.col("n"))).alias("new_customers")) \
+        .withColumn("has_new_data", (F.col("new_accounts") > 0) | (F.col("new_customers") > 0))
 
 
 def curated_gate(str_accounts: DataFrame, fact: DataFrame | None) -> DataFrame:

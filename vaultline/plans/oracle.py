@@ -162,7 +162,7 @@ TWO_RUNS = [
 
 
 def over(chain, select: str) -> str:
-    return with_(*chain) + "\n" + select
+    return (with_(*chain) + "\n" + select) if chain else select
 
 # Extra CTEs for curated deltas of the two-run chain.
 DIM_ACC_R1 = ("dim_account_r1", "select account_id, account_type, original_balance, customer_id, created_date, "

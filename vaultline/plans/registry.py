@@ -74,3 +74,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Register the remaining query groups (they import the helpers above).
 from vaultline.plans import registry_models  # noqa: E402,F401
 from vaultline.plans import registry_quality  # noqa: E402,F401
+from vaultline.plans import registry_ingest  # noqa: E402,F401

@@ -19,3 +19,58 @@ def process_stats(existing: DataFrame | None, updates: DataFrame, key: str) -> D
         F.count_if(F.col("_known").isNull()).alias("records_inserted"),
         F.count_if(F.col("_known").isNotNull()).alias("records_updated"),
     )
+
+
+LEDGER_COLUMNS = ("file_id", "file_path", "file_name", "file_type", "file_hash", "file_size_bytes", "row_count",
+                  "ingestion_timestamp", "processing_status", "error_message")
+LEDGER_SCHEMA = ("file_id string, file_path string, file_name string, file_type string, file_hash string, "
+                 "file_size_bytes bigint, row_count bigint, ingestion_timestamp timestamp_ntz, "
+                 "processing_status string, error_message string")
+SCHEMA_LOG_SCHEMA = ("schema_id string, table_name string, schema_version int, column_definitions string, "
+                     "detected_at timestamp_ntz, previous_version_id string, change_description string")
+
+
+def file_records(files: DataFrame, file_type: str, run_ts_col, status: str = "completed",
+                 error: str | None = None, row_counts: DataFrame | None = None) -> DataFrame:
+    """Ledger rows for fingerprinted files (path, length, file_hash [, row_count by path])."""
+    df = files
+    if row_counts is not None:
+        df = df.join(row_counts.select("path", "row_count"), "path", "left")
+    else:
+        df = df.withColumn("row_count", F.lit(0).cast("bigint"))
+    return df.select(
+        F.sha2(F.concat_ws("|", F.lit(file_type), "file_hash"), 256).alias("file_id"),
+        F.col("path").alias("file_path"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.lit(file_type).alias("file_type"),
+        "file_hash",
+        F.col("length").cast("bigint").alias("file_size_bytes"),
+        F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
+        run_ts_col.alias("ingestion_timestamp"),
+        F.lit(status).alias("processing_status"),
+        F.lit(error).cast("string").alias("error_message"),
+    )
+
+
+def ledger_upsert(ledger: DataFrame | None, records: DataFrame, update_row_count: bool = True) -> DataFrame:
+    """Upsert on (file_type, file_hash): a known file gets the new status, error and timestamp
+    (and row count, unless ``update_row_count=False`` for strict parity); identity columns stay."""
+    if ledger is None:
+        return records.select(*LEDGER_COLUMNS)
+    keys = ["file_type", "file_hash"]
+    e = ledger.select(*keys, *[F.col(c).alias(f"e_{c}") for c in LEDGER_COLUMNS if c not in keys])
+    r = records.select(*keys, *[F.col(c).alias(f"r_{c}") for c in LEDGER_COLUMNS if c not in keys])
+    j = e.join(r, keys, "full_outer")
+    hit = F.col("r_file_id").isNotNull()
+    refreshed = {"processing_status", "error_message", "ingestion_timestamp"}
+    if update_row_count:
+        refreshed.add("row_count")
+    cols = []
+    for c in LEDGER_COLUMNS:
+        if c in keys:
+            cols.append(F.col(c))
+        elif c in refreshed:
+            cols.append(F.when(hit, F.col(f"r_{c}")).otherwise(F.col(f"e_{c}")).alias(c))
+        else:
+            cols.append(F.coalesce(F.col(f"e_{c}"), F.col(f"r_{c}")).alias(c))
+    return j.select(*cols)
