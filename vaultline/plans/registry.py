@@ -75,3 +75,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 from vaultline.plans import registry_models  # noqa: E402,F401
 from vaultline.plans import registry_quality  # noqa: E402,F401
 from vaultline.plans import registry_ingest  # noqa: E402,F401
+from vaultline.plans import registry_stream  # noqa: E402,F401

@@ -81,7 +81,7 @@ def latest_file(listing: DataFrame) -> DataFrame:
         .filter(F.col("path").isNotNull())
 
 
-def fingerprint(spark: SparkSession, directory: str, prefix: str = "", suffix: str = ".csv",
+def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv",
                 max_content_bytes: int = MAX_CONTENT_HASH_BYTES) -> DataFrame:
     """MD5 per file: of the bytes up to ``max_content_bytes``, else of (path, length, mtime).
 
