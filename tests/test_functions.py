@@ -1,0 +1,67 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from vaultline.functions import columns as C
+
+
+def _one(spark, expr, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"v {dtype}")
+    return df.select(expr(F.col("v")).alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("alice smith", "Alice Smith"), ("BOB JONES", "Bob Jones"), ("  Charlie Brown ", "Charlie Brown"),
+    ("DAVID LEE", "David Lee"), ("eve Adams", "Eve Adams"), ("Frank O'Connor", "Frank O'connor"),
+    ("a  b", "A B"), ("   ", None), ("", None), (None, None), ("x", "X"),
+])
+def test_title_case(spark, raw, expected):
+    assert _one(spark, C.title_case, raw) == expected
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("Yes", True), (" YES ", True), ("true", True), ("1", True), ("Y", True), ("t", True), ("T", True),
+    ("no", False), ("None", False), ("", False), ("n/a", False), ("maybe", False), (None, False), ("0", False),
+])
+def test_standardize_boolean(spark, raw, expected):
+    assert _one(spark, C.standardize_boolean, raw) is expected
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("10000", Decimal("10000.00")), ("1,234.56", Decimal("1234.56")), (" 12 ", Decimal("12.00")),
+    ("n/k", None), (None, None), ("12.345", Decimal("12.35")), ("-5.5", Decimal("-5.50")), ("", None),
+])
+def test_parse_balance(spark, raw, expected):
+    assert _one(spark, C.parse_balance, raw) == expected
+
+
+@pytest.mark.parametrize("balance,loan,rate", [
+    ("5000", False, "0.01"), ("5000", True, "0.015"), ("15000", False, "0.015"), ("15000", True, "0.02"),
+    ("25000", False, "0.02"), ("25000", True, "0.025"), ("10000", False, "0.015"), ("20000", False, "0.015"),
+    ("20000.01", False, "0.02"), ("9999.99", False, "0.01"), ("-10", False, "0.01"), ("0", None, "0.01"),
+])
+def test_interest_rate(spark, balance, loan, rate):
+    df = spark.createDataFrame([(Decimal(balance), loan)], "b decimal(15,2), l boolean")
+    r = df.select(C.interest_rate("b", "l").alias("r")).first()["r"]
+    assert r == Decimal(rate)
+
+
+def test_interest_amounts_round_half_up(spark):
+    df = spark.createDataFrame([(Decimal("10000.00"), Decimal("0.0200")), (Decimal("33.33"), Decimal("0.0150"))],
+                               "b decimal(15,2), r decimal(5,4)")
+    out = df.select(C.annual_interest("b", "r").alias("i")).select("*", C.new_balance(F.lit(0), "i").alias("z"))
+    got = [r["i"] for r in out.collect()]
+    assert got == [Decimal("200.00"), Decimal("0.50")]  # 0.49995 rounds half up
+
+
+def test_na_tokens_exact_match(spark):
+    df = spark.createDataFrame([("n/a",), (" n/a",), ("None",), ("",), ("x",), ("NULL",)], "v string")
+    got = [r[0] for r in df.select(C.na_to_null("v")).collect()]
+    assert got == [None, " n/a", None, None, "x", None]
+
+
+def test_lineage_json_keeps_nulls_and_order(spark):
+    df = spark.createDataFrame([("f.csv", None)], "a string, b string")
+    j = df.select(C.lineage_json(("source_file", F.col("a")), ("row_number", F.col("b"))).alias("j")).first()["j"]
+    assert j == '{"source_file":"f.csv","row_number":null}'
