@@ -1,0 +1,27 @@
+from conftest import rows
+
+from vaultline.operators import quality as Q
+
+
+def test_check_conventions(spark):
+    t = spark.createDataFrame([("a", 1, "x"), ("a", -1, "y"), (None, None, "z"), ("b", 5, None)],
+                              "k string, v int, t string")
+    p = spark.createDataFrame([("a",)], "k string")
+    checks = [Q.not_null("t", "k"), Q.unique("t", "k"), Q.accepted_values("t", "t", ["x", "y"]),
+              Q.relationships("t", "k", "p", "k"), Q.expression_is_true("t", "v", ">= 0", severity="error")]
+    res = {r["check_name"]: (r["failures"], r["passed"]) for r in Q.run_checks({"t": t, "p": p}, checks).collect()}
+    assert res == {"not_null(k)": (1, False), "unique(k)": (1, False), "accepted_values(x,y)": (1, False),
+                   "relationships(k -> p.k)": (1, False), "expression_is_true(v >= 0)": (1, False)}
+
+
+def test_enforce_raises_only_for_error_severity(spark):
+    import pytest
+    t = spark.createDataFrame([(None,)], "k string")
+    Q.enforce(Q.run_checks({"t": t}, [Q.not_null("t", "k", "warn")]))
+    with pytest.raises(Q.DataQualityError):
+        Q.enforce(Q.run_checks({"t": t}, [Q.not_null("t", "k", "error")]))
+
+
+def test_failing_rows_of_unique(spark):
+    t = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert rows(Q.failing_rows({"t": t}, Q.unique("t", "k"))) == [("a", 2)]
