@@ -20,7 +20,8 @@ RAISED = Tariff(tier_3_rate=Decimal("0.03"))
 
 def layer_tables(spark, sf):
     raw_a = T.raw_accounts(spark, sf)
-    acc, cust, fact = curated_full(spark, sf)
+    # The suite reads committed tables; materialise the layers once (reliable checkpoint).
+    acc, cust, fact = (t.checkpoint() for t in curated_full(spark, sf))
     return {
         "raw_accounts": raw_a,
         "raw_customers": T.raw_customers(spark, sf),
