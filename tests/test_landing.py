@@ -87,3 +87,36 @@ def test_latest_file(spark, tmp):
     os.utime(f"{tmp}/n/accounts_1.csv", (2_000_000_000, 2_000_000_000))
     got = L.latest_file(L.list_landing(spark, f"{tmp}/n", prefix="accounts")).first()
     assert got["file_name"] == "accounts_1.csv"
+
+
+def test_pair_gate(spark):
+    from vaultline.plans.gates import pair_gate
+    led = spark.createDataFrame(
+        [("accounts", "completed", "2025-01-02 00:00:00"), ("customers", "failed", "2025-01-02 00:00:00"),
+         ("customers", "completed", "2025-01-01 00:00:00")],
+        "file_type string, processing_status string, ingestion_timestamp string") \
+        .withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+    assert pair_gate(led).first()["ready"] is True
+    r = pair_gate(led, since="2025-01-01 12:00:00").first()
+    assert (r["accounts_ready"], r["customers_ready"], r["ready"]) == (True, False, False)
+
+
+def test_export_single_file_only_within_bound(spark, tmp):
+    from vaultline.sinks.export import export_csv
+    df = spark.range(0, 1000).selectExpr("cast(id % 37 as string) as k", "id as v").repartition(7)
+    assert export_csv(df, f"{tmp}/one", ["k", "v"]) == 1000
+    assert len([f for f in os.listdir(f"{tmp}/one") if f.endswith(".csv")]) == 1
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep the range partitions of this tiny input apart
+    try:
+        assert export_csv(df, f"{tmp}/many", ["k", "v"], max_single_rows=10) == 1000
+    finally:
+        spark.conf.set(key, "true")
+    parts = sorted(f for f in os.listdir(f"{tmp}/many") if f.endswith(".csv"))
+    assert len(parts) > 1
+    got = []
+    for p in parts:
+        with open(f"{tmp}/many/{p}") as fh:
+            got += [tuple(line.strip().split(",")) for line in fh.readlines()[1:]]
+    assert got == sorted(got, key=lambda t: (t[0], int(t[1])))
+    assert export_csv(df.limit(0), f"{tmp}/none", ["k"]) == 0 and not os.path.exists(f"{tmp}/none")

@@ -39,3 +39,18 @@ def curated_gate(str_accounts: DataFrame, fact: DataFrame | None) -> DataFrame:
 def any_pending(pending: DataFrame) -> bool:
     """Driver-side gate decision: stops at the first pending row."""
     return pending.limit(1).count() > 0
+
+
+def pair_gate(ledger: DataFrame | None, since=None) -> DataFrame:
+    """Both sources have a completed file (ingested after ``since``): one row
+    (accounts_ready, customers_ready, ready). The structured run waits for the pair."""
+    from vaultline.operators.incremental import _ntz
+    if ledger is None:
+        return None
+    done = ledger.filter(F.col("processing_status") == "completed")
+    if since is not None:
+        done = done.filter(F.col("ingestion_timestamp") > _ntz(since))
+    return done.agg(
+        (F.count_if(F.col("file_type") == "accounts") > 0).alias("accounts_ready"),
+        (F.count_if(F.col("file_type") == "customers") > 0).alias("customers_ready"),
+    ).withColumn("ready", F.col("accounts_ready") & F.col("customers_ready"))

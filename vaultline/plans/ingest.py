@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.incremental import _ntz
+from vaultline.session import materialize
 from vaultline.operators.schema import detect_schema, schema_drift, schema_json, schema_log_rows
 from vaultline.sinks.ledgers import LEDGER_SCHEMA, SCHEMA_LOG_SCHEMA, file_records, ledger_upsert
 from vaultline.sinks.tables import VersionedTable, append_raw
@@ -57,7 +58,7 @@ def ingest(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: s
     if mode == "latest":
         newest = L.latest_file(prints.select("path", "file_name", "length", "modificationTime"))
         prints = prints.join(newest.select("path"), "path", "left_semi")
-    pending = L.unprocessed(prints, ledger, source.file_type).checkpoint(eager=True)
+    pending = materialize(L.unprocessed(prints, ledger, source.file_type), "pending")
     if pending.limit(1).count() == 0:
         return {"status": "skipped", "files": 0}
     # File paths (not contents) go to the driver: Spark's own file index lists them there too.
@@ -68,7 +69,7 @@ def ingest(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: s
         rows = L.with_lineage(scanned, pending, run_ts, source_name, blocks)
         data_cols = [c for c in scanned.columns if not c.startswith("_")]
         current = schema_json(detect_schema(scanned, data_cols), source.table_name)
-        drift = schema_drift(current, log_t.read()).checkpoint(eager=True)
+        drift = materialize(schema_drift(current, log_t.read()), "drift")
         append_raw(rows, catalog.raw(source.table_name))
         new_log = schema_log_rows(drift, ts)
         if new_log.limit(1).count() > 0:

@@ -149,9 +149,10 @@ def join_accounts_customers(accounts: DataFrame, customers: DataFrame) -> DataFr
 
 def with_interest(df: DataFrame, tariff: Tariff = DEFAULT_TARIFF) -> DataFrame:
     rate = interest_rate("original_balance", "hasloan", tariff)
-    return (df.withColumn("interest_rate", rate)
-              .withColumn("annual_interest", annual_interest("original_balance", "interest_rate"))
-              .withColumn("new_balance", new_balance("original_balance", "annual_interest")))
+    interest = annual_interest("original_balance", rate)
+    # One projection; codegen evaluates the shared rate / interest subexpressions once.
+    return df.select("*", rate.alias("interest_rate"), interest.alias("annual_interest"),
+                     new_balance("original_balance", interest).alias("new_balance"))
 
 
 def fact_customer_balances(accounts: DataFrame, customers: DataFrame, existing: DataFrame | None = None,

@@ -12,6 +12,7 @@ from vaultline.operators.incremental import upsert
 from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
+from vaultline.session import materialize
 from vaultline.sources import testdata as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,21 +44,21 @@ def curated_full(spark, sf):
 def two_runs(spark, sf):
     """Run 1 over the first deliveries, run 2 over the whole raw tables (append-only).
 
-    Each run's committed tables are materialised (reliable checkpoint in the shared
-    checkpoint folder), as a deployment reads them back from storage: the next run's
+    Each run's committed tables are materialised (written to the shared checkpoint
+    folder and read back), as a deployment reads them back from storage: the next run's
     watermark is one scalar over a stored column, not a recomputation of run 1.
     """
     first_acc, _ = T.account_deliveries(spark, sf)
     raw_acc = T.raw_accounts(spark, sf)
     raw_cust = T.raw_customers(spark, sf)
     raw_cust_all = raw_cust.unionByName(T.customer_updates(spark, sf))
-    acc1 = M.str_accounts(first_acc, None, O.RUN_1).checkpoint()
-    cust1 = M.str_customers(raw_cust, None, O.RUN_1).checkpoint()
-    fact1 = M.fact_customer_balances(acc1, cust1, None, O.RUN_1).checkpoint()
+    acc1 = materialize(M.str_accounts(first_acc, None, O.RUN_1), "str_accounts_r1")
+    cust1 = materialize(M.str_customers(raw_cust, None, O.RUN_1), "str_customers_r1")
+    fact1 = materialize(M.fact_customer_balances(acc1, cust1, None, O.RUN_1), "fact_r1")
     acc_d2 = M.str_accounts(raw_acc, acc1, O.RUN_2)
     cust_d2 = M.str_customers(raw_cust_all, cust1, O.RUN_2)
-    acc2 = upsert(acc1, acc_d2, "account_id").checkpoint()
-    cust2 = upsert(cust1, cust_d2, "customer_id").checkpoint()
+    acc2 = materialize(upsert(acc1, acc_d2, "account_id"), "str_accounts_r2")
+    cust2 = materialize(upsert(cust1, cust_d2, "customer_id"), "str_customers_r2")
     fact_d2 = M.fact_customer_balances(acc2, cust2, fact1, O.RUN_2)
     fact2 = upsert(fact1, fact_d2, "account_id")
     return dict(acc1=acc1, cust1=cust1, acc_d2=acc_d2, cust_d2=cust_d2, acc2=acc2, cust2=cust2,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vaultline.functions import columns as C
 from vaultline.operators.incremental import has_new, preserve_created, upsert
@@ -329,8 +328,9 @@ from (select lower(trim(AccountType)) as account_type, count(*) as n from raw_ac
 def q_account_type_distribution(spark, sf):
     counts = T.raw_accounts(spark, sf).groupBy(C.normalize_account_type("AccountType").alias("account_type")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    # The grouped result has one row per account type: the global window runs over a handful of rows.
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    # The total is one scalar (an aggregate of the grouped counts), passed on as a literal.
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.withColumn("share", F.col("n") / F.lit(total).cast("double"))
 
 
 @query("quality_flag_counts", over(FULL, "select data_quality_flag, count(*) as n from str_accounts group by 1"))

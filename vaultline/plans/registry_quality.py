@@ -11,6 +11,7 @@ from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
 from vaultline.plans.registry import curated_full, query
+from vaultline.session import materialize
 from vaultline.sources import testdata as T
 from vaultline.tariff import Tariff
 
@@ -20,8 +21,9 @@ RAISED = Tariff(tier_3_rate=Decimal("0.03"))
 
 def layer_tables(spark, sf):
     raw_a = T.raw_accounts(spark, sf)
-    # The suite reads committed tables; materialise the layers once (reliable checkpoint).
-    acc, cust, fact = (t.checkpoint() for t in curated_full(spark, sf))
+    # The suite reads committed tables; materialise the layers once.
+    acc, cust, fact = (materialize(t, n) for t, n in zip(curated_full(spark, sf), ("str_accounts", "str_customers",
+                                                                                   "fact")))
     return {
         "raw_accounts": raw_a,
         "raw_customers": T.raw_customers(spark, sf),

@@ -44,7 +44,7 @@ def q_stream_upsert(spark, sf):
     raw = T.raw_accounts(spark, sf)
     raw.repartition(8).write.parquet(raw_path)
     table_path, ckpt = work_dir(spark, "str_accounts"), work_dir(spark, "stream-ckpt")
-    q = stream_structured_accounts(spark, raw_path, table_path, ckpt, raw.schema, max_files_per_trigger=2)
+    q = stream_structured_accounts(spark, raw_path, table_path, ckpt, raw.schema, max_files_per_trigger=4)
     q.awaitTermination()
     out = VersionedTable(spark, table_path).read()
     return present(out.select("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
@@ -56,7 +56,7 @@ def q_csv_export_roundtrip(spark, sf):
     """Export the report as one ordered CSV with a header, then read the file back."""
     report = present(M.account_summary(curated_full(spark, sf)[2], ordered=False))
     path = work_dir(spark, "export")
-    export_csv(report, path, ["customer_id", "account_id"], single_file=True)
+    export_csv(report, path, ["customer_id", "account_id"])
     return spark.read.option("header", True).schema(report.schema).csv(path)
 
 

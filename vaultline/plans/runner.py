@@ -18,6 +18,7 @@ from vaultline.plans import models as M
 from vaultline.plans.gates import any_pending
 from vaultline.plans.ingest import ACCOUNTS, CUSTOMERS, Catalog, ingest
 from vaultline.plans.present import present
+from vaultline.session import materialize
 from vaultline.sinks.export import export_csv, summary_statistics
 from vaultline.sinks.ledgers import process_stats
 from vaultline.sinks.tables import read_raw
@@ -51,7 +52,7 @@ def _log_process(spark, cat: Catalog, run_ts, source: str, target: str, stats: D
 
 def _merge(spark, cat, layer, name, key, delta, existing, run_ts, source, started):
     table = cat.table(spark, layer, name)
-    stats = process_stats(existing, delta, key).checkpoint(eager=True)
+    stats = materialize(process_stats(existing, delta, key), "process_stats")
     if existing is None:
         table.overwrite(delta)
     else:
@@ -61,7 +62,10 @@ def _merge(spark, cat, layer, name, key, delta, existing, run_ts, source, starte
 
 def run_all(spark: SparkSession, root: str, accounts_landing: str, customers_landing: str, run_ts,
             export_path: str | None = None, ingest_mode: str = "all_unseen", gate: str = "watermark",
-            tariff: Tariff = DEFAULT_TARIFF, refresh_on: str = "accounts", strict_access: bool = True) -> dict:
+            tariff: Tariff = DEFAULT_TARIFF, refresh_on: str = "accounts", strict_access: bool = True,
+            full_refresh: bool = False) -> dict:
+    """``full_refresh=True`` rebuilds structured and curated tables from the whole raw
+    layer (as on a first run) instead of merging increments."""
     cat = Catalog(root)
     out: dict = {}
 
@@ -73,8 +77,8 @@ def run_all(spark: SparkSession, root: str, accounts_landing: str, customers_lan
     # structured (skip gate, then incremental or full model, then warn-level checks)
     t0 = time.time()
     acc_t, cust_t = cat.table(spark, "structured", "str_accounts"), cat.table(spark, "structured", "str_customers")
-    acc_e, cust_e = acc_t.read(), cust_t.read()
-    if any_pending(_pending(raw_a, acc_e, "AccountID", "account_id", gate)) or \
+    acc_e, cust_e = (None, None) if full_refresh else (acc_t.read(), cust_t.read())
+    if full_refresh or any_pending(_pending(raw_a, acc_e, "AccountID", "account_id", gate)) or \
             any_pending(_pending(raw_c, cust_e, "CustomerID", "customer_id", gate)):
         _merge(spark, cat, "structured", "str_accounts", "account_id", M.str_accounts(raw_a, acc_e, run_ts),
                acc_e, run_ts, "raw_accounts", t0)
@@ -90,11 +94,11 @@ def run_all(spark: SparkSession, root: str, accounts_landing: str, customers_lan
     t0 = time.time()
     fact_t = cat.table(spark, "curated", "fact_customer_balances")
     dim_a_t, dim_c_t = cat.table(spark, "curated", "dim_account"), cat.table(spark, "curated", "dim_customer")
-    fact_e = fact_t.read()
+    fact_e = None if full_refresh else fact_t.read()
     pending_fact = M.savings_accounts(acc) if fact_e is None else \
         since_watermark(M.savings_accounts(acc), "modified_date", fact_e, "modified_date")
     if fact_e is None or out["structured"] == "processed" or any_pending(pending_fact):
-        dim_a_e, dim_c_e = dim_a_t.read(), dim_c_t.read()
+        dim_a_e, dim_c_e = (None, None) if full_refresh else (dim_a_t.read(), dim_c_t.read())
         _merge(spark, cat, "curated", "dim_account", "account_id", M.dim_account(acc, dim_a_e), dim_a_e, run_ts,
                "str_accounts", t0)
         _merge(spark, cat, "curated", "dim_customer", "customer_id", M.dim_customer(cust, dim_c_e), dim_c_e,
@@ -114,12 +118,12 @@ def run_all(spark: SparkSession, root: str, accounts_landing: str, customers_lan
 
     checks = Q.structured_checks("warn") + Q.curated_checks("warn") + \
         Q.access_checks("error" if strict_access else "warn")
-    results = Q.run_checks(tables, checks).checkpoint(eager=True)
+    results = materialize(Q.run_checks(tables, checks), "check_results")
     out["checks_failed"] = results.filter(~F.col("passed")).count()
     Q.enforce(results)
 
     report = present(tables["account_summary"])
     if export_path:
-        export_csv(report, export_path, ["customer_id", "account_id"], single_file=True)
+        out["rows_exported"] = export_csv(report, export_path, ["customer_id", "account_id"])
     out["statistics"] = summary_statistics(report).first().asDict()
     return out

@@ -48,3 +48,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "vaultline-work", f"{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like a reliable checkpoint (survives executor loss) but computes the
+    input once, and later reads get Parquet statistics (filter pushdown, pruning).
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -22,24 +22,30 @@ def summary_statistics(report: DataFrame) -> DataFrame:
     )
 
 
-def export_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool = True) -> int | None:
-    """Write the report as CSV with a header, ordered by ``order``.
-
-    ``single_file=True`` (the reference's one ``account_summary.csv``) funnels the
-    sorted rows through one writer task — only for report-sized outputs.
-    ``single_file=False`` range-partitions on the order keys, so part files
-    concatenated in name order are globally sorted and every task writes its own range.
-    Returns None when there is nothing to export (no file is written), else None as well
-    after writing; callers that need the row count compute it from the table.
+# Above this many rows the report is written as range-sorted part files instead of one file.
+MAX_SINGLE_FILE_ROWS = 5_000_000
+
+
+def export_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool | str = "auto",
+               max_single_rows: int = MAX_SINGLE_FILE_ROWS) -> int:
+    """Write the report as CSV with a header, ordered by ``order``; returns the row count.
+
+    The reference writes one ``account_summary.csv``. One file means one writer
+    task, so it is only done when the row count is within ``max_single_rows``
+    (checked first; ``single_file="auto"``). Larger reports are range-partitioned on
+    the order keys: every task writes its own key range and the part files, read
+    in name order, are globally sorted. Nothing is written for an empty report.
     """
-    if df.limit(1).count() == 0:
-        return None
+    n = df.count()
+    if n == 0:
+        return 0
+    one = (n <= max_single_rows) if single_file == "auto" else bool(single_file) and n <= max_single_rows
     sorted_df = df.orderBy(*order)
-    if single_file:
+    if one:
         sorted_df = sorted_df.coalesce(1)
     (sorted_df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path))
-    return None
+    return n

@@ -70,6 +70,11 @@ def append_raw(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("mergeSchema", "true").parquet(path)
 
 
+def reload_raw(df: DataFrame, path: str) -> None:
+    """Drop and recreate a raw table from ``df`` (local reload of fixed sample files)."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 

@@ -116,11 +116,13 @@ def block_table(scanned: DataFrame) -> DataFrame:
 
     Materialised in the shared checkpoint folder: one scan computes it, its size is
     then known exactly, and lineage is cut (safe against executor loss).
+    The table is small (one row per split), so it is written once and read back.
     """
     base = scanned.withColumn("_rid", F.monotonically_increasing_id())
     blocks = base.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
     w = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).checkpoint(eager=True)
+    from vaultline.session import materialize
+    return materialize(blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))), "blocks")
 
 
 def with_row_numbers(scanned: DataFrame, blocks: DataFrame | None = None,
