@@ -118,16 +118,61 @@ def failing_rows(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(c.kind)
 
 
+def _value_level(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame | None:
+    """All ``unique`` and ``accepted_values`` checks in ONE grouped aggregate.
+
+    Each table is scanned once and emits a (check index, value) pair per row and
+    check; one shuffle groups all pairs (with map-side partial counts), and a second,
+    tiny aggregate turns value counts into failures per check.
+    """
+    by_table: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in enumerate(checks):
+        by_table.setdefault(c.table, []).append((i, c))
+    parts = []
+    for table, ics in by_table.items():
+        pairs = []
+        for i, c in ics:
+            v = F.col(c.column)
+            keep = v.isNotNull() if c.kind == "unique" else (v.isNotNull() & ~v.isin(*c.values))
+            pairs.append(F.when(keep, F.struct(F.lit(i).alias("i"), v.cast("string").alias("v"))))
+        parts.append(tables[table].select(F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("p"))
+                     .select("p.i", "p.v"))
+    if not parts:
+        return None
+    pairs = reduce(lambda a, b: a.unionByName(b), parts)
+    counted = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    unique_ids = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    failing = F.when(F.col("i").isin(*unique_ids), F.col("n") > 1).otherwise(F.lit(True)) if unique_ids \
+        else F.lit(True)
+    per_check = counted.groupBy("i").agg(F.count_if(failing).alias("failures"))
+    meta = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c.table).alias("table_name"),
+                              F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
+                              F.lit(c.severity).alias("severity")) for i, c in enumerate(checks)])
+    # Every check gets a row, failures 0 when no value failed (outer side is one row per check).
+    all_checks = per_check.sparkSession.range(1).select(F.inline(meta))
+    return all_checks.join(per_check, "i", "left").select(
+        "table_name", "check_name", "column_name",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"), "severity")
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Run checks: one aggregate pass per table for row-level checks, one grouped
+    aggregate for all value-level checks, one anti-join per relationship."""
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    row_level: dict[str, list[Check]] = {}
+    value_level: list[Check] = []
     for c in checks:
         if c.kind in ("not_null", "expression"):
-            by_table.setdefault(c.table, []).append(c)
+            row_level.setdefault(c.table, []).append(c)
+        elif c.kind in ("unique", "accepted_values"):
+            value_level.append(c)
         else:
             parts.append(_result(c, failing_rows(tables, c).agg(F.count(F.lit(1)).alias("failures"))))
-    for table, cs in by_table.items():
+    for table, cs in row_level.items():
         parts.append(_row_level(tables[table], table, cs))
+    v = _value_level(tables, value_level)
+    if v is not None:
+        parts.append(v)
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.withColumn("passed", F.col("failures") == 0)
 

@@ -333,6 +333,15 @@ def q_account_type_distribution(spark, sf):
     return counts.withColumn("share", F.col("n") / F.lit(total).cast("double"))
 
 
+@query("loan_distribution", over(FULL, """
+select hasloan, n, n / sum(n) over () as share
+from (select hasloan, count(*) as n from str_customers group by hasloan) t"""))
+def q_loan_distribution(spark, sf):
+    counts = structured_full(spark, sf)[1].groupBy("hasloan").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.withColumn("share", F.col("n") / F.lit(total).cast("double"))
+
+
 @query("quality_flag_counts", over(FULL, "select data_quality_flag, count(*) as n from str_accounts group by 1"))
 def q_quality_flag_counts(spark, sf):
     return structured_full(spark, sf)[0].groupBy("data_quality_flag").agg(F.count(F.lit(1)).alias("n"))
