@@ -13,6 +13,24 @@ from pyspark.sql import functions as F
 
 EPOCH = "1900-01-01 00:00:00"
 
+# A change set with at most this many keys is broadcast to the merge joins, so the
+# (large) target is streamed through once and never shuffled. Above it the joins are
+# sort-merge joins on the key. The count is taken before the decision.
+BROADCAST_KEYS_BELOW = 2_000_000
+
+
+def _key_side(updates: DataFrame, keys: Sequence[str], max_keys: int | None = None,
+              bound: int = BROADCAST_KEYS_BELOW) -> DataFrame:
+    """The change set's keys, broadcast when their number is proven small.
+
+    ``max_keys`` is a known upper bound (e.g. the count of new source rows, which a
+    deduplicated change set cannot exceed); without it the keys are counted, which
+    is cheap when ``updates`` is a stored (materialised) change set.
+    """
+    k = updates.select(*keys)
+    n = max_keys if max_keys is not None else k.count()
+    return F.broadcast(k) if n <= bound else k
+
 
 def _ntz(value) -> Column:
     if isinstance(value, Column):
@@ -57,26 +75,31 @@ def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: st
 
 
 def preserve_created(updates: DataFrame, existing: DataFrame | None, key: str, run_ts=None,
-                     column: str = "created_date") -> DataFrame:
+                     column: str = "created_date", max_keys: int | None = None) -> DataFrame:
     """Add ``created_date``: the target's value for a known key, else the run timestamp."""
     now = _ntz(run_ts)
     if existing is None:
         return updates.withColumn(column, now)
-    e = existing.select(F.col(key).alias("_c_key"), F.col(column).cast("timestamp_ntz").alias("_c_created"))
+    # Only target rows whose key is in the change set can contribute: a broadcast
+    # semi-join (when the change set is small) shrinks the target before the join.
+    touched = existing.join(_key_side(updates, [key], max_keys), key, "left_semi")
+    e = touched.select(F.col(key).alias("_c_key"), F.col(column).cast("timestamp_ntz").alias("_c_created"))
     return (updates.join(e, updates[key] == e["_c_key"], "left")
             .withColumn(column, F.coalesce(F.col("_c_created"), now))
             .drop("_c_key", "_c_created"))
 
 
-def upsert(existing: DataFrame | None, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def upsert(existing: DataFrame | None, updates: DataFrame, key: str | Sequence[str],
+           max_keys: int | None = None) -> DataFrame:
     """Merge by unique key: matched rows are replaced, unmatched inserted (SCD type 1).
 
     ``updates`` must be unique on the key (models deduplicate first). NULL keys never match.
+    The target is never shuffled when the change set's keys are broadcast (see ``_key_side``).
     """
     if existing is None:
         return updates
     keys = [key] if isinstance(key, str) else list(key)
-    kept = existing.join(updates.select(*keys), on=keys, how="left_anti")
+    kept = existing.join(_key_side(updates, keys, max_keys), on=keys, how="left_anti")
     return kept.unionByName(updates.select(*existing.columns), allowMissingColumns=False)
 
 

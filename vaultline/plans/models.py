@@ -46,6 +46,14 @@ def latest_first():
     return (F.col("_ingested_at").desc(), F.col("_row_number").desc(), F.col("_file_hash").desc())
 
 
+def _source_bound(src: DataFrame, existing: DataFrame | None) -> int | None:
+    """Rows of the (watermark-filtered) source: an upper bound on the change set's keys.
+
+    A scan with the pushed-down watermark and no shuffle; only needed on incremental runs.
+    """
+    return None if existing is None else src.count()
+
+
 def _valid_key(raw_col: str):
     return F.col(raw_col).isNotNull() & (F.trim(F.col(raw_col).cast("string")) != F.lit(""))
 
@@ -98,7 +106,7 @@ def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None)
     """Structured accounts: watermark → cleanse → impute → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
     latest = keep_latest(clean_accounts(src), ["account_id"], latest_first())
-    out = preserve_created(latest, existing, "account_id", run_ts)
+    out = preserve_created(latest, existing, "account_id", run_ts, max_keys=_source_bound(src, existing))
     return out.select(
         "account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
         "created_date",
@@ -112,7 +120,7 @@ def str_customers(raw: DataFrame, existing: DataFrame | None = None, run_ts=None
     """Structured customers: watermark → title case + boolean → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
     latest = keep_latest(clean_customers(src), ["customer_id"], latest_first())
-    out = preserve_created(latest, existing, "customer_id", run_ts)
+    out = preserve_created(latest, existing, "customer_id", run_ts, max_keys=_source_bound(src, existing))
     return out.select(
         "customer_id", "customer_name", "hasloan",
         "created_date",
@@ -173,10 +181,11 @@ def fact_customer_balances(accounts: DataFrame, customers: DataFrame, existing:
             acc = newer.unionByName(via_customer).dropDuplicates(["account_id"])
         else:
             acc = since_watermark(acc, "modified_date", existing, "modified_date")
+    bound = _source_bound(acc, existing)
     joined = join_accounts_customers(acc.select("account_id", "customer_id", "account_type", "original_balance",
                                                 "metadata_json"), customers)
     priced = with_interest(joined, tariff)
-    out = preserve_created(priced, existing, "account_id", run_ts)
+    out = preserve_created(priced, existing, "account_id", run_ts, max_keys=bound)
     return out.select(
         "account_id", "customer_id", "customer_name", "account_type", "original_balance", "hasloan",
         "interest_rate", "annual_interest", "new_balance", "created_date",

@@ -52,6 +52,7 @@ def _log_process(spark, cat: Catalog, run_ts, source: str, target: str, stats: D
 
 def _merge(spark, cat, layer, name, key, delta, existing, run_ts, source, started):
     table = cat.table(spark, layer, name)
+    delta = materialize(delta, f"{name}_changes")  # computed once; counted and merged from storage
     stats = materialize(process_stats(existing, delta, key), "process_stats")
     if existing is None:
         table.overwrite(delta)
