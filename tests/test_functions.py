@@ -8,7 +8,7 @@ from vaultline.functions import columns as C
 
 def _one(spark, expr, value, dtype="string"):
     df = spark.createDataFrame([(value,)], f"v {dtype}")
-    return df.select(expr(F.col("v")).alias("r")).first()["r"]
+    return df.select(expr("v").alias("r")).first()["r"]
 
 
 @pytest.mark.parametrize("raw,expected", [
@@ -50,7 +50,7 @@ def test_interest_rate(spark, balance, loan, rate):
 def test_interest_amounts_round_half_up(spark):
     df = spark.createDataFrame([(Decimal("10000.00"), Decimal("0.0200")), (Decimal("33.33"), Decimal("0.0150"))],
                                "b decimal(15,2), r decimal(5,4)")
-    out = df.select(C.annual_interest("b", "r").alias("i")).select("*", C.new_balance(F.lit(0), "i").alias("z"))
+    out = df.select(C.annual_interest("b", "r").alias("i")).select("*", C.new_balance(C.Sql("0"), "i").alias("z"))
     got = [r["i"] for r in out.collect()]
     assert got == [Decimal("200.00"), Decimal("0.50")]  # 0.49995 rounds half up
 
@@ -63,5 +63,5 @@ def test_na_tokens_exact_match(spark):
 
 def test_lineage_json_keeps_nulls_and_order(spark):
     df = spark.createDataFrame([("f.csv", None)], "a string, b string")
-    j = df.select(C.lineage_json(("source_file", F.col("a")), ("row_number", F.col("b"))).alias("j")).first()["j"]
+    j = df.select(C.lineage_json(("source_file", "a"), ("row_number", "b")).alias("j")).first()["j"]
     assert j == '{"source_file":"f.csv","row_number":null}'

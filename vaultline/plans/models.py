@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import (
-    MONEY,
-    annual_interest,
-    clean_key,
-    interest_rate,
-    lineage_json,
-    new_balance,
-    normalize_account_type,
-    parse_balance,
-    standardize_boolean,
-    title_case,
+    Sql,
+    annual_interest_sql,
+    clean_key_sql,
+    interest_rate_sql,
+    lineage_json_sql,
+    new_balance_sql,
+    normalize_account_type_sql,
+    parse_balance_sql,
+    standardize_boolean_sql,
+    title_case_sql,
 )
 from vaultline.operators.dedupe import keep_latest
 from vaultline.operators.incremental import _ntz, new_or_newer, preserve_created, since_watermark, watermark_value
@@ -43,7 +43,7 @@ VALID = "VALID"
 # Latest version first: newest ingestion, then the later row in the file, then the
 # file hash so identical (time, row) pairs from two files still resolve deterministically.
 def latest_first():
-    return (F.col("_ingested_at").desc(), F.col("_row_number").desc(), F.col("_file_hash").desc())
+    return (F.desc("_ingested_at"), F.desc("_row_number"), F.desc("_file_hash"))
 
 
 def _source_bound(src: DataFrame, existing: DataFrame | None) -> int | None:
@@ -55,51 +55,44 @@ def _source_bound(src: DataFrame, existing: DataFrame | None) -> int | None:
 
 
 def _valid_key(raw_col: str):
-    return F.col(raw_col).isNotNull() & (F.trim(F.col(raw_col).cast("string")) != F.lit(""))
+    return F.expr(f"{raw_col} IS NOT NULL AND trim(CAST({raw_col} AS STRING)) != ''")
+
+
+LINEAGE = ("_source_file", "_file_hash", "_row_number", "CAST(_ingested_at AS TIMESTAMP_NTZ) AS _ingested_at")
 
 
 def clean_accounts(raw: DataFrame) -> DataFrame:
     """Typed, cleansed account rows (before deduplication); rows without an id are dropped."""
-    return raw.filter(_valid_key("AccountID")).select(
-        clean_key("AccountID").alias("account_id"),
-        normalize_account_type("AccountType").alias("account_type"),
-        parse_balance("Balance").alias("_balance_parsed"),
-        clean_key("CustomerID").alias("customer_id"),
-        "_source_file",
-        "_file_hash",
-        "_row_number",
-        F.col("_ingested_at").cast("timestamp_ntz").alias("_ingested_at"),
-    ).select(
-        "account_id", "account_type",
-        F.coalesce(F.col("_balance_parsed"), F.lit(0).cast(MONEY)).alias("original_balance"),
-        "customer_id",
-        F.when(F.col("_balance_parsed").isNull(), F.lit(IMPUTED)).otherwise(F.lit(VALID)).alias("data_quality_flag"),
-        "_source_file", "_file_hash", "_row_number", "_ingested_at",
+    parsed = parse_balance_sql("Balance")
+    return raw.filter(_valid_key("AccountID")).selectExpr(
+        f"{clean_key_sql('AccountID')} AS account_id",
+        f"{normalize_account_type_sql('AccountType')} AS account_type",
+        f"coalesce({parsed}, CAST(0 AS DECIMAL(15,2))) AS original_balance",
+        f"{clean_key_sql('CustomerID')} AS customer_id",
+        f"CASE WHEN {parsed} IS NULL THEN '{IMPUTED}' ELSE '{VALID}' END AS data_quality_flag",
+        *LINEAGE,
     )
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
-    return raw.filter(_valid_key("CustomerID")).select(
-        clean_key("CustomerID").alias("customer_id"),
-        title_case("Name").alias("customer_name"),
-        standardize_boolean("HasLoan").alias("hasloan"),
-        "_source_file",
-        "_file_hash",
-        "_row_number",
-        F.col("_ingested_at").cast("timestamp_ntz").alias("_ingested_at"),
+    return raw.filter(_valid_key("CustomerID")).selectExpr(
+        f"{clean_key_sql('CustomerID')} AS customer_id",
+        f"{title_case_sql('Name')} AS customer_name",
+        f"{standardize_boolean_sql('HasLoan')} AS hasloan",
+        *LINEAGE,
     )
 
 
 def _lineage(with_flag: bool):
     fields = [
-        ("source_file", F.col("_source_file")),
-        ("row_number", F.col("_row_number").cast("string")),
-        ("file_hash", F.col("_file_hash")),
-        ("ingested_at", F.col("_ingested_at").cast("string")),
+        ("source_file", "_source_file"),
+        ("row_number", Sql("CAST(_row_number AS STRING)")),
+        ("file_hash", "_file_hash"),
+        ("ingested_at", Sql("CAST(_ingested_at AS STRING)")),
     ]
     if with_flag:
-        fields.append(("data_quality_flag", F.col("data_quality_flag")))
-    return lineage_json(*fields)
+        fields.append(("data_quality_flag", "data_quality_flag"))
+    return F.expr(lineage_json_sql(*fields))
 
 
 def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None) -> DataFrame:
@@ -156,11 +149,11 @@ def join_accounts_customers(accounts: DataFrame, customers: DataFrame) -> DataFr
 
 
 def with_interest(df: DataFrame, tariff: Tariff = DEFAULT_TARIFF) -> DataFrame:
-    rate = interest_rate("original_balance", "hasloan", tariff)
-    interest = annual_interest("original_balance", rate)
+    rate = interest_rate_sql("original_balance", "hasloan", tariff)
+    interest = annual_interest_sql("original_balance", rate)
     # One projection; codegen evaluates the shared rate / interest subexpressions once.
-    return df.select("*", rate.alias("interest_rate"), interest.alias("annual_interest"),
-                     new_balance("original_balance", interest).alias("new_balance"))
+    return df.selectExpr("*", f"{rate} AS interest_rate", f"{interest} AS annual_interest",
+                         f"{new_balance_sql('original_balance', interest)} AS new_balance")
 
 
 def fact_customer_balances(accounts: DataFrame, customers: DataFrame, existing: DataFrame | None = None,

@@ -7,13 +7,12 @@ as the reference's exported report does (its CSV shows ``10000.0`` / ``0.02``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 
 def present(df: DataFrame) -> DataFrame:
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        cols.append(c.cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else c)
-    return df.select(*cols)
+        q = "`" + f.name.replace("`", "``") + "`"
+        exprs.append(f"CAST({q} AS DOUBLE) AS {q}" if isinstance(f.dataType, DecimalType) else q)
+    return df.selectExpr(*exprs)

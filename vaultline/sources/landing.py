@@ -54,11 +54,11 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     missing = [c for c in columns if c.lower() not in lookup]
     if missing:
         raise ValueError(f"landing file lacks columns {missing}; header is {df.columns}")
-    wanted = [na_to_null(F.col(f"`{lookup[c.lower()]}`")).alias(c) for c in columns]
+    wanted = [na_to_null(lookup[c.lower()]).alias(c) for c in columns]
     extra = []
     if keep_extra:
         known = {c.lower() for c in columns}
-        extra = [na_to_null(F.col(f"`{n}`")).alias(n) for c, n in lookup.items() if c not in known]
+        extra = [na_to_null(n).alias(n) for c, n in lookup.items() if c not in known]
     return df.select(*wanted, *extra,
                      F.col("_metadata.file_path").alias("_path"),
                      F.col("_metadata.file_block_start").alias("_block"))
