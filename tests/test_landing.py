@@ -120,3 +120,17 @@ def test_export_single_file_only_within_bound(spark, tmp):
             got += [tuple(line.strip().split(",")) for line in fh.readlines()[1:]]
     assert got == sorted(got, key=lambda t: (t[0], int(t[1])))
     assert export_csv(df.limit(0), f"{tmp}/none", ["k"]) == 0 and not os.path.exists(f"{tmp}/none")
+
+
+def test_unseen_skips_completed_files_without_hashing(spark, tmp):
+    _write(f"{tmp}/s/a.csv", "h\n1\n")
+    _write(f"{tmp}/s/b.csv", "h\n2\n")
+    listing = L.list_landing(spark, f"{tmp}/s")
+    ts = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    led = file_records(L.fingerprint(spark, f"{tmp}/s"), "accounts", ts, "completed")
+    assert L.unseen(listing, led, "accounts").count() == 0
+    os.utime(f"{tmp}/s/b.csv", (2_000_000_000, 2_000_000_000))  # rewritten in place
+    again = L.unseen(L.list_landing(spark, f"{tmp}/s"), led, "accounts")
+    assert [r["file_name"] for r in again.collect()] == ["b.csv"]
+    # same bytes as an ingested file: hashed, then skipped by content
+    assert L.unprocessed(L.fingerprint(spark, [r["path"] for r in again.collect()]), led, "accounts").count() == 0

@@ -54,11 +54,15 @@ def ingest(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: s
     ledger = ledger_t.read()
     ts = _ntz(run_ts)
 
-    prints = L.fingerprint(spark, landing_dir)
+    listing = L.list_landing(spark, landing_dir)
     if mode == "latest":
-        newest = L.latest_file(prints.select("path", "file_name", "length", "modificationTime"))
-        prints = prints.join(newest.select("path"), "path", "left_semi")
-    pending = materialize(L.unprocessed(prints, ledger, source.file_type), "pending")
+        listing = L.latest_file(listing)
+    # Hash only files not already completed under the same (path, size, mtime); then skip
+    # any whose content hash is completed (the same bytes delivered under another name).
+    fresh = [r.path for r in L.unseen(listing, ledger, source.file_type).select("path").collect()]
+    if not fresh:
+        return {"status": "skipped", "files": 0}
+    pending = materialize(L.unprocessed(L.fingerprint(spark, fresh), ledger, source.file_type), "pending")
     if pending.limit(1).count() == 0:
         return {"status": "skipped", "files": 0}
     # File paths (not contents) go to the driver: Spark's own file index lists them there too.

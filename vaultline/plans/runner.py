@@ -73,7 +73,11 @@ def run_all(spark: SparkSession, root: str, accounts_landing: str, customers_lan
     # raw
     out["raw_accounts"] = ingest(spark, cat, ACCOUNTS, accounts_landing, run_ts, ingest_mode)
     out["raw_customers"] = ingest(spark, cat, CUSTOMERS, customers_landing, run_ts, ingest_mode)
-    raw_a, raw_c = read_raw(spark, cat.raw("raw_accounts")), read_raw(spark, cat.raw("raw_customers"))
+    log = cat.table(spark, "raw", "schema_version_tracking").read()
+    drifted = set() if log is None else {r[0] for r in log.groupBy("table_name").count()
+                                         .filter("count > 1").select("table_name").collect()}
+    raw_a = read_raw(spark, cat.raw("raw_accounts"), "raw_accounts" in drifted)
+    raw_c = read_raw(spark, cat.raw("raw_customers"), "raw_customers" in drifted)
 
     # structured (skip gate, then incremental or full model, then warn-level checks)
     t0 = time.time()

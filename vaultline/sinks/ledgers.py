@@ -22,10 +22,10 @@ def process_stats(existing: DataFrame | None, updates: DataFrame, key: str) -> D
 
 
 LEDGER_COLUMNS = ("file_id", "file_path", "file_name", "file_type", "file_hash", "file_size_bytes", "row_count",
-                  "ingestion_timestamp", "processing_status", "error_message")
+                  "ingestion_timestamp", "processing_status", "error_message", "modification_time")
 LEDGER_SCHEMA = ("file_id string, file_path string, file_name string, file_type string, file_hash string, "
                  "file_size_bytes bigint, row_count bigint, ingestion_timestamp timestamp_ntz, "
-                 "processing_status string, error_message string")
+                 "processing_status string, error_message string, modification_time timestamp")
 SCHEMA_LOG_SCHEMA = ("schema_id string, table_name string, schema_version int, column_definitions string, "
                      "detected_at timestamp_ntz, previous_version_id string, change_description string")
 
@@ -49,6 +49,7 @@ def file_records(files: DataFrame, file_type: str, run_ts_col, status: str = "co
         run_ts_col.alias("ingestion_timestamp"),
         F.lit(status).alias("processing_status"),
         F.lit(error).cast("string").alias("error_message"),
+        F.col("modificationTime").alias("modification_time"),
     )
 
 
@@ -62,7 +63,7 @@ def ledger_upsert(ledger: DataFrame | None, records: DataFrame, update_row_count
     r = records.select(*keys, *[F.col(c).alias(f"r_{c}") for c in LEDGER_COLUMNS if c not in keys])
     j = e.join(r, keys, "full_outer")
     hit = F.col("r_file_id").isNotNull()
-    refreshed = {"processing_status", "error_message", "ingestion_timestamp"}
+    refreshed = {"processing_status", "error_message", "ingestion_timestamp", "modification_time"}
     if update_row_count:
         refreshed.add("row_count")
     cols = []

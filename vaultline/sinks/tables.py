@@ -75,8 +75,10 @@ def reload_raw(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+    """Read a raw table. Merging file schemas reads every footer, so callers that know
+    the table never drifted (one logged schema version) pass ``merge_schema=False``."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 class VersionedTable:

@@ -101,6 +101,22 @@ def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str
     return small.unionByName(large)
 
 
+def unseen(listing: DataFrame, ledger: DataFrame | None, file_type: str | None = None) -> DataFrame:
+    """Listed files that are not already ``completed`` under the same (path, size, mtime).
+
+    Only these need their bytes hashed; a landing folder that keeps years of files
+    is listed every run but hashed only for what is new or rewritten.
+    """
+    if ledger is None:
+        return listing
+    done = ledger.filter(F.col("processing_status") == "completed")
+    if file_type is not None:
+        done = done.filter(F.col("file_type") == file_type)
+    seen = done.select(F.col("file_path").alias("path"), F.col("file_size_bytes").alias("length"),
+                       F.col("modification_time").alias("modificationTime"))
+    return listing.join(seen, ["path", "length", "modificationTime"], "left_anti")
+
+
 def unprocessed(listing: DataFrame, ledger: DataFrame | None, file_type: str | None = None) -> DataFrame:
     """Files whose (file_type, hash) is not ``completed`` in the ledger — re-delivered bytes are skipped."""
     if ledger is None:
