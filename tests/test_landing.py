@@ -127,7 +127,8 @@ def test_unseen_skips_completed_files_without_hashing(spark, tmp):
     _write(f"{tmp}/s/b.csv", "h\n2\n")
     listing = L.list_landing(spark, f"{tmp}/s")
     ts = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
-    led = file_records(L.fingerprint(spark, f"{tmp}/s"), "accounts", ts, "completed")
+    from vaultline.session import materialize
+    led = materialize(file_records(L.fingerprint(spark, f"{tmp}/s"), "accounts", ts, "completed"))  # stored ledger
     assert L.unseen(listing, led, "accounts").count() == 0
     os.utime(f"{tmp}/s/b.csv", (2_000_000_000, 2_000_000_000))  # rewritten in place
     again = L.unseen(L.list_landing(spark, f"{tmp}/s"), led, "accounts")
