@@ -139,7 +139,7 @@ def q_file_ledger_upsert(spark, sf):
 
 
 @query("ledger_report", O.over([O.RAW_A, RAW_A_MONTH], f"""
-select file_type, processing_status, count(*) as files, sum(n) as row_count, max(ts) as last_ingested
+select file_type, processing_status, count(*) as files, cast(sum(n) as bigint) as row_count, max(ts) as last_ingested
 from (select 'accounts' as file_type, 'completed' as processing_status, month, count(*) as n,
              case when month >= '1997-01' then {O.lit_ts(O.RUN_2)} else {O.lit_ts(O.RUN_1)} end as ts
       from raw_accounts_m group by month

@@ -303,7 +303,7 @@ select count(*) as row_count,
        cast(sum(original_balance) as double) as total_original_balance,
        cast(sum(annual_interest) as double) as total_annual_interest,
        cast(sum(new_balance) as double) as total_new_balance,
-       avg(cast(interest_rate as double)) as avg_interest_rate
+       round(avg(cast(interest_rate as double)), 10) as avg_interest_rate
 from fact where lower(account_type) = 'savings'"""))
 def q_summary_statistics(spark, sf):
     from vaultline.sinks.export import summary_statistics

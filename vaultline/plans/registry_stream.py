@@ -77,8 +77,8 @@ def q_lineage_trace(spark, sf):
 @query("audit_history", O.over(O.TWO_RUNS, """
 select d.account_id,
        json_extract_string(coalesce(e.metadata_json, d.metadata_json), '$.row_number') as top_row_number,
-       case when e.account_id is null then 0 else coalesce(json_array_length(e.metadata_json, '$.history'), 0) + 1
-       end as history_length,
+       cast(case when e.account_id is null then 0
+                 else coalesce(json_array_length(e.metadata_json, '$.history'), 0) + 1 end as integer) as history_length,
        case when e.account_id is not null then json_extract_string(d.metadata_json, '$.row_number') end
            as first_history_row_number
 from str_accounts_d2 d left join str_accounts_r1 e on d.account_id = e.account_id"""))
