@@ -156,6 +156,16 @@ def q_ledger_report(spark, sf):
         F.max("ingestion_timestamp").alias("last_ingested"))
 
 
+@query("pair_gate", O.over([O.RAW_A, RAW_A_MONTH], f"""
+select count(*) > 0 as accounts_ready, false as customers_ready, false as ready
+from raw_accounts_m where month >= '1997-01'"""))
+def q_pair_gate(spark, sf):
+    """After run 1, only new account files arrive: the accounts/customers pair is incomplete."""
+    from vaultline.plans.gates import pair_gate
+    cat = _after_run_2(spark, sf)
+    return pair_gate(cat.table(spark, "raw", "file_ingestion_metadata").read(), since=O.RUN_1)
+
+
 # ---------------------------------------------------------------- E9, G2, G3, B8
 
 def _type_sql(c: str, t: str) -> str:
