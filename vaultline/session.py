@@ -32,10 +32,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set one only if it is unset (tests)."""
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local session (tests, a laptop) gets a folder of its own when none is
+    set; on a cluster a machine-local folder would not survive executor loss, so an
+    unset setting is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(intermediate tables and checkpoints are written there)")
         current = tempfile.mkdtemp(prefix="vaultline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
