@@ -54,12 +54,20 @@ def watermark_value(existing: DataFrame | None, target_ts: str):
     return row["w"]
 
 
-def since_watermark(source: DataFrame, source_ts: str, existing: DataFrame | None, target_ts: str) -> DataFrame:
-    """Rows strictly newer than the target's watermark; rows at or before it are late and ignored."""
+def since_watermark(source: DataFrame, source_ts: str, existing: DataFrame | None, target_ts: str,
+                    partition_col: str = "_ingest_date") -> DataFrame:
+    """Rows strictly newer than the target's watermark; rows at or before it are late and ignored.
+
+    When the source is partitioned by the date of ``source_ts`` (raw tables are), the
+    watermark also becomes a partition predicate, so older partitions are pruned.
+    """
     mark = watermark_value(existing, target_ts)
     if mark is None:
         return source
-    return source.filter(F.col(source_ts).cast("timestamp_ntz") > F.lit(mark).cast("timestamp_ntz"))
+    out = source.filter(F.col(source_ts).cast("timestamp_ntz") > F.lit(mark).cast("timestamp_ntz"))
+    if partition_col in source.columns:
+        out = out.filter(F.col(partition_col) >= F.to_date(F.lit(mark).cast("timestamp_ntz")))
+    return out
 
 
 def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: str) -> DataFrame:

@@ -65,9 +65,19 @@ class _FS:
         return "\n".join(lines)
 
 
+INGEST_DATE = "_ingest_date"
+
+
 def append_raw(df: DataFrame, path: str) -> None:
-    """Append to an append-only raw table (by column name; new columns allowed)."""
-    df.write.mode("append").option("mergeSchema", "true").parquet(path)
+    """Append to an append-only raw table, partitioned by ingestion date.
+
+    Incremental readers turn their watermark into a partition predicate
+    (``since_watermark``), so a run lists and reads only the days after the
+    watermark, not the table's history. Columns are matched by name; new columns
+    are allowed (read with schema merging after a logged drift).
+    """
+    (df.withColumn(INGEST_DATE, F.to_date(F.col("_ingested_at").cast("timestamp_ntz")))
+       .write.mode("append").partitionBy(INGEST_DATE).parquet(path))
 
 
 def reload_raw(df: DataFrame, path: str) -> None:
