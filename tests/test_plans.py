@@ -74,3 +74,14 @@ def test_flagship_reads_only_needed_columns(spark):
            "o_orderdate:timestamp_ntz>" in plan
     assert "ReadSchema: struct<c_custkey:bigint>" in plan  # names are not needed by the report
     assert "o_orderpriority" not in plan and "c_name" not in plan and "c_acctbal" not in plan
+
+
+def test_incremental_run_prunes_raw_partitions(spark, tmp):
+    from vaultline.plans import models as M
+    from vaultline.sinks.tables import append_raw, read_raw
+    from vaultline.sources import testdata as T
+    append_raw(T.raw_accounts(spark, SF_SMALL), f"{tmp}/raw")
+    raw = read_raw(spark, f"{tmp}/raw", merge_schema=False)
+    first = M.str_accounts(raw.filter("_ingested_at < '1997-01-01'"), None, "2025-01-01 00:00:00")
+    plan = _plan(M.str_accounts(raw, first, "2025-01-02 00:00:00"))
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "(_ingest_date" in plan and ">= 1996-" in plan
