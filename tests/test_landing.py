@@ -135,3 +135,10 @@ def test_unseen_skips_completed_files_without_hashing(spark, tmp):
     assert [r["file_name"] for r in again.collect()] == ["b.csv"]
     # same bytes as an ingested file: hashed, then skipped by content
     assert L.unprocessed(L.fingerprint(spark, [r["path"] for r in again.collect()]), led, "accounts").count() == 0
+
+
+def test_quoted_newlines_need_multiline_and_count_records(spark, tmp):
+    _write(f"{tmp}/m/c.csv", 'CustomerID,Name,HasLoan\n1,"alice\nsmith",yes\n2,bob,no\n')
+    scanned = L.scan_csv(spark, f"{tmp}/m", L.CUSTOMER_COLUMNS, multiline=True)
+    out = L.with_lineage(scanned, L.fingerprint(spark, f"{tmp}/m"), "2025-01-01 00:00:00")
+    assert rows(out, "CustomerID", "Name", "_row_number") == [("1", "alice\nsmith", 1), ("2", "bob", 2)]
