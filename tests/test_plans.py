@@ -59,7 +59,13 @@ def test_dedupe_limits_map_side_before_the_shuffle(spark):
 
 def test_merge_streams_the_target_through_a_broadcast_anti_join(spark):
     from vaultline.plans.registry import two_runs
-    plan = _plan(two_runs(spark, SF_SMALL).acc2)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1k")  # make the stored target count as large: the checked broadcast path
+    try:
+        plan = _plan(two_runs(spark, SF_SMALL).acc2)
+    finally:
+        spark.conf.set(key, old)
     tree = plan.split("\n\n")[0]
     lines = tree.split("\n")
     i = next(k for k, ln in enumerate(lines) if "BroadcastHashJoin LeftAnti BuildRight" in ln)

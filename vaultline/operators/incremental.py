@@ -19,15 +19,32 @@ EPOCH = "1900-01-01 00:00:00"
 BROADCAST_KEYS_BELOW = 2_000_000
 
 
+def small_table(df: DataFrame | None) -> bool:
+    """Catalyst's size estimate (for a stored table: its file bytes) is under the
+    session's broadcast threshold — the planner may broadcast the table itself."""
+    if df is None:
+        return True
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 — no estimate: treat as large
+        return False
+    return 0 <= size <= limit
+
+
 def _key_side(updates: DataFrame, keys: Sequence[str], max_keys: int | None = None,
-              bound: int = BROADCAST_KEYS_BELOW) -> DataFrame:
+              bound: int = BROADCAST_KEYS_BELOW, target: DataFrame | None = None) -> DataFrame:
     """The change set's keys, broadcast when their number is proven small.
 
     ``max_keys`` is a known upper bound (e.g. the count of new source rows, which a
     deduplicated change set cannot exceed); without it the keys are counted, which
-    is cheap when ``updates`` is a stored (materialised) change set.
+    is cheap when ``updates`` is a stored (materialised) change set. When the
+    ``target`` itself is under the broadcast threshold nothing large can be
+    shuffled, and the planner is left to choose (no count).
     """
     k = updates.select(*keys)
+    if target is not None and small_table(target):
+        return k
     n = max_keys if max_keys is not None else k.count()
     return F.broadcast(k) if n <= bound else k
 
@@ -90,7 +107,7 @@ def preserve_created(updates: DataFrame, existing: DataFrame | None, key: str, r
         return updates.withColumn(column, now)
     # Only target rows whose key is in the change set can contribute: a broadcast
     # semi-join (when the change set is small) shrinks the target before the join.
-    touched = existing.join(_key_side(updates, [key], max_keys), key, "left_semi")
+    touched = existing.join(_key_side(updates, [key], max_keys, target=existing), key, "left_semi")
     e = touched.select(F.col(key).alias("_c_key"), F.col(column).cast("timestamp_ntz").alias("_c_created"))
     return (updates.join(e, updates[key] == e["_c_key"], "left")
             .withColumn(column, F.coalesce(F.col("_c_created"), now))
@@ -107,7 +124,7 @@ def upsert(existing: DataFrame | None, updates: DataFrame, key: str | Sequence[s
     if existing is None:
         return updates
     keys = [key] if isinstance(key, str) else list(key)
-    kept = existing.join(_key_side(updates, keys, max_keys), on=keys, how="left_anti")
+    kept = existing.join(_key_side(updates, keys, max_keys, target=existing), on=keys, how="left_anti")
     return kept.unionByName(updates.select(*existing.columns), allowMissingColumns=False)
 
 

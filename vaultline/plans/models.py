@@ -49,9 +49,11 @@ def latest_first():
 def _source_bound(src: DataFrame, existing: DataFrame | None) -> int | None:
     """Rows of the (watermark-filtered) source: an upper bound on the change set's keys.
 
-    A scan with the pushed-down watermark and no shuffle; only needed on incremental runs.
+    A scan with the pushed-down watermark and no shuffle; only needed on incremental
+    runs against a target too large to broadcast.
     """
-    return None if existing is None else src.count()
+    from vaultline.operators.incremental import small_table
+    return None if existing is None or small_table(existing) else src.count()
 
 
 def _valid_key(raw_col: str):

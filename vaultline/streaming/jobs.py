@@ -77,7 +77,7 @@ def upsert_batch(table: VersionedTable, updates: DataFrame, key: str, order, bat
             return None
         current = table.read()
         batch = updates.select(*current.columns)
-        touched = current.join(_key_side(batch, [key]), key, "left_semi")
+        touched = current.join(_key_side(batch, [key], target=current), key, "left_semi")
         winners = keep_latest(touched.unionByName(batch), [key], order)
         merged = upsert(current, winners, key)
     else:
