@@ -1,7 +1,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from vaultline.functions import columns as C
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vaultline.operators.incremental import upsert
 from vaultline.plans import models as M
