@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import chat, simhash
+from vaultline.llm import bpe, chat, quality, secrets, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +62,50 @@ def op2(spark, sf):
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+# ---------------------------------------------------------------- secret scans
+
+def _listed(spans: str) -> str:
+    return f"concat_ws(',', transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)))"
+
+
+@query("op3_secret_scans")
+def op3(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = secrets.find(docs, secrets.fit(secrets.corpus_counts(docs)))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(F.expr(_listed("filter(spans, s -> s.kind <> 'markov')")), 256).alias("base_sha256"),
+        F.expr(_listed("spans")).alias("spans"))
+
+
+# ---------------------------------------------------------------- BPE encoding and decoding
+
+def word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op10_bpe_encode_decode")
+def op10(spark, sf):
+    path = word_vocabulary()
+    coded = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    return coded.select(F.col("id").alias("doc_id"), F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ---------------------------------------------------------------- quality classifier
+
+def fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = quality.classify(docs, table(spark, sf, "labels").where(fold(5) != 0)).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
