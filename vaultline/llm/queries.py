@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, chat, quality, secrets, simhash
+from vaultline.llm import bpe, chat, decontam, quality, secrets, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,11 @@ def op7(spark, sf):
     scored = quality.classify(docs, table(spark, sf, "labels").where(fold(5) != 0)).withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+# ---------------------------------------------------------------- benchmark decontamination
+
+@query("op9_benchmark_decontamination")
+def op9(spark, sf):
+    found = decontam.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
