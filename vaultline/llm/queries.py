@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, chat, decontam, quality, secrets, simhash
+from vaultline.llm import bpe, chat, decontam, fingerprints, quality, secrets, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,10 @@ def op7(spark, sf):
 def op9(spark, sf):
     found = decontam.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+# ---------------------------------------------------------------- document fingerprints
+
+@query("op8_document_fingerprints")
+def op8(spark, sf):
+    return fingerprints.neighbour_fingerprints(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
