@@ -19,7 +19,6 @@ and label columns are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.arrays import array_rows, summed
 from vaultline.llm.text import MEMO_WORDS, slices, texts_of
 from vaultline.session import materialize
 
@@ -68,8 +68,6 @@ def _units(texts: list[bytes], memo: _Units) -> tuple[np.ndarray, np.ndarray, np
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The table (BUCKETS x DIM) learned from all texts; tasks' sums are added by Spark."""
-    parts, step = 64, BUCKETS // 64
-
     def run(batches):
         places, signs = index_vectors()
         memo, total = _Units(), np.zeros(BUCKETS * DIM)
@@ -86,24 +84,10 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                             for k in range(NONZERO):
                                 total += np.bincount(at + places[near, k], signs[near, k], BUCKETS * DIM)
         if total.any():
-            rows = total.reshape(parts, step * DIM)
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()),
-                                              pa.array([r.tobytes() for r in rows], pa.binary())], ["part", "sums"])
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(step * DIM)
-        for b in batches:
-            for s in b.column("sums").to_pylist():
-                total += np.frombuffer(s)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                         ["part", "sums"])
+            yield array_rows(total.reshape(64, -1))
 
     src = docs.select(F.col(text_col).cast("string").alias("t"))
-    summed = src.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary")
-    context = np.zeros((parts, step * DIM))
-    for r in summed.collect():  # 64 rows of a fixed size
-        context[r.part] = np.frombuffer(bytes(r.sums))
-    context = context.reshape(BUCKETS, DIM)
+    context = summed(src.mapInArrow(run, "part int, sums binary"), (64, BUCKETS * DIM // 64)).reshape(BUCKETS, DIM)
     places, signs = index_vectors()
     own = np.zeros((BUCKETS, DIM))
     np.put_along_axis(own, places, signs / np.sqrt(NONZERO), 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, quality, secrets, simhash
+from vaultline.llm import bpe, chat, decontam, fingerprints, lm, quality, secrets, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,10 @@ def op9(spark, sf):
 @query("op8_document_fingerprints")
 def op8(spark, sf):
     return fingerprints.neighbour_fingerprints(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# ---------------------------------------------------------------- LM scoring
+
+@query("op6_lm_scoring")
+def op6(spark, sf):
+    return lm.score(table(spark, sf, "documents"), fold(7) == 2).withColumnRenamed("id", "doc_id")

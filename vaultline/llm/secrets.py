@@ -6,7 +6,8 @@ span and that the first-order model of random strings explains better than the m
 of ordinary identifiers by ``MIN_RATIO`` nats and ``MIN_MEAN`` nats a character.
 Both models are transition tables trained from labelled samples: given ones
 (``sample_counts``) or those the base rules label in the corpus itself
-(``corpus_counts``: what a base rule finds is random, every other run is ordinary).
+(``corpus_counts``: what a base rule finds is random, every other run of under 20
+characters is ordinary, longer ones are undecided and train neither model).
 Counts cover all rows and are summed by Spark; at most 2 x 66 x 65 of them reach the
 driver. The random model is mixed with a uniform one, so that alphabets without a
 sample are known too.
@@ -99,12 +100,11 @@ def corpus_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 codes = _CODE[np.frombuffer(t, np.uint8)]
                 starts, ends = _runs(codes)
                 spans = base_spans(t, starts, ends)
-                if spans:
-                    codes = codes.copy()
-                    for s in spans:
-                        totals[1] += _transitions(codes[s[3]:s[1]])
-                    for s in spans:
-                        codes[s[0]:s[1]] = -1
+                for s in spans:
+                    totals[1] += _transitions(codes[s[3]:s[1]])
+                long = ends - starts >= MIN_RUN
+                for a, b in [(s[0], s[1]) for s in spans] + list(zip(starts[long].tolist(), ends[long].tolist())):
+                    codes[a:b] = -1
                 totals[0] += _transitions(codes)
         yield from _count_rows(totals)
 
