@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, lm, quality, secrets, simhash
+from vaultline.llm import bpe, chat, decontam, fingerprints, lm, quality, secrets, simhash, substring
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -131,3 +131,23 @@ def op8(spark, sf):
 @query("op6_lm_scoring")
 def op6(spark, sf):
     return lm.score(table(spark, sf, "documents"), fold(7) == 2).withColumnRenamed("id", "doc_id")
+
+
+# ---------------------------------------------------------------- substring dedup
+
+OP4_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+win as (select doc_id, p, array_to_string(words[p:p + 12], ' ') as seq
+        from (select doc_id, words, unnest(range(1, len(words) - 11)) as p from w where len(words) >= 13)),
+hit as (select doc_id, p from (select doc_id, p, min(doc_id) over (partition by seq) as least from win) where least < doc_id),
+gone as (select doc_id, list(distinct q) as qs from (select doc_id, unnest(range(p, p + 13)) as q from hit) group by doc_id)
+select w.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(qs), 0) as bigint) as n_removed,
+       sha256(array_to_string(list_filter(words, lambda x, i: not list_contains(coalesce(qs, []), i)), ' ')) as kept_sha256
+from w left join gone on w.doc_id = gone.doc_id
+"""
+
+
+@query("op4_substring_dedup", OP4_SQL)
+def op4(spark, sf):
+    return substring.remove_repeats(table(spark, sf, "documents"), window=13).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
