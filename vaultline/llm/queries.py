@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, lm, quality, secrets, simhash, substring
+from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, quality, secrets, simhash, substring
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +151,21 @@ from w left join gone on w.doc_id = gone.doc_id
 def op4(spark, sf):
     return substring.remove_repeats(table(spark, sf, "documents"), window=13).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------- license scans
+
+# Documents as files: every 1,000th is its source's licence file, every 200th its
+# language's, every 50th its folder's.
+FILE_PATH = """
+case when doc_id % 1000 = 0 then concat(source, '/LICENSE')
+     when doc_id % 200 = 0 then concat(source, '/', lang, '/LICENSE')
+     when doc_id % 50 = 0 then concat(source, '/', lang, '/', doc_id div 400, '/LICENSE.txt')
+     else concat(source, '/', lang, '/', doc_id div 400, '/', doc_id, '.txt') end
+"""
+
+
+@query("op5_license_scans")
+def op5(spark, sf):
+    files = table(spark, sf, "documents").withColumn("path", F.expr(FILE_PATH))
+    return licenses.scan(files).withColumnRenamed("id", "doc_id")
