@@ -94,21 +94,26 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return (own + context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
+def _pooled(texts: list[bytes], vectors: np.ndarray, memo: _Units) -> np.ndarray:
+    core, shape, sizes = _units(texts, memo)
+    out = np.zeros((len(sizes), DIM), np.float32)
+    ends = np.cumsum(sizes)
+    for i in np.flatnonzero(sizes).tolist():
+        at = slice(ends[i] - sizes[i], ends[i])
+        counts = np.bincount(core[at], minlength=BUCKETS) + np.bincount(shape[at], minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        out[i] = counts[used].astype(np.float32) @ vectors[used] / (2 * sizes[i])
+    return out
+
+
 def pool(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, vec binary)``: each text's mean unit vector, single precision."""
     def run(batches):
         memo = _Units()
         for batch in batches:
             for b in slices(batch, "t"):
-                core, shape, sizes = _units(texts_of(b, "t"), memo)
-                out = np.zeros((len(sizes), DIM), np.float32)
-                ends = np.cumsum(sizes)
-                for i in np.flatnonzero(sizes).tolist():
-                    at = slice(ends[i] - sizes[i], ends[i])
-                    counts = np.bincount(core[at], minlength=BUCKETS) + np.bincount(shape[at], minlength=BUCKETS)
-                    used = np.flatnonzero(counts)
-                    out[i] = counts[used].astype(np.float32) @ vectors[used] / (2 * sizes[i])
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([v.tobytes() for v in out], pa.binary())], ["id", "vec"])
+                vecs = _pooled(texts_of(b, "t"), vectors, memo)
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([v.tobytes() for v in vecs], pa.binary())], ["id", "vec"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     return src.mapInArrow(run, "id long, vec binary")
@@ -167,12 +172,17 @@ def fit_network(x: np.ndarray, y: np.ndarray, steps: int = 400) -> Network:
     return net
 
 
+def _sample(labels: DataFrame, id_col: str, label_col: str, max_labelled: int) -> DataFrame:
+    """``(id, y)``: at most ``max_labelled`` labelled ids, those with the smallest hashes."""
+    given = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
+    return given.where("id is not null and y in (0, 1)").orderBy(F.xxhash64("id"), "id", "y").limit(max_labelled)
+
+
 def train(pooled: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           max_labelled: int = MAX_LABELLED) -> Network:
     """Fit on at most ``max_labelled`` of the labelled rows given."""
-    given = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
-             .where("id is not null and y in (0, 1)").orderBy(F.xxhash64("id"), "id", "y").limit(max_labelled))
-    rows = pooled.join(given, "id").select("id", "vec", "y").orderBy(F.xxhash64("id"), "id", "y", "vec").limit(max_labelled).collect()
+    rows = (pooled.join(_sample(labels, id_col, label_col, max_labelled), "id").select("id", "vec", "y")
+            .orderBy(F.xxhash64("id"), "id", "y", "vec").limit(max_labelled).collect())
     x = np.array([np.frombuffer(bytes(r.vec), np.float32) for r in rows], np.float64).reshape(-1, DIM)
     return fit_network(x, np.array([r.y for r in rows], np.float64))
 
@@ -192,3 +202,24 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """``(id, score)`` for all rows of ``docs``, learned from the rows of ``labels`` given."""
     pooled = materialize(pool(docs, word_vectors(docs, text_col), id_col, text_col), "quality_pooled")
     return score(pooled, train(pooled, labels, id_col, label_col))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``threshold`` or more.
+
+    Texts are scored where they are read; only the labelled sample's are pooled apart.
+    """
+    vectors = word_vectors(docs, text_col)
+    sample = F.broadcast(_sample(labels, id_col, label_col, MAX_LABELLED).select("id").distinct())  # MAX_LABELLED ids at most
+    labelled = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id", "left_semi")
+    net = train(pool(labelled, vectors, "id", "text"), labels, id_col, label_col)
+
+    def run(batches):
+        memo = _Units()
+        for batch in batches:
+            for b in slices(batch, text_col):
+                keep = net.scores(_pooled(texts_of(b, text_col), vectors, memo).astype(np.float64)) >= threshold
+                yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, quality, secrets, simhash, substring
 
 QUERIES: dict = {}
@@ -169,3 +171,10 @@ case when doc_id % 1000 = 0 then concat(source, '/LICENSE')
 def op5(spark, sf):
     files = table(spark, sf, "documents").withColumn("path", F.expr(FILE_PATH))
     return licenses.scan(files).withColumnRenamed("id", "doc_id")
+
+
+# ---------------------------------------------------------------- pipeline
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

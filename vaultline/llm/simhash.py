@@ -204,3 +204,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = (texts.join(roots, F.col("rep") == F.col("node"), "left")
              .select("fp", F.coalesce("root", "rep").alias("component")))
     return prints.join(named, "fp", "left").select("id", "fp", "component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id is the smallest of its component.
+
+    Rows repeated under one id are copies too: one of them stays. Rows with a null id
+    cannot be named and stay. Texts move only where the ids to drop exceed Spark's
+    broadcast threshold.
+    """
+    linked = materialize(near_duplicates(docs, id_col, text_col, shingle, max_bits), "simhash_linked")
+    copies = linked.where("id <> component").select(F.col("id").alias("_copy")).distinct()
+    again = linked.where("id is not null").groupBy(F.col("id").alias("_again")).count().where("count > 1").select("_again")
+    again = materialize(again, "simhash_repeated")
+    kept = docs.join(copies, F.col(id_col) == F.col("_copy"), "left_anti")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, F.col(id_col) == F.col("_again"), "left_anti")
+    return once.unionByName(kept.join(again, F.col(id_col) == F.col("_again"), "left_semi").dropDuplicates([id_col]))
