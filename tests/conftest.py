@@ -14,15 +14,19 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from vaultline.session import _DEFAULTS, ensure_checkpoint_dir
+    import tempfile
+
+    from vaultline.session import _DEFAULTS, clear_work, ensure_checkpoint_dir
 
     b = SparkSession.builder.master("local[*]").appName("vaultline-tests")
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
-    s = b.config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    s = b.config("spark.sql.shuffle.partitions", "8").config(
+        "spark.checkpoint.dir", tempfile.mkdtemp(prefix="vaultline-tests-")).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s
+    clear_work(s)
 
 
 @pytest.fixture()

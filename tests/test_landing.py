@@ -53,12 +53,46 @@ def test_row_numbers_across_many_splits(spark, tmp):
     assert {r["_file_hash"] for r in out if r["AccountID"].startswith("A")} == {md5}
 
 
-def test_fingerprint_large_file_uses_metadata(spark, tmp):
-    _write(f"{tmp}/f/a.csv", "h\n1\n")
-    _write(f"{tmp}/f/b.csv", "h\n" + "x\n" * 100)
-    fp = L.fingerprint(spark, f"{tmp}/f", max_content_bytes=10)
-    basis = {r["path"].split("/")[-1]: r["hash_basis"] for r in fp.collect()}
-    assert basis == {"a.csv": "content", "b.csv": "metadata"}
+def test_fingerprint_is_the_md5_of_the_bytes_at_every_size(spark, tmp, monkeypatch):
+    monkeypatch.setattr(L, "READ_BYTES", 64)  # many pieces to a file
+    texts = {"a.csv": "h\n1\n", "b.csv": "h,é\n" + "x,y\n" * 5000, "d.csv": '"a\nb",c\n"1\n2",3\n', "e.csv": "\ufeffh\r\n1\r\n"}
+    for n, t in texts.items():
+        _write(f"{tmp}/f/{n}", t)
+    got = {r["path"].split("/")[-1]: r for r in L.fingerprint(spark, f"{tmp}/f").collect()}
+    for n, t in texts.items():
+        assert got[n]["file_hash"] == hashlib.md5(t.encode()).hexdigest()
+    assert [got[n]["header"] for n in texts] == [["h"], ["h", "é"], ["a\nb", "c"], ["h"]]
+    assert [got[n]["quoted_newline"] for n in texts] == [False, False, True, False]
+    whole = {r["path"].split("/")[-1]: r for r in _through_spark(spark, f"{tmp}/f", monkeypatch)}
+    assert whole == got  # a store that only Spark can open gives the same
+
+
+def _through_spark(spark, path, monkeypatch):
+    monkeypatch.setattr(L, "STREAMED", ())
+    return L.fingerprint(spark, path).collect()
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp):
+    _write(f"{tmp}/h/a.csv", "AccountID,CustomerID,Balance,AccountType\nA1,C1,10,savings\n")
+    _write(f"{tmp}/h/b.csv", "CustomerID,AccountID,Branch,AccountType,Balance\nC2,A2,north,savings,20\n")
+    df = L.scan_csv(spark, f"{tmp}/h", L.ACCOUNT_COLUMNS, keep_extra=True)
+    assert rows(df, *L.ACCOUNT_COLUMNS, "Branch") == [("A1", "C1", "10", "savings", None), ("A2", "C2", "20", "savings", "north")]
+    import pytest
+    _write(f"{tmp}/r/c.csv", "CustomerID,CustomerID,Name,HasLoan\n1,2,x,no\n")
+    with pytest.raises(ValueError):
+        L.scan_csv(spark, f"{tmp}/r", L.CUSTOMER_COLUMNS)
+
+
+def test_quoted_fields(spark, tmp):
+    _write(f"{tmp}/q/a.csv", 'CustomerID,Name,HasLoan\n1,"Ann ""The Pen"" Fox",no\n2,"x, ""y"", z",no\n3,"ends\\",no\n4,a\\b,yes\n')
+    df = L.scan_csv(spark, f"{tmp}/q", L.CUSTOMER_COLUMNS)
+    assert rows(df, *L.CUSTOMER_COLUMNS) == [("1", 'Ann "The Pen" Fox', "no"), ("2", 'x, "y", z', "no"), ("3", "ends\\", "no"),
+                                             ("4", "a\\b", "yes")]
+
+
+def test_empty_landing_folder_scans_to_no_rows(spark, tmp):
+    os.makedirs(f"{tmp}/none")
+    assert L.scan_csv(spark, f"{tmp}/none", L.CUSTOMER_COLUMNS).collect() == []
 
 
 def test_unprocessed_skips_completed_hashes_only(spark, tmp):
@@ -101,24 +135,26 @@ def test_pair_gate(spark):
     assert (r["accounts_ready"], r["customers_ready"], r["ready"]) == (True, False, False)
 
 
-def test_export_single_file_only_within_bound(spark, tmp):
+def test_export_layout_is_what_was_asked_for(spark, tmp):
     from vaultline.sinks.export import export_csv
-    df = spark.range(0, 1000).selectExpr("cast(id % 37 as string) as k", "id as v").repartition(7)
+    df = spark.range(0, 1000).selectExpr("cast(id % 37 as string) as k", "id as v", "'say \"x\", y' as t").repartition(7)
     assert export_csv(df, f"{tmp}/one", ["k", "v"]) == 1000
     assert len([f for f in os.listdir(f"{tmp}/one") if f.endswith(".csv")]) == 1
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")  # keep the range partitions of this tiny input apart
     try:
-        assert export_csv(df, f"{tmp}/many", ["k", "v"], max_single_rows=10) == 1000
+        assert export_csv(df, f"{tmp}/many", ["k", "v"], single_file=False) == 1000
     finally:
         spark.conf.set(key, "true")
     parts = sorted(f for f in os.listdir(f"{tmp}/many") if f.endswith(".csv"))
     assert len(parts) > 1
-    got = []
-    for p in parts:
-        with open(f"{tmp}/many/{p}") as fh:
-            got += [tuple(line.strip().split(",")) for line in fh.readlines()[1:]]
-    assert got == sorted(got, key=lambda t: (t[0], int(t[1])))
+    import csv
+    for name in ("one", "many"):
+        got = []
+        for p in sorted(f for f in os.listdir(f"{tmp}/{name}") if f.endswith(".csv")):
+            with open(f"{tmp}/{name}/{p}", newline="") as fh:
+                got += list(csv.reader(fh))[1:]
+        assert len(got) == 1000 and got == sorted(got, key=lambda t: (t[0], int(t[1]))) and got[0][2] == 'say "x", y'
     assert export_csv(df.limit(0), f"{tmp}/none", ["k"]) == 0 and not os.path.exists(f"{tmp}/none")
 
 
@@ -137,8 +173,68 @@ def test_unseen_skips_completed_files_without_hashing(spark, tmp):
     assert L.unprocessed(L.fingerprint(spark, [r["path"] for r in again.collect()]), led, "accounts").count() == 0
 
 
-def test_quoted_newlines_need_multiline_and_count_records(spark, tmp):
+def test_quoted_line_breaks_are_found_and_count_as_one_record(spark, tmp):
     _write(f"{tmp}/m/c.csv", 'CustomerID,Name,HasLoan\n1,"alice\nsmith",yes\n2,bob,no\n')
-    scanned = L.scan_csv(spark, f"{tmp}/m", L.CUSTOMER_COLUMNS, multiline=True)
+    _write(f"{tmp}/m/d.csv", "CustomerID,Name,HasLoan\n3,eve,no\n")
+    scanned = L.scan_csv(spark, f"{tmp}/m", L.CUSTOMER_COLUMNS)
     out = L.with_lineage(scanned, L.fingerprint(spark, f"{tmp}/m"), "2025-01-01 00:00:00")
-    assert rows(out, "CustomerID", "Name", "_row_number") == [("1", "alice\nsmith", 1), ("2", "bob", 2)]
+    assert rows(out, "CustomerID", "Name", "_row_number") == [("1", "alice\nsmith", 1), ("2", "bob", 2), ("3", "eve", 1)]
+
+
+HEAD = "AccountID,CustomerID,Balance,AccountType\n"
+
+
+def _catalog(tmp):
+    from vaultline.plans.ingest import Catalog
+    return Catalog(f"{tmp}/wh")
+
+
+def test_retry_after_a_late_failure_adds_no_row_twice(spark, tmp, monkeypatch):
+    import pytest
+
+    from vaultline.plans import ingest as I
+    _write(f"{tmp}/in/a.csv", HEAD + "A1,C1,1,savings\nA2,C1,2,savings\n")
+    cat, message = _catalog(tmp), "the log is gone " * 200
+    append = I.VersionedTable.append
+
+    def fail(self, *args, **kw):
+        raise OSError(message)
+
+    monkeypatch.setattr(I.VersionedTable, "append", fail)  # the rows are written, the schema log is not
+    with pytest.raises(OSError):
+        I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    row = cat.ledger(spark).read().first()
+    assert (row["processing_status"], row["error_message"]) == ("failed", message)
+    monkeypatch.setattr(I.VersionedTable, "append", append)
+    assert I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-02 00:00:00", "all_unseen")["status"] == "completed"
+    raw = spark.read.parquet(cat.raw("raw_accounts"))
+    assert rows(raw, "AccountID") == [("A1",), ("A2",)]
+    row = cat.ledger(spark).read().first()
+    assert (row["processing_status"], row["row_count"], row["error_message"]) == ("completed", 2, None)
+
+
+def test_the_same_bytes_under_new_names_add_nothing(spark, tmp, monkeypatch):
+    from vaultline.plans import ingest as I
+    monkeypatch.setattr(L, "READ_BYTES", 1000)
+    body = HEAD + "".join(f"A{i},C1,{i},savings\n" for i in range(2000))
+    _write(f"{tmp}/in/a.csv", body)
+    _write(f"{tmp}/in/twin.csv", body)
+    cat = _catalog(tmp)
+    assert I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")["files"] == 1
+    _write(f"{tmp}/in/again.csv", body)
+    assert I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-02 00:00:00", "all_unseen")["status"] == "skipped"
+    assert spark.read.parquet(cat.raw("raw_accounts")).count() == 2000
+
+
+def test_reload_replaces_a_raw_table_in_the_same_layout(spark, tmp):
+    from vaultline.plans import ingest as I
+    from vaultline.sinks.tables import read_raw, reload_raw, stored_files
+    _write(f"{tmp}/in/a.csv", HEAD + "A1,C1,1,savings\n")
+    cat = _catalog(tmp)
+    I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00")
+    raw = cat.raw("raw_accounts")
+    fresh = read_raw(spark, raw).drop("_ingest_date", "_file_part").withColumn("_file_hash", F.lit("0" * 32))
+    fresh = spark.createDataFrame(fresh.collect(), fresh.schema)
+    reload_raw(fresh, raw)
+    assert [r.file_hash for r in stored_files(spark, raw).collect()] == ["0" * 32]
+    assert rows(read_raw(spark, raw), "AccountID", "_file_hash") == [("A1", "0" * 32)]

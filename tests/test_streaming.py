@@ -1,50 +1,72 @@
-"""Streamed upsert: order-insensitive, exactly once; streaming ingest equals batch lineage."""
+"""Streamed upsert: order-insensitive, exactly once; streamed tables and ingestion equal the batch ones."""
 
+import datetime as dt
+import os
 from decimal import Decimal
 
 from conftest import rows
 
+from vaultline.plans import ingest as I
 from vaultline.plans import models as M
 from vaultline.sinks.tables import VersionedTable
-from vaultline.streaming.jobs import STREAM_ACCOUNT_COLUMNS, stream_structured_accounts, upsert_batch
+from vaultline.streaming.jobs import ACCOUNTS, ingest_stream, stream_structured, upsert_batch
 
 RAW = ("AccountID string, CustomerID string, Balance string, AccountType string, _source_file string, "
        "_file_hash string, _row_number int, _ingested_at timestamp_ntz")
-
-
-def _raw(spark, data):
-    return spark.sql("select 1").sparkSession.createDataFrame(data, RAW)
+RUN = "2025-01-01 00:00:00"
 
 
 def test_upsert_batch_keeps_newest_and_skips_replays(spark, tmp):
-    import datetime as dt
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    newer = _raw(spark, [("A1", "C1", "200", "savings", "f2", "h2", 1, t2)])
-    older = _raw(spark, [("A1", "C1", "100", "savings", "f1", "h1", 1, t1), ("A2", "C1", "5", "savings", "f1", "h1", 2, t1)])
+    newer = spark.createDataFrame([("A1", "C1", "200", "savings", "f2", "h2", 1, t2)], RAW)
+    older = spark.createDataFrame([("A1", "C1", "100", "savings", "f1", "h1", 1, t1), ("A2", "C1", "5", "savings", "f1", "h1", 2, t1)], RAW)
     table = VersionedTable(spark, f"{tmp}/t")
-    prep = lambda df: M.clean_accounts(df).select(*STREAM_ACCOUNT_COLUMNS)
-    assert upsert_batch(table, prep(newer), "account_id", M.latest_first(), 0) == 1
-    assert upsert_batch(table, prep(older), "account_id", M.latest_first(), 1) == 2   # arrives late
-    assert upsert_batch(table, prep(older), "account_id", M.latest_first(), 1) is None  # replay skipped
+    assert upsert_batch(table, ACCOUNTS, newer, 0, RUN) == 1
+    assert upsert_batch(table, ACCOUNTS, older, 1, "2025-01-02 00:00:00") == 2   # arrives late
+    assert upsert_batch(table, ACCOUNTS, older, 1, RUN) is None  # replay skipped
     assert rows(table.read(), "account_id", "original_balance") == [("A1", Decimal("200.00")), ("A2", Decimal("5.00"))]
+    assert {str(r[0]) for r in rows(table.read().where("account_id = 'A1'"), "created_date")} == {RUN}
     assert table.commit_info()["batch_id"] == 1
 
 
-def test_stream_structured_accounts_matches_batch(spark, tmp):
-    import datetime as dt
-    data = [(f"A{i % 7}", "C1", f"{i}.00", "savings", "f", "h", i, dt.datetime(2024, 1, 1 + i % 5))
-            for i in range(1, 60)]
+def test_streamed_accounts_equal_the_batch_table(spark, tmp):
+    data = [(f"A{i % 7}", "C1", f"{i}.00", "savings", "f", "h", i, dt.datetime(2024, 1, 1 + i % 5)) for i in range(1, 60)]
     raw = spark.createDataFrame(data, RAW)
     raw.repartition(6).write.parquet(f"{tmp}/raw")
-    q = stream_structured_accounts(spark, f"{tmp}/raw", f"{tmp}/str", f"{tmp}/ck", raw.schema,
-                                   max_files_per_trigger=1)
-    q.awaitTermination()
-    streamed = VersionedTable(spark, f"{tmp}/str").read()
-    # expected: per account the row with the newest ingestion time, then the highest row number
-    best = {}
-    for acc, _, bal, _, _, _, rn, ts in data:
-        if acc not in best or (ts, rn) > best[acc][0]:
-            best[acc] = ((ts, rn), Decimal(bal))
-    want = sorted((a, b, k[1]) for a, (k, b) in best.items())
-    assert rows(streamed, "account_id", "original_balance", "_row_number") == want
-    assert rows(M.str_accounts(raw), "account_id", "original_balance") == [(a, b) for a, b, _ in want]
+    stream_structured(spark, ACCOUNTS, f"{tmp}/raw", f"{tmp}/str", f"{tmp}/ck", raw.schema, max_files_per_trigger=2,
+                      run_ts_of_batch=lambda b: RUN).awaitTermination()
+    want = M.str_accounts(raw, None, RUN)
+    got = VersionedTable(spark, f"{tmp}/str").read()
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_stream_ingestion_follows_the_batch_rules(spark, tmp):
+    cat, head, pairs = I.Catalog(f"{tmp}/wh"), "AccountID,CustomerID,Balance,AccountType\n", []
+    os.makedirs(f"{tmp}/in")
+
+    def land(name, text):
+        with open(f"{tmp}/in/{name}", "w") as f:
+            f.write(text)
+
+    def drain(checkpoint):
+        ingest_stream(spark, cat, I.ACCOUNTS, f"{tmp}/in", f"{tmp}/{checkpoint}", run_ts_of_batch=lambda b: RUN,
+                      on_pair=pairs.append).awaitTermination()
+
+    land("a.csv", head + "A1,C1,1,savings\n")
+    drain("ck")
+    land("b.csv", "customerid,AccountID,AccountType,Balance,Branch\nC2,A2,savings,\"2,000\",north\n")  # reordered, drifted
+    land("a_again.csv", head + "A1,C1,1,savings\n")
+    drain("ck")
+    drain("lost")  # a new checkpoint offers every file again
+    raw = spark.read.option("mergeSchema", True).parquet(cat.raw("raw_accounts"))
+    assert rows(raw, "AccountID", "CustomerID", "Balance", "Branch", "_row_number") == [
+        ("A1", "C1", "1", None, 1), ("A2", "C2", "2,000", "north", 1)]
+    assert sorted(r.processing_status for r in cat.ledger(spark).read().collect()) == ["completed"] * 2
+    assert cat.schema_log(spark).read().count() == 2 and pairs == []
+    os.makedirs(f"{tmp}/cust")
+    with open(f"{tmp}/cust/c.csv", "w") as f:
+        f.write("CustomerID,Name,HasLoan\nC1,x,no\n")
+    I.ingest(spark, cat, I.CUSTOMERS, f"{tmp}/cust", RUN)
+    land("d.csv", head + "A3,C1,3,savings\n")
+    drain("ck")
+    assert len(pairs) == 1

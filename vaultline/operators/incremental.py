@@ -13,42 +13,6 @@ from pyspark.sql import functions as F
 
 EPOCH = "1900-01-01 00:00:00"
 
-# A change set with at most this many keys is broadcast to the merge joins, so the
-# (large) target is streamed through once and never shuffled. Above it the joins are
-# sort-merge joins on the key. The count is taken before the decision.
-BROADCAST_KEYS_BELOW = 2_000_000
-
-
-def small_table(df: DataFrame | None) -> bool:
-    """Catalyst's size estimate (for a stored table: its file bytes) is under the
-    session's broadcast threshold — the planner may broadcast the table itself."""
-    if df is None:
-        return True
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:  # noqa: BLE001 — no estimate: treat as large
-        return False
-    return 0 <= size <= limit
-
-
-def _key_side(updates: DataFrame, keys: Sequence[str], max_keys: int | None = None,
-              bound: int = BROADCAST_KEYS_BELOW, target: DataFrame | None = None) -> DataFrame:
-    """The change set's keys, broadcast when their number is proven small.
-
-    ``max_keys`` is a known upper bound (e.g. the count of new source rows, which a
-    deduplicated change set cannot exceed); without it the keys are counted, which
-    is cheap when ``updates`` is a stored (materialised) change set. When the
-    ``target`` itself is under the broadcast threshold nothing large can be
-    shuffled, and the planner is left to choose (no count).
-    """
-    k = updates.select(*keys)
-    if target is not None and small_table(target):
-        return k
-    n = max_keys if max_keys is not None else k.count()
-    return F.broadcast(k) if n <= bound else k
-
-
 def _ntz(value) -> Column:
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
@@ -91,7 +55,8 @@ def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: st
     """Source rows whose key is absent from the target, or whose ``ts`` is newer than the target's."""
     if existing is None:
         return source
-    e = existing.select(F.col(key).alias("_e_key"), F.col(ts).cast("timestamp_ntz").alias("_e_ts"))
+    touched = existing.select(key, ts).join(source.select(key), key, "left_semi")
+    e = touched.select(F.col(key).alias("_e_key"), F.col(ts).cast("timestamp_ntz").alias("_e_ts"))
     joined = source.join(e, source[key] == e["_e_key"], "left")
     keep = F.col("_e_key").isNull() | (
         F.col(ts).cast("timestamp_ntz") > F.coalesce(F.col("_e_ts"), F.lit(EPOCH).cast("timestamp_ntz"))
@@ -100,31 +65,33 @@ def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: st
 
 
 def preserve_created(updates: DataFrame, existing: DataFrame | None, key: str, run_ts=None,
-                     column: str = "created_date", max_keys: int | None = None) -> DataFrame:
-    """Add ``created_date``: the target's value for a known key, else the run timestamp."""
+                     column: str = "created_date") -> DataFrame:
+    """Add ``created_date``: the target's value for a known key, else the run timestamp.
+
+    ``updates`` is read twice, so pass a stored change set. Its bytes are then known,
+    and under the broadcast threshold the target is streamed through a semi-join with
+    its keys and never shuffled.
+    """
     now = _ntz(run_ts)
     if existing is None:
         return updates.withColumn(column, now)
-    # Only target rows whose key is in the change set can contribute: a broadcast
-    # semi-join (when the change set is small) shrinks the target before the join.
-    touched = existing.join(_key_side(updates, [key], max_keys, target=existing), key, "left_semi")
+    touched = existing.join(updates.select(key), key, "left_semi")
     e = touched.select(F.col(key).alias("_c_key"), F.col(column).cast("timestamp_ntz").alias("_c_created"))
     return (updates.join(e, updates[key] == e["_c_key"], "left")
             .withColumn(column, F.coalesce(F.col("_c_created"), now))
             .drop("_c_key", "_c_created"))
 
 
-def upsert(existing: DataFrame | None, updates: DataFrame, key: str | Sequence[str],
-           max_keys: int | None = None) -> DataFrame:
+def upsert(existing: DataFrame | None, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Merge by unique key: matched rows are replaced, unmatched inserted (SCD type 1).
 
-    ``updates`` must be unique on the key (models deduplicate first). NULL keys never match.
-    The target is never shuffled when the change set's keys are broadcast (see ``_key_side``).
+    ``updates`` must be unique on the key (models deduplicate first). NULL keys never
+    match. A stored change set under the broadcast threshold leaves the target unshuffled.
     """
     if existing is None:
         return updates
     keys = [key] if isinstance(key, str) else list(key)
-    kept = existing.join(_key_side(updates, keys, max_keys, target=existing), on=keys, how="left_anti")
+    kept = existing.join(updates.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(updates.select(*existing.columns), allowMissingColumns=False)
 
 
@@ -134,3 +101,15 @@ def has_new(source: DataFrame, target: DataFrame | None, source_key: Column, tar
         return source
     t = target.select(F.col(target_key).alias("_t_key"))
     return source.join(t, source_key == t["_t_key"], "left_anti")
+
+
+def new_keys(source: DataFrame, target: DataFrame | None, source_key: Column, target_key: str) -> DataFrame:
+    """Distinct keys (``key``) of ``source`` that ``target`` lacks.
+
+    The history is reduced to its distinct keys first (combined before the shuffle), so
+    a key with many versions is one row of the anti-join.
+    """
+    keys = source.select(source_key.alias("key")).where("key is not null").distinct()
+    if target is None:
+        return keys
+    return keys.join(target.select(F.col(target_key).alias("key")), "key", "left_anti")

@@ -179,7 +179,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
 
 def enforce(results: DataFrame) -> DataFrame:
     """Raise if any ``error``-severity check failed; ``warn`` failures are reported only."""
-    bad = results.filter((F.col("severity") == "error") & ~F.col("passed")).limit(20).collect()
+    bad = results.filter((F.col("severity") == "error") & ~F.col("passed")).collect()
     if bad:
         names = ", ".join(f"{r.table_name}.{r.check_name}={r.failures}" for r in bad)
         raise DataQualityError(f"data-quality checks failed: {names}")
@@ -258,5 +258,22 @@ def interest_mismatches(fact: DataFrame) -> DataFrame:
              F.round(F.col("original_balance") + exp_interest, 2).alias("expected_new_balance"))
 
 
+def orphan_accounts(accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Accounts whose customer is unknown; the fact drops them, so they are reported."""
+    return accounts.join(customers.select("customer_id"), "customer_id", "left_anti").select("account_id", "customer_id")
+
+
+def singular_checks(tables: Mapping[str, DataFrame], severity: str = "warn") -> DataFrame:
+    """The three rule checks over whole tables, in the result columns of ``run_checks``."""
+    fact = tables["fact_customer_balances"]
+    found = (("fact_customer_balances", "interest_calculation", "annual_interest", interest_mismatches(fact)),
+             ("fact_customer_balances", "only_savings", "account_type", non_savings_in_fact(fact)),
+             ("str_accounts", "orphan_accounts", "customer_id", orphan_accounts(tables["str_accounts"], tables["str_customers"])))
+    parts = [rows.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(t).alias("table_name"), F.lit(n).alias("check_name"), F.lit(c).alias("column_name"), "failures",
+        F.lit(severity).alias("severity"), (F.col("failures") == 0).alias("passed")) for t, n, c, rows in found]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def non_savings_in_fact(fact: DataFrame) -> DataFrame:
     return fact.filter(F.lower("account_type") != "savings").select("account_id", "account_type")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 DEFS_SCHEMA = "array<struct<name:string,type:string,nullable:boolean>>"
 INT_PATTERN = r"^\s*[-+]?[0-9]+\s*$"
+# What the CSV reader takes for a number: digits with at most one point and an exponent, or a name of infinity.
+NUMBER_PATTERN = r"^\s*[-+]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 # Boolean spellings the CSV reader turns into a bool column.
 BOOL_WORDS = ("True", "False", "TRUE", "FALSE", "true", "false")
 
@@ -29,7 +31,7 @@ def detect_schema(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
             F.max(v.isNull()).alias(f"n{i}"),
             F.count(v).alias(f"k{i}"),
             F.count_if(v.isNotNull() & ~v.rlike(INT_PATTERN)).alias(f"i{i}"),
-            F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"d{i}"),
+            F.count_if(v.isNotNull() & ~v.rlike(NUMBER_PATTERN)).alias(f"d{i}"),
             F.count_if(v.isNotNull() & ~v.isin(*BOOL_WORDS)).alias(f"b{i}"),
         ]
     wide = df.agg(*aggs)
@@ -75,12 +77,12 @@ def schema_drift(current: DataFrame, log: DataFrame | None, compare_nullable: bo
     if log is not None:
         prev = log.select("table_name", "column_definitions", "schema_id",
                           F.col("schema_version").cast("int").alias("schema_version"), F.lit("log").alias("side"))
-        cur = cur.unionByName(prev.join(current.select("table_name"), "table_name", "left_semi"))
+        cur = cur.unionByName(prev)
     latest = F.max_by(F.struct("schema_id", "schema_version", "column_definitions"),
                       F.when(F.col("side") == "log", F.col("schema_version")))
     g = cur.groupBy("table_name").agg(
         F.max(F.when(F.col("side") == "current", F.col("column_definitions"))).alias("column_definitions"),
-        latest.alias("last"))
+        latest.alias("last")).where("column_definitions is not null")  # tables that are being compared
     last_v = F.col("last.schema_version")
     changed = last_v.isNull() | (_shape(F.col("column_definitions"), compare_nullable)
                                  != _shape(F.col("last.column_definitions"), compare_nullable))

@@ -1,10 +1,12 @@
 """Raw-layer ingestion job: landing CSV → append-only raw table with lineage,
 file ledger and schema-version log.
 
-Order of work: fingerprint → pick (newest file, or every unseen file) → skip
-already-completed hashes → scan → row numbers → schema drift → append → ledger.
-A failure records the file as ``failed`` and re-raises. The schema version is
-logged after the append succeeded.
+Order of work: examine files not yet completed (hash, header) → skip known hashes →
+scan → row numbers → schema drift → write rows → schema log → ledger. A raw file is
+one partition named by its hash, so a retry after any failure, or a replayed
+micro-batch, finds the rows that are there already and writes none twice. A failure
+records the files as ``failed`` with the whole error and re-raises. Batch and
+streaming ingestion run the same function.
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.incremental import _ntz
-from vaultline.session import materialize
 from vaultline.operators.schema import detect_schema, schema_drift, schema_json, schema_log_rows
-from vaultline.sinks.ledgers import LEDGER_SCHEMA, SCHEMA_LOG_SCHEMA, file_records, ledger_upsert
-from vaultline.sinks.tables import VersionedTable, append_raw
+from vaultline.session import materialize
+from vaultline.sinks.ledgers import file_records, ledger_upsert
+from vaultline.sinks.tables import VersionedTable, append_raw, stored_files
 from vaultline.sources import landing as L
 
+LEDGER_KEY = ("file_type", "file_hash")
+
 
 @dataclass(frozen=True)
 class Source:
@@ -45,59 +49,67 @@ class Catalog:
     def table(self, spark: SparkSession, layer: str, name: str) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/{layer}/{name}")
 
+    def ledger(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "raw", "file_ingestion_metadata")
+
+    def schema_log(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "raw", "schema_version_tracking")
+
+    def process_log(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "curated", "process_metadata")
+
+    def check_results(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "curated", "check_results")
+
 
 def ingest(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: str, run_ts,
            mode: str = "latest", source_name=None) -> dict:
-    """Ingest landing files of one source. Returns a small status dict."""
-    ledger_t = catalog.table(spark, "raw", "file_ingestion_metadata")
-    log_t = catalog.table(spark, "raw", "schema_version_tracking")
-    ledger = ledger_t.read()
-    ts = _ntz(run_ts)
-
+    """Ingest landing files of one source (``latest``: the newest, ``all_unseen``: every
+    file not completed). Returns a small status dict."""
     listing = L.list_landing(spark, landing_dir)
     if mode == "latest":
         listing = L.latest_file(listing)
-    # Hash only files not already completed under the same (path, size, mtime); then skip
-    # any whose content hash is completed (the same bytes delivered under another name).
+    return ingest_files(spark, catalog, source, listing, run_ts, source_name)
+
+
+def ingest_files(spark: SparkSession, catalog: Catalog, source: Source, listing: DataFrame, run_ts,
+                 source_name=None) -> dict:
+    """Ingest the listed files (path, length, modificationTime) that are not completed yet."""
+    ledger_t, log_t = catalog.ledger(spark), catalog.schema_log(spark)
+    ledger, ts, raw_path = ledger_t.read(), _ntz(run_ts), catalog.raw(source.table_name)
+
+    # Only files not already completed under the same (path, size, mtime) are examined.
+    # Their paths (not contents) go to the driver: Spark's own file index lists them there too.
     fresh = [r.path for r in L.unseen(listing, ledger, source.file_type).select("path").collect()]
     if not fresh:
         return {"status": "skipped", "files": 0}
-    pending = materialize(L.unprocessed(L.fingerprint(spark, fresh), ledger, source.file_type), "pending")
-    if pending.limit(1).count() == 0:
+    examined = L.unprocessed(L.fingerprint(spark, fresh), ledger, source.file_type)
+    # the same bytes delivered under several names are one file
+    first = F.min(F.struct("path", "length", "modificationTime", "header", "quoted_newline"))
+    pending = materialize(examined.groupBy("file_hash").agg(first.alias("f")).select("f.*", "file_hash"), "pending")
+    n_files = pending.count()
+    if not n_files:
         return {"status": "skipped", "files": 0}
-    # File paths (not contents) go to the driver: Spark's own file index lists them there too.
-    paths = [r.path for r in pending.select("path").collect()]
     try:
-        scanned = L.scan_csv(spark, paths, source.columns, source.aliases, keep_extra=True)
+        scanned = L.scan_csv(spark, [], source.columns, source.aliases, keep_extra=True, files=pending)
         blocks = L.block_table(scanned)
         rows = L.with_lineage(scanned, pending, run_ts, source_name, blocks)
         data_cols = [c for c in scanned.columns if not c.startswith("_")]
         current = schema_json(detect_schema(scanned, data_cols), source.table_name)
         drift = materialize(schema_drift(current, log_t.read()), "drift")
-        append_raw(rows, catalog.raw(source.table_name))
-        new_log = schema_log_rows(drift, ts)
-        if new_log.limit(1).count() > 0:
-            prev = log_t.read()
-            log_t.write(new_log if prev is None else prev.unionByName(new_log), mode="append")
-        records = file_records(pending, source.file_type, ts, "completed", None, L.file_row_counts(blocks))
-        ledger_t.write(ledger_upsert(ledger, records), mode="upsert")
-        return {"status": "completed", "files": len(paths),
+        there = stored_files(spark, raw_path).withColumnRenamed("file_hash", "_file_hash")
+        append_raw(rows.join(there, "_file_hash", "left_anti"), raw_path)
+        new_log = materialize(schema_log_rows(drift, ts), "schema_rows")
+        if not new_log.isEmpty():
+            log_t.append(new_log)
+        _record(ledger_t, file_records(pending, source.file_type, ts, "completed", None, L.file_row_counts(blocks)))
+        return {"status": "completed", "files": n_files,
                 "schema_version": drift.select("schema_version").first()[0]}
     except Exception as exc:
-        records = file_records(pending, source.file_type, ts, "failed", str(exc)[:1000])
-        ledger_t.write(ledger_upsert(ledger, records), mode="upsert")
+        _record(ledger_t, file_records(pending, source.file_type, ts, "failed", str(exc)))
         raise
 
 
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def empty_schema_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SCHEMA_LOG_SCHEMA)
-
-
-def ledger_report(ledger: DataFrame) -> DataFrame:
-    """Ingestion history, newest first."""
-    return ledger.select("file_name", "file_type", "processing_status", "row_count", "ingestion_timestamp",
-                         "error_message").orderBy(F.col("ingestion_timestamp").desc(), "file_name")
+def _record(ledger_t: VersionedTable, records: DataFrame) -> None:
+    """Fold ledger rows in; only the buckets of these files are rewritten."""
+    ledger_t.upsert(materialize(records, "ledger_rows"), LEDGER_KEY, merge=ledger_upsert)

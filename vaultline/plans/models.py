@@ -24,6 +24,7 @@ from vaultline.functions.columns import (
 )
 from vaultline.operators.dedupe import keep_latest
 from vaultline.operators.incremental import _ntz, new_or_newer, preserve_created, since_watermark, watermark_value
+from vaultline.session import materialize
 from vaultline.tariff import DEFAULT_TARIFF, Tariff
 
 STR_ACCOUNT_COLUMNS = ("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
@@ -46,14 +47,10 @@ def latest_first():
     return (F.desc("_ingested_at"), F.desc("_row_number"), F.desc("_file_hash"))
 
 
-def _source_bound(src: DataFrame, existing: DataFrame | None) -> int | None:
-    """Rows of the (watermark-filtered) source: an upper bound on the change set's keys.
-
-    A scan with the pushed-down watermark and no shuffle; only needed on incremental
-    runs against a target too large to broadcast.
-    """
-    from vaultline.operators.incremental import small_table
-    return None if existing is None or small_table(existing) else src.count()
+def _changes(latest: DataFrame, existing: DataFrame | None, name: str) -> DataFrame:
+    """An incremental change set, stored: carrying dates over and merging then read it
+    from storage instead of deduplicating again."""
+    return latest if existing is None else materialize(latest, name)
 
 
 def _valid_key(raw_col: str):
@@ -100,9 +97,13 @@ def _lineage(with_flag: bool):
 def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None) -> DataFrame:
     """Structured accounts: watermark → cleanse → impute → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
-    latest = keep_latest(clean_accounts(src), ["account_id"], latest_first())
-    out = preserve_created(latest, existing, "account_id", run_ts, max_keys=_source_bound(src, existing))
-    return out.select(
+    latest = _changes(keep_latest(clean_accounts(src), ["account_id"], latest_first()), existing, "account_changes")
+    return audit_accounts(preserve_created(latest, existing, "account_id", run_ts), run_ts)
+
+
+def audit_accounts(cleaned: DataFrame, run_ts=None) -> DataFrame:
+    """Deduplicated, cleansed accounts with ``created_date`` as rows of ``str_accounts``."""
+    return cleaned.select(
         "account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
         "created_date",
         _ntz(run_ts).alias("modified_date"),
@@ -114,9 +115,13 @@ def str_accounts(raw: DataFrame, existing: DataFrame | None = None, run_ts=None)
 def str_customers(raw: DataFrame, existing: DataFrame | None = None, run_ts=None) -> DataFrame:
     """Structured customers: watermark → title case + boolean → keep latest → audit columns."""
     src = since_watermark(raw, "_ingested_at", existing, "_last_processed_at")
-    latest = keep_latest(clean_customers(src), ["customer_id"], latest_first())
-    out = preserve_created(latest, existing, "customer_id", run_ts, max_keys=_source_bound(src, existing))
-    return out.select(
+    latest = _changes(keep_latest(clean_customers(src), ["customer_id"], latest_first()), existing, "customer_changes")
+    return audit_customers(preserve_created(latest, existing, "customer_id", run_ts), run_ts)
+
+
+def audit_customers(cleaned: DataFrame, run_ts=None) -> DataFrame:
+    """Deduplicated, cleansed customers with ``created_date`` as rows of ``str_customers``."""
+    return cleaned.select(
         "customer_id", "customer_name", "hasloan",
         "created_date",
         _ntz(run_ts).alias("modified_date"),
@@ -130,6 +135,16 @@ def dim_account(accounts: DataFrame, existing: DataFrame | None = None) -> DataF
     return new_or_newer(accounts, existing, "account_id", "modified_date").select(*DIM_ACCOUNT_COLUMNS)
 
 
+def modified_since(accounts: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Accounts modified at or after the dimension's newest modification.
+
+    A dimension run takes every account modified up to its time, so no older account
+    can be missing; the filter reaches the stored table's scan.
+    """
+    mark = watermark_value(existing, "modified_date")
+    return accounts if mark is None else accounts.filter(F.col("modified_date") >= F.lit(mark).cast("timestamp_ntz"))
+
+
 def dim_customer(customers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """SCD1 customer dimension: customers modified after the target's newest modification."""
     return since_watermark(customers, "modified_date", existing, "modified_date").select(*DIM_CUSTOMER_COLUMNS)
@@ -176,11 +191,10 @@ def fact_customer_balances(accounts: DataFrame, customers: DataFrame, existing:
             acc = newer.unionByName(via_customer).dropDuplicates(["account_id"])
         else:
             acc = since_watermark(acc, "modified_date", existing, "modified_date")
-    bound = _source_bound(acc, existing)
     joined = join_accounts_customers(acc.select("account_id", "customer_id", "account_type", "original_balance",
                                                 "metadata_json"), customers)
-    priced = with_interest(joined, tariff)
-    out = preserve_created(priced, existing, "account_id", run_ts, max_keys=bound)
+    priced = _changes(with_interest(joined, tariff), existing, "fact_changes")
+    out = preserve_created(priced, existing, "account_id", run_ts)
     return out.select(
         "account_id", "customer_id", "customer_name", "account_type", "original_balance", "hasloan",
         "interest_rate", "annual_interest", "new_balance", "created_date",

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from vaultline.functions.columns import NA_TOKENS
 from vaultline.operators.schema import detect_schema, latest_versions, schema_drift, schema_json
 from vaultline.plans import oracle as O
-from vaultline.plans.ingest import ACCOUNTS, CUSTOMERS, Catalog, Source, ingest, ledger_report
+from vaultline.plans.ingest import ACCOUNTS, CUSTOMERS, Catalog, Source, ingest
 from vaultline.plans.registry import query
-from vaultline.session import work_dir
-from vaultline.sinks.tables import read_raw
+from vaultline.session import materialize, work_dir
+from vaultline.sinks.ledgers import ledger_report, process_report, schema_report
+from vaultline.sinks.tables import _FS, read_raw
 from vaultline.sources import landing as L
 from vaultline.sources import landing_fixtures as LF
 from vaultline.sources import testdata as T
@@ -25,7 +26,8 @@ def _na(c: str) -> str:
 
 RAW_A_MONTH = ("raw_accounts_m", f"""
 select {_na('AccountID')} as AccountID, {_na('CustomerID')} as CustomerID, {_na('Balance')} as Balance,
-       {_na('AccountType')} as AccountType, strftime(_ingested_at, '%Y-%m') as month, _row_number as okey_rn
+       {_na('AccountType')} as AccountType, strftime(_ingested_at, '%Y-%m') as month, _row_number as okey_rn,
+       (_row_number - 1) // {LF.SLICE} as slice
 from raw_accounts""")
 RAW_A_PRIO = ("raw_accounts_p", f"""
 select m.*, {_na('o.o_orderpriority')} as Priority from raw_accounts_m m join orders o on m.okey_rn = o.o_orderkey + 1""")
@@ -33,7 +35,7 @@ select m.*, {_na('o.o_orderpriority')} as Priority from raw_accounts_m m join or
 
 def _landing_all_months(spark, sf):
     root = work_dir(spark, "landing")
-    LF.write_monthly_csv(LF.account_source_rows(spark, sf), f"{root}/accounts")
+    LF.write_csv(LF.account_source_rows(spark, sf), f"{root}/accounts")
     return f"{root}/accounts"
 
 
@@ -43,8 +45,8 @@ def _two_ingest_runs(spark, sf, fail_first: bool = False):
     root = work_dir(spark, "landing")
     cat = Catalog(work_dir(spark, "catalog"))
     acc_dir, cust_dir = f"{root}/accounts", f"{root}/customers"
-    LF.write_monthly_csv(LF.account_source_rows(spark, sf).filter(FIRST_MONTHS), acc_dir)
-    LF.write_monthly_csv(LF.customer_source_rows(spark, sf), cust_dir, part="nation")
+    LF.write_csv(LF.account_source_rows(spark, sf).filter(FIRST_MONTHS), acc_dir)
+    LF.write_csv(LF.customer_source_rows(spark, sf), cust_dir, part="nation")
     if fail_first:
         broken = Source("accounts", "raw_accounts", ACCOUNTS.columns + ("Currency",), ACCOUNTS.aliases)
         try:
@@ -54,7 +56,7 @@ def _two_ingest_runs(spark, sf, fail_first: bool = False):
     ingest(spark, cat, ACCOUNTS, acc_dir, O.RUN_1, mode="all_unseen")
     ingest(spark, cat, CUSTOMERS, cust_dir, O.RUN_1, mode="all_unseen")
     second = LF.account_source_rows(spark, sf, extra_priority=True).filter(f"not ({FIRST_MONTHS})")
-    LF.write_monthly_csv(second, acc_dir, mode="append")
+    LF.write_csv(second, acc_dir, mode="append")
     return cat, acc_dir
 
 
@@ -74,7 +76,7 @@ def q_csv_scan(spark, sf):
 
 
 @query("lineage_columns", O.over([O.RAW_A, RAW_A_MONTH], f"""
-select AccountID, month, row_number() over (partition by month order by okey_rn) as _row_number,
+select AccountID, month, row_number() over (partition by month, slice order by okey_rn) as _row_number,
        {O.lit_ts(O.RUN_1)} as _ingested_at, 32 as hash_length
 from raw_accounts_m"""))
 def q_lineage_columns(spark, sf):
@@ -85,26 +87,86 @@ def q_lineage_columns(spark, sf):
                        "_ingested_at", F.length("_file_hash").alias("hash_length"))
 
 
-@query("file_fingerprint")
+def _quoted(c: str) -> str:
+    return f"""case when contains({c}, ',') then '"' || {c} || '"' else coalesce({c}, '') end"""
+
+
+# The text of each landing file, rebuilt: a header line, then the rows in key order.
+FILE_TEXT = ("file_text", f"""
+select month, slice, 'AccountID,CustomerID,Balance,AccountType' || chr(10) || string_agg(
+       AccountID || ',' || CustomerID || ',' || {_quoted('Balance')} || ',' || AccountType || chr(10), '' order by okey) as body
+from (select *, strftime(_ingested_at, '%Y-%m') as month, _row_number - 1 as okey, (_row_number - 1) // {LF.SLICE} as slice
+      from raw_accounts) r group by month, slice""")
+
+
+@query("file_fingerprint", O.over([O.RAW_A, FILE_TEXT], """
+select month, cast(strlen(body) as bigint) as length, md5(body) as file_hash from file_text"""))
 def q_file_fingerprint(spark, sf):
     path = _landing_all_months(spark, sf)
-    return L.fingerprint(spark, path).select(LF.month_of(F.col("path")).alias("month"), "length", "file_hash",
-                                             "hash_basis")
+    return L.fingerprint(spark, path).select(LF.month_of(F.col("path")).alias("month"), "length", "file_hash")
 
 
-@query("latest_file")
+@query("latest_file", O.over([O.RAW_A, FILE_TEXT], """
+select month, cast(strlen(body) as bigint) as length from file_text order by month, slice limit 1"""))
 def q_latest_file(spark, sf):
+    """The first month's first file is touched last, so it is the newest."""
     path = _landing_all_months(spark, sf)
+    first = L.list_landing(spark, path).orderBy("path").first().path
+    files = _FS(spark, first)
+    files.fs.setTimes(files.root, 4_000_000_000_000, -1)
     return L.latest_file(L.list_landing(spark, path)).select(LF.month_of(F.col("path")).alias("month"), "length")
 
 
+# Deliveries whose columns stand in another order, one column more (even customers), and
+# text that CSV has to quote: commas, quotes, backslashes, line breaks.
+ODD_NAME = r"""case c_custkey % 5 when 0 then concat('Say "', c_name, '", ok')
+    when 1 then concat(c_name, chr(10), 'second line') when 2 then concat(c_name, '\\')
+    when 3 then concat('"', c_mktsegment, '"') else c_name end"""
+ODD_NAME_DUCK = ODD_NAME.replace("\\\\", "\\")
+
+
+def _odd_customers(spark, sf):
+    cust = T.read_table(spark, sf, "customer")
+    return cust.select(F.concat(F.lit("CUS"), F.col("c_custkey").cast("string")).alias("CustomerID"),
+                       F.expr(ODD_NAME).alias("Name"), F.lit("yes").alias("HasLoan"), F.col("c_mktsegment").alias("Segment"),
+                       (F.col("c_custkey") % 2).alias("odd"))
+
+
+def _write_quoted(df, path):
+    df.write.options(**L.CSV_TEXT).option("header", True).csv(path)
+
+
+@query("csv_scan_mixed_headers", """
+select concat('CUS', cast(c_custkey as varchar)) as CustomerID, c_name as Name, 'yes' as HasLoan,
+       case when c_custkey % 2 = 0 then c_mktsegment end as Segment from customer""")
+def q_csv_scan_mixed_headers(spark, sf):
+    """Odd customers as (Name, CustomerID, HasLoan), even ones as (hasloan, customerid, Segment, name)."""
+    rows = _odd_customers(spark, sf).drop("Name").join(
+        T.read_table(spark, sf, "customer").select(F.concat(F.lit("CUS"), F.col("c_custkey").cast("string")).alias("CustomerID"),
+                                                   F.col("c_name").alias("Name")), "CustomerID")
+    root = work_dir(spark, "landing")
+    _write_quoted(rows.where("odd = 1").select("Name", "CustomerID", "HasLoan"), f"{root}/a")
+    _write_quoted(rows.where("odd = 0").select(F.col("HasLoan").alias("hasloan"), F.col("CustomerID").alias("customerid"),
+                                               "Segment", F.col("Name").alias("name")), f"{root}/b")
+    return L.scan_csv(spark, root, L.CUSTOMER_COLUMNS, L.CUSTOMER_ALIASES, keep_extra=True).drop("_path", "_block")
+
+
+@query("csv_scan_quoted", f"""
+select concat('CUS', cast(c_custkey as varchar)) as CustomerID, {ODD_NAME_DUCK} as Name, 'yes' as HasLoan from customer""")
+def q_csv_scan_quoted(spark, sf):
+    """Quotes, backslashes, commas and line breaks inside fields come back as they were."""
+    root = work_dir(spark, "landing")
+    _write_quoted(_odd_customers(spark, sf).select("CustomerID", "Name", "HasLoan"), root)
+    return L.scan_csv(spark, root, L.CUSTOMER_COLUMNS).select(*L.CUSTOMER_COLUMNS)
+
+
 # ---------------------------------------------------------------- A5, K2, B1, B6, B7
 
-@query("unprocessed_files", O.over([], "select distinct strftime(o_orderdate, '%Y-%m') as month from orders "
-                                      "where o_orderdate >= timestamp '1997-01-01'"))
+@query("unprocessed_files", O.over([], "select strftime(o_orderdate, '%Y-%m') as month from orders "
+                                      f"where o_orderdate >= timestamp '1997-01-01' group by 1, o_orderkey // {LF.SLICE}"))
 def q_unprocessed_files(spark, sf):
     cat, acc_dir = _two_ingest_runs(spark, sf)
-    ledger = cat.table(spark, "raw", "file_ingestion_metadata").read()
+    ledger = cat.ledger(spark).read()
     pending = L.unprocessed(L.fingerprint(spark, acc_dir), ledger, "accounts")
     return pending.select(LF.month_of(F.col("path")).alias("month"))
 
@@ -112,7 +174,7 @@ def q_unprocessed_files(spark, sf):
 @query("raw_append", O.over([O.RAW_A, RAW_A_MONTH, RAW_A_PRIO], f"""
 select AccountID, CustomerID, Balance, AccountType,
        case when month >= '1997-01' then Priority end as Priority, month,
-       row_number() over (partition by month order by okey_rn) as _row_number,
+       row_number() over (partition by month, slice order by okey_rn) as _row_number,
        case when month >= '1997-01' then {O.lit_ts(O.RUN_2)} else {O.lit_ts(O.RUN_1)} end as _ingested_at
 from raw_accounts_p"""))
 def q_raw_append(spark, sf):
@@ -126,34 +188,55 @@ def q_raw_append(spark, sf):
 select 'accounts' as file_type, month, 'completed' as processing_status, count(*) as row_count,
        case when month >= '1997-01' then {O.lit_ts(O.RUN_2)} else {O.lit_ts(O.RUN_1)} end as ingestion_timestamp,
        cast(null as varchar) as error_message
-from raw_accounts_m group by month
+from raw_accounts_m group by month, slice
 union all
-select 'customers', null, 'completed', count(*), {O.lit_ts(O.RUN_1)}, null from customer group by c_nationkey"""))
+select 'customers', null, 'completed', count(*), {O.lit_ts(O.RUN_1)}, null from customer group by c_nationkey, c_custkey // {LF.SLICE}"""))
 def q_file_ledger_upsert(spark, sf):
     """A first attempt fails (missing column) and is recorded; the retry turns the rows to completed."""
     cat = _after_run_2(spark, sf, fail_first=True)
-    led = cat.table(spark, "raw", "file_ingestion_metadata").read()
+    led = cat.ledger(spark).read()
     m = LF.month_of(F.col("file_path"))
     return led.select("file_type", F.when(m != "", m).alias("month"), "processing_status", "row_count",
                       "ingestion_timestamp", "error_message")
 
 
 @query("ledger_report", O.over([O.RAW_A, RAW_A_MONTH], f"""
-select file_type, processing_status, count(*) as files, cast(sum(n) as bigint) as row_count, max(ts) as last_ingested
-from (select 'accounts' as file_type, 'completed' as processing_status, month, count(*) as n,
-             case when month >= '1997-01' then {O.lit_ts(O.RUN_2)} else {O.lit_ts(O.RUN_1)} end as ts
-      from raw_accounts_m group by month
-      union all
-      select 'customers', 'completed', cast(c_nationkey as varchar), count(*), {O.lit_ts(O.RUN_1)}
-      from customer group by c_nationkey) t
-group by file_type, processing_status"""))
+select 'accounts' as file_type, 'completed' as processing_status, count(*) as row_count,
+       case when month >= '1997-01' then {O.lit_ts(O.RUN_2)} else {O.lit_ts(O.RUN_1)} end as ingestion_timestamp,
+       cast(null as varchar) as error_message
+from raw_accounts_m group by month, slice
+union all
+select 'customers', 'completed', count(*), {O.lit_ts(O.RUN_1)}, null from customer group by c_nationkey, c_custkey // {LF.SLICE}"""))
 def q_ledger_report(spark, sf):
+    """The ingestion history report (file names are Spark's and left out)."""
     cat = _after_run_2(spark, sf)
-    led = cat.table(spark, "raw", "file_ingestion_metadata").read()
-    rep = ledger_report(led)
-    return rep.groupBy("file_type", "processing_status").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("row_count"),
-        F.max("ingestion_timestamp").alias("last_ingested"))
+    return ledger_report(cat.ledger(spark).read()).drop("file_name")
+
+
+class _LostLedger(Catalog):
+    """The same raw tables, but a ledger that is gone: a run that died between the two."""
+
+    def ledger(self, spark):
+        return self.table(spark, "lost", "file_ingestion_metadata")
+
+
+CLEAN_LOAD = O.over([O.RAW_A, RAW_A_MONTH], f"""
+select AccountID, CustomerID, Balance, AccountType, month, row_number() over (partition by month, slice order by okey_rn) as _row_number,
+       {O.lit_ts(O.RUN_1)} as _ingested_at from raw_accounts_m""")
+
+
+def _raw_rows(spark, cat):
+    raw = read_raw(spark, cat.raw("raw_accounts"))
+    return raw.select(*L.ACCOUNT_COLUMNS, LF.month_of(F.col("_source_file")).alias("month"), "_row_number", "_ingested_at")
+
+
+@query("ingest_retry", CLEAN_LOAD)
+def q_ingest_retry(spark, sf):
+    """A run dies after its rows were written and before the ledger knew; the retry adds none twice."""
+    landing, root = _landing_all_months(spark, sf), work_dir(spark, "catalog")
+    ingest(spark, _LostLedger(root), ACCOUNTS, landing, O.RUN_1, mode="all_unseen")
+    ingest(spark, Catalog(root), ACCOUNTS, landing, O.RUN_2, mode="all_unseen")
+    return _raw_rows(spark, Catalog(root))
 
 
 @query("pair_gate", O.over([O.RAW_A, RAW_A_MONTH], f"""
@@ -163,17 +246,18 @@ def q_pair_gate(spark, sf):
     """After run 1, only new account files arrive: the accounts/customers pair is incomplete."""
     from vaultline.plans.gates import pair_gate
     cat = _after_run_2(spark, sf)
-    return pair_gate(cat.table(spark, "raw", "file_ingestion_metadata").read(), since=O.RUN_1)
+    return pair_gate(cat.ledger(spark).read(), since=O.RUN_1)
 
 
 # ---------------------------------------------------------------- E9, G2, G3, B8
 
 def _type_sql(c: str, t: str) -> str:
-    """The dtype rule of vaultline.operators.schema.detect_schema, in DuckDB SQL."""
+    """The CSV reader's type of a text column: whole numbers, else numbers, else truth words, else text."""
     return f"""(select case when count({c}) = 0 then 'float64'
         when count(*) filter (where {c} is not null and not regexp_matches({c}, '^\\s*[-+]?[0-9]+\\s*$')) = 0
              and count(*) filter (where {c} is null) = 0 then 'int64'
-        when count(*) filter (where {c} is not null and try_cast({c} as double) is null) = 0 then 'float64'
+        when count(*) filter (where {c} is not null and (try_cast(trim({c}) as double) is null or regexp_matches({c}, '[a-zA-Z_]') and
+             not regexp_matches(lower(trim({c})), '^[-+]?([0-9.]+e[-+]?[0-9]+|inf|infinity)$'))) = 0 then 'float64'
         when count(*) filter (where {c} is not null and {c} not in ('True','False','TRUE','FALSE','true','false')) = 0
              and count(*) filter (where {c} is null) = 0 then 'bool'
         else 'object' end from {t})"""
@@ -234,7 +318,7 @@ select sha256('raw_accounts|2|' || v2), 'raw_accounts', 2, v2, {O.lit_ts(O.RUN_2
 @query("schema_version_log", O.over(_LOG_CTES, "select * from log"))
 def q_schema_version_log(spark, sf):
     cat = _after_run_2(spark, sf)
-    return cat.table(spark, "raw", "schema_version_tracking").read()
+    return cat.schema_log(spark).read()
 
 
 @query("latest_schema_version", O.over(_LOG_CTES, """
@@ -242,7 +326,7 @@ select table_name, schema_id, schema_version, column_definitions, detected_at fr
 qualify row_number() over (partition by table_name order by schema_version desc) = 1"""))
 def q_latest_schema_version(spark, sf):
     cat = _after_run_2(spark, sf)
-    return latest_versions(cat.table(spark, "raw", "schema_version_tracking").read())
+    return latest_versions(cat.schema_log(spark).read())
 
 
 @query("schema_drift", O.over(_LOG_CTES, """
@@ -252,10 +336,49 @@ from defs"""))
 def q_schema_drift(spark, sf):
     """Drift of the second account delivery (extra Priority column) against the logged run-1 schema."""
     cat, acc_dir = _two_ingest_runs(spark, sf)
-    log = cat.table(spark, "raw", "schema_version_tracking").read()
-    ledger = cat.table(spark, "raw", "file_ingestion_metadata").read()
-    pending = L.unprocessed(L.fingerprint(spark, acc_dir), ledger, "accounts")
-    paths = [r.path for r in pending.select("path").collect()]
-    scanned = L.scan_csv(spark, paths, L.ACCOUNT_COLUMNS, L.ACCOUNT_ALIASES, keep_extra=True)
+    log = cat.schema_log(spark).read()
+    ledger = cat.ledger(spark).read()
+    pending = materialize(L.unprocessed(L.fingerprint(spark, acc_dir), ledger, "accounts"), "pending")
+    scanned = L.scan_csv(spark, [], L.ACCOUNT_COLUMNS, L.ACCOUNT_ALIASES, keep_extra=True, files=pending)
     cols = [c for c in scanned.columns if not c.startswith("_")]
     return schema_drift(schema_json(detect_schema(scanned, cols), "raw_accounts"), log)
+
+
+@query("schema_report", O.over(_LOG_CTES, """
+select table_name, schema_version, detected_at, change_description, column_definitions from log"""))
+def q_schema_report(spark, sf):
+    cat = _after_run_2(spark, sf)
+    return schema_report(cat.schema_log(spark).read())
+
+
+RUNS = ("runs", f"""
+select {O.lit_ts(O.RUN_1)} as run_timestamp, (select count(*) from str_accounts_r1) as p, 0 as u
+union all
+select {O.lit_ts(O.RUN_2)}, (select count(*) from str_accounts_d2),
+       (select count(*) from str_accounts_d2 d where exists (select 1 from str_accounts_r1 e where e.account_id = d.account_id))""")
+
+
+@query("process_log", O.over([*O.TWO_RUNS, RUNS], f"""
+select run_timestamp, 'str_accounts' as target_table, 'raw_accounts' as source_tables, p as records_processed,
+       p - u as records_inserted, cast(u as bigint) as records_updated, 'completed' as status, cast(null as varchar) as error_message
+from runs
+union all
+select {O.lit_ts(O.RUN_2)}, 'dim_account', 'str_accounts', 0, 0, 0, 'failed', 'source is gone'"""))
+def q_process_log(spark, sf):
+    """Two merges of the accounts and a failed one of the dimension, as the process log reports them."""
+    from vaultline.plans import models as M
+    from vaultline.plans.runner import merge_target
+    cat = Catalog(work_dir(spark, "catalog"))
+    raw = T.raw_accounts(spark, sf)
+    for source, run in ((T.account_deliveries(spark, sf)[0], O.RUN_1), (raw, O.RUN_2)):
+        merge_target(spark, cat, "structured", "str_accounts", "account_id",
+                     lambda e, source=source, run=run: M.str_accounts(source, e, run), run, "raw_accounts")
+
+    def gone(existing):
+        raise OSError("source is gone")
+
+    try:
+        merge_target(spark, cat, "curated", "dim_account", "account_id", gone, O.RUN_2, "str_accounts")
+    except OSError:
+        pass
+    return process_report(cat.process_log(spark).read()).drop("duration_seconds")

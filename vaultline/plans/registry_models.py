@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vaultline.functions import columns as C
 from vaultline.operators.incremental import has_new
+from vaultline.operators.quality import orphan_accounts
 from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
@@ -129,9 +131,11 @@ def q_title_case(spark, sf):
     return T.raw_customers(spark, sf).select("CustomerID", "Name", C.title_case("Name").alias("customer_name"))
 
 
-@query("initcap_name")
+@query("initcap_name", over([O.RAW_C], """
+select CustomerID, array_to_string(list_transform(string_split(trim(Name), ' '),
+       lambda w: upper(substring(w, 1, 1)) || lower(substring(w, 2))), ' ') as customer_name from raw_customers"""))
 def q_initcap_name(spark, sf):
-    """Test-only expectation of the reference: initcap keeps inner double spaces (DuckDB has no initcap)."""
+    """The plain ``initcap`` of a name, which keeps inner double spaces."""
     return T.raw_customers(spark, sf).select("CustomerID", F.initcap(F.trim("Name")).alias("customer_name"))
 
 
@@ -209,11 +213,10 @@ def q_join_accounts_customers(spark, sf):
 
 
 @query("orphan_accounts", over(FULL, """
-select a.account_id, a.customer_id from str_accounts a left join str_customers c on a.customer_id = c.customer_id
-where c.customer_id is null"""))
+select account_id, customer_id from str_accounts a
+where not exists (select 1 from str_customers c where c.customer_id = a.customer_id)"""))
 def q_orphan_accounts(spark, sf):
-    acc, cust = structured_full(spark, sf)
-    return acc.join(cust.select("customer_id"), "customer_id", "left_anti").select("account_id", "customer_id")
+    return orphan_accounts(*structured_full(spark, sf))
 
 
 SEEDED_CUSTOMERS = ("raw_customers_seeded", "select r.* from raw_customers r join customer c "
@@ -230,12 +233,12 @@ def seeded_customers(spark, sf):
 @query("orphan_accounts_seeded", over(FULL + [SEEDED_CUSTOMERS,
                                               ("str_customers_seeded",
                                                O.str_customers_sql("raw_customers_seeded", None, O.RUN_1))], """
-select a.account_id, a.customer_id from str_accounts a left join str_customers_seeded c
-on a.customer_id = c.customer_id where c.customer_id is null"""))
+select account_id, customer_id from str_accounts a
+where not exists (select 1 from str_customers_seeded c where c.customer_id = a.customer_id)"""))
 def q_orphan_accounts_seeded(spark, sf):
     acc = structured_full(spark, sf)[0]
     cust = M.str_customers(seeded_customers(spark, sf), None, O.RUN_1)
-    return acc.join(cust.select("customer_id"), "customer_id", "left_anti").select("account_id", "customer_id")
+    return orphan_accounts(acc, cust)
 
 
 @query("unprocessed_raw", over(TWO, """
@@ -322,15 +325,18 @@ def q_distinct_account_types(spark, sf):
     return structured_full(spark, sf)[0].select("account_type").distinct()
 
 
+def with_share(counts):
+    """Share of the total; the window spans the grouped rows, one per distinct value."""
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
 @query("account_type_distribution", over([O.RAW_A], """
 select account_type, n, n / sum(n) over () as share
 from (select lower(trim(AccountType)) as account_type, count(*) as n from raw_accounts group by 1) t"""))
 def q_account_type_distribution(spark, sf):
     counts = T.raw_accounts(spark, sf).groupBy(C.normalize_account_type("AccountType").alias("account_type")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    # The total is one scalar (an aggregate of the grouped counts), passed on as a literal.
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.withColumn("share", F.col("n") / F.lit(total).cast("double"))
+    return with_share(counts)
 
 
 @query("loan_distribution", over(FULL, """
@@ -338,8 +344,7 @@ select hasloan, n, n / sum(n) over () as share
 from (select hasloan, count(*) as n from str_customers group by hasloan) t"""))
 def q_loan_distribution(spark, sf):
     counts = structured_full(spark, sf)[1].groupBy("hasloan").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.withColumn("share", F.col("n") / F.lit(total).cast("double"))
+    return with_share(counts)
 
 
 @query("quality_flag_counts", over(FULL, "select data_quality_flag, count(*) as n from str_accounts group by 1"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
 from vaultline.plans.registry import curated_full, query
-from vaultline.session import materialize
+from vaultline.session import materialize, work_dir
+from vaultline.sinks.ledgers import check_rows
+from vaultline.sinks.tables import VersionedTable
 from vaultline.sources import testdata as T
 from vaultline.tariff import Tariff
 
@@ -19,26 +22,41 @@ from vaultline.tariff import Tariff
 RAISED = Tariff(tier_3_rate=Decimal("0.03"))
 
 
-def layer_tables(spark, sf):
-    """The layer tables as a run commits them: each written once, later layers built
-    from the stored ones (the suite then scans stored tables, not recomputed chains)."""
-    raw_a = T.raw_accounts(spark, sf)
-    acc = materialize(M.str_accounts(raw_a, None, O.RUN_1), "str_accounts")
-    cust = materialize(M.str_customers(T.raw_customers(spark, sf), None, O.RUN_1), "str_customers")
-    fact = materialize(M.fact_customer_balances(acc, cust, None, O.RUN_1), "fact")
-    return {
-        "raw_accounts": raw_a,
-        "raw_customers": T.raw_customers(spark, sf),
-        "clean_accounts": M.clean_accounts(raw_a),
-        "str_accounts": acc,
-        "str_customers": cust,
-        "dim_account": M.dim_account(acc),
-        "dim_customer": M.dim_customer(cust),
-        "fact_customer_balances": fact,
-        "fact_repriced": M.fact_customer_balances(acc, cust, None, O.RUN_1, RAISED),
-        "account_summary": M.account_summary(fact, ordered=False),
+class LayerTables(Mapping):
+    """The layer tables as a run commits them, each built when a check first names it and
+    written once; later layers are built from the stored ones."""
+
+    _BUILD = {
+        "raw_accounts": lambda t: T.raw_accounts(t.spark, t.sf),
+        "raw_customers": lambda t: T.raw_customers(t.spark, t.sf),
+        "clean_accounts": lambda t: M.clean_accounts(t["raw_accounts"]),
+        "str_accounts": lambda t: materialize(M.str_accounts(t["raw_accounts"], None, O.RUN_1), "str_accounts"),
+        "str_customers": lambda t: materialize(M.str_customers(t["raw_customers"], None, O.RUN_1), "str_customers"),
+        "dim_account": lambda t: M.dim_account(t["str_accounts"]),
+        "dim_customer": lambda t: M.dim_customer(t["str_customers"]),
+        "fact_customer_balances": lambda t: materialize(
+            M.fact_customer_balances(t["str_accounts"], t["str_customers"], None, O.RUN_1), "fact"),
+        "fact_repriced": lambda t: M.fact_customer_balances(t["str_accounts"], t["str_customers"], None, O.RUN_1, RAISED),
+        "account_summary": lambda t: M.account_summary(t["fact_customer_balances"], ordered=False),
     }
 
+    def __init__(self, spark, sf):
+        self.spark, self.sf, self._built = spark, sf, {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = self._BUILD[name](self)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._BUILD)
+
+    def __len__(self):
+        return len(self._BUILD)
+
+
+layer_tables = LayerTables
+
 
 LAYER_CTES = O.FULL + [
     ("clean_accounts", O.clean_accounts_sql("raw_accounts")),
@@ -113,24 +131,82 @@ q_dq_expression = _suite_query("dq_expression", _kind("expression"))
 q_dq_report = _suite_query("dq_report", ALL_SUITES)
 
 
-@query("dq_interest_accuracy", O.over(LAYER_CTES, """
-select account_id, cast(original_balance as double) as original_balance, cast(interest_rate as double) as interest_rate,
-       cast(annual_interest as double) as annual_interest, cast(new_balance as double) as new_balance,
-       cast(round(original_balance * interest_rate, 2) as double) as expected_annual_interest,
-       cast(round(original_balance + round(original_balance * interest_rate, 2), 2) as double) as expected_new_balance
-from fact_customer_balances
-where round(annual_interest, 2) <> round(original_balance * interest_rate, 2)
-   or round(new_balance, 2) <> round(original_balance + annual_interest, 2)"""))
+# The rule: interest is balance times rate, to the cent; the new balance is their sum.
+def interest_rule_sql(fact: str) -> str:
+    return f"""
+select {", ".join(f"cast({c} as double) as {c}" for c in ("original_balance", "interest_rate", "annual_interest", "new_balance"))},
+       account_id, cast(due as double) as expected_annual_interest, cast(original_balance + due as double) as expected_new_balance
+from (select *, cast(round(original_balance * interest_rate, 2) as decimal(15,2)) as due from {fact}) f
+where annual_interest - due <> 0 or new_balance - original_balance - annual_interest <> 0"""
+
+
+# Seeded violations, the same in both engines: every fact of an account that ends in 7
+# has a cent too much interest, one that ends in 3 is not a savings account.
+SEEDED_FACT = """
+select * replace (case when account_id like '%7' then cast(annual_interest + 0.01 as decimal(15,2)) else annual_interest end as annual_interest,
+                  case when account_id like '%3' then 'checking' else account_type end as account_type)
+from fact_customer_balances"""
+SEEDED_CTES = LAYER_CTES + [("fact_seeded", SEEDED_FACT)]
+
+
+def seeded_fact(spark, sf):
+    fact = curated_full(spark, sf)[2]
+    more = (F.col("annual_interest") + F.lit(Decimal("0.01"))).cast("decimal(15,2)")
+    return fact.withColumn("annual_interest", F.when(F.col("account_id").endswith("7"), more).otherwise(F.col("annual_interest"))) \
+        .withColumn("account_type", F.when(F.col("account_id").endswith("3"), F.lit("checking")).otherwise(F.col("account_type")))
+
+
+@query("dq_interest_accuracy", O.over(LAYER_CTES, interest_rule_sql("fact_customer_balances")))
 def q_dq_interest_accuracy(spark, sf):
     return present(Q.interest_mismatches(curated_full(spark, sf)[2]))
 
 
+@query("dq_interest_accuracy_seeded", O.over(SEEDED_CTES, interest_rule_sql("fact_seeded")))
+def q_dq_interest_accuracy_seeded(spark, sf):
+    return present(Q.interest_mismatches(seeded_fact(spark, sf)))
+
+
 @query("dq_only_savings", O.over(LAYER_CTES, "select account_id, account_type from fact_customer_balances "
                                              "where lower(account_type) <> 'savings'"))
 def q_dq_only_savings(spark, sf):
     return Q.non_savings_in_fact(curated_full(spark, sf)[2])
 
 
+@query("dq_only_savings_seeded", O.over(SEEDED_CTES, "select account_id, account_type from fact_seeded "
+                                                     "where account_type not in ('savings')"))
+def q_dq_only_savings_seeded(spark, sf):
+    return Q.non_savings_in_fact(seeded_fact(spark, sf))
+
+
+def _singular_sql(table: str, check: str, column: str, body: str) -> str:
+    return (f"select '{table}' as table_name, '{check}' as check_name, '{column}' as column_name, "
+            f"cast(count(*) as bigint) as failures, 'warn' as severity, count(*) = 0 as passed from ({body}) x")
+
+
+_STORED = " union all ".join([
+    *(check_sql(c) for c in Q.structured_checks()),
+    _singular_sql("fact_customer_balances", "interest_calculation", "annual_interest", interest_rule_sql("fact_seeded")),
+    _singular_sql("fact_customer_balances", "only_savings", "account_type",
+                  "select 1 from fact_seeded where account_type not in ('savings')"),
+    _singular_sql("str_accounts", "orphan_accounts", "customer_id",
+                  "select 1 from str_accounts a where not exists (select 1 from str_customers c where c.customer_id = a.customer_id)")])
+
+
+@query("dq_results_log", O.over(SEEDED_CTES, f"""
+select {O.lit_ts(O.RUN_1)} as run_timestamp, r.* from ({_STORED}) r
+union all
+select {O.lit_ts(O.RUN_2)}, r.* from ({_STORED}) r"""))
+def q_dq_results_log(spark, sf):
+    """Two runs' check results (declared checks, then the rule checks on a seeded fact) appended to the results table."""
+    t = layer_tables(spark, sf)
+    tables = {"str_accounts": t["str_accounts"], "str_customers": t["str_customers"], "fact_customer_balances": seeded_fact(spark, sf)}
+    results = materialize(Q.run_checks(tables, Q.structured_checks()).unionByName(Q.singular_checks(tables)), "check_results")
+    log = VersionedTable(spark, work_dir(spark, "check_results"))
+    for run in (O.RUN_1, O.RUN_2):
+        log.append(check_rows(results, F.lit(run).cast("timestamp_ntz")))
+    return log.read()
+
+
 @query("dq_failing_values", O.over(LAYER_CTES, """
 select AccountType as value_field, count(*) as n_records from raw_accounts
 where AccountType not in ('savings', 'checking', 'money_market') group by AccountType"""))

@@ -1,4 +1,4 @@
-"""Registered queries: streaming ingestion / upsert, export, lineage, audit history, generator."""
+"""Registered queries: streaming ingestion / upsert, export, lineage, audit history."""
 
 from __future__ import annotations
 
@@ -8,31 +8,65 @@ from vaultline.functions.audit import append_history, history_entry
 from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
+from vaultline.plans.ingest import ACCOUNTS, Catalog
 from vaultline.plans.registry import curated_full, query, structured_full, two_runs
-from vaultline.plans.registry_ingest import RAW_A_MONTH
+from vaultline.plans.registry_ingest import CLEAN_LOAD, _LostLedger, _raw_rows
 from vaultline.session import work_dir
 from vaultline.sinks.export import export_csv
-from vaultline.sinks.tables import VersionedTable, read_raw
-from vaultline.sources import generate as G
+from vaultline.sinks.tables import VersionedTable
 from vaultline.sources import landing as L
 from vaultline.sources import landing_fixtures as LF
 from vaultline.sources import testdata as T
-from vaultline.streaming.jobs import ingest_stream, stream_structured_accounts
+from vaultline.streaming.jobs import ACCOUNTS as ACCOUNT_STREAM
+from vaultline.streaming.jobs import CUSTOMERS as CUSTOMER_STREAM
+from vaultline.streaming.jobs import ingest_batch, ingest_stream, stream_structured
 
 
-@query("stream_ingest", O.over([O.RAW_A, RAW_A_MONTH], """
-select AccountID, month, row_number() over (partition by month order by okey_rn) as _row_number
-from raw_accounts_m"""))
+def _stream_catalog(spark, sf):
+    """Account files picked up by a file stream, 40 to a micro-batch."""
+    landing, cat = work_dir(spark, "landing"), Catalog(work_dir(spark, "catalog"))
+    LF.write_csv(LF.account_source_rows(spark, sf), landing)
+    ingest_stream(spark, cat, ACCOUNTS, landing, work_dir(spark, "stream-ckpt"), max_files_per_trigger=40,
+                  run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
+    return cat, landing
+
+
+@query("stream_ingest", CLEAN_LOAD)
 def q_stream_ingest(spark, sf):
-    """Landing files picked up by a file stream (10 files per micro-batch) and appended with lineage."""
-    landing = work_dir(spark, "landing")
-    LF.write_monthly_csv(LF.account_source_rows(spark, sf), landing)
-    raw_path, ckpt = work_dir(spark, "raw"), work_dir(spark, "stream-ckpt")
-    q = ingest_stream(spark, landing, L.ACCOUNT_COLUMNS, raw_path, ckpt, max_files_per_trigger=10,
-                      run_ts_of_batch=lambda b: O.RUN_1)
-    q.awaitTermination()
-    return read_raw(spark, raw_path).select("AccountID", LF.month_of(F.col("_source_file")).alias("month"),
-                                            "_row_number")
+    return _raw_rows(spark, _stream_catalog(spark, sf)[0])
+
+
+@query("stream_replay", CLEAN_LOAD)
+def q_stream_replay(spark, sf):
+    """A micro-batch that wrote its rows and died is offered again, then once more after it completed."""
+    landing, root = work_dir(spark, "landing"), work_dir(spark, "catalog")
+    LF.write_csv(LF.account_source_rows(spark, sf), landing)
+    arrived = L.list_landing(spark, landing)
+    ingest_batch(spark, _LostLedger(root), ACCOUNTS, arrived, O.RUN_1)
+    for run in (O.RUN_1, O.RUN_2):
+        ingest_batch(spark, Catalog(root), ACCOUNTS, arrived, run)
+    return _raw_rows(spark, Catalog(root))
+
+
+def _streamed(spark, model, raw, files: int):
+    """Raw rows streamed through a structured model, some files to a micro-batch."""
+    raw_path, table = work_dir(spark, "raw"), work_dir(spark, "streamed")
+    raw.write.option("maxRecordsPerFile", -(-raw.count() // files)).parquet(raw_path)
+    stream_structured(spark, model, raw_path, table, work_dir(spark, "stream-ckpt"), raw.schema,
+                      max_files_per_trigger=2, run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
+    return VersionedTable(spark, table).read()
+
+
+@query("stream_str_accounts", O.over(O.FULL, f"select * {O.money('original_balance')} from str_accounts"))
+def q_stream_str_accounts(spark, sf):
+    """Streamed accounts equal the batch model's table column for column."""
+    return present(_streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf), 4))
+
+
+@query("stream_str_customers", O.over([O.RAW_C, O.RAW_C_UPD, O.RAW_C_ALL], O.str_customers_sql("raw_customers_all", None, O.RUN_1)))
+def q_stream_str_customers(spark, sf):
+    """Streamed customers, first file and update file, equal the batch model's table."""
+    return _streamed(spark, CUSTOMER_STREAM, T.raw_customers(spark, sf).unionByName(T.customer_updates(spark, sf)), 4)
 
 
 @query("stream_upsert", O.over(O.FULL, """
@@ -40,15 +74,9 @@ select account_id, account_type, cast(original_balance as double) as original_ba
        data_quality_flag, _last_processed_at from str_accounts"""))
 def q_stream_upsert(spark, sf):
     """Raw account files streamed in several micro-batches; each batch merged keep-latest, exactly once."""
-    raw_path = work_dir(spark, "raw")
-    raw = T.raw_accounts(spark, sf)
-    raw.repartition(8).write.parquet(raw_path)
-    table_path, ckpt = work_dir(spark, "str_accounts"), work_dir(spark, "stream-ckpt")
-    q = stream_structured_accounts(spark, raw_path, table_path, ckpt, raw.schema, max_files_per_trigger=4)
-    q.awaitTermination()
-    out = VersionedTable(spark, table_path).read()
+    out = _streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf), 8)
     return present(out.select("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
-                              F.col("_ingested_at").alias("_last_processed_at")))
+                              "_last_processed_at"))
 
 
 @query("csv_export_roundtrip", O.over(O.FULL, O.summary_sql("fact")))
@@ -57,7 +85,7 @@ def q_csv_export_roundtrip(spark, sf):
     report = present(M.account_summary(curated_full(spark, sf)[2], ordered=False))
     path = work_dir(spark, "export")
     export_csv(report, path, ["customer_id", "account_id"])
-    return spark.read.option("header", True).schema(report.schema).csv(path)
+    return spark.read.options(**L.CSV_TEXT).option("header", True).schema(report.schema).csv(path)
 
 
 @query("lineage_trace", O.over(O.FULL, """
@@ -98,13 +126,3 @@ def q_audit_history(spark, sf):
                       F.get_json_object("audit_json", "$.row_number").alias("top_row_number"),
                       F.json_array_length(F.get_json_object("audit_json", "$.history")).alias("history_length"),
                       F.get_json_object("audit_json", "$.history[0].row_number").alias("first_history_row_number"))
-
-
-@query("generate_accounts")
-def q_generate_accounts(spark, sf):
-    return G.generate_accounts(T.read_table(spark, sf, "orders"))
-
-
-@query("generate_customers")
-def q_generate_customers(spark, sf):
-    return G.generate_customers(T.read_table(spark, sf, "customer"))

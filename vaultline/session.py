@@ -20,11 +20,26 @@ _DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "vaultline") -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "vaultline",
+                  work_root: str | None = None) -> SparkSession:
+    """A session with the settings above where the cluster sets none.
+
+    ``master`` and ``shuffle_partitions`` are set only if given. ``work_root`` is the
+    shared folder for intermediate tables where ``spark.checkpoint.dir`` is unset.
+    """
+    from pyspark import SparkConf
+
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if work_root and not given.contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", work_root)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -58,6 +73,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove this session's intermediate tables; call it when a run's results are stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), "vaultline-work"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.session import materialize
+from vaultline.sources.landing import CSV_TEXT
+
 
 def summary_statistics(report: DataFrame) -> DataFrame:
     """One aggregate pass: row count, balance / interest / new-balance totals, mean rate.
@@ -23,30 +26,18 @@ def summary_statistics(report: DataFrame) -> DataFrame:
     )
 
 
-# Above this many rows the report is written as range-sorted part files instead of one file.
-MAX_SINGLE_FILE_ROWS = 5_000_000
-
-
-def export_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool | str = "auto",
-               max_single_rows: int = MAX_SINGLE_FILE_ROWS) -> int:
+def export_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool = True) -> int:
     """Write the report as CSV with a header, ordered by ``order``; returns the row count.
 
-    The reference writes one ``account_summary.csv``. One file means one writer
-    task, so it is only done when the row count is within ``max_single_rows``
-    (checked first; ``single_file="auto"``). Larger reports are range-partitioned on
-    the order keys: every task writes its own key range and the part files, read
-    in name order, are globally sorted. Nothing is written for an empty report.
+    ``single_file=True`` writes one file with one task, whatever the size; ``False``
+    range-partitions on the order keys: every task writes its own key range and the part
+    files, read in name order, are globally sorted. The report is computed once (stored,
+    then counted, sorted and written from there). Nothing is written for an empty report.
     """
-    n = df.count()
+    stored = materialize(df, "report")
+    n = stored.count()
     if n == 0:
         return 0
-    one = (n <= max_single_rows) if single_file == "auto" else bool(single_file) and n <= max_single_rows
-    sorted_df = df.orderBy(*order)
-    if one:
-        sorted_df = sorted_df.coalesce(1)
-    (sorted_df.write.mode("overwrite")
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+    ordered = stored.coalesce(1).sortWithinPartitions(*order) if single_file else stored.orderBy(*order)
+    ordered.write.mode("overwrite").options(**CSV_TEXT).option("header", True).csv(path)
     return n

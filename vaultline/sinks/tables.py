@@ -1,28 +1,37 @@
 """Table storage on plain Parquet.
 
-* Raw tables are append-only directories (``append_raw``): each append is one
-  committed Spark write job.
-* Upserted tables are versioned (``VersionedTable``): a merge writes the new
-  state to ``v=<n+1>/`` and then commits ``_commits/<n+1>.json`` with a
-  create-if-absent write; readers take the highest committed version. A table is
-  never overwritten while it is being read, and a failed write leaves no commit.
+* Raw tables are append-only and partitioned by ingestion date and file: a file's rows
+  become visible as one directory, so writing a file again replaces it and a file that
+  is there is there whole.
+* ``VersionedTable`` keeps merged tables and logs. Every attempt writes into a folder
+  of its own; a small commit file names the folders that make up a version and is put
+  in place by a rename that fails if the version exists. Readers take the highest
+  version. A merge rewrites only the key buckets that its change set touches.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vaultline.operators.incremental import upsert
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed the version this one was based on."""
+
+
 class _FS:
-    """Hadoop FileSystem access through the session (works for any cluster file system)."""
+    """Hadoop file access through the session (works for any cluster file system)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.jvm = spark.sparkContext._jvm
+        self.gateway = spark.sparkContext._gateway
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.root = self.jvm.org.apache.hadoop.fs.Path(path)
         self.fs = self.root.getFileSystem(self.conf)
@@ -33,9 +42,6 @@ class _FS:
             p = self.jvm.org.apache.hadoop.fs.Path(p, part)
         return p
 
-    def exists(self, *parts: str) -> bool:
-        return self.fs.exists(self.path(*parts))
-
     def list_names(self, *parts: str) -> list[str]:
         p = self.path(*parts)
         if not self.fs.exists(p):
@@ -43,46 +49,70 @@ class _FS:
         return [s.getPath().getName() for s in self.fs.listStatus(p)]
 
     def create_new(self, text: str, *parts: str) -> bool:
-        """Write a small file only if it does not exist yet (commit point)."""
-        p = self.path(*parts)
-        try:
-            out = self.fs.create(p, False)
-        except Exception:  # noqa: BLE001 — already exists: another writer committed first
-            return False
+        """Put a whole small file in place; False if it exists already, other errors are raised."""
+        target = self.path(*parts)
+        draft = self.jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.tmp")
+        out = self.fs.create(draft, False)
         out.write(bytearray(text.encode("utf-8")))
         out.close()
+        hadoop = self.jvm.org.apache.hadoop.fs
+        no_overwrite = self.gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            hadoop.FileContext.getFileContext(target.getParent().toUri(), self.conf).rename(
+                self.fs.makeQualified(draft), self.fs.makeQualified(target), no_overwrite)
+        except Exception as exc:
+            self.fs.delete(draft, False)
+            if "FileAlreadyExistsException" in str(exc):
+                return False
+            raise
         return True
 
     def read_text(self, *parts: str) -> str:
         stream = self.fs.open(self.path(*parts))
-        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        reader.close()
-        return "\n".join(lines)
+        try:
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+        finally:
+            stream.close()
+
+    def delete(self, *parts: str) -> None:
+        self.fs.delete(self.path(*parts), True)
+
 
+INGEST_DATE, FILE_PART = "_ingest_date", "_file_part"
 
-INGEST_DATE = "_ingest_date"
+
+def _by_file(df: DataFrame):
+    day = F.to_date(F.col("_ingested_at").cast("timestamp_ntz"))
+    # the letter keeps an all-digit hash from being read back as a number
+    return (df.withColumn(INGEST_DATE, day).withColumn(FILE_PART, F.concat(F.lit("f"), "_file_hash"))
+            .write.partitionBy(INGEST_DATE, FILE_PART).mode("overwrite"))
 
 
 def append_raw(df: DataFrame, path: str) -> None:
-    """Append to an append-only raw table, partitioned by ingestion date.
+    """Add files' rows to a raw table; a file written again on the same day replaces itself.
 
     Incremental readers turn their watermark into a partition predicate
-    (``since_watermark``), so a run lists and reads only the days after the
-    watermark, not the table's history. Columns are matched by name; new columns
-    are allowed (read with schema merging after a logged drift).
+    (``since_watermark``), so a run lists and reads only the days after the watermark.
+    Columns are matched by name; new columns are allowed (read with schema merging
+    after a logged drift).
     """
-    (df.withColumn(INGEST_DATE, F.to_date(F.col("_ingested_at").cast("timestamp_ntz")))
-       .write.mode("append").partitionBy(INGEST_DATE).parquet(path))
+    _by_file(df).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def reload_raw(df: DataFrame, path: str) -> None:
-    """Drop and recreate a raw table from ``df`` (local reload of fixed sample files)."""
-    df.write.mode("overwrite").parquet(path)
+    """Drop and recreate a raw table from ``df``, in the layout of ``append_raw``."""
+    _by_file(df).option("partitionOverwriteMode", "static").parquet(path)
+
+
+def raw_exists(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith(f"{INGEST_DATE}=") for n in _FS(spark, path).list_names())
+
+
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct ``file_hash`` of the files whose rows a raw table holds (partition values only)."""
+    if not raw_exists(spark, path):
+        return spark.createDataFrame([], "file_hash string")
+    return spark.read.parquet(path).select(F.substring(FILE_PART, 2, 64).alias("file_hash")).distinct()
 
 
 def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
@@ -92,9 +122,12 @@ def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataF
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """Versions of a table; a version is a list of folders, each a key bucket or an appended part."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
         self._fs = _FS(spark, self.path)
 
     def _commits(self) -> list[int]:
@@ -111,39 +144,92 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.version() is not None
 
+    def _load(self, info: dict, parts: Sequence) -> DataFrame:
+        schema = StructType.fromJson(info["schema"])
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for _, p in parts])
+
     def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.version() if version is None else version
-        if v is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={v}")
-
-    def write(self, df: DataFrame, **info) -> int:
-        """Write ``df`` as the next version and commit it."""
-        v = (self.version() or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        if not self._fs.create_new(json.dumps({"version": v, **info}), "_commits", f"{v}.json"):
-            raise RuntimeError(f"concurrent commit of version {v} at {self.path}")
+        info = self.commit_info(version)
+        return self._load(info, info["parts"]) if info else None
+
+    def _write_parts(self, df: DataFrame, keys: Sequence[str] | None, buckets: int) -> list:
+        """Write into a new folder; the parts written, as [bucket or None, folder]."""
+        folder = f"data/{uuid.uuid4().hex}"
+        if not keys:
+            df.write.parquet(f"{self.path}/{folder}")
+            return [[None, folder]]
+        (df.withColumn("_bucket", self._bucket(keys, buckets)).repartition("_bucket")
+           .write.partitionBy("_bucket").parquet(f"{self.path}/{folder}"))
+        return [[int(n.split("=")[1]), f"{folder}/{n}"] for n in self._fs.list_names(folder) if n.startswith("_bucket=")]
+
+    @staticmethod
+    def _bucket(keys: Sequence[str], buckets: int):
+        return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def _commit(self, base: int | None, schema: StructType, parts: list, **info) -> int:
+        """Put version ``base + 1`` in place; fails if another writer has done so."""
+        v = (base or 0) + 1
+        body = json.dumps({"version": v, "schema": schema.jsonValue(), "parts": parts, **info})
+        if not self._fs.create_new(body, "_commits", f"{v}.json"):
+            raise CommitConflict(f"version {v} of {self.path} was committed by another writer")
         return v
 
-    def overwrite(self, df: DataFrame, **info) -> int:
-        return self.write(df, mode="overwrite", **info)
-
-    def upsert(self, updates: DataFrame, key: str, batch_id: int | None = None, **info) -> int | None:
-        """Merge ``updates`` (unique on ``key``) into the current state.
-
+    def overwrite(self, df: DataFrame, key: str | Sequence[str] | None = None, base: int | None = -1, **info) -> int:
+        """Replace the content. ``base`` is the version this is based on (default: the latest now)."""
+        base = self.version() if base == -1 else base
+        keys = [key] if isinstance(key, str) else list(key or [])
+        parts = self._write_parts(df, keys, self.buckets)
+        return self._commit(base, df.schema, parts, mode="overwrite", key=keys, buckets=self.buckets, **info)
+
+    def append(self, df: DataFrame, base: int | None = -1, **info) -> int:
+        """Add rows: one more folder, nothing rewritten."""
+        base = self.version() if base == -1 else base
+        before = self.commit_info(base) if base else {}
+        schema = StructType.fromJson(before["schema"]) if before else df.schema
+        parts = self._write_parts(df.select(*schema.names), None, 1)
+        kept = {k: before[k] for k in ("key", "buckets") if k in before}
+        return self._commit(base, schema, before.get("parts", []) + parts, mode="append", **kept, **info)
+
+    def upsert(self, updates: DataFrame, key: str | Sequence[str], batch_id: int | None = None, base: int | None = -1,
+               merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **info) -> int | None:
+        """Merge ``updates`` (unique on ``key``, stored) into the current state.
+
+        Only the buckets that hold a key of ``updates`` are read and rewritten. ``merge``
+        gives their new rows from (stored rows, updates); the default replaces by key.
         With ``batch_id`` the merge is idempotent: a batch already committed (a
         streaming replay) is skipped and None returned.
         """
-        if batch_id is not None and self.exists():
-            last = self.commit_info().get("batch_id")
-            if last is not None and batch_id <= last:
-                return None
-        current = self.read()
-        merged = upsert(current, updates, key)
-        extra = {"batch_id": batch_id} if batch_id is not None else {}
-        return self.write(merged, mode="upsert", **extra, **info)
-
-    def history(self) -> DataFrame:
-        rows = [(v, json.dumps(self.commit_info(v))) for v in self._commits()]
-        return self.spark.createDataFrame(rows, "version int, info string") \
-            .withColumn("mode", F.get_json_object("info", "$.mode"))
+        base = self.version() if base == -1 else base
+        keys = [key] if isinstance(key, str) else list(key)
+        extra = {} if batch_id is None else {"batch_id": batch_id}
+        before = self.commit_info(base) if base else {}
+        if batch_id is not None and before.get("batch_id") is not None and batch_id <= before["batch_id"]:
+            return None
+        if not before:
+            return self.overwrite(merge(updates.limit(0), updates) if merge else updates, keys, base, **extra, **info)
+        buckets = before.get("buckets") or self.buckets
+        if before.get("key") == keys and all(b is not None for b, _ in before["parts"]):
+            hit = {r[0] for r in updates.select(self._bucket(keys, buckets)).distinct().collect()}  # at most ``buckets``
+            touched, kept = ([p for p in before["parts"] if (p[0] in hit) == x] for x in (True, False))
+        else:  # not laid out by this key yet
+            touched, kept = before["parts"], []
+        stored = self._load(before, touched)
+        merged = merge(stored, updates) if merge else upsert(stored, updates, keys)
+        parts = self._write_parts(merged.select(*StructType.fromJson(before["schema"]).names), keys, buckets)
+        extra = extra or {k: before[k] for k in ("batch_id",) if k in before}
+        return self._commit(base, StructType.fromJson(before["schema"]), kept + parts, mode="upsert", key=keys,
+                            buckets=buckets, **extra, **info)
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Drop all but the newest ``keep`` versions and the folders only they use."""
+        versions = self._commits()
+        old, new = versions[:-keep], versions[-keep:]
+        used = {p for v in new for _, p in self.commit_info(v)["parts"]}
+        gone = sorted({p for v in old for _, p in self.commit_info(v)["parts"]} - used)
+        for v in old:
+            self._fs.delete("_commits", f"{v}.json")
+        for p in gone:
+            self._fs.delete(p)
+        return gone

@@ -1,79 +1,150 @@
 """Landing-zone ingestion: listing, fingerprints, CSV scan, lineage columns.
 
-Nothing here brings file contents to the driver: listings, hashes and row
-numbers are DataFrames computed by the executors.
+Nothing here brings file contents to the driver: listings, hashes, header names and
+row numbers are DataFrames computed by the executors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import csv
+import hashlib
+import io
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vaultline.functions.columns import na_to_null
 from vaultline.operators.incremental import _ntz
+from vaultline.session import materialize
 
 ACCOUNT_COLUMNS = ("AccountID", "CustomerID", "Balance", "AccountType")
 CUSTOMER_COLUMNS = ("CustomerID", "Name", "HasLoan")
-# Header spellings of the sample-data generator, mapped onto the raw schema.
+# Header spellings of other deliveries, mapped onto the raw schema.
 ACCOUNT_ALIASES = {"accountid": "AccountID", "customerid": "CustomerID", "balance": "Balance",
                    "account_type": "AccountType", "accounttype": "AccountType"}
 CUSTOMER_ALIASES = {"customerid": "CustomerID", "name": "Name", "hasloan": "HasLoan"}
 
-# Above this size a file's fingerprint is taken from (path, length, mtime)
-# instead of its bytes: binaryFile loads one file as one row.
-MAX_CONTENT_HASH_BYTES = 512 * 1024 * 1024
+# Quoted fields as RFC 4180 writes them: a doubled quote stands for one, a backslash for itself.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", **CSV_QUOTING}
+# Bytes of a file that a task holds at once.
+READ_BYTES = 1 << 20
+# Schemes that executors can open as a stream; other stores are read through Spark.
+STREAMED = ("file", "hdfs", "s3", "gs")
+
+
+def _chunks(path: str) -> Iterable[bytes]:
+    """A file's bytes in fixed-size pieces."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    store, name = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(path)
+    with store.open_input_stream(name) as f:
+        while piece := f.read(READ_BYTES):
+            yield piece
+
+
+def examine(pieces: Iterable[bytes]) -> tuple[str, list[str], bool]:
+    """MD5 of the bytes, header names, and whether a quoted field holds a line break."""
+    md5, head, open_quote, broken = hashlib.md5(), b"", False, False
+    header_done = False
+    for piece in pieces:
+        md5.update(piece)
+        b = np.frombuffer(piece, np.uint8)
+        inside = (np.cumsum(b == 34) + open_quote) & 1
+        line_end = b == 10
+        broken = broken or bool((line_end & (inside == 1)).any())
+        if not header_done:
+            ends = np.flatnonzero(line_end & (inside == 0))
+            header_done = len(ends) > 0
+            head += piece[:ends[0]] if header_done else piece
+        open_quote = bool(inside[-1])
+    names = next(csv.reader(io.StringIO(head.decode("utf-8-sig").rstrip("\r"), newline="")), [])
+    return md5.hexdigest(), names, broken
+
+
+def _files(spark: SparkSession, directory: str | Sequence[str], prefix: str, suffix: str, recursive: bool) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*{suffix}")
+            .option("recursiveFileLookup", recursive).load(directory))
+
+
+def list_landing(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv",
+                 recursive: bool = True) -> DataFrame:
+    """(path, file_name, length, modificationTime) of landing files; content is not read."""
+    return _files(spark, directory, prefix, suffix, recursive).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime")
 
 
-def _csv_reader(spark: SparkSession, multiline: bool):
-    return (spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("multiLine", multiline)
-            .option("recursiveFileLookup", True)
-            .option("mode", "PERMISSIVE"))
+def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv") -> DataFrame:
+    """(path, length, modificationTime, file_hash, header, quoted_newline) per file.
+
+    The hash is the MD5 of the bytes for files of every size. Executors read each file
+    once, a fixed piece at a time; a store that only Spark can open is read as whole
+    files (``binaryFile``), with the same result.
+    """
+    files = _files(spark, directory, prefix, suffix, True)
+    first = files.select("path").first()
+    streamed = first is None or first.path.partition(":")[0] in STREAMED
+
+    def run(batches):
+        for b in batches:
+            pieces = map(_chunks, b.column("path").to_pylist()) if streamed else ([c] for c in b.column("content").to_pylist())
+            found = [examine(p) for p in pieces]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("path"), b.column("length"), b.column("modificationTime"), pa.array([f[0] for f in found], pa.string()),
+                 pa.array([f[1] for f in found], pa.list_(pa.string())), pa.array([f[2] for f in found], pa.bool_())],
+                ["path", "length", "modificationTime", "file_hash", "header", "quoted_newline"])
+
+    columns = ["path", "length", "modificationTime"] + ([] if streamed else ["content"])
+    return files.select(*columns).mapInArrow(
+        run, "path string, length long, modificationTime timestamp, file_hash string, header array<string>, quoted_newline boolean")
 
 
 def scan_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
-             aliases: Mapping[str, str] | None = None, multiline: bool = False,
-             keep_extra: bool = False) -> DataFrame:
+             aliases: Mapping[str, str] | None = None, keep_extra: bool = False,
+             files: DataFrame | None = None) -> DataFrame:
     """CSV with a header, every column as text, NA tokens → NULL, selected by name.
 
-    Columns are matched by header name (any order, case-insensitive, with
-    ``aliases``), so a reordered file cannot mix fields up. Quoted newlines need
-    ``multiline=True`` (one split per file). Adds ``_path`` and ``_block`` from
-    the hidden ``_metadata`` column for lineage.
+    Every file is read by its own header: files with the same header (and the same need
+    for quoted line breaks) are one scan, and the scans are united by name, so a
+    reordered or wider file mixes nothing up. Names match case-insensitively, with
+    ``aliases``. ``files`` is a stored ``fingerprint`` of the files; without it they are
+    examined first. A file with quoted line breaks is one split, all others split
+    freely. Adds ``_path`` and ``_block`` from the hidden ``_metadata`` column.
     """
-    df = _csv_reader(spark, multiline).csv(path)
-    lookup = {}
-    for name in df.columns:
-        canon = (aliases or {}).get(name.strip().lower(), name.strip())
-        lookup[canon.lower()] = name
+    if files is None:
+        files = materialize(fingerprint(spark, path), "landing_files")
+    layouts = files.groupBy("header", "quoted_newline").agg(F.collect_list("path").alias("paths")).collect()
+    scans = [_scan_layout(spark, r.header, r.paths, r.quoted_newline, columns, aliases, keep_extra) for r in layouts]
+    if not scans:
+        fields = [StructField(c, StringType()) for c in (*columns, "_path")]
+        return spark.createDataFrame([], StructType(fields)).withColumn("_block", F.lit(0).cast("long"))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    extra = [c for c in united.columns if c not in columns and c not in ("_path", "_block")]
+    return united.select(*columns, *extra, "_path", "_block")
+
+
+def _scan_layout(spark, header, paths, multiline, columns, aliases, keep_extra) -> DataFrame:
+    """One scan of files that share a header."""
+    lookup = {(aliases or {}).get(n.strip().lower(), n.strip()).lower(): i for i, n in enumerate(header)}
     missing = [c for c in columns if c.lower() not in lookup]
-    if missing:
-        raise ValueError(f"landing file lacks columns {missing}; header is {df.columns}")
-    wanted = [na_to_null(lookup[c.lower()]).alias(c) for c in columns]
-    extra = []
-    if keep_extra:
-        known = {c.lower() for c in columns}
-        extra = [na_to_null(n).alias(n) for c, n in lookup.items() if c not in known]
-    return df.select(*wanted, *extra,
-                     F.col("_metadata.file_path").alias("_path"),
+    if missing or len(lookup) < len(header):
+        raise ValueError(f"landing file lacks columns {missing} or repeats one; header is {header}")
+    by_place = StructType([StructField(f"c{i}", StringType()) for i in range(len(header))])
+    df = (spark.read.schema(by_place).options(**CSV_TEXT).option("header", True).option("multiLine", multiline)
+          .option("mode", "PERMISSIVE").csv(paths))
+    wanted = [na_to_null(f"c{lookup[c.lower()]}").alias(c) for c in columns]
+    known = {c.lower() for c in columns}
+    extra = [na_to_null(f"c{i}").alias(header[i].strip()) for n, i in lookup.items() if n not in known] if keep_extra else []
+    return df.select(*wanted, *extra, F.col("_metadata.file_path").alias("_path"),
                      F.col("_metadata.file_block_start").alias("_block"))
 
 
-def list_landing(spark: SparkSession, directory: str, prefix: str = "", suffix: str = ".csv",
-                 recursive: bool = True) -> DataFrame:
-    """(path, file_name, length, modificationTime) of landing files; content is not read."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"{prefix}*{suffix}")
-            .option("recursiveFileLookup", recursive)
-            .load(directory)
-            .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime"))
-
-
 def latest_file(listing: DataFrame) -> DataFrame:
     """The newest file (ties broken by path), as a one-row DataFrame."""
     newest = F.max(F.struct("modificationTime", "path", "file_name", "length"))
@@ -81,26 +152,6 @@ def latest_file(listing: DataFrame) -> DataFrame:
         .filter(F.col("path").isNotNull())
 
 
-def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv",
-                max_content_bytes: int = MAX_CONTENT_HASH_BYTES) -> DataFrame:
-    """MD5 per file: of the bytes up to ``max_content_bytes``, else of (path, length, mtime).
-
-    binaryFile applies the ``length`` filter before it reads content, and the
-    large-file branch never selects ``content`` at all.
-    """
-    bf = (spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*{suffix}")
-          .option("recursiveFileLookup", True).load(directory))
-    small = bf.filter(F.col("length") <= max_content_bytes).select(
-        "path", "length", "modificationTime", F.md5("content").alias("file_hash"),
-        F.lit("content").alias("hash_basis"))
-    large = bf.filter(F.col("length") > max_content_bytes).select(
-        "path", "length", "modificationTime",
-        F.md5(F.concat_ws("|", "path", F.col("length").cast("string"), F.col("modificationTime").cast("string")))
-        .alias("file_hash"),
-        F.lit("metadata").alias("hash_basis"))
-    return small.unionByName(large)
-
-
 def unseen(listing: DataFrame, ledger: DataFrame | None, file_type: str | None = None) -> DataFrame:
     """Listed files that are not already ``completed`` under the same (path, size, mtime).
 
@@ -137,23 +188,19 @@ def block_table(scanned: DataFrame) -> DataFrame:
     base = scanned.withColumn("_rid", F.monotonically_increasing_id())
     blocks = base.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
     w = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    from vaultline.session import materialize
     return materialize(blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))), "blocks")
 
 
-def with_row_numbers(scanned: DataFrame, blocks: DataFrame | None = None,
-                     broadcast_blocks_below: int = 2_000_000) -> DataFrame:
+def with_row_numbers(scanned: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
     """``_row_number`` = 1-based data-row position within its file, without shuffling the rows.
 
     Row ids from ``monotonically_increasing_id`` are consecutive inside a split, so
     a row's position is ``_offset + (_rid - _first) + 1``. Only the per-split table
-    (one row per file split) moves: it is broadcast when its row count is under
-    ``broadcast_blocks_below`` (checked), else joined by sort-merge.
+    (one row per file split) moves: it is stored, so the planner knows its bytes and
+    broadcasts it under the session's threshold.
     """
     blocks = block_table(scanned) if blocks is None else blocks
     small = blocks.select("_path", "_block", "_first", "_offset")
-    if blocks.count() < broadcast_blocks_below:
-        small = F.broadcast(small)
     base = scanned.withColumn("_rid", F.monotonically_increasing_id())
     out = base.join(small, ["_path", "_block"], "inner")
     return out.withColumn("_row_number", (F.col("_offset") + F.col("_rid") - F.col("_first") + 1).cast("long")) \

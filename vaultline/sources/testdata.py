@@ -16,15 +16,9 @@ TABLES = (
 )
 
 
-_READERS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the test data; the reader (schema, file index) is reused per session."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _READERS[key]
+    """Parquet table of the test data."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Raw-view definitions agreed for the test data (dirty ids with

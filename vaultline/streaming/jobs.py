@@ -1,33 +1,34 @@
 """Streaming ingestion and exactly-once upserts with ``foreachBatch``.
 
-The file-source checkpoint is the arrival cursor (each file is processed once);
+The file-source checkpoint is the arrival cursor (each file is offered once);
 ``trigger(availableNow=True)`` drains what has landed and stops, a
-``processingTime="60 seconds"`` trigger polls like the reference's sensor.
-``foreachBatch`` is at-least-once, so every sink commits the batch id with the
-table version and skips replays.
+``processingTime="60 seconds"`` trigger polls. ``foreachBatch`` is at-least-once:
+ingestion skips files whose rows are stored, and merged tables commit the batch id
+with the version and skip replays.
 
-Files may arrive in any order, so the streamed upsert keeps, per key, the
-newest of stored and incoming rows (``keep_latest(existing ∪ batch)``) instead
-of the batch path's strict watermark.
+Files may arrive in any order, so the streamed upsert keeps, per key, the newest of
+stored and incoming rows instead of the batch path's strict watermark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from vaultline.operators.dedupe import keep_latest
+from vaultline.operators.incremental import _ntz
 from vaultline.plans import models as M
-from vaultline.sinks.tables import VersionedTable, append_raw
-from vaultline.sources import landing as L
+from vaultline.plans.gates import pair_gate
+from vaultline.plans.ingest import Catalog, Source, ingest_files
+from vaultline.session import materialize
+from vaultline.sinks.tables import VersionedTable
 
-
-def text_schema(columns) -> StructType:
-    return StructType([StructField(c, StringType(), True) for c in columns])
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _trigger(writer, trigger: str):
@@ -36,76 +37,79 @@ def _trigger(writer, trigger: str):
     return writer.trigger(processingTime=trigger)
 
 
-def ingest_stream(spark: SparkSession, landing_dir: str, columns, raw_path: str, checkpoint: str,
-                  trigger: str = "availableNow", max_files_per_trigger: int | None = None,
-                  run_ts_of_batch: Callable[[int], str] | None = None) -> StreamingQuery:
-    """Landing CSV files → raw table with lineage, one micro-batch per arrival set."""
-    reader = (spark.readStream.format("csv").schema(text_schema(columns))
-              .option("header", True).option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False).option("recursiveFileLookup", True))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir).select(
-        *[F.col(c) for c in columns],
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+def ingest_batch(spark: SparkSession, catalog: Catalog, source: Source, arrived: DataFrame, run_ts) -> dict:
+    """One micro-batch of arrived files (path, length, modificationTime); a replay adds nothing."""
+    return ingest_files(spark, catalog, source, materialize(arrived.select("path", "length", "modificationTime"), "arrived"), run_ts)
+
+
+def ingest_stream(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: str, checkpoint: str,
+                  trigger: str = "availableNow", max_files_per_trigger: int = 1000,
+                  run_ts_of_batch: Callable[[int], str] | None = None,
+                  on_pair: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Landing files → raw table under the rules of batch ingestion (ledger, hashes, headers, drift).
+
+    The stream carries file names only. ``on_pair`` is called after a micro-batch that
+    leaves completed files of both sources, that is when the next layers can run.
+    """
+    arrived = (spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv")
+               .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_trigger)
+               .load(landing_dir).select("path", "length", "modificationTime"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        from vaultline.functions.columns import na_to_null
-        scanned = batch.select(*[na_to_null(c).alias(c) for c in columns], "_path", "_block")
-        # The hash is taken from the files of this batch only.
-        paths = [r[0] for r in scanned.select("_path").distinct().collect()]
-        prints = L.fingerprint(spark, paths)
-        ts = run_ts_of_batch(batch_id) if run_ts_of_batch else None
-        rows = L.with_lineage(scanned, prints, ts).withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        append_raw(rows, raw_path)
+        ingest_batch(spark, catalog, source, batch, run_ts_of_batch(batch_id) if run_ts_of_batch else None)
+        ready = pair_gate(catalog.ledger(spark).read()) if on_pair else None
+        if ready is not None and ready.first()["ready"]:
+            on_pair(batch_id)
 
-    return _trigger(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
+    return _trigger(arrived.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
+
+
+@dataclass(frozen=True)
+class StreamedModel:
+    """A structured model as a stream: cleansing, key, and its audit columns."""
+
+    key: str
+    clean: Callable[[DataFrame], DataFrame]
+    audit: Callable[..., DataFrame]
+    columns: tuple
 
 
-def upsert_batch(table: VersionedTable, updates: DataFrame, key: str, order, batch_id: int) -> int | None:
-    """Order-insensitive, idempotent merge of one micro-batch into a versioned table.
+ACCOUNTS = StreamedModel("account_id", M.clean_accounts, M.audit_accounts, M.STR_ACCOUNT_COLUMNS)
+CUSTOMERS = StreamedModel("customer_id", M.clean_customers, M.audit_customers, M.STR_CUSTOMER_COLUMNS)
 
-    Only stored rows whose key occurs in the batch are compared with it (a semi-join
-    with the batch's keys, broadcast when their count is small); the newest row per
-    touched key then replaces the stored one. The stored table is scanned and
-    rewritten, never shuffled, and a replayed batch id is skipped.
+
+def _newest_first():
+    """The order of ``latest_first``, read from a structured row's lineage."""
+    field = lambda k: F.get_json_object("metadata_json", f"$.{k}")
+    return F.desc("_last_processed_at"), F.desc(field("row_number").cast("bigint")), F.desc(field("file_hash"))
+
+
+def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, batch_id: int, run_ts=None) -> int | None:
+    """Merge one micro-batch of raw rows into a structured table, whatever the order of arrival.
+
+    The batch is reduced to one row a key and stored; only buckets with one of its keys
+    are read and rewritten, the newest row a key stays, and a replayed batch is skipped.
     """
-    from vaultline.operators.incremental import _key_side, upsert
-    if table.exists():
-        last = table.commit_info().get("batch_id")
-        if last is not None and batch_id <= last:
-            return None
-        current = table.read()
-        batch = updates.select(*current.columns)
-        touched = current.join(_key_side(batch, [key], target=current), key, "left_semi")
-        winners = keep_latest(touched.unionByName(batch), [key], order)
-        merged = upsert(current, winners, key)
-    else:
-        merged = updates
-    return table.write(merged, mode="stream_upsert", batch_id=batch_id)
-
-
-STREAM_ACCOUNT_COLUMNS = ("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
-                          "_source_file", "_file_hash", "_row_number", "_ingested_at")
-
-
-def stream_structured_accounts(spark: SparkSession, raw_path: str, table_path: str, checkpoint: str,
-                               raw_schema: StructType, trigger: str = "availableNow",
-                               max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Raw accounts (Parquet, append-only) → structured accounts, streamed upsert on account_id."""
+    latest = keep_latest(model.clean(raw), [model.key], M.latest_first())
+    changes = materialize(model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts), "stream_changes")
+
+    def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+        first = stored.select(model.key, F.col("created_date").alias("_created"))
+        both = stored.unionByName(new.select(*stored.columns))
+        winners = keep_latest(both, [model.key], _newest_first()).join(first, model.key, "left")
+        return winners.withColumn("created_date", F.coalesce("_created", "created_date")).select(*model.columns)
+
+    return table.upsert(changes, model.key, batch_id=batch_id, merge=merge)
+
+
+def stream_structured(spark: SparkSession, model: StreamedModel, raw_path: str, table_path: str, checkpoint: str,
+                      raw_schema: StructType, trigger: str = "availableNow", max_files_per_trigger: int = 1000,
+                      run_ts_of_batch: Callable[[int], str] | None = None) -> StreamingQuery:
+    """Raw rows (Parquet, append-only) → structured table with the batch model's columns, merged per micro-batch."""
     table = VersionedTable(spark, table_path)
-    reader = spark.readStream.schema(raw_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(raw_path)
+    stream = spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(raw_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        cleaned = M.clean_accounts(batch).select(*STREAM_ACCOUNT_COLUMNS)
-        # used for the key count and the merge: keep the batch's result for this batch only
-        latest = keep_latest(cleaned, ["account_id"], M.latest_first()).persist()
-        try:
-            upsert_batch(table, latest, "account_id", M.latest_first(), batch_id)
-        finally:
-            latest.unpersist()
+        upsert_batch(table, model, batch, batch_id, run_ts_of_batch(batch_id) if run_ts_of_batch else None)
 
     return _trigger(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
