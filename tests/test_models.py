@@ -1,7 +1,8 @@
-"""The reference's model unit tests (given rows → expected rows), ported."""
+"""Model rules on small tables: full loads, increments, late rows, newest wins, audit dates."""
 
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ STR_A = ("account_id string, account_type string, original_balance decimal(15,2)
 STR_C = ("customer_id string, customer_name string, hasloan boolean, created_date string, modified_date string, "
          "metadata_json string, _last_processed_at string")
 T1, T2 = "2024-01-01 10:00:00", "2024-01-02 10:00:00"
+SPRING, SUMMER, RUN = "2023-04-03 08:15:00", "2023-07-19 17:40:00", "2023-08-01 00:00:00"
 
 
 def _ts(df, *cols):
@@ -33,36 +35,45 @@ def str_c(spark, data):
     return _ts(spark.createDataFrame(data, STR_C), "created_date", "modified_date", "_last_processed_at")
 
 
-# ---- structured: str_accounts
+def raw_accounts(spark, *given):
+    """(id, type, balance, customer, when) as raw rows, numbered in the order given."""
+    return spark.createDataFrame([(i, t, b, c, when, f"{when[:10]}.csv", f"md5-{when[:10]}", n)
+                                  for n, (i, t, b, c, when) in enumerate(given, 1)], RAW_A)
 
-def test_str_accounts_initial_load(spark):
-    raw = spark.createDataFrame([("ACC001", "savings", "5000.00", "CUS001", T1, "accounts1.csv", "hash1", 1),
-                                 ("ACC002", "checking", "10000.00", "CUS002", T1, "accounts1.csv", "hash1", 2)], RAW_A)
-    out = M.str_accounts(raw, None, "2025-01-01 00:00:00")
-    assert rows(out, "account_id", "account_type", "original_balance", "customer_id") == [
-        ("ACC001", "savings", Decimal("5000.00"), "CUS001"), ("ACC002", "checking", Decimal("10000.00"), "CUS002")]
 
+def raw_customers(spark, *given):
+    """(id, name, loan, when) as raw rows."""
+    return spark.createDataFrame([(i, n, loan, when, f"{when[:10]}.csv", f"md5-{when[:10]}", k)
+                                  for k, (i, n, loan, when) in enumerate(given, 1)], RAW_C)
+
+
+def accounts(spark, *given):
+    """(id, type, balance, customer, modified) as structured rows created in spring."""
+    return str_a(spark, [(i, t, Decimal(b), c, SPRING, when, "{}", when) for i, t, b, c, when in given])
 
-def test_str_accounts_incremental_new_accounts(spark):
-    raw = spark.createDataFrame([("ACC001", "savings", "5000.00", "CUS001", T1, "accounts1.csv", "hash1", 1),
-                                 ("ACC003", "savings", "15000.00", "CUS003", T2, "accounts2.csv", "hash2", 1)], RAW_A)
-    this = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    out = M.str_accounts(raw, this, "2025-01-01 00:00:00")
-    assert rows(out, "account_id", "account_type", "original_balance", "customer_id") == [
-        ("ACC003", "savings", Decimal("15000.00"), "CUS003")]
 
+def customers(spark, *given):
+    """(id, name, loan, modified) as structured rows."""
+    return str_c(spark, [(i, n, loan, SPRING, when, "{}", when) for i, n, loan, when in given])
 
-def test_str_accounts_incremental_old_accounts_excluded(spark):
-    raw = spark.createDataFrame([("ACC001", "savings", "5000.00", "CUS001", T1, "accounts1.csv", "hash1", 1)], RAW_A)
-    this = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    assert M.str_accounts(raw, this).count() == 0
 
+# ---- structured
 
-def test_str_accounts_deduplication_latest_wins(spark):
-    raw = spark.createDataFrame([("ACC001", "savings", "5000.00", "CUS001", T1, "accounts1.csv", "hash1", 1),
-                                 ("ACC001", "savings", "7500.00", "CUS001", T2, "accounts2.csv", "hash2", 1)], RAW_A)
-    out = M.str_accounts(raw)
-    assert rows(out, "account_id", "original_balance") == [("ACC001", Decimal("7500.00"))]
+KNOWN = ("S-17", "savings", "820.40", "K4", SPRING)
+
+
+@pytest.mark.parametrize("known,delivered,expected", [
+    ([], [KNOWN, ("G-2", "checking", "64", "K9", SPRING)], [("G-2", "checking", "64.00", "K9"), ("S-17", "savings", "820.40", "K4")]),
+    ([KNOWN], [KNOWN, ("S-90", "savings", "12.5", "K1", SUMMER)], [("S-90", "savings", "12.50", "K1")]),
+    ([KNOWN], [KNOWN], []),
+    ([], [KNOWN, ("S-17", "savings", "1,910.05", "K4", SUMMER)], [("S-17", "savings", "1910.05", "K4")]),
+    ([], [("S-17", "savings", "3", "K4", SUMMER), KNOWN], [("S-17", "savings", "3.00", "K4")]),
+], ids=["first load", "only the new account", "nothing new", "newest delivery wins", "whatever the order"])
+def test_str_accounts(spark, known, delivered, expected):
+    existing = accounts(spark, *known) if known else None
+    out = M.str_accounts(raw_accounts(spark, *delivered), existing, RUN)
+    assert rows(out, "account_id", "account_type", "original_balance", "customer_id") == [
+        (i, t, Decimal(b), c) for i, t, b, c in expected]
 
 
 def test_str_accounts_cleansing_and_flags(spark):
@@ -88,149 +99,92 @@ def test_str_accounts_same_time_later_row_wins(spark):
     assert rows(M.str_accounts(raw), "original_balance") == [(Decimal("2.00"),)]
 
 
-def test_str_accounts_preserves_created_date(spark):
-    raw = spark.createDataFrame([("ACC001", "savings", "9000.00", "CUS001", T2, "a2.csv", "h2", 1)], RAW_A)
-    this = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    out = M.str_accounts(raw, this, "2025-01-01 00:00:00").first()
-    assert str(out["created_date"]) == T1
-    assert str(out["modified_date"]) == "2025-01-01 00:00:00"
-
-
-# ---- structured: str_customers
+def test_str_accounts_keeps_the_creation_date(spark):
+    out = M.str_accounts(raw_accounts(spark, ("S-17", "savings", "77", "K4", SUMMER)), accounts(spark, KNOWN), RUN).first()
+    assert (str(out["created_date"]), str(out["modified_date"])) == (SPRING, RUN)
 
-def test_str_customers_initial_load(spark):
-    raw = spark.createDataFrame([("CUS001", "john doe", "true", T1, "customers1.csv", "hash1", 1),
-                                 ("CUS002", "jane smith", "false", T1, "customers1.csv", "hash1", 2)], RAW_C)
-    assert rows(M.str_customers(raw), "customer_id", "customer_name", "hasloan") == [
-        ("CUS001", "John Doe", True), ("CUS002", "Jane Smith", False)]
 
+MARA = ("K4", "mara  vogel", "y", SPRING)
 
-def test_str_customers_incremental_new_customers(spark):
-    raw = spark.createDataFrame([("CUS001", "john doe", "true", T1, "customers1.csv", "hash1", 1),
-                                 ("CUS003", "bob wilson", "false", T2, "customers2.csv", "hash2", 1)], RAW_C)
-    this = str_c(spark, [("CUS001", "John Doe", True, T1, T1, "{}", T1)])
-    assert rows(M.str_customers(raw, this), "customer_id", "customer_name", "hasloan") == [
-        ("CUS003", "Bob Wilson", False)]
 
+@pytest.mark.parametrize("known,delivered,expected", [
+    (False, [MARA, ("K9", "TOMÁS prieto", "n", SPRING)], [("K4", "Mara Vogel", True), ("K9", "Tomás Prieto", False)]),
+    (True, [MARA, ("K1", "ines", "1", SUMMER)], [("K1", "Ines", True)]),
+    (True, [MARA], []),
+    (False, [MARA, ("K4", "mara klein", "no", SUMMER)], [("K4", "Mara Klein", False)]),
+], ids=["first load", "only the new customer", "nothing new", "newest delivery wins"])
+def test_str_customers(spark, known, delivered, expected):
+    existing = customers(spark, ("K4", "Mara Vogel", True, SPRING)) if known else None
+    out = M.str_customers(raw_customers(spark, *delivered), existing, RUN)
+    assert rows(out, "customer_id", "customer_name", "hasloan") == expected
 
-def test_str_customers_incremental_old_customers_excluded(spark):
-    raw = spark.createDataFrame([("CUS001", "john doe", "true", T1, "customers1.csv", "hash1", 1)], RAW_C)
-    this = str_c(spark, [("CUS001", "John Doe", True, T1, T1, "{}", T1)])
-    assert M.str_customers(raw, this).count() == 0
 
+# ---- curated: fact
 
-def test_str_customers_deduplication_latest_wins(spark):
-    raw = spark.createDataFrame([("CUS001", "john doe", "true", T1, "customers1.csv", "hash1", 1),
-                                 ("CUS001", "john doe updated", "false", T2, "customers2.csv", "hash2", 1)], RAW_C)
-    assert rows(M.str_customers(raw), "customer_id", "customer_name", "hasloan") == [
-        ("CUS001", "John Doe Updated", False)]
+@pytest.mark.parametrize("balance,loan,rate,interest", [
+    ("9999.99", False, "0.0100", "100.00"), ("10000.00", False, "0.0150", "150.00"), ("20000.00", False, "0.0150", "300.00"),
+    ("20000.01", False, "0.0200", "400.00"), ("640.00", True, "0.0150", "9.60"), ("31000.00", True, "0.0250", "775.00"),
+    ("-50.00", False, "0.0100", "-0.50"), ("0.00", True, "0.0150", "0.00")])
+def test_interest_by_balance_and_loan(spark, balance, loan, rate, interest):
+    acc = accounts(spark, ("S-17", "savings", balance, "K4", SPRING))
+    r = M.fact_customer_balances(acc, customers(spark, ("K4", "Mara Vogel", loan, SPRING))).first()
+    assert (r["interest_rate"], r["annual_interest"]) == (Decimal(rate), Decimal(interest))
+    assert r["new_balance"] == Decimal(balance) + Decimal(interest)
 
 
-# ---- curated: fact rates
+def _people(spark):
+    return customers(spark, ("K4", "Mara Vogel", False, SPRING), ("K9", "Tomás Prieto", True, SPRING))
 
-def _fact_for(spark, balance, acct_type="savings", loan=False):
-    acc = str_a(spark, [("ACC001", acct_type, Decimal(balance), "CUS001", T1, T1, "{}", T1)])
-    cust = str_c(spark, [("CUS001", "John Doe", loan, T1, T1, "{}", T1)])
-    return M.fact_customer_balances(acc, cust)
 
-
-def test_interest_rate_tiers(spark):
-    cases = [("5000.00", False, "0.0100", "50.00", "5050.00"), ("15000.00", False, "0.0150", "225.00", "15225.00"),
-             ("25000.00", False, "0.0200", "500.00", "25500.00"), ("5000.00", True, "0.0150", "75.00", "5075.00"),
-             ("10000.00", False, "0.0150", "150.00", "10150.00")]
-    for bal, loan, rate, interest, new in cases:
-        r = _fact_for(spark, bal, loan=loan).first()
-        assert (r["interest_rate"], r["annual_interest"], r["new_balance"]) == \
-            (Decimal(rate), Decimal(interest), Decimal(new)), bal
-
-
-def test_checking_account_excluded(spark):
-    assert _fact_for(spark, "10000.00", acct_type="checking").count() == 0
-
-
-def test_fact_initial_load(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1),
-                        ("ACC002", "savings", Decimal("15000.00"), "CUS002", T1, T1, "{}", T1),
-                        ("ACC003", "checking", Decimal("10000.00"), "CUS003", T1, T1, "{}", T1)])
-    cust = str_c(spark, [("CUS001", "John Doe", False, T1, T1, "{}", T1),
-                         ("CUS002", "Jane Smith", False, T1, T1, "{}", T1),
-                         ("CUS003", "Bob Wilson", False, T1, T1, "{}", T1)])
-    assert rows(M.fact_customer_balances(acc, cust), "account_id", "interest_rate", "annual_interest") == [
-        ("ACC001", Decimal("0.0100"), Decimal("50.00")), ("ACC002", Decimal("0.0150"), Decimal("225.00"))]
-
-
-def _fact_this(spark, bal="5000.00"):
-    return _ts(spark.createDataFrame([("ACC001", "savings", Decimal(bal), "CUS001", T1, T1)],
+def _priced(spark, balance="820.40"):
+    return _ts(spark.createDataFrame([("S-17", "savings", Decimal(balance), "K4", SPRING, SPRING)],
                                      "account_id string, account_type string, original_balance decimal(15,2), "
                                      "customer_id string, created_date string, modified_date string"),
                "created_date", "modified_date")
 
 
-def test_fact_incremental_new_savings_accounts(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1),
-                        ("ACC004", "savings", Decimal("25000.00"), "CUS004", T2, T2, "{}", T2)])
-    cust = str_c(spark, [("CUS001", "John Doe", False, T1, T1, "{}", T1),
-                         ("CUS004", "Alice Brown", True, T2, T2, "{}", T2)])
-    out = M.fact_customer_balances(acc, cust, _fact_this(spark))
-    assert rows(out, "account_id", "interest_rate", "annual_interest") == [
-        ("ACC004", Decimal("0.0250"), Decimal("625.00"))]
-
-
-def test_fact_incremental_modified_savings_accounts(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("7500.00"), "CUS001", T1, "2024-01-02 11:00:00", "{}", T2)])
-    cust = str_c(spark, [("CUS001", "John Doe", False, T1, T1, "{}", T1)])
-    out = M.fact_customer_balances(acc, cust, _fact_this(spark), "2025-01-01 00:00:00")
-    r = out.first()
-    assert (r["account_id"], r["original_balance"], r["interest_rate"], r["annual_interest"]) == \
-        ("ACC001", Decimal("7500.00"), Decimal("0.0100"), Decimal("75.00"))
-    assert str(r["created_date"]) == T1
+def test_fact_takes_savings_accounts_of_known_customers(spark):
+    acc = accounts(spark, KNOWN, ("G-2", "checking", "64", "K9", SPRING), ("S-3", "savings", "15250", "K9", SPRING),
+                   ("S-8", "savings", "1", "nobody", SPRING))
+    assert rows(M.fact_customer_balances(acc, _people(spark)), "account_id", "interest_rate", "annual_interest") == [
+        ("S-17", Decimal("0.0100"), Decimal("8.20")), ("S-3", Decimal("0.0200"), Decimal("305.00"))]
 
 
-def test_fact_incremental_unchanged_excluded(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    cust = str_c(spark, [("CUS001", "John Doe", False, T1, T1, "{}", T1)])
-    assert M.fact_customer_balances(acc, cust, _fact_this(spark)).count() == 0
+@pytest.mark.parametrize("now,expected", [
+    ([KNOWN, ("S-3", "savings", "15250", "K9", SUMMER)], [("S-3", Decimal("305.00"), RUN)]),
+    ([("S-17", "savings", "2000", "K4", SUMMER)], [("S-17", Decimal("20.00"), SPRING)]),
+    ([KNOWN], []),
+], ids=["new account", "changed account keeps its creation date", "unchanged account"])
+def test_fact_increment(spark, now, expected):
+    out = M.fact_customer_balances(accounts(spark, *now), _people(spark), _priced(spark), RUN)
+    got = [(r.account_id, r.annual_interest, str(r.created_date)) for r in out.collect()]
+    assert got == expected
 
 
 def test_fact_refresh_on_both_picks_up_loan_change(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    cust = str_c(spark, [("CUS001", "John Doe", True, T1, T2, "{}", T2)])
-    assert M.fact_customer_balances(acc, cust, _fact_this(spark)).count() == 0  # reference behaviour
-    out = M.fact_customer_balances(acc, cust, _fact_this(spark), refresh_on="both")
-    assert rows(out, "account_id", "interest_rate") == [("ACC001", Decimal("0.0150"))]
+    acc, loan_now = accounts(spark, KNOWN), customers(spark, ("K4", "Mara Vogel", True, SUMMER))
+    assert M.fact_customer_balances(acc, loan_now, _priced(spark)).count() == 0  # accounts alone decide by default
+    out = M.fact_customer_balances(acc, loan_now, _priced(spark), refresh_on="both")
+    assert rows(out, "account_id", "interest_rate") == [("S-17", Decimal("0.0150"))]
 
 
 # ---- curated: dimensions
 
-def test_dim_account_initial_load(spark):
-    acc = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1),
-                        ("ACC002", "checking", Decimal("10000.00"), "CUS002", T1, T1, "{}", T1),
-                        ("ACC003", "money_market", Decimal("25000.00"), "CUS003", T1, T1, "{}", T1)])
-    assert rows(M.dim_account(acc), "account_id", "account_type") == [
-        ("ACC001", "savings"), ("ACC002", "checking"), ("ACC003", "money_market")]
-
-
-def test_dim_account_incremental(spark):
-    this = M.dim_account(str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)]))
-    new = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1),
-                        ("ACC004", "savings", Decimal("15000.00"), "CUS004", T2, T2, "{}", T2)])
-    assert rows(M.dim_account(new, this), "account_id") == [("ACC004",)]
-    modified = str_a(spark, [("ACC001", "savings", Decimal("7500.00"), "CUS001", T1, "2024-01-02 11:00:00", "{}", T2)])
-    assert rows(M.dim_account(modified, this), "account_id", "original_balance") == [("ACC001", Decimal("7500.00"))]
-    unchanged = str_a(spark, [("ACC001", "savings", Decimal("5000.00"), "CUS001", T1, T1, "{}", T1)])
-    assert M.dim_account(unchanged, this).count() == 0
-
-
-def test_dim_customer_incremental(spark):
-    base = [("CUS001", "John Doe", False, T1, T1, "{}", T1)]
-    this = M.dim_customer(str_c(spark, base))
-    assert rows(M.dim_customer(str_c(spark, base + [("CUS002", "Jane Smith", True, T1, T1, "{}", T1)])),
-                "customer_id") == [("CUS001",), ("CUS002",)]
-    new = str_c(spark, base + [("CUS003", "Bob Wilson", False, T2, T2, "{}", T2)])
-    assert rows(M.dim_customer(new, this), "customer_id") == [("CUS003",)]
-    mod = str_c(spark, [("CUS001", "John Doe Updated", True, T1, "2024-01-02 11:00:00", "{}", T2)])
-    assert rows(M.dim_customer(mod, this), "customer_name", "hasloan") == [("John Doe Updated", True)]
-    assert M.dim_customer(str_c(spark, base), this).count() == 0
+def test_dim_account(spark):
+    first = M.dim_account(accounts(spark, KNOWN, ("G-2", "checking", "64", "K9", SPRING)))
+    assert rows(first, "account_id", "account_type") == [("G-2", "checking"), ("S-17", "savings")]
+    later = accounts(spark, KNOWN, ("G-2", "checking", "65", "K9", SUMMER), ("M-1", "money_market", "5", "K1", SPRING))
+    assert rows(M.dim_account(later, first), "account_id", "original_balance") == [("G-2", Decimal("65.00")), ("M-1", Decimal("5.00"))]
+    assert M.dim_account(accounts(spark, KNOWN), first).count() == 0
+    assert rows(M.modified_since(later, first), "account_id") == [("G-2",), ("M-1",), ("S-17",)]
+
+
+def test_dim_customer(spark):
+    first = M.dim_customer(_people(spark))
+    assert rows(first, "customer_id") == [("K4",), ("K9",)]
+    later = customers(spark, ("K4", "Mara Klein", True, SUMMER), ("K9", "Tomás Prieto", True, SPRING), ("K1", "Ines", False, SUMMER))
+    assert rows(M.dim_customer(later, first), "customer_name", "hasloan") == [("Ines", False), ("Mara Klein", True)]
+    assert M.dim_customer(_people(spark), first).count() == 0
 
 
 def test_upsert_replaces_and_inserts(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vaultline.plans.runner import run_all
 from vaultline.sinks.tables import VersionedTable
 
-# Golden sample of the reference (accounts / customers CSV with blank trailing lines).
+# The sample deliveries (with blank trailing lines) and the report they must give.
 ACCOUNTS_CSV = """AccountID,CustomerID,Balance,AccountType
 A001,101,10000,Savings
 A002,102,20000,Checking
@@ -100,3 +100,45 @@ def test_access_checks_raise_on_error(spark, tmp):
         run_all(spark, os.path.join(tmp, "wh"), acc_dir, cust_dir, "2025-01-01 00:00:00")
     out = run_all(spark, os.path.join(tmp, "wh2"), acc_dir, cust_dir, "2025-01-01 00:00:00", strict_access=False)
     assert out["checks_failed"] >= 1
+
+
+def test_full_refresh_rebuilds_from_the_whole_raw_layer(spark, tmp):
+    acc_dir, cust_dir = _landing(tmp, "accounts", ACCOUNTS_CSV), _landing(tmp, "customers", CUSTOMERS_CSV)
+    root = os.path.join(tmp, "warehouse")
+    run_all(spark, root, acc_dir, cust_dir, "2025-01-01 00:00:00")
+    out = run_all(spark, root, acc_dir, cust_dir, "2025-01-05 00:00:00", full_refresh=True)
+    assert out["structured"] == out["curated"] == "processed" and out["pair_ready"]
+    fact = VersionedTable(spark, f"{root}/curated/fact_customer_balances").read()
+    assert {str(r.created_date) for r in fact.collect()} == {"2025-01-05 00:00:00"} and fact.count() == 5
+
+
+def test_a_run_waits_for_the_pair_and_stores_checks_and_failures(spark, tmp, monkeypatch):
+    import pytest
+
+    from vaultline.plans import models as M
+    from vaultline.plans.ingest import Catalog
+    acc_dir, cust_dir = _landing(tmp, "accounts", ACCOUNTS_CSV), os.path.join(tmp, "landing", "customers")
+    os.makedirs(cust_dir)
+    root = os.path.join(tmp, "warehouse")
+    cat = Catalog(root)
+    assert run_all(spark, root, acc_dir, cust_dir, "2025-01-01 00:00:00")["structured"] == "waiting"
+    _landing(tmp, "customers", CUSTOMERS_CSV)
+
+    def broken(*args, **kw):
+        raise OSError("no dimension today")
+
+    with monkeypatch.context() as m:
+        m.setattr(M, "dim_customer", broken)
+        with pytest.raises(OSError):
+            run_all(spark, root, acc_dir, cust_dir, "2025-01-02 00:00:00")
+    log = {(r.target_table, r.status): r for r in cat.process_log(spark).read().collect()}
+    assert log["dim_customer", "failed"].error_message == "no dimension today"
+    assert log["dim_account", "completed"].records_inserted == 7 and log["dim_account", "completed"].duration_seconds > 0
+    # the next run finishes what that one left, the dimensions included, with either gate
+    out = run_all(spark, root, acc_dir, cust_dir, "2025-01-03 00:00:00", gate="new_keys")
+    assert out["structured"] == "skipped" and out["curated"] == "processed"
+    assert cat.table(spark, "curated", "dim_customer").read().count() == 6
+    assert cat.table(spark, "curated", "dim_account").read().count() == 7
+    checks = cat.check_results(spark).read()
+    assert checks.count() == 53 and checks.where("check_name in ('interest_calculation', 'only_savings', 'orphan_accounts')").count() == 3
+    assert run_all(spark, root, acc_dir, cust_dir, "2025-01-04 00:00:00", gate="new_keys")["curated"] == "skipped"
