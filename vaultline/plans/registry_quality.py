@@ -12,7 +12,7 @@ from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
 from vaultline.plans.registry import curated_full, query
-from vaultline.session import materialize, work_dir
+from vaultline.session import at_once, materialize, work_dir
 from vaultline.sinks.ledgers import check_rows
 from vaultline.sinks.tables import VersionedTable
 from vaultline.sources import testdata as T
@@ -40,11 +40,15 @@ class LayerTables(Mapping):
         "account_summary": lambda t: M.account_summary(t["fact_customer_balances"], ordered=False),
     }
 
+    _LATER = ("fact_customer_balances", "fact_repriced", "account_summary")
+
     def __init__(self, spark, sf):
         self.spark, self.sf, self._built = spark, sf, {}
 
     def __getitem__(self, name):
         if name not in self._built:
+            if name in self._LATER and "str_accounts" not in self._built:
+                at_once(lambda: self["str_accounts"], lambda: self["str_customers"])  # independent chains
             self._built[name] = self._BUILD[name](self)
         return self._built[name]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +74,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def at_once(*steps):
+    """Run independent steps (callables that start Spark jobs) side by side; their results in order."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 def clear_work(spark: SparkSession) -> None:
     """Remove this session's intermediate tables; call it when a run's results are stored."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), "vaultline-work"))
