@@ -45,7 +45,7 @@ def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, path, decoded=True)
     return coded.select(F.col("id").alias("doc_id"), F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -28,10 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.text import slices
+from vaultline.llm.text import slices, texts_frame
 
 WIDE = 64
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 NO_RANK = np.int32(2**31 - 1)
 # Fixed value: how the vocabulary's definition splits normalized text.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -195,17 +195,24 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids binary)`` per row; ids as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``(id, ids binary)`` per row; ids as little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the text decoded from the ids is one more column, made in the same
+    Python step, so a core needs one worker and one vocabulary.
+    """
     def run(batches):
         vocab = vocabulary(path)
         for batch in batches:
             for b in slices(batch, "t"):
                 got = vocab.encode_texts([t or "" for t in b.column("t").to_pylist()])
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(got, pa.binary())], ["id", "ids"])
+                columns = [b.column("id"), pa.array(got, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([vocab.decode(ids) for ids in got], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][:len(columns)])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "id long, ids binary")
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return src.mapInArrow(run, "id long, ids binary" + ", decoded string" * decoded)
 
 
 def decode(coded: DataFrame, path: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:

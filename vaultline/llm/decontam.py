@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.text import Names, slices, texts_of
+from vaultline.llm.text import Names, slices, texts_frame, texts_of
 from vaultline.session import materialize
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
@@ -166,7 +166,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``(id, item_id, coverage, n_tiles, n_matched)`` for each document and item it leaks."""
     items = _items(benchmark, item_col, item_text)
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     if not _small(items):
         return _find_joined(src, items, min_match, min_coverage)
     get = _sent([(r.item, r.text.encode()) for r in items.orderBy("item", "text").collect()], min_match)
@@ -227,4 +227,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 keep = [not x for x in _leaks_of(b, text_col, get(), memo, min_coverage)]
                 yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return texts_frame(docs).mapInArrow(run, docs.schema)

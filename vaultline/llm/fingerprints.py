@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.text import SLICE_BYTES, Names, int_range, mix
+from vaultline.llm.text import SLICE_BYTES, Names, int_range, mix, texts_frame
 
 BINS = 64
 ROUNDS = 8
@@ -165,7 +165,7 @@ def _walk(batches):
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and its edited text, and their likeness (see ``_SCHEMA``)."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     order = F.coalesce("id", F.lit(-(1 << 63)))
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = src.agg(F.percentile_approx(order, [k / n for k in range(1, n)], 100 * n)).first()[0]

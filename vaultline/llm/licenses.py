@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.arrays import array_rows, summed
-from vaultline.llm.text import slices, texts_of
+from vaultline.llm.text import slices, texts_frame, texts_of
 from vaultline.session import materialize
 
 MIN_COSINE = 0.7
@@ -130,7 +130,7 @@ def document_frequencies(files: DataFrame, vocabulary: list[bytes], text_col: st
         if total.any():
             yield array_rows(total)
 
-    src = files.select(F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(files).select(F.col(text_col).cast("string").alias("t"))
     df = summed(src.mapInArrow(run, "part int, sums binary"), (1, len(vocabulary) + 1))[0]
     return df[:-1], int(df[-1])
 
@@ -150,7 +150,7 @@ def own_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str, te
                                                   pa.array([g[1] for g in got], pa.float64())],
                                                  ["id", "path", "own_license", "own_score"])
 
-    src = files.select(F.col(id_col).cast("long").alias("id"), F.col(path_col).cast("string").alias("path"),
+    src = texts_frame(files).select(F.col(id_col).cast("long").alias("id"), F.col(path_col).cast("string").alias("path"),
                        F.col(text_col).cast("string").alias("t"))
     return src.mapInArrow(run, "id long, path string, own_license string, own_score double")
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.arrays import array_rows, summed
-from vaultline.llm.text import MEMO_WORDS, slices, texts_of
+from vaultline.llm.text import MEMO_WORDS, slices, texts_frame, texts_of
 from vaultline.session import materialize
 
 SHARE = 200_000
@@ -245,7 +245,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     Learns from the rows whose ``held_out`` is not true. ``base_score`` is the add-one
     unigram log10 probability, ``score`` the class model's.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                       F.col(text_col).cast("string").alias("t"))
     train = src.where("not held_out").select("t")
     vocabulary = materialize(count_words(train), "lm_words")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.arrays import array_rows, summed
-from vaultline.llm.text import MEMO_WORDS, slices, texts_of
+from vaultline.llm.text import MEMO_WORDS, slices, texts_frame, texts_of
 from vaultline.session import materialize
 
 BUCKETS, DIM, NONZERO, HIDDEN = 4096, 64, 4, 16
@@ -86,7 +86,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         if total.any():
             yield array_rows(total.reshape(64, -1))
 
-    src = docs.select(F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(docs).select(F.col(text_col).cast("string").alias("t"))
     context = summed(src.mapInArrow(run, "part int, sums binary"), (64, BUCKETS * DIM // 64)).reshape(BUCKETS, DIM)
     places, signs = index_vectors()
     own = np.zeros((BUCKETS, DIM))
@@ -115,7 +115,7 @@ def pool(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text_col:
                 vecs = _pooled(texts_of(b, "t"), vectors, memo)
                 yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([v.tobytes() for v in vecs], pa.binary())], ["id", "vec"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     return src.mapInArrow(run, "id long, vec binary")
 
 
@@ -222,4 +222,4 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float, id_col: str =
                 keep = net.scores(_pooled(texts_of(b, text_col), vectors, memo).astype(np.float64)) >= threshold
                 yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return texts_frame(docs).mapInArrow(run, docs.schema)

@@ -94,7 +94,7 @@ def word_vocabulary() -> str:
 @query("op10_bpe_encode_decode")
 def op10(spark, sf):
     path = word_vocabulary()
-    coded = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    coded = bpe.encode(table(spark, sf, "documents"), path, decoded=True)
     return coded.select(F.col("id").alias("doc_id"), F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.text import texts_frame
+
 KINDS = ("assign", "access", "hex", "markov")
 # The base rules (keywords and minimum lengths).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -108,7 +110,7 @@ def corpus_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 totals[0] += _transitions(codes)
         yield from _count_rows(totals)
 
-    counted = docs.select(F.col(text_col).cast("string").cast("binary").alias("t")).mapInArrow(run, "label int, cell int, n long")
+    counted = texts_frame(docs).select(F.col(text_col).cast("string").cast("binary").alias("t")).mapInArrow(run, "label int, cell int, n long")
     return counted.groupBy("label", "cell").agg(F.sum("n").alias("n"))
 
 
@@ -176,7 +178,7 @@ def find(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: s
                      for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], ["id", "spans"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
     return src.mapInArrow(run, schema)
 
 
@@ -198,4 +200,4 @@ def redact(docs: DataFrame, ratio: np.ndarray, text_col: str = "text") -> DataFr
             texts = [None if t is None else redact_text(t, ratio).decode() for t in b.column(i).cast(pa.binary()).to_pylist()]
             yield b.set_column(i, b.schema.field(i), pa.array(texts, b.schema.field(i).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return texts_frame(docs).mapInArrow(run, docs.schema)

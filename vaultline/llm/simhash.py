@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.components import connected_components
-from vaultline.llm.text import texts_of
+from vaultline.llm.text import texts_frame, texts_of
 from vaultline.session import materialize
 
 # Distinct fingerprints compared in one block; a larger bucket is cut into chunks.
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t, shingle) for t in texts_of(b, "_text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(fps, pa.int64())], ["id", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     return src.mapInArrow(run, "id long, fp long")
 
 

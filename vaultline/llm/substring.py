@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.text import Names, mix, slices, texts_of
+from vaultline.llm.text import Names, mix, slices, texts_frame, texts_of
 from vaultline.session import materialize, work_dir
 
 WINDOW = 13
@@ -293,7 +293,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     size = src.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     chunks, buckets = max(2 * n, size // CHUNK_BYTES), max(n, size // BUCKET_BYTES)
     name = f"substring_docs_{uuid.uuid4().hex}"

@@ -12,11 +12,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
 # Texts handled at once inside a task (bytes); a longer single text is its own slice.
 SLICE_BYTES = 4 << 20
 # Words whose names a worker remembers before it starts over.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
+# Rows of an Arrow batch: texts are large, and a batch is held on both sides of a worker's pipe.
+BATCH_ROWS = "1000"
+
+
+def texts_frame(df: DataFrame) -> DataFrame:
+    """The frame, in a session whose Arrow batches hold ``BATCH_ROWS`` rows at most."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= int(BATCH_ROWS):
+        df.sparkSession.conf.set(key, BATCH_ROWS)
+    return df
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
