@@ -190,6 +190,6 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.array(F.struct(range_of(order).alias("range"), F.lit(False).alias("copied")),
                 F.struct(copied_to(order).alias("range"), F.lit(True).alias("copied"))),
         lambda s: s["range"] >= 0)).alias("s")).select("s.*", "id", "t")
-    return (placed.repartition("range")
+    return (placed.repartitionById(n, F.col("range") % n)  # one range a partition
             .sortWithinPartitions("range", "copied", F.desc_nulls_last("id"), F.xxhash64("t"))
             .mapInArrow(_walk, _SCHEMA))
