@@ -53,7 +53,7 @@ def _streamed(spark, model, raw, files: int):
     raw_path, table = work_dir(spark, "raw"), work_dir(spark, "streamed")
     raw.write.option("maxRecordsPerFile", -(-raw.count() // files)).parquet(raw_path)
     stream_structured(spark, model, raw_path, table, work_dir(spark, "stream-ckpt"), raw.schema,
-                      max_files_per_trigger=2, run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
+                      max_files_per_trigger=-(-files // 2), run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
     return VersionedTable(spark, table).read()
 
 
