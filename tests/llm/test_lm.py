@@ -89,3 +89,34 @@ def test_edge_cases(spark):
     assert lm.score(docs.limit(0), F.lit(False)).collect() == []
     both = make_docs(spark, [(1, "a b"), (1, "a b"), (1, "c"), (None, "a")])
     assert lm.score(both, F.lit(None).cast("boolean")).count() == 4
+
+
+def test_frequent_words_are_clustered_at_any_vocabulary_size(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PAIRS", 500)
+    rng = np.random.default_rng(5)
+    kinds = [[f"w{k}x{i:03d}" for i in range(400)] for k in range(3)]  # each kind is followed by the next
+    texts = [" ".join(kinds[i % 3][rng.integers(400)] for i in range(60)) for _ in range(600)]
+    src = make_docs(spark, texts).select(F.col("text").alias("t"))
+    words = lm.count_words(src).localCheckpoint()
+    m = lm.frequent_words(words)
+    assert m.clustered == 1200  # more than SEEDS
+    want = Counter()
+    unit = {w: int(m.look_up(np.array([lm._WordNames()[w]], np.uint64))[2][0])
+            for w in [x.encode() for k in kinds for x in k] + [lm.END]}
+    for t in texts:
+        ws = [lm.END, *t.encode().split(), lm.END]
+        want.update((unit[a], unit[b]) for a, b in zip(ws, ws[1:]))
+    size = m.end + 1
+    got = {(r.unit, x.key): x.n for r in lm.unit_bigrams(src, m).collect() for x in r.near}
+    assert got == {**{(a, b): n for (a, b), n in want.items()}, **{(b, a + size): n for (a, b), n in want.items()}}
+    dense = np.zeros((size, size))
+    for (a, b), n in want.items():
+        dense[a, b] = n
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    start = likelihood(dense, lm.learn(src, words).classes, lm.CLASSES)
+    monkeypatch.undo()
+    of = lm.learn(src, words).classes
+    assert likelihood(dense, of, lm.CLASSES) > start + 1000 and of[-1] == 0 and (of[:-1] > 0).all()
+    # words of one kind share no class with words of another
+    held = [{int(of[unit[w.encode()]]) for w in k} for k in kinds]
+    assert np.mean([len(a & b) for a, b in zip(held, held[1:])]) <= 1

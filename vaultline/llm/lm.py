@@ -4,11 +4,14 @@ Tokens are lower-cased words and one end per text. Training tokens are counted b
 Spark; a word travels as a 64-bit name whose low bits hold its suffix bucket. Words
 with at least 1/``SHARE`` of the training tokens, so at most ``SHARE`` of them, are
 sent to the tasks with their counts; the other words' counts are joined to the texts'
-rare words by name. The ``CLUSTERED`` most frequent words, the suffix buckets of all
-other words and the end are the units of exchange clustering: their bigrams are
-counted over all training texts (a matrix of fixed size), and each unit moves to the
-class that raises the class-bigram likelihood most, until a sweep moves none. A token
-has probability P(class | class before) * P(word | class), transitions smoothed
+rare words by name. Those of them seen ``LEAST`` times, and the ``SEEDS`` most frequent
+ones however rare, are clustered as words: they, the suffix buckets of all other words
+and the end are the units of exchange clustering. Unit bigrams are counted over all
+training texts by Spark, one row a unit. The most frequent words start the classes (a
+dense exchange; other words count in their buckets); then each unit's (unit, class)
+counts are taken in the tasks and it moves to the class that raises the class-bigram
+likelihood most, a part of the units at a time, as long as the likelihood of all
+training texts rises (at most ``ROUNDS`` times). A token has probability P(class | class before) * P(word | class), transitions smoothed
 towards the class shares, emissions by adding one to every word of the class and to
 one unseen word.
 
@@ -33,16 +36,17 @@ from vaultline.llm.arrays import array_rows, summed
 from vaultline.llm.text import MEMO_WORDS, slices, texts_frame, texts_of
 from vaultline.session import materialize
 
-SHARE = 200_000
-CLUSTERED, SUFFIX_BITS, CLASSES, SWEEPS = 512, 6, 40, 20
+SHARE = 2_000_000
+LEAST = 10  # times a word is seen before its own bigrams say more than its bucket's
+SEEDS, SUFFIX_BITS, CLASSES, SWEEPS, ROUNDS = 512, 6, 40, 20, 8
 SUFFIXES = 1 << SUFFIX_BITS
-UNITS = CLUSTERED + SUFFIXES + 1
-END_UNIT = UNITS - 1
 END = b"\n"  # no word holds white space
 PULL = 10.0  # weight of the class shares in a transition
 _LOW = np.uint64(SUFFIXES - 1)
 # Distinct words a task counts before it hands them on.
 COUNTED = 400_000
+# Distinct unit bigrams a task counts before it hands them on.
+PAIRS = 1_000_000
 
 
 class _WordNames(dict):
@@ -103,14 +107,24 @@ class Model:
     names: np.ndarray       # frequent words, sorted
     counts: np.ndarray
     units: np.ndarray       # of the frequent words
+    buckets: np.ndarray     # of the words clustered by themselves, by unit
     classes: np.ndarray | None = None      # of units
     move: np.ndarray | None = None         # log10 P(class | class before)
     spread: np.ndarray | None = None       # log10 of the emission's denominator, by class
 
+    @property
+    def clustered(self) -> int:
+        return len(self.buckets)
+
+    @property
+    def end(self) -> int:
+        """The last unit; the suffix buckets come before it."""
+        return self.clustered + SUFFIXES
+
     def look_up(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether a token is frequent, its count there, and its unit."""
-        unit = (names & _LOW).astype(np.int64) + CLUSTERED
-        unit[names == END_NAME] = END_UNIT
+        unit = (names & _LOW).astype(np.int64) + self.clustered
+        unit[names == END_NAME] = self.end
         if not len(self.names):
             return np.zeros(len(names), bool), np.zeros(len(names), np.int64), unit
         at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
@@ -126,45 +140,107 @@ def frequent_words(vocabulary: DataFrame) -> Model:
     top = vocabulary.where(F.col("c") * SHARE >= tokens).toPandas()
     names, counts = top["name"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     rank = np.lexsort((names, -counts))
-    rank = rank[names[rank] != END_NAME][:CLUSTERED]
-    units = (names & _LOW).astype(np.int64) + CLUSTERED
+    rank = rank[names[rank] != END_NAME]
+    rank = rank[(np.arange(len(rank)) < SEEDS) | (counts[rank] >= LEAST)]
+    buckets = (names & _LOW).astype(np.int64)
+    units = buckets + len(rank)
     units[rank] = np.arange(len(rank))
-    units[names == END_NAME] = END_UNIT
+    units[names == END_NAME] = len(rank) + SUFFIXES
     order = np.argsort(names)
-    return Model(tokens, words, names[order], counts[order], units[order])
+    return Model(tokens, words, names[order], counts[order], units[order], buckets[rank])
+
+
+def unit_bigrams(train: DataFrame, model: Model) -> DataFrame:
+    """``(unit, near array<struct<key, n>>)``, one row a unit: the units after it, and
+    those before it with the number of units added. A text begins after an end."""
+    size = model.end + 1
+
+    def merged(parts):
+        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return keys, np.bincount(place, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
+    def rows(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array((keys // size).astype(np.int32)), pa.array((keys % size).astype(np.int32)),
+                                           pa.array(n)], ["a", "b", "n"])
 
-def unit_bigrams(train: DataFrame, model: Model) -> np.ndarray:
-    """Counts [unit before, unit]; a text begins after an end."""
     def run(batches):
-        total = np.zeros(UNITS * UNITS)
+        parts, held = [], 0
         for _, names, _ in _each_slice(batches):
             unit = model.look_up(names)[2]
-            before = np.concatenate(([END_UNIT], unit[:-1]))
-            total += np.bincount(before * UNITS + unit, minlength=UNITS * UNITS)
+            before = np.concatenate(([model.end], unit[:-1]))
+            parts.append(np.unique(before * size + unit, return_counts=True))
+            held += len(parts[-1][0])
+            if held > 2 * PAIRS:
+                parts = [merged(parts)]
+                held = len(parts[0][0])
+                if held > PAIRS:
+                    yield rows(*parts[0])
+                    parts, held = [], 0
+        if parts:
+            yield rows(*merged(parts))
+
+    pairs = train.mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    sides = pairs.select(F.expr(f"inline(array(named_struct('unit', a, 'key', b, 'n', n), "
+                                f"named_struct('unit', b, 'key', a + {size}, 'n', n)))"))
+    return sides.groupBy("unit").agg(F.collect_list(F.struct("key", "n")).alias("near"))
+
+
+def _near(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, ...]:
+    """Units, and of all their neighbours: row, whether before, unit and count."""
+    units, lists = np.asarray(batch.column("unit")).astype(np.int64), batch.column("near")
+    row = np.repeat(np.arange(len(units)), np.asarray(pa.compute.list_value_length(lists)))
+    key, n = (np.asarray(x) for x in lists.flatten().flatten())
+    before = key >= size
+    return units, row, before, key - size * before, n
+
+
+def class_table(bigrams: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """Counts [class before, class] of all unit bigrams."""
+    def run(batches):
+        total = np.zeros(classes * classes)
+        for b in batches:
+            units, row, before, other, n = _near(b, len(of))
+            total += np.bincount((of[units[row]] * classes + of[other])[~before], n[~before], classes * classes)
         if total.any():
-            yield array_rows(total.reshape(UNITS, UNITS))
+            yield array_rows(total.reshape(classes, classes))
 
-    return summed(train.mapInArrow(run, "part int, sums binary"), (UNITS, UNITS))
+    return summed(bigrams.mapInArrow(run, "part int, sums binary"), (classes, classes))
 
 
-def unit_words(vocabulary: DataFrame, model: Model) -> np.ndarray:
-    """Distinct training words of each unit."""
+def bucket_words(vocabulary: DataFrame, model: Model) -> np.ndarray:
+    """Distinct training words of each suffix bucket, and of the end."""
     def run(batches):
-        total = np.zeros(UNITS)
+        total = np.zeros(SUFFIXES + 1)
         for b in batches:
-            names = np.asarray(b.column("name")).view(np.uint64)
-            total += np.bincount(model.look_up(names)[2], minlength=UNITS)
+            unit = model.look_up(np.asarray(b.column("name")).view(np.uint64))[2] - model.clustered
+            total += np.bincount(unit[unit >= 0], minlength=SUFFIXES + 1)
         if total.any():
-            yield array_rows(total.reshape(1, UNITS))
+            yield array_rows(total.reshape(1, -1))
 
-    return summed(vocabulary.select("name").mapInArrow(run, "part int, sums binary"), (1, UNITS))[0]
+    return summed(vocabulary.select("name").mapInArrow(run, "part int, sums binary"), (1, SUFFIXES + 1))[0]
 
 
 def _h(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def likelihood(table: np.ndarray) -> float:
+    """What of the log-likelihood depends on the classes."""
+    return _h(table).sum() - _h(table.sum(0)).sum() - _h(table.sum(1)).sum()
+
+
+def _best(table: np.ndarray, first: np.ndarray, second: np.ndarray, out: np.ndarray, into: np.ndarray, own: float, was: int) -> int:
+    """The class for a unit that is taken out of ``table``, ``first`` and ``second`` (row and column sums)."""
+    left, right, d = out.sum() + own, into.sum() + own, np.diagonal(table)
+    # change of sum n(a, b) log n(a, b) - sum n(a) log n(a) - sum n(b) log n(b) for each class
+    gain = (_h(table + out) - _h(table)).sum(1) + (_h(table + into[:, None]) - _h(table)).sum(0)
+    gain += _h(d + out + into + own) + _h(d) - _h(d + out) - _h(d + into)
+    gain -= _h(first + left) - _h(first) + _h(second + right) - _h(second)
+    gain[0] = -np.inf
+    best = int(gain.argmax())
+    return was if gain[best] <= gain[was] + 1e-9 else best
+
+
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of each unit by exchange clustering; the end (the last unit) keeps class 0 alone."""
     n = len(bigrams)
@@ -184,15 +260,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             table[was] -= out
             table[:, was] -= into
             table[was, was] -= own
-            first, second, d = left @ member, right @ member, np.diagonal(table)
-            # change of sum n(a, b) log n(a, b) - sum n(a) log n(a) - sum n(b) log n(b) for each class
-            gain = (_h(table + out) - _h(table)).sum(1) + (_h(table + into[:, None]) - _h(table)).sum(0)
-            gain += _h(d + out + into + own) + _h(d) - _h(d + out) - _h(d + into)
-            gain -= _h(first + left[u]) - _h(first) + _h(second + right[u]) - _h(second)
-            gain[0] = -np.inf
-            best = int(gain.argmax())
-            if gain[best] <= gain[was] + 1e-9:
-                best = was
+            best = _best(table, left @ member, right @ member, out, into, own, was)
             moved |= best != was
             of[u] = best
             table[best] += out
@@ -204,16 +272,58 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
+def proposed(bigrams: DataFrame, of: np.ndarray, table: np.ndarray, part: int, parts: int) -> list:
+    """``(unit, class)`` of the units of one part that another class suits better."""
+    first, second, classes = table.sum(1), table.sum(0), len(table)
+
+    def run(batches):
+        for b in batches:
+            units, row, before, other, n = _near(b, len(of))
+            itself = other == units[row]
+            near = np.bincount((row * 2 + before) * classes + of[other], np.where(itself, 0, n), len(units) * 2 * classes)
+            own = np.bincount(row, np.where(itself & ~before, n, 0), len(units))
+            moves = []
+            for u, (out, into), o in zip(units.tolist(), near.reshape(-1, 2, classes), own.tolist()):
+                if u % parts != part or u == len(of) - 1:
+                    continue
+                was = of[u]
+                t, f, s = table.copy(), first.copy(), second.copy()
+                t[was] -= out
+                t[:, was] -= into
+                t[was, was] -= o
+                f[was] -= out.sum() + o
+                s[was] -= into.sum() + o
+                best = _best(t, f, s, out, into, o, was)
+                if best != was:
+                    moves.append((u, best))
+            yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in moves], pa.int32()) for k in (0, 1)], ["unit", "class"])
+
+    return bigrams.mapInArrow(run, "unit int, class int").collect()  # at most the clustered units
+
+
 def learn(train: DataFrame, vocabulary: DataFrame) -> Model:
     """Classes, transitions and emission denominators from all training texts."""
     model = frequent_words(vocabulary)
-    bigrams = unit_bigrams(train, model)
-    model.classes = exchange(bigrams)
-    member = np.eye(CLASSES)[model.classes]
-    table = member.T @ bigrams @ member
+    bigrams = materialize(unit_bigrams(train, model), "lm_bigrams")
+    seeds = min(SEEDS, model.clustered)
+    seed = np.concatenate((np.arange(seeds), seeds + model.buckets[seeds:], seeds + np.arange(SUFFIXES + 1)))
+    of = exchange(class_table(bigrams, seed, seeds + SUFFIXES + 1))[seed]
+    table, parts, part = class_table(bigrams, of, CLASSES), 2, 0
+    for _ in range(ROUNDS if model.clustered > seeds else 0):
+        new = of.copy()
+        for m in proposed(bigrams, of, table, part % parts, parts):
+            new[m["unit"]] = m["class"]
+        changed = class_table(bigrams, new, CLASSES)
+        part += 1
+        if likelihood(changed) > likelihood(table):
+            of, table = new, changed
+        else:  # moves that do not go together
+            parts *= 2
+    model.classes = of
     share = (table.sum(0) + 1) / (table.sum() + CLASSES)
     model.move = np.log10((table + PULL * share) / (table.sum(1, keepdims=True) + PULL))
-    model.spread = np.log10(bigrams.sum(0) @ member + unit_words(vocabulary, model) @ member + 1)
+    words = np.concatenate((np.ones(model.clustered), bucket_words(vocabulary, model)))
+    model.spread = np.log10(table.sum(0) + np.bincount(of, words, CLASSES) + 1)
     return model
 
 
@@ -224,7 +334,7 @@ def _score_frequent(docs: DataFrame, model: Model) -> DataFrame:
             ends = np.cumsum(sizes)
             known, count, unit = model.look_up(names)
             cls = model.classes[unit]
-            before = np.concatenate(([model.classes[END_UNIT]], cls[:-1]))
+            before = np.concatenate(([model.classes[model.end]], cls[:-1]))
             shape = np.add.reduceat(model.move[before, cls] - model.spread[cls], ends - sizes)
             frequent = np.add.reduceat(np.where(known, np.log10(count + 1.0), 0), ends - sizes)
             n_known = np.add.reduceat(known.astype(np.int64), ends - sizes)
