@@ -87,3 +87,15 @@ def test_edge_cases(spark, monkeypatch, bound):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 5]
     assert found(docs.limit(0), bench) == {} and found(docs, bench.limit(0)) == {}
     assert decontam.clean(docs, bench.limit(0)).count() == 6
+
+
+@pytest.mark.parametrize("bound", [1 << 30, 0])
+def test_rows_without_a_unique_id_are_judged_one_by_one(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontam, "MAX_SENT_BYTES", bound)
+    passage = "one two three four five six seven eight"
+    docs = make_docs(spark, [(None, passage), (None, passage), (None, "clean"), (7, passage), (7, passage), (7, "other text"), (7, None)])
+    bench = bench_of(spark, [passage])
+    leaks = [(r.id, r.item_id, r.n_matched) for r in decontam.find_leaks(docs, bench).collect()]
+    assert sorted(leaks, key=str) == sorted([(None, 0, 8)] * 2 + [(7, 0, 8)] * 2, key=str)
+    kept = [(r.doc_id, r.text) for r in decontam.clean(docs, bench).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "clean"), (7, "other text"), (7, None)], key=str)

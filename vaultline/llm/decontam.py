@@ -15,8 +15,8 @@ Defined cases: null or empty texts leak nothing; an item of fewer than ``MIN_MAT
 tokens, or with a null id, cannot be tested and matches nothing; item rows repeated
 under one id count once, by their best coverage; repeated document rows each give
 rows; an empty table on either side gives an empty result. Only the id and text
-columns are read; ``clean`` returns all columns (and beyond the bound, where it has to
-join by id, keeps rows with a null id).
+columns are read; ``clean`` returns all columns. Rows are judged one by one on both
+sides of the bound (beyond it each carries a key of its own), also without a unique id.
 """
 
 from __future__ import annotations
@@ -168,7 +168,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = _items(benchmark, item_col, item_text)
     src = texts_frame(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     if not _small(items):
-        return _find_joined(src, items, min_match, min_coverage)
+        keyed = materialize(src.withColumn("key", F.monotonically_increasing_id()), "leaks_docs")
+        found = _find_joined(keyed.select("key", "t"), items, min_match, min_coverage)
+        return found.join(keyed.select("key", "id"), "key").select("id", "item_id", "coverage", "n_tiles", "n_matched")
     get = _sent([(r.item, r.text.encode()) for r in items.orderBy("item", "text").collect()], min_match)
 
     def run(batches):
@@ -180,8 +182,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return src.mapInArrow(run, _SCHEMA)
 
 
-def _find_joined(src: DataFrame, items: DataFrame, k: int, least: float) -> DataFrame:
-    """The same rows by a join of seed hashes; every document row keeps a key of its own."""
+def _find_joined(keyed: DataFrame, items: DataFrame, k: int, least: float) -> DataFrame:
+    """The same rows by a join of seed hashes, ``key`` for id, from stored rows ``(key, t)``."""
     def seeds(batches):
         memo = Names()
         for batch in batches:
@@ -193,21 +195,21 @@ def _find_joined(src: DataFrame, items: DataFrame, k: int, least: float) -> Data
     def compare(batches):
         memo = Names()
         for b in batches:
-            ids, out = b.column("id").to_pylist(), []
+            keys, out = b.column("key").to_pylist(), []
             for item, text, doc in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), b.column("t").to_pylist()):
                 words = tokens(doc.encode())
                 out.append(Items([(item, text.encode())], k).leaks(words, seed_hashes(memo.of(words), k), least))
-            yield _rows(ids, out)
+            yield _rows(keys, out)
 
-    keyed = materialize(src.where("t is not null").withColumn("key", F.monotonically_increasing_id()), "leaks_docs")
+    keyed = keyed.where("t is not null")
     texts = materialize(items.withColumn("key", F.monotonically_increasing_id()), "leaks_items")
     ours = keyed.select("key", "t").mapInArrow(seeds, "key long, h long")
     theirs = texts.select("key", F.col("text").alias("t")).mapInArrow(seeds, "key long, h long").withColumnRenamed("key", "item_key")
     pairs = ours.join(theirs, "h").select("key", "item_key").distinct()
     both = pairs.join(texts.withColumnRenamed("key", "item_key"), "item_key").join(keyed, "key")
-    found = both.select("key", "id", "item", "text", "t").mapInArrow(compare, _SCHEMA)
-    return found.groupBy("id", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "n_matched")).alias("m")).select(
-        "id", "item_id", "m.*")
+    found = both.select("key", "item", "text", "t").mapInArrow(compare, _SCHEMA).withColumnRenamed("id", "key")
+    return found.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "n_tiles", "n_matched")).alias("m")).select(
+        "key", "item_id", "m.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -216,8 +218,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """The rows of ``docs``, all columns, that leak no item."""
     items = _items(benchmark, item_col, item_text)
     if not _small(items):
-        bad = find_leaks(docs, benchmark, id_col, text_col, item_col, item_text, min_match, min_coverage)
-        return docs.join(bad.select(F.col("id").alias("_leaking")).distinct(), F.col(id_col) == F.col("_leaking"), "left_anti")
+        keyed = materialize(texts_frame(docs).withColumn("_leaks_row", F.monotonically_increasing_id()), "leaks_rows")
+        src = keyed.select(F.col("_leaks_row").alias("key"), F.col(text_col).cast("string").alias("t"))
+        bad = _find_joined(src, items, min_match, min_coverage).select(F.col("key").alias("_leaks_row")).distinct()
+        return keyed.join(bad, "_leaks_row", "left_anti").select(docs.columns)
     get = _sent([(r.item, r.text.encode()) for r in items.orderBy("item", "text").collect()], min_match)
 
     def run(batches):
