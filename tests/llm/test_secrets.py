@@ -76,3 +76,18 @@ def test_redaction_and_edge_cases(spark):
     assert out[4].text.endswith("password: [SECRET]") and out[0].spans == 1
     empty = make_docs(spark, ["x"]).limit(0)
     assert secrets.find(empty, secrets.fit(secrets.corpus_counts(empty))).collect() == []
+
+
+def test_ordinary_long_runs_stay_and_secrets_beside_them_are_found(spark):
+    rng = random.Random(6)
+    plain = ["=" * 24, "-" * 22, "some/path/to/the/file/name", "user_account_settings_id_42", "THE_QUICK_BROWN_FOX_JUMPS",
+             "getElementsByTagNameAndClass", "MAX_BUFFER_SIZE_IN_BYTES_2", "2024-01-02-03-04-05-06-07",
+             "/usr/local/lib/python3/site-packages", "src/main/java/org/apache/spark/sql", "AbstractSingletonProxyFactoryBean"]
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    value = lambda: "".join(rng.choices(alnum, k=40))
+    rnd = [value(), "some/path/to/the/file/" + value(), "".join(rng.choices(alnum + "+/", k=64)), "".join(rng.choices(alnum + "-_", k=43))]
+    ratio = secrets.fit(secrets.corpus_counts(make_docs(spark, corpus(rng))))
+    docs = make_docs(spark, ["see " + x + " here" for x in plain + rnd])
+    got = {r.doc_id: r.text for r in secrets.redact(docs, ratio).collect()}
+    assert [got[i] for i in range(len(plain))] == ["see " + x + " here" for x in plain]
+    assert all(got[len(plain) + i] == "see [SECRET] here" for i in range(len(rnd)))

@@ -4,6 +4,12 @@ Base kinds are exact rules (``assign``, ``access``, ``hex``). The method adds ki
 ``markov``: runs of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that touch no base
 span and that the first-order model of random strings explains better than the model
 of ordinary identifiers by ``MIN_RATIO`` nats and ``MIN_MEAN`` nats a character.
+A run is judged by its parts between ``+/_=-``: separators count for neither model, a
+number or the digits that end a part neither (up to 19). A part of letters only that
+splits at its capitals into words of 2 to ``MAX_WORD`` letters, on average ``MEAN_WORD``
+if there are several, is also read as those words in lower case by an ordinary model
+that is mixed with one of ``IDENTIFIER_WORDS``; the more ordinary reading counts. A run
+is found when all its parts together pass the bounds or one part of 20 or more characters does.
 Both models are transition tables trained from labelled samples: given ones
 (``sample_counts``) or those the base rules label in the corpus itself
 (``corpus_counts``: what a base rule finds is random, every other run of under 20
@@ -39,9 +45,45 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 N = len(ALPHABET)
 MIN_RUN, MIN_RATIO, MIN_MEAN = 20, 12.0, 0.5
+# Letters of a camel-case or capital word: at most, and on average in a part of several words at least.
+MAX_WORD, MEAN_WORD = 15, 3.5
 _CODE = np.full(256, -1, np.int16)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(N)
 REPLACEMENT = "[SECRET]"
+# A labelled sample of the words that identifiers and paths are made of.
+IDENTIFIER_WORDS = """about access account action active adapter address admin after agent alert align alpha amount android angle
+api app apache append application apply archive area argument array article asset async attribute audio auth author available
+average back background balance bank bar base batch begin between bill binary bind bit black block blog blue board body book
+boolean border bottom bound box branch bridge broker browser bucket budget build bundle business button byte cache calendar call
+camera cancel capacity card case cast category cell center chain change channel char chart check child city class clean clear
+click client clock clone close cloud cluster code codec collection color column command comment commit common company compare
+complete component compute config connect console constant contact container content context control convert copy core count
+country create credit cross current cursor custom customer daily dark data database date day debug decode default delay delete
+delta demo deploy depth description design detail device dialog direct disable disk display docs document domain double down
+download draft driver drop dump duration dynamic edge edit editor element email empty enable encode end engine entity entry enum
+error event example exception execute exist expire export express extension external extra factory failure false family feature
+fetch field figure file filter final find first fix flag float flow focus folder font footer force foreign form format forward
+found frame free from front full function game gateway general generate get global grand graph green grid group guide hand handler
+hash head header heap height hello help hidden high history home hook host hour html http icon identifier image import include
+index info init inner input insert install instance integer interface internal invalid invoice item iterator java javascript job
+join journal jump json keep kernel key kind label lambda language large last layer layout left length level library license light
+limit line link linux list listener load local lock log login logo long loop main make manager map mark market master match
+material matrix maximum measure media member memory menu merge message meta method metric middle minimum mobile mode model module
+money month mount mouse move multiple music name native network never new next node normal note notify null number object offset
+old online open operation option order origin other output owner package page panel paper parent parse part partner password path
+pattern pause payment people percent person phone photo picture pixel place plan platform play plugin point policy pool popup
+port position post power prefix present price primary print priority private process product profile program project property
+protocol provider proxy public publish pull push python quality quantity query queue quick quote random range rate raw reader ready
+record red reference region register release remote remove render report request reset resource response result return review
+right role root route row rule run sample save scale schedule schema scope screen script scroll search second section security
+select sender sequence series server service session setting setup shape share sheet shell short show side sign signal simple
+single site size skip slice small social sort sound source space spark special speed split sql square stack staff stage standard
+star start state static status step stock stop storage store stream street string strong structure style subject submit success
+sum summary super support switch symbol sync syntax system tab table tag target task team template temp term test text theme
+thread ticket time title toggle token tool top total trace track traffic transaction transfer transform tree trigger true type
+under unique unit unknown update upload upper user util valid value variable vector vendor verify version vertical video view
+virtual visible visit volume wait wallet warning watch weather web week weight white widget width window word work worker world
+wrapper write xml year yellow zero zip zone""".split()
 
 
 def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +171,7 @@ def sample_counts(samples: DataFrame, value_col: str = "value", label_col: str =
 
 
 def fit(counts: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio table [previous or start, next], random over ordinary."""
+    """Log-likelihood ratios [reading, previous or start, next], random over ordinary; reading 1 knows identifier words."""
     totals = np.zeros((2, (N + 1) * N))
     for r in counts.collect():  # at most 2 x 66 x 65 rows
         totals[r.label, r.cell] = r.n
@@ -139,7 +181,42 @@ def fit(counts: DataFrame) -> np.ndarray:
         p1 = (t.sum(0) + 1) / (t.sum() + N)
         return (t + 5 * p1) / (t.sum(1, keepdims=True) + 5)
 
-    return np.log(0.5 * smoothed(random) + 0.5 / N) - np.log(smoothed(ordinary))
+    known = smoothed(ordinary)
+    words = sum(_transitions(_CODE[np.frombuffer(w.encode(), np.uint8)]) for w in IDENTIFIER_WORDS)
+    # without a sample neither reading may add anything
+    named = 0.5 * known + 0.5 * smoothed(words.reshape(N + 1, N).astype(float)) if ordinary.any() else known
+    return np.log(0.5 * smoothed(random) + 0.5 / N) - np.log(np.stack((known, named)))
+
+
+_PART = re.compile(rb"[A-Za-z0-9]+")
+_NUMBER = re.compile(rb"(?<![0-9])[0-9]{1,%d}$" % (MIN_RUN - 1))
+_HUMP = re.compile(rb"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
+
+
+def _ratio_of(words: list[bytes], ratio: np.ndarray) -> float:
+    """Of words one after the other, by one reading's table."""
+    total = 0.0
+    for w in words:
+        codes = _CODE[np.frombuffer(w, np.uint8)]
+        total += ratio[N, codes[0]] + ratio[codes[:-1], codes[1:]].sum()
+    return total
+
+
+def looks_random(run: bytes, ratio: np.ndarray) -> bool:
+    """Whether a run of alphabet characters passes the bounds, whole or by one long part."""
+    total = 0.0
+    for part in _PART.findall(run):
+        word = _NUMBER.sub(b"", part)
+        if not word:
+            continue
+        score, humps = _ratio_of([word], ratio[0]), _HUMP.sub(b" ", word).split()
+        sizes = [len(h) for h in humps]
+        if word.isalpha() and min(sizes) >= 2 and max(sizes) <= MAX_WORD and (len(humps) == 1 or len(word) >= MEAN_WORD * len(humps)):
+            score = min(score, _ratio_of([h.lower() for h in humps], ratio[1]))
+        if len(part) >= MIN_RUN and score >= MIN_RATIO and score >= MIN_MEAN * len(part):
+            return True
+        total += score
+    return bool(total >= MIN_RATIO and total >= MIN_MEAN * len(run))
 
 
 def all_spans(text: bytes, ratio: np.ndarray) -> list[tuple[int, int, str, int]]:
@@ -151,9 +228,7 @@ def all_spans(text: bytes, ratio: np.ndarray) -> list[tuple[int, int, str, int]]
     for a, b in zip(starts[long].tolist(), ends[long].tolist()):
         if any(s[0] < b and a < s[1] for s in spans):
             continue
-        run = codes[a:b]
-        score = ratio[N, run[0]] + ratio[run[:-1], run[1:]].sum()
-        if score >= MIN_RATIO and score >= MIN_MEAN * (b - a):
+        if looks_random(text[a:b], ratio):
             spans.append((a, b, "markov", a))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
