@@ -97,7 +97,7 @@ def test_frequent_words_are_clustered_at_any_vocabulary_size(spark, monkeypatch)
     kinds = [[f"w{k}x{i:03d}" for i in range(400)] for k in range(3)]  # each kind is followed by the next
     texts = [" ".join(kinds[i % 3][rng.integers(400)] for i in range(60)) for _ in range(600)]
     src = make_docs(spark, texts).select(F.col("text").alias("t"))
-    words = lm.count_words(src).localCheckpoint()
+    words = materialize(lm.count_words(src), "words")
     m = lm.frequent_words(words)
     assert m.clustered == 1200  # more than SEEDS
     want = Counter()
