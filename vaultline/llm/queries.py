@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, quality, secrets, simhash, substring
+from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, merkle, quality, secrets, simhash, substring
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -173,6 +173,52 @@ def op5(spark, sf):
     return licenses.scan(files).withColumnRenamed("id", "doc_id")
 
 
+# ---------------------------------------------------------------- Merkle dataset manifest
+
+# CRC-32 of a text of ASCII characters, unsigned, bit by bit.
+CRC32_SQL = """xor(4294967295, list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split({}, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end))"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    field = "case when {0} is null then '-' else octet_length(encode(cast({0} as varchar))) || ':' || {0} end"
+    return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+OP12_SQL = f"""
+with recursive l as (select doc_id, lang, {_leaf_sql("n_chars")} as leaf,
+    case when {CRC32_SQL.format("cast(doc_id as varchar)")} % 7 = 0 then {_leaf_sql("(n_chars + 1)")} end as changed from documents),
+p as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from l),
+t as (select 0 as level, lang, pos, leaf as digest, n from p
+      union all select level + 1, lang, pos // 2, sha256(string_agg(digest, '' order by pos)), any_value((n + 1) // 2)
+                from t where n > 1 group by level, lang, pos // 2),
+s as (select lang, digest as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from t where n = 1),
+u as (select 0 as level, pos, subroot as digest, n from s
+      union all select level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), any_value((n + 1) // 2)
+                from u where n > 1 group by level, pos // 2),
+f as (select doc_id, leaf, lang, pos, 0 as level, '' as proof, coalesce(changed, leaf) as digest, n from p
+      union all select f.doc_id, f.leaf, f.lang, f.pos // 2, f.level + 1, f.proof || coalesce(t.digest, ''),
+                       sha256(case when f.pos % 2 = 1 then t.digest || f.digest else f.digest || coalesce(t.digest, '') end), (f.n + 1) // 2
+                from f left join t on t.level = f.level and t.lang is not distinct from f.lang and t.pos = xor(f.pos, 1) where f.n > 1),
+g as (select f.doc_id, f.leaf, s.subroot, s.pos, 0 as level, f.proof, f.digest, s.n from f join s on s.lang is not distinct from f.lang where f.n = 1
+      union all select g.doc_id, g.leaf, g.subroot, g.pos // 2, g.level + 1, g.proof || coalesce(u.digest, ''),
+                       sha256(case when g.pos % 2 = 1 then u.digest || g.digest else g.digest || coalesce(u.digest, '') end), (g.n + 1) // 2
+                from g left join u on u.level = g.level and u.pos = xor(g.pos, 1) where g.n > 1)
+select g.doc_id, g.leaf, g.subroot, u.digest as root, sha256(g.proof) as proof_sha256, g.digest as folded_root, g.digest = u.digest as verified
+from g cross join u where g.n = 1 and u.n = 1
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark, sf):
+    more = F.col("n_chars").cast("decimal(20, 0)") + 1
+    proved = merkle.manifest(table(spark, sf, "documents"), tampered={"n_chars": more}, where=fold(7) == 0)
+    folded = F.element_at("version", -1)
+    return proved.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"),
+                         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
 # ---------------------------------------------------------------- pipeline
 
 QUERIES["pipeline"] = corpus_pipeline.run
