@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, merkle, quality, secrets, simhash, substring
+from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, merkle, quality, rules, secrets, simhash, substring
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -173,6 +173,38 @@ def op5(spark, sf):
     return licenses.scan(files).withColumnRenamed("id", "doc_id")
 
 
+# ---------------------------------------------------------------- quality rules
+
+OP11_SQL = rf"""
+with d as (select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+l as (select doc_id, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as ws
+      from (select doc_id, source, unnest(string_split(text, chr(10))) as line from d)),
+ln as (select doc_id, source, line, len(ws) as n, translate(array_to_string(ws, ' '), '{rules._FROM}', '{rules._TO}') as norm from l where len(ws) > 0),
+hosts as (select source, count(*) as docs from d group by source),
+often as (select f.source, norm from (select source, norm, count(distinct doc_id) as docs from ln group by source, norm) f
+          join hosts h on h.source is not distinct from f.source where f.docs > {rules.LINE_DOCUMENTS} and f.docs > {rules.LINE_SHARE} * h.docs),
+gone as (select doc_id, sum(n) as n_gone from ln join often o on o.source is not distinct from ln.source and o.norm = ln.norm group by doc_id),
+dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from ln group by doc_id),
+win as (select doc_id, p, count(*) over (partition by doc_id, seq) as times
+        from (select doc_id, p, array_to_string(words[p:p + 4], ' ') as seq
+              from (select doc_id, words, unnest(range(1, len(words) - 3)) as p from d where len(words) >= 5))),
+rep as (select doc_id, count(distinct q) as n_repeat_words from (select doc_id, unnest(range(p, p + 5)) as q from win where times > 1) group by doc_id),
+m as (select d.doc_id, cast(len(words) as bigint) as n_words, cast(length(array_to_string(words, '')) as bigint) as word_chars,
+             cast(length(text) - length(translate(text, '{rules.SYMBOLS}', '')) as bigint) as n_symbols,
+             cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words,
+             cast(coalesce(n_gone, 0) as bigint) as n_removed
+      from d left join dup using (doc_id) left join rep using (doc_id) left join gone using (doc_id))
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+       n_words >= 10 and 100 * n_repeat_words <= 20 * n_words and n_words - n_removed >= {rules.MIN_WORDS}
+       and n_words - n_removed >= {rules.MIN_LEFT} * n_words as kept from m
+"""
+
+
+@query("op11_quality_rules", OP11_SQL)
+def op11(spark, sf):
+    return rules.judge(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 # ---------------------------------------------------------------- Merkle dataset manifest
 
 # CRC-32 of a text of ASCII characters, unsigned, bit by bit.
