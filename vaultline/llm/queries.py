@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, merkle, quality, rules, secrets, simhash, substring
+from vaultline.llm import bpe, chat, decontam, fingerprints, licenses, lm, merkle, quality, rules, secrets, simhash, substring, trie
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -251,6 +251,39 @@ def op12(spark, sf):
                          folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
 
 
+# ---------------------------------------------------------------- conversation prefix trie
+
+OP13_SQL = f"""
+with t as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+                  row_number() over (partition by conv_id order by turn nulls first, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) as p
+           from conversations where conv_id is not null),
+c as (select c, c - c % 5 as b, {CRC32_SQL.format("cast(c as varchar)")} % 9 as h from t group by c),
+r as (select c.c, 0 as part, p, role, text from c join t on t.c = c.b where p <= h
+      union all select c.c, 1, p, role, text from c join t on t.c = c.c where p > h),
+s as (select c, row_number() over (partition by c order by part, p) as d, sha256(length(role) || ':' || role || text) as k,
+             octet_length(encode(text)) as bytes from r),
+m as (select c, d, string_agg(k, ',') over (partition by c order by d) as k, bytes from s union all select c, 0, '', 0 from c),
+m2 as (select *, lag(k) over (partition by c order by d) as up, max(d) over (partition by c) = d as last from m),
+n as (select d, k, max(up) as up, min(c) as c, count(*) as n_convs, max(bytes) as bytes,
+             string_agg(cast(c as varchar), ',' order by c) filter (where last) as ends from m2 group by d, k),
+kids as (select up as k, count(*) as n from n where d > 0 group by up),
+w as (select n.*, coalesce(kids.n, 0) as n_children, (n_convs - 1) * bytes as weight from n left join kids on kids.k = n.k),
+sums as (select m.d, m.k, sum(weight) as saved, count(*) filter (where n_children = 0) as leaves
+         from w join m on m.c = w.c and m.d <= w.d group by m.d, m.k)
+select w.c as conv_id, cast(w.d as bigint) as depth, u.c as parent_conv_id, w.n_convs, w.n_children, sums.leaves as n_leaves,
+       cast(saved as bigint) as saved_tokens, sha256(coalesce(w.ends, '')) as ends_sha256
+from w join sums on sums.d = w.d and sums.k = w.k left join n u on u.d = w.d - 1 and u.k = w.up
+"""
+
+
+@query("op13_conversation_trie", OP13_SQL)
+def op13(spark, sf):
+    c = F.col("conv")
+    nodes = trie.prefix_trie(table(spark, sf, "conversations"), base=c - c % 5, head=F.crc32(c.cast("string")) % 9)
+    return nodes.select(c.alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+                        F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
 # ---------------------------------------------------------------- pipeline
 
 QUERIES["pipeline"] = corpus_pipeline.run
