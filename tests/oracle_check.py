@@ -26,7 +26,7 @@ def _norm(v):
         return None
     if isinstance(v, float) and math.isnan(v):
         return None
-    if v is pd.NaT:
+    if v is pd.NaT or v is pd.NA:
         return None
     if isinstance(v, (np.bool_, bool)):
         return bool(v)

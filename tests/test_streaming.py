@@ -21,12 +21,12 @@ def test_upsert_batch_keeps_newest_and_skips_replays(spark, tmp):
     newer = spark.createDataFrame([("A1", "C1", "200", "savings", "f2", "h2", 1, t2)], RAW)
     older = spark.createDataFrame([("A1", "C1", "100", "savings", "f1", "h1", 1, t1), ("A2", "C1", "5", "savings", "f1", "h1", 2, t1)], RAW)
     table = VersionedTable(spark, f"{tmp}/t")
-    assert upsert_batch(table, ACCOUNTS, newer, 0, RUN) == 1
-    assert upsert_batch(table, ACCOUNTS, older, 1, "2025-01-02 00:00:00") == 2   # arrives late
-    assert upsert_batch(table, ACCOUNTS, older, 1, RUN) is None  # replay skipped
+    assert upsert_batch(table, ACCOUNTS, newer, ("s", 0), RUN) == 1
+    assert upsert_batch(table, ACCOUNTS, older, ("s", 1), "2025-01-02 00:00:00") == 2   # arrives late
+    assert upsert_batch(table, ACCOUNTS, older, ("s", 1), RUN) is None  # replay skipped
     assert rows(table.read(), "account_id", "original_balance") == [("A1", Decimal("200.00")), ("A2", Decimal("5.00"))]
     assert {str(r[0]) for r in rows(table.read().where("account_id = 'A1'"), "created_date")} == {RUN}
-    assert table.commit_info()["batch_id"] == 1
+    assert table.commit_info()["writers"] == {"s": 1}
 
 
 def test_streamed_accounts_equal_the_batch_table(spark, tmp):
@@ -70,3 +70,53 @@ def test_stream_ingestion_follows_the_batch_rules(spark, tmp):
     land("d.csv", head + "A3,C1,3,savings\n")
     drain("ck")
     assert len(pairs) == 1
+
+
+def test_a_lost_checkpoint_and_a_second_stream_lose_nothing(spark, tmp):
+    day = lambda i: dt.datetime(2024, 1, 1 + i)
+    row = lambda i, key, v: (key, "C1", v, "savings", "f", f"h{i}", i, day(i))
+
+    def put(path, *data):
+        spark.createDataFrame(list(data), RAW).coalesce(1).write.mode("append").parquet(path)
+
+    def drain(path, checkpoint):
+        stream_structured(spark, ACCOUNTS, path, f"{tmp}/t", f"{tmp}/{checkpoint}", spark.createDataFrame([], RAW).schema,
+                          max_files_per_trigger=1, run_ts_of_batch=lambda b: RUN).awaitTermination()
+
+    for i in range(3):
+        put(f"{tmp}/one", row(i, f"A{i}", str(i)))
+    drain(f"{tmp}/one", "ck1")  # batches 0-2
+    put(f"{tmp}/two", row(4, "B", "4"), row(5, "A0", "50"))
+    drain(f"{tmp}/two", "ck2")  # batch 0 of another stream
+    put(f"{tmp}/new", row(6, "A9", "9"))
+    drain(f"{tmp}/new", "ck3")  # batch 0 of a new checkpoint
+    table = VersionedTable(spark, f"{tmp}/t")
+    assert {k: str(v) for k, v in rows(table.read(), "account_id", "original_balance")} == {
+        "A0": "50.00", "A1": "1.00", "A2": "2.00", "A9": "9.00", "B": "4.00"}
+    assert sorted(table.commit_info()["writers"].values()) == [0, 0, 2]
+    version = table.version()
+    drain(f"{tmp}/one", "lost")  # every file again, from batch 0: merged again, nothing changes
+    assert table.version() == version + 3
+    assert [str(r[0]) for r in rows(table.read().where("account_id = 'A0'"), "original_balance")] == ["50.00"]
+    drain(f"{tmp}/one", "lost")
+    assert table.version() == version + 3
+
+
+def test_a_streamed_merge_goes_on_top_of_another_writers_commit(spark, tmp, monkeypatch):
+    new = lambda k, v: spark.createDataFrame([(k, "C1", v, "savings", "f", "h", 1, dt.datetime(2024, 1, 1))], RAW)
+    table, other = VersionedTable(spark, f"{tmp}/t"), VersionedTable(spark, f"{tmp}/t")
+    upsert_batch(table, ACCOUNTS, new("A", "1"), ("s", 0), RUN)
+    write, raced = VersionedTable._write_parts, []
+
+    def race(self, *args):
+        if not raced:
+            raced.append(1)
+            upsert_batch(other, ACCOUNTS, new("B", "2"), ("t", 0), RUN)
+        return write(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "_write_parts", race)
+    assert upsert_batch(table, ACCOUNTS, new("C", "3"), ("s", 1), RUN) == 3
+    assert [r[0] for r in rows(table.read(), "account_id")] == ["A", "B", "C"]
+    assert table.commit_info()["writers"] == {"s": 1, "t": 0}
+    used = {p[1].split("/")[1] for v in (1, 2, 3) for p in table.commit_info(v)["parts"]}
+    assert set(os.listdir(f"{tmp}/t/data")) == used  # the attempt that lost is gone

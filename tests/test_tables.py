@@ -85,3 +85,66 @@ def test_numbers_are_what_the_csv_reader_takes_for_numbers(spark):
     df = spark.createDataFrame([tuple(v[i] for v in values.values()) for i in range(2)], list(values))
     got = {r["name"]: r["type"] for r in S.detect_schema(df).collect()}
     assert got == {"a": "object", "b": "float64", "c": "float64", "d": "object", "e": "float64", "f": "int64"}
+
+
+def test_the_number_of_buckets_follows_the_bytes(spark, tmp, monkeypatch):
+    from vaultline.session import materialize
+    from vaultline.sinks import tables
+    t = VersionedTable(spark, f"{tmp}/t")
+    wide = lambda a, b: materialize(frame(spark, [(f"k{i}", i) for i in range(a, b)]))
+    t.overwrite(wide(0, 400), "k")
+    assert t.commit_info()["buckets"] == 1
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4000)
+    t.upsert(wide(400, 3000), "k")  # outgrown: cut anew, nothing lost
+    info = t.commit_info()
+    assert info["buckets"] >= 4 and {p[0] for p in info["parts"]} == set(range(info["buckets"]))
+    before = {p[1] for p in info["parts"]}
+    t.upsert(frame(spark, [("k7", -7)]), "k")
+    assert len({p[1] for p in t.commit_info()["parts"]} - before) == 1
+    got = dict(rows(t.read()))
+    assert len(got) == 3000 and got["k7"] == -7 and got["k2999"] == 2999
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp, monkeypatch):
+    from vaultline.session import materialize
+    from vaultline.sinks import tables
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 2000)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        t = VersionedTable(spark, f"{tmp}/t", buckets=2)
+        t.overwrite(materialize(frame(spark, [(f"k{i}", i) for i in range(4000)])), "k")
+    finally:
+        spark.conf.set(key, "true")
+    assert len(t.commit_info()["parts"]) == 2 and len(files(tmp)) > 2
+    assert t.read().count() == 4000
+
+
+def test_a_target_is_read_where_the_change_set_falls(spark, tmp):
+    from vaultline.operators.incremental import new_or_newer, preserve_created
+    from vaultline.session import materialize
+    from vaultline.sinks.ledgers import process_stats
+    t = VersionedTable(spark, f"{tmp}/t", buckets=8)
+    old = spark.createDataFrame([(f"k{i}", "2024-01-01", "2024-01-02") for i in range(400)], "k string, created_date string, at string")
+    t.overwrite(old, "k")
+    changes = materialize(spark.createDataFrame([("k7", "2025-01-01")], "k string, at string"))
+    target = t.stored()
+    whole = len(target.rows.inputFiles())
+    assert whole == 8
+    for df in (preserve_created(changes, target, "k", "2025-06-01 00:00:00"), new_or_newer(changes, target, "k", "at"),
+               process_stats(target, changes, "k")):
+        read = [f for f in df.inputFiles() if "/t/data/" in f]
+        assert len(read) == 1, read
+    assert [str(r.created_date) for r in preserve_created(changes, target, "k").collect()] == ["2024-01-01 00:00:00"]
+    assert new_or_newer(changes, target, "k", "at").count() == 1
+    assert tuple(process_stats(target, changes, "k").first()) == (1, 0, 1)
+
+
+def test_folders_of_attempts_that_died_go_after_a_day(spark, tmp):
+    t = VersionedTable(spark, f"{tmp}/t")
+    t.overwrite(frame(spark, [("a", 1)]), "k")
+    for name, age in (("dead", 2 * 24 * 3600), ("running", 60)):
+        os.makedirs(f"{tmp}/t/data/{name}")
+        os.utime(f"{tmp}/t/data/{name}", (os.stat(f"{tmp}/t").st_mtime - age,) * 2)
+    assert t.expire() == ["data/dead"]
+    assert "running" in os.listdir(f"{tmp}/t/data") and rows(t.read()) == [("a", 1)]

@@ -6,13 +6,35 @@ existing table state.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = "1900-01-01 00:00:00"
 
+
+@dataclass(frozen=True)
+class Stored:
+    """A stored target: all its rows, and of a table laid out by key those that a change set's keys can meet.
+
+    ``matching(changes, key)`` reads the buckets of these keys only; rows of other keys
+    may be among them, rows of these keys are all there.
+    """
+
+    rows: DataFrame
+    matching: Callable[[DataFrame, str], DataFrame]
+
+
+def _all(existing: DataFrame | Stored | None) -> DataFrame | None:
+    return existing.rows if isinstance(existing, Stored) else existing
+
+
+def _meeting(existing: DataFrame | Stored, changes: DataFrame, key: str) -> DataFrame:
+    return existing.matching(changes, key) if isinstance(existing, Stored) else existing
+
+
 def _ntz(value) -> Column:
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
@@ -22,7 +44,7 @@ def _ntz(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def watermark_value(existing: DataFrame | None, target_ts: str):
+def watermark_value(existing: DataFrame | Stored | None, target_ts: str):
     """``coalesce(max(target_ts), 1900-01-01)`` of the target, read once on the driver.
 
     One scalar comes back; passing it on as a literal lets the source filter reach
@@ -30,12 +52,12 @@ def watermark_value(existing: DataFrame | None, target_ts: str):
     """
     if existing is None:
         return None
-    row = existing.select(F.coalesce(F.max(F.col(target_ts).cast("timestamp_ntz")),
+    row = _all(existing).select(F.coalesce(F.max(F.col(target_ts).cast("timestamp_ntz")),
                                      F.lit(EPOCH).cast("timestamp_ntz")).cast("string").alias("w")).first()
     return row["w"]
 
 
-def since_watermark(source: DataFrame, source_ts: str, existing: DataFrame | None, target_ts: str,
+def since_watermark(source: DataFrame, source_ts: str, existing: DataFrame | Stored | None, target_ts: str,
                     partition_col: str = "_ingest_date") -> DataFrame:
     """Rows strictly newer than the target's watermark; rows at or before it are late and ignored.
 
@@ -51,11 +73,14 @@ def since_watermark(source: DataFrame, source_ts: str, existing: DataFrame | Non
     return out
 
 
-def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: str) -> DataFrame:
-    """Source rows whose key is absent from the target, or whose ``ts`` is newer than the target's."""
+def new_or_newer(source: DataFrame, existing: DataFrame | Stored | None, key: str, ts: str) -> DataFrame:
+    """Source rows whose key is absent from the target, or whose ``ts`` is newer than the target's.
+
+    Of a ``Stored`` target only the buckets of the source's keys are read.
+    """
     if existing is None:
         return source
-    touched = existing.select(key, ts).join(source.select(key), key, "left_semi")
+    touched = _meeting(existing, source, key).select(key, ts).join(source.select(key), key, "left_semi")
     e = touched.select(F.col(key).alias("_e_key"), F.col(ts).cast("timestamp_ntz").alias("_e_ts"))
     joined = source.join(e, source[key] == e["_e_key"], "left")
     keep = F.col("_e_key").isNull() | (
@@ -64,18 +89,18 @@ def new_or_newer(source: DataFrame, existing: DataFrame | None, key: str, ts: st
     return joined.filter(keep).drop("_e_key", "_e_ts")
 
 
-def preserve_created(updates: DataFrame, existing: DataFrame | None, key: str, run_ts=None,
+def preserve_created(updates: DataFrame, existing: DataFrame | Stored | None, key: str, run_ts=None,
                      column: str = "created_date") -> DataFrame:
     """Add ``created_date``: the target's value for a known key, else the run timestamp.
 
     ``updates`` is read twice, so pass a stored change set. Its bytes are then known,
     and under the broadcast threshold the target is streamed through a semi-join with
-    its keys and never shuffled.
+    its keys and never shuffled; of a ``Stored`` target only their buckets are read.
     """
     now = _ntz(run_ts)
     if existing is None:
         return updates.withColumn(column, now)
-    touched = existing.join(updates.select(key), key, "left_semi")
+    touched = _meeting(existing, updates, key).join(updates.select(key), key, "left_semi")
     e = touched.select(F.col(key).alias("_c_key"), F.col(column).cast("timestamp_ntz").alias("_c_created"))
     return (updates.join(e, updates[key] == e["_c_key"], "left")
             .withColumn(column, F.coalesce(F.col("_c_created"), now))

@@ -48,25 +48,54 @@ def q_stream_replay(spark, sf):
     return _raw_rows(spark, Catalog(root))
 
 
-def _streamed(spark, model, raw, files: int):
-    """Raw rows streamed through a structured model, some files to a micro-batch."""
+# Rows of a streamed file, and files of a micro-batch: several micro-batches, more the more rows there are.
+STREAM_ROWS, STREAM_FILES = 20_000, 2
+
+
+def _stream(spark, model, raw_path, table, schema, checkpoint=None):
+    stream_structured(spark, model, raw_path, table, checkpoint or work_dir(spark, "stream-ckpt"), schema,
+                      max_files_per_trigger=STREAM_FILES, run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
+
+
+def _streamed(spark, model, raw):
+    """Raw rows streamed through a structured model, a few files to a micro-batch."""
     raw_path, table = work_dir(spark, "raw"), work_dir(spark, "streamed")
-    raw.write.option("maxRecordsPerFile", -(-raw.count() // files)).parquet(raw_path)
-    stream_structured(spark, model, raw_path, table, work_dir(spark, "stream-ckpt"), raw.schema,
-                      max_files_per_trigger=-(-files // 2), run_ts_of_batch=lambda b: O.RUN_1).awaitTermination()
+    raw.write.option("maxRecordsPerFile", STREAM_ROWS).parquet(raw_path)
+    _stream(spark, model, raw_path, table, raw.schema)
     return VersionedTable(spark, table).read()
 
 
-@query("stream_str_accounts", O.over(O.FULL, f"select * {O.money('original_balance')} from str_accounts"))
+STREAMED_ACCOUNTS = O.over(O.FULL, f"select * {O.money('original_balance')} from str_accounts")
+
+
+@query("stream_str_accounts", STREAMED_ACCOUNTS)
 def q_stream_str_accounts(spark, sf):
     """Streamed accounts equal the batch model's table column for column."""
-    return present(_streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf), 4))
+    return present(_streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf)))
+
+
+@query("stream_restart", STREAMED_ACCOUNTS)
+def q_stream_restart(spark, sf):
+    """Two streams write one table; the first loses its checkpoint after half of its rows and starts again at batch 0.
+
+    Its first new batches carry numbers that the table has seen from the lost
+    checkpoint, so only writers known by name, not by number, keep the later rows.
+    """
+    raw, table = T.raw_accounts(spark, sf), work_dir(spark, "streamed")
+    mine, other = work_dir(spark, "raw"), work_dir(spark, "raw")
+    part = F.pmod(F.xxhash64("AccountID", "_row_number"), F.lit(4))
+    for k, (path, mode) in enumerate([(mine, "overwrite"), (other, "overwrite")]):
+        raw.where(part == k).write.mode(mode).option("maxRecordsPerFile", STREAM_ROWS).parquet(path)
+        _stream(spark, ACCOUNT_STREAM, path, table, raw.schema)
+    raw.where(part > 1).write.mode("append").option("maxRecordsPerFile", STREAM_ROWS).parquet(mine)
+    _stream(spark, ACCOUNT_STREAM, mine, table, raw.schema)  # a new checkpoint: every file again, batch ids from 0
+    return present(VersionedTable(spark, table).read())
 
 
 @query("stream_str_customers", O.over([O.RAW_C, O.RAW_C_UPD, O.RAW_C_ALL], O.str_customers_sql("raw_customers_all", None, O.RUN_1)))
 def q_stream_str_customers(spark, sf):
     """Streamed customers, first file and update file, equal the batch model's table."""
-    return _streamed(spark, CUSTOMER_STREAM, T.raw_customers(spark, sf).unionByName(T.customer_updates(spark, sf)), 4)
+    return _streamed(spark, CUSTOMER_STREAM, T.raw_customers(spark, sf).unionByName(T.customer_updates(spark, sf)))
 
 
 @query("stream_upsert", O.over(O.FULL, """
@@ -74,17 +103,17 @@ select account_id, account_type, cast(original_balance as double) as original_ba
        data_quality_flag, _last_processed_at from str_accounts"""))
 def q_stream_upsert(spark, sf):
     """Raw account files streamed in several micro-batches; each batch merged keep-latest, exactly once."""
-    out = _streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf), 8)
+    out = _streamed(spark, ACCOUNT_STREAM, T.raw_accounts(spark, sf))
     return present(out.select("account_id", "account_type", "original_balance", "customer_id", "data_quality_flag",
                               "_last_processed_at"))
 
 
 @query("csv_export_roundtrip", O.over(O.FULL, O.summary_sql("fact")))
 def q_csv_export_roundtrip(spark, sf):
-    """Export the report as one ordered CSV with a header, then read the file back."""
+    """Export the report as ordered CSV part files with a header, written by range in parallel, then read them back."""
     report = present(M.account_summary(curated_full(spark, sf)[2], ordered=False))
     path = work_dir(spark, "export")
-    export_csv(report, path, ["customer_id", "account_id"])
+    export_csv(report, path, ["customer_id", "account_id"], single_file=False)
     return spark.read.options(**L.CSV_TEXT).option("header", True).schema(report.schema).csv(path)
 
 

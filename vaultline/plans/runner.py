@@ -53,12 +53,13 @@ def merge_target(spark: SparkSession, cat: Catalog, layer: str, name: str, key:
                  full_refresh: bool = False) -> DataFrame:
     """Build one target's change set, store it, merge it and log the run; returns the change set.
 
-    ``build(existing)`` gives the change set. A failure is logged with its error and
+    ``build(existing)`` gives the change set; ``existing`` is a ``Stored`` target, of which
+    joins by key read the touched buckets only. A failure is logged with its error and
     raised again. The merge is based on the version that ``existing`` was read from.
     """
     started, table, log, ts = time.time(), cat.table(spark, layer, name), cat.process_log(spark), _ntz(run_ts)
     base = table.version()
-    existing = None if full_refresh or base is None else table.read(base)
+    existing = None if full_refresh or base is None else table.stored(base)
     try:
         delta = materialize(build(existing), f"{name}_changes")  # computed once; counted and merged from storage
         stats = materialize(process_stats(existing, delta, key), "process_stats")

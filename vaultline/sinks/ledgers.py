@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.operators.incremental import Stored, _meeting
 
-def process_stats(existing: DataFrame | None, updates: DataFrame, key: str) -> DataFrame:
+
+def process_stats(existing: DataFrame | Stored | None, updates: DataFrame, key: str) -> DataFrame:
     """records processed / inserted / updated of one merge (``updates``: stored, unique on the key).
 
     The target's keys pass a semi-join with the change set's, so a large target is
-    counted where it lies.
+    counted where it lies; of a ``Stored`` target only the buckets of these keys are read.
     """
     processed = updates.agg(F.count(F.lit(1)).alias("p")).select("p", F.lit(0).cast("bigint").alias("u"))
     if existing is not None:
-        known = existing.select(key).join(updates.select(key), key, "left_semi").agg(F.count(F.lit(1)).alias("u"))
+        known = _meeting(existing, updates, key).select(key).join(updates.select(key), key, "left_semi").agg(F.count(F.lit(1)).alias("u"))
         processed = processed.unionByName(known.select(F.lit(0).cast("bigint").alias("p"), "u"))
     return processed.agg(F.sum("p").alias("records_processed"), (F.sum("p") - F.sum("u")).alias("records_inserted"),
                          F.sum("u").alias("records_updated"))

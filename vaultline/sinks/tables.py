@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vaultline.operators.incremental import upsert
+from vaultline.operators.incremental import Stored, upsert
 
 
 class CommitConflict(RuntimeError):
@@ -74,6 +75,15 @@ class _FS:
         finally:
             stream.close()
 
+    def size(self, *parts: str) -> int:
+        """Bytes of the files below."""
+        return self.fs.getContentSummary(self.path(*parts)).getLength()
+
+    def ages(self, *parts: str) -> list[tuple[str, float]]:
+        """(name, seconds since it was changed) of what a folder holds."""
+        p = self.path(*parts)
+        return [(s.getPath().getName(), time.time() - s.getModificationTime() / 1000) for s in self.fs.listStatus(p)] if self.fs.exists(p) else []
+
     def delete(self, *parts: str) -> None:
         self.fs.delete(self.path(*parts), True)
 
@@ -121,10 +131,31 @@ def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataF
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
+# Bytes of a key bucket, and the most buckets a table is cut into (its commit file lists them all).
+BUCKET_BYTES, MAX_BUCKETS = 256 << 20, 1 << 16
+# Spark's default for a source of unknown size is about this or more.
+UNKNOWN_BYTES = 1 << 62
+# Unnamed folders of attempts that died are dropped after this time.
+ORPHAN_SECONDS = 24 * 3600
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of what a frame reads: exact for stored tables, 0 for sources whose size Spark does not know."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < UNKNOWN_BYTES)
+
+
 class VersionedTable:
-    """Versions of a table; a version is a list of folders, each a key bucket or an appended part."""
+    """Versions of a table; a version is a list of folders, each a key bucket or an appended part.
+
+    A table is cut into as many buckets as its bytes need (``BUCKET_BYTES`` each), and
+    into more when it has outgrown them, unless ``buckets`` fixes their number. The
+    commit needs a store whose rename without overwrite is atomic (HDFS and its kin, a
+    local disk); S3-like stores are not such a store.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
@@ -148,88 +179,128 @@ class VersionedTable:
         schema = StructType.fromJson(info["schema"])
         if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for _, p in parts])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
 
     def read(self, version: int | None = None) -> DataFrame | None:
         info = self.commit_info(version)
         return self._load(info, info["parts"]) if info else None
 
-    def _write_parts(self, df: DataFrame, keys: Sequence[str] | None, buckets: int) -> list:
-        """Write into a new folder; the parts written, as [bucket or None, folder]."""
-        folder = f"data/{uuid.uuid4().hex}"
-        if not keys:
-            df.write.parquet(f"{self.path}/{folder}")
-            return [[None, folder]]
-        (df.withColumn("_bucket", self._bucket(keys, buckets)).repartition("_bucket")
-           .write.partitionBy("_bucket").parquet(f"{self.path}/{folder}"))
-        return [[int(n.split("=")[1]), f"{folder}/{n}"] for n in self._fs.list_names(folder) if n.startswith("_bucket=")]
+    def stored(self, version: int | None = None) -> Stored | None:
+        """This version as models take it: all rows, or the buckets that a change set's keys fall into."""
+        info = self.commit_info(version)
+        if not info:
+            return None
+        return Stored(self._load(info, info["parts"]), lambda changes, key: self._load(info, self._touched(info, changes, key)[0]))
+
+    def _bucket_count(self, nbytes: int) -> int:
+        return self.buckets or min(MAX_BUCKETS, 1 << (max(1, -(-nbytes // BUCKET_BYTES)) - 1).bit_length())
 
     @staticmethod
     def _bucket(keys: Sequence[str], buckets: int):
         return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
-    def _commit(self, base: int | None, schema: StructType, parts: list, **info) -> int:
-        """Put version ``base + 1`` in place; fails if another writer has done so."""
+    def _touched(self, info: dict, changes: DataFrame, key: str | Sequence[str]) -> tuple[list, list]:
+        """Parts that may hold a key of ``changes``, and the rest."""
+        keys, parts = [key] if isinstance(key, str) else list(key), info["parts"]
+        if info.get("key") != keys or any(p[0] is None for p in parts):
+            return parts, []  # not laid out by this key
+        buckets = info["buckets"]
+        if buckets == 1:
+            return parts, []
+        hit = {r[0] for r in changes.select(self._bucket(keys, buckets)).distinct().collect()}  # at most ``buckets``
+        return [p for p in parts if p[0] in hit], [p for p in parts if p[0] not in hit]
+
+    def _write_parts(self, df: DataFrame, keys: Sequence[str] | None, buckets: int, nbytes: int) -> tuple[str, list]:
+        """Write into a new folder: the folder, and its parts as [bucket or None, folder, bytes].
+
+        A bucket of more than ``BUCKET_BYTES`` is written by several tasks.
+        """
+        folder = f"data/{uuid.uuid4().hex}"
+        if not keys:
+            df.write.parquet(f"{self.path}/{folder}")
+            return folder, [[None, folder, self._fs.size(folder)]]
+        salts = -(-nbytes // (buckets * BUCKET_BYTES)) or 1
+        spread = [F.pmod(F.xxhash64(F.lit("salt"), *keys), F.lit(salts))] if salts > 1 else []
+        (df.withColumn("_bucket", self._bucket(keys, buckets)).repartition("_bucket", *spread)
+           .write.partitionBy("_bucket").parquet(f"{self.path}/{folder}"))
+        names = [n for n in self._fs.list_names(folder) if n.startswith("_bucket=")]
+        return folder, [[int(n.split("=")[1]), f"{folder}/{n}", self._fs.size(folder, n)] for n in names]
+
+    def _commit(self, base: int | None, schema: StructType, parts: list, before: dict, written: str,
+                writer: tuple[str, int] | None = None, **info) -> int:
+        """Put version ``base + 1`` in place; fails, and drops what was ``written`` for it, if another writer has done so."""
         v = (base or 0) + 1
-        body = json.dumps({"version": v, "schema": schema.jsonValue(), "parts": parts, **info})
+        writers = before.get("writers", {}) | ({writer[0]: writer[1]} if writer else {})
+        body = json.dumps({"version": v, "schema": schema.jsonValue(), "parts": parts, "writers": writers, **info})
         if not self._fs.create_new(body, "_commits", f"{v}.json"):
+            self._fs.delete(written)
             raise CommitConflict(f"version {v} of {self.path} was committed by another writer")
         return v
 
     def overwrite(self, df: DataFrame, key: str | Sequence[str] | None = None, base: int | None = -1, **info) -> int:
         """Replace the content. ``base`` is the version this is based on (default: the latest now)."""
         base = self.version() if base == -1 else base
+        return self._replace(df, key, base, self.commit_info(base) if base else {}, _input_bytes(df), **info)
+
+    def _replace(self, df: DataFrame, key, base: int | None, before: dict, nbytes: int, **info) -> int:
         keys = [key] if isinstance(key, str) else list(key or [])
-        parts = self._write_parts(df, keys, self.buckets)
-        return self._commit(base, df.schema, parts, mode="overwrite", key=keys, buckets=self.buckets, **info)
+        buckets = self._bucket_count(nbytes)
+        folder, parts = self._write_parts(df, keys, buckets, nbytes)
+        return self._commit(base, df.schema, parts, before, folder, mode="overwrite", key=keys, buckets=buckets, **info)
 
     def append(self, df: DataFrame, base: int | None = -1, **info) -> int:
         """Add rows: one more folder, nothing rewritten."""
         base = self.version() if base == -1 else base
         before = self.commit_info(base) if base else {}
         schema = StructType.fromJson(before["schema"]) if before else df.schema
-        parts = self._write_parts(df.select(*schema.names), None, 1)
+        folder, parts = self._write_parts(df.select(*schema.names), None, 1, 0)
         kept = {k: before[k] for k in ("key", "buckets") if k in before}
-        return self._commit(base, schema, before.get("parts", []) + parts, mode="append", **kept, **info)
+        return self._commit(base, schema, before.get("parts", []) + parts, before, folder, mode="append", **kept, **info)
 
-    def upsert(self, updates: DataFrame, key: str | Sequence[str], batch_id: int | None = None, base: int | None = -1,
+    def upsert(self, updates: DataFrame, key: str | Sequence[str], writer: tuple[str, int] | None = None, base: int | None = -1,
                merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **info) -> int | None:
         """Merge ``updates`` (unique on ``key``, stored) into the current state.
 
         Only the buckets that hold a key of ``updates`` are read and rewritten. ``merge``
         gives their new rows from (stored rows, updates); the default replaces by key.
-        With ``batch_id`` the merge is idempotent: a batch already committed (a
-        streaming replay) is skipped and None returned.
+
+        ``writer`` is (stream, batch) of an exactly-once writer: the last batch of every
+        stream is committed with the version, and a batch that its own stream has
+        committed before (a replay) is skipped and None returned. Other streams, and a
+        stream that starts again under a new checkpoint, have numbers of their own.
         """
         base = self.version() if base == -1 else base
         keys = [key] if isinstance(key, str) else list(key)
-        extra = {} if batch_id is None else {"batch_id": batch_id}
         before = self.commit_info(base) if base else {}
-        if batch_id is not None and before.get("batch_id") is not None and batch_id <= before["batch_id"]:
+        if writer and writer[1] <= before.get("writers", {}).get(writer[0], -1):
             return None
+        added = _input_bytes(updates)
         if not before:
-            return self.overwrite(merge(updates.limit(0), updates) if merge else updates, keys, base, **extra, **info)
-        buckets = before.get("buckets") or self.buckets
-        if before.get("key") == keys and all(b is not None for b, _ in before["parts"]):
-            hit = {r[0] for r in updates.select(self._bucket(keys, buckets)).distinct().collect()}  # at most ``buckets``
-            touched, kept = ([p for p in before["parts"] if (p[0] in hit) == x] for x in (True, False))
-        else:  # not laid out by this key yet
+            rows = merge(updates.limit(0), updates) if merge else updates
+            return self._replace(rows, keys, base, before, added, writer=writer, **info)
+        schema, buckets = StructType.fromJson(before["schema"]), before.get("buckets") or 1
+        nbytes = added + sum(p[2] for p in before["parts"])
+        touched, kept = self._touched(before, updates, keys)
+        if not kept or self._bucket_count(nbytes) > 2 * buckets:  # outgrown: cut anew
+            buckets = max(buckets, self._bucket_count(nbytes))
             touched, kept = before["parts"], []
         stored = self._load(before, touched)
         merged = merge(stored, updates) if merge else upsert(stored, updates, keys)
-        parts = self._write_parts(merged.select(*StructType.fromJson(before["schema"]).names), keys, buckets)
-        extra = extra or {k: before[k] for k in ("batch_id",) if k in before}
-        return self._commit(base, StructType.fromJson(before["schema"]), kept + parts, mode="upsert", key=keys,
-                            buckets=buckets, **extra, **info)
+        folder, parts = self._write_parts(merged.select(*schema.names), keys, buckets, added + sum(p[2] for p in touched))
+        return self._commit(base, schema, kept + parts, before, folder, writer, mode="upsert", key=keys, buckets=buckets, **info)
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Drop all but the newest ``keep`` versions and the folders only they use."""
+        """Drop all but the newest ``keep`` versions, the folders only they use, and old folders of attempts that died."""
         versions = self._commits()
         old, new = versions[:-keep], versions[-keep:]
-        used = {p for v in new for _, p in self.commit_info(v)["parts"]}
-        gone = sorted({p for v in old for _, p in self.commit_info(v)["parts"]} - used)
+        used = {p[1] for v in new for p in self.commit_info(v)["parts"]}
+        gone = sorted({p[1] for v in old for p in self.commit_info(v)["parts"]} - used)
         for v in old:
             self._fs.delete("_commits", f"{v}.json")
         for p in gone:
             self._fs.delete(p)
-        return gone
+        named = {p.split("/")[1] for p in used}
+        dead = [n for n, age in self._fs.ages("data") if n not in named and age > ORPHAN_SECONDS]
+        for n in dead:
+            self._fs.delete("data", n)
+        return gone + [f"data/{n}" for n in dead]

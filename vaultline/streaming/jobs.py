@@ -3,8 +3,8 @@
 The file-source checkpoint is the arrival cursor (each file is offered once);
 ``trigger(availableNow=True)`` drains what has landed and stops, a
 ``processingTime="60 seconds"`` trigger polls. ``foreachBatch`` is at-least-once:
-ingestion skips files whose rows are stored, and merged tables commit the batch id
-with the version and skip replays.
+ingestion skips files whose rows are stored, and merged tables commit the last batch of
+every stream with the version and skip its replays.
 
 Files may arrive in any order, so the streamed upsert keeps, per key, the newest of
 stored and incoming rows instead of the batch path's strict watermark.
@@ -12,10 +12,11 @@ stored and incoming rows instead of the batch path's strict watermark.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -26,8 +27,10 @@ from vaultline.plans import models as M
 from vaultline.plans.gates import pair_gate
 from vaultline.plans.ingest import Catalog, Source, ingest_files
 from vaultline.session import materialize
-from vaultline.sinks.tables import VersionedTable
+from vaultline.sinks.tables import CommitConflict, VersionedTable, _FS
 
+# Merges tried on top of other writers' commits.
+MERGE_TRIES = 10
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -84,32 +87,49 @@ def _newest_first():
     return F.desc("_last_processed_at"), F.desc(field("row_number").cast("bigint")), F.desc(field("file_hash"))
 
 
-def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, batch_id: int, run_ts=None) -> int | None:
+def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, writer: tuple[str, int], run_ts=None) -> int | None:
     """Merge one micro-batch of raw rows into a structured table, whatever the order of arrival.
 
     The batch is reduced to one row a key and stored; only buckets with one of its keys
-    are read and rewritten, the newest row a key stays, and a replayed batch is skipped.
+    are read and rewritten, and the newest row a key stays with the ``created_date`` that
+    is stored. ``writer`` is (stream, batch): a replay by the same stream is skipped;
+    after another writer's commit the merge is done again on top of it.
     """
     latest = keep_latest(model.clean(raw), [model.key], M.latest_first())
     changes = materialize(model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts), "stream_changes")
 
     def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
-        first = stored.select(model.key, F.col("created_date").alias("_created"))
-        both = stored.unionByName(new.select(*stored.columns))
-        winners = keep_latest(both, [model.key], _newest_first()).join(first, model.key, "left")
-        return winners.withColumn("created_date", F.coalesce("_created", "created_date")).select(*model.columns)
+        both = stored.withColumn("_stored", F.lit(True)).unionByName(new.select(*stored.columns).withColumn("_stored", F.lit(False)))
+        of_key = Window.partitionBy(model.key)
+        created = F.max(F.when(F.col("_stored"), F.col("created_date"))).over(of_key)
+        return (both.withColumn("_created", created).withColumn("_place", F.row_number().over(of_key.orderBy(*_newest_first())))
+                .where("_place = 1").withColumn("created_date", F.coalesce("_created", "created_date")).select(*model.columns))
 
-    return table.upsert(changes, model.key, batch_id=batch_id, merge=merge)
+    for _ in range(MERGE_TRIES - 1):
+        try:
+            return table.upsert(changes, model.key, writer=writer, merge=merge)
+        except CommitConflict:
+            continue
+    return table.upsert(changes, model.key, writer=writer, merge=merge)
+
+
+def _stream_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id under which Spark keeps a query in its checkpoint: the same after a restart, another for a new checkpoint."""
+    return json.loads(_FS(spark, checkpoint).read_text("metadata"))["id"]
 
 
 def stream_structured(spark: SparkSession, model: StreamedModel, raw_path: str, table_path: str, checkpoint: str,
                       raw_schema: StructType, trigger: str = "availableNow", max_files_per_trigger: int = 1000,
                       run_ts_of_batch: Callable[[int], str] | None = None) -> StreamingQuery:
-    """Raw rows (Parquet, append-only) → structured table with the batch model's columns, merged per micro-batch."""
+    """Raw rows (Parquet, append-only) → structured table with the batch model's columns, merged per micro-batch.
+
+    Several streams may write one table, and a stream may start again from a new
+    checkpoint: it then offers rows again, which changes nothing.
+    """
     table = VersionedTable(spark, table_path)
     stream = spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(raw_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(table, model, batch, batch_id, run_ts_of_batch(batch_id) if run_ts_of_batch else None)
+        upsert_batch(table, model, batch, (_stream_of(spark, checkpoint), batch_id), run_ts_of_batch(batch_id) if run_ts_of_batch else None)
 
     return _trigger(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
