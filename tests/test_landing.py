@@ -238,3 +238,115 @@ def test_reload_replaces_a_raw_table_in_the_same_layout(spark, tmp):
     reload_raw(fresh, raw)
     assert [r.file_hash for r in stored_files(spark, raw).collect()] == ["0" * 32]
     assert rows(read_raw(spark, raw), "AccountID", "_file_hash") == [("A1", "0" * 32)]
+
+
+def _status(spark, cat):
+    return {r.file_name: (r.processing_status, r.row_count, (r.error_message or "").split(":")[0])
+            for r in cat.ledger(spark).read().collect()}
+
+
+def test_bad_files_are_failed_one_by_one_and_good_ones_complete(spark, tmp):
+    from vaultline.plans import ingest as I
+    _write(f"{tmp}/in/a.csv", HEAD + "A1,C1,1,savings\n")
+    _write(f"{tmp}/in/b.csv", HEAD.replace(",AccountType", "") + "A2,C1,1\n")
+    _write(f"{tmp}/in/empty.csv", "\n\n")
+    _write(f"{tmp}/in/nothing.csv", "")  # not listed: an upload that has not begun
+    _write(f"{tmp}/in/other.csv", "AccountType,Branch," + HEAD.replace(",AccountType", "") + "savings,x,A3,C1,3\n")
+    with open(f"{tmp}/in/latin.csv", "wb") as f:
+        f.write(HEAD.replace("Balance", "Bal\u00e4nce").encode("latin-1") + b"A4,C1,1,savings\n")
+    cat = _catalog(tmp)
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["failed"], got["rejected"]) == ("partial", 2, 3, 0)
+    status = _status(spark, cat)
+    assert {n: s[:2] for n, s in status.items()} == {"a.csv": ("completed", 1), "other.csv": ("completed", 1), "b.csv": ("failed", 0),
+                                                     "empty.csv": ("failed", 0), "latin.csv": ("failed", 0)}
+    assert status["b.csv"][2].startswith("landing file lacks columns ['AccountType']")
+    assert status["empty.csv"][2] == "landing file has no header" and status["latin.csv"][2] == "UnicodeDecodeError"
+    assert rows(spark.read.parquet(cat.raw("raw_accounts")), "AccountID") == [("A1",), ("A3",)]
+    _write(f"{tmp}/in/b.csv", HEAD + "A2,C1,1,savings\n")  # delivered anew
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-02 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["failed"]) == ("partial", 1, 2)
+    assert rows(spark.read.parquet(cat.raw("raw_accounts")), "AccountID") == [("A1",), ("A2",), ("A3",)]
+
+
+def test_only_bad_files_fail_without_stopping_a_run(spark, tmp):
+    from vaultline.plans import ingest as I
+    _write(f"{tmp}/in/a.csv", "x,y\n1,2\n")
+    got = I.ingest(spark, _catalog(tmp), I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["failed"]) == ("failed", 0, 1)
+
+
+def test_records_that_are_too_long_are_rejected_with_their_text(spark, tmp):
+    from vaultline.plans import ingest as I
+    body = 'A1,C1,"1,000",savings\nA2,C1,1,000,savings\nA3,C1\nA4,C1,4,savings,\n"A,5","C""1",5,"x,y"\nA6,C1,6,"open, text",z\n'
+    _write(f"{tmp}/in/a.csv", HEAD + body)
+    _write(f"{tmp}/in/b.csv", HEAD + "B1,C1,1,savings\n")
+    cat = _catalog(tmp)
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["rejected"]) == ("completed", 2, 3)
+    raw = spark.read.parquet(cat.raw("raw_accounts")).select("AccountID", "CustomerID", "Balance", "AccountType", "_row_number")
+    assert sorted(map(tuple, raw.collect()), key=str) == [("A,5", 'C"1', "5", "x,y", 5), ("A1", "C1", "1,000", "savings", 1),
+                                                         ("A3", "C1", None, None, 3), ("B1", "C1", "1", "savings", 1)]
+    bad = spark.read.parquet(cat.rejects("raw_accounts"))
+    assert rows(bad, "_row_number", "record") == [(2, "A2,C1,1,000,savings"), (4, "A4,C1,4,savings,"), (6, 'A6,C1,6,"open, text",z')]
+    assert _status(spark, cat)["a.csv"][:2] == ("completed", 3)
+
+
+def test_a_file_that_fails_while_it_is_loaded_is_taken_out(spark, tmp, monkeypatch):
+    from vaultline.plans import ingest as I
+    for k in range(4):
+        _write(f"{tmp}/in/f{k}.csv", HEAD + f"A{k},C1,{k},savings\n")
+    blocks, cat = L.block_table, _catalog(tmp)
+
+    def gone(scanned):
+        if os.path.exists(f"{tmp}/in/f2.csv"):
+            os.remove(f"{tmp}/in/f2.csv")
+        return blocks(scanned)
+
+    monkeypatch.setattr(L, "block_table", gone)
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["failed"]) == ("partial", 3, 1)
+    assert {n: s[0] for n, s in _status(spark, cat).items()} == {f"f{k}.csv": "failed" if k == 2 else "completed" for k in range(4)}
+    assert rows(spark.read.parquet(cat.raw("raw_accounts")), "AccountID") == [("A0",), ("A1",), ("A3",)]
+
+
+def test_small_files_share_a_raw_part_and_a_lost_pack_is_written_again(spark, tmp, monkeypatch):
+    import pytest
+
+    from vaultline.plans import ingest as I
+    from vaultline.sinks.tables import stored_files
+    for k in range(300):
+        _write(f"{tmp}/in/f{k:03d}.csv", HEAD + f"A{k},C1,{k},savings\n")
+    cat, append = _catalog(tmp), I.append_raw
+
+    def lost(df, path):
+        raise OSError("the store is gone")
+
+    monkeypatch.setattr(I, "append_raw", lost)  # the pack is announced, its rows are not written
+    with pytest.raises(OSError):
+        I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert {s[0] for s in _status(spark, cat).values()} == {"failed"}
+    monkeypatch.setattr(I, "append_raw", append)
+    monkeypatch.setattr(I, "PACK_BYTES", 5000)
+    for day in (2, 3):
+        I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", f"2025-01-0{day} 00:00:00", "all_unseen")
+    raw = spark.read.parquet(cat.raw("raw_accounts"))
+    assert raw.count() == 300 == raw.select("AccountID").distinct().count()
+    assert 2 <= raw.select("_file_part").distinct().count() < 10
+    assert len([n for n in os.listdir(f"{tmp}/wh/raw/raw_accounts") if n.startswith("_ingest_date")]) == 1
+    assert stored_files(spark, cat.raw("raw_accounts"), cat.manifest(spark, "raw_accounts").read()).count() == 300
+    # a ledger that is lost: nothing is written again
+    cat.ledger(spark)._fs.delete()
+    I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-04 00:00:00", "all_unseen")
+    assert spark.read.parquet(cat.raw("raw_accounts")).count() == 300
+
+
+def test_files_are_ingested_in_slices(spark, tmp, monkeypatch):
+    from vaultline.plans import ingest as I
+    monkeypatch.setattr(I, "SLICE_FILES", 2)
+    for k in range(5):
+        _write(f"{tmp}/in/f{k}.csv", HEAD + f"A{k},C1,{k},savings\n")
+    cat = _catalog(tmp)
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["schema_version"]) == ("completed", 5, 1)
+    assert spark.read.parquet(cat.raw("raw_accounts")).count() == 5

@@ -239,6 +239,50 @@ def q_ingest_retry(spark, sf):
     return _raw_rows(spark, Catalog(root))
 
 
+# Deliveries of every third month are bad: in March files lack a column, in June the header is not
+# UTF-8, in December balances are not quoted, so records with a comma in them are too long.
+BAD_MONTHS = "case substring(month, 6, 2) when '03' then 'column' when '06' then 'bytes' when '12' then 'quotes' else 'good' end"
+
+
+def _bad_deliveries(spark, sf):
+    root, rows = work_dir(spark, "landing"), LF.account_source_rows(spark, sf).withColumn("kind", F.expr(BAD_MONTHS))
+    LF.write_csv(rows.where("kind = 'good'").drop("kind"), f"{root}/good")
+    LF.write_csv(rows.where("kind = 'column'").drop("kind", "AccountType"), f"{root}/column")
+    LF.write_csv(rows.where("kind = 'bytes'").drop("kind").withColumnRenamed("Balance", "Bal\u00e4nce"), f"{root}/bytes", encoding="ISO-8859-1")
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in L.ACCOUNT_COLUMNS]).alias(",".join(L.ACCOUNT_COLUMNS))
+    LF.write_csv(rows.where("kind = 'quotes'").select(line, "month", "slice", "okey"), f"{root}/quotes", sep="\u0001")
+    return root
+
+
+DELIVERED = ("delivered", f"""
+select *, {BAD_MONTHS} as kind, {BAD_MONTHS} = 'quotes' and coalesce(contains(Balance, ','), false) as too_long,
+       {BAD_MONTHS} in ('column', 'bytes') as failed, cast(regexp_replace(AccountID, '[^0-9]', '', 'g') as bigint) as key
+from raw_accounts_m""")
+
+
+@query("ingest_quarantine", O.over([O.RAW_A, RAW_A_MONTH, DELIVERED], """
+select month, case when failed then 'failed' else 'completed' end as processing_status,
+       count(*) filter (where not failed and not too_long) as row_count,
+       count(*) filter (where not failed and not too_long) as raw_rows,
+       cast(coalesce(sum(key) filter (where not failed and not too_long), 0) as bigint) as raw_keys,
+       count(*) filter (where too_long) as rejected,
+       case kind when 'column' then 'lacks columns' when 'bytes' then 'UnicodeDecodeError' else '' end as error
+from delivered group by month, slice, kind, failed"""))
+def q_ingest_quarantine(spark, sf):
+    """Bad files among good ones: each file's ledger entry, and what is in the raw and the rejects table."""
+    cat, root = Catalog(work_dir(spark, "catalog")), _bad_deliveries(spark, sf)
+    ingest(spark, cat, ACCOUNTS, root, O.RUN_1, mode="all_unseen")
+    led = cat.ledger(spark).read()
+    key = F.regexp_replace("AccountID", "[^0-9]", "").cast("bigint")
+    raw = read_raw(spark, cat.raw("raw_accounts")).groupBy("_file_hash").agg(F.count(F.lit(1)).alias("raw_rows"), F.sum(key).alias("raw_keys"))
+    bad = read_raw(spark, cat.rejects("raw_accounts")).groupBy("_file_hash").agg(F.count(F.lit(1)).alias("rejected"))
+    found = led.join(raw, led["file_hash"] == raw["_file_hash"], "left").drop("_file_hash")
+    found = found.join(bad, led["file_hash"] == bad["_file_hash"], "left")
+    zero = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("raw_rows", "raw_keys", "rejected")]
+    error = F.regexp_extract(F.coalesce("error_message", F.lit("")), "lacks columns|UnicodeDecodeError", 0)
+    return found.select(LF.month_of(F.col("file_path")).alias("month"), "processing_status", "row_count", *zero, error.alias("error"))
+
+
 @query("pair_gate", O.over([O.RAW_A, RAW_A_MONTH], f"""
 select count(*) > 0 as accounts_ready, false as customers_ready, false as ready
 from raw_accounts_m where month >= '1997-01'"""))

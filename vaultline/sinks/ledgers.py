@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.operators.incremental import Stored, _meeting
@@ -37,8 +37,10 @@ SCHEMA_LOG_SCHEMA = ("schema_id string, table_name string, schema_version int, c
 
 
 def file_records(files: DataFrame, file_type: str, run_ts_col, status: str = "completed",
-                 error: str | None = None, row_counts: DataFrame | None = None) -> DataFrame:
-    """Ledger rows for fingerprinted files (path, length, file_hash [, row_count by path])."""
+                 error: str | Column | None = None, row_counts: DataFrame | None = None) -> DataFrame:
+    """Ledger rows for fingerprinted files (path, length, file_hash [, row_count by path]).
+
+    ``error`` is one text for all files or a column of ``files``."""
     df = files
     if row_counts is not None:
         df = df.join(row_counts.select("path", "row_count"), "path", "left")
@@ -54,7 +56,7 @@ def file_records(files: DataFrame, file_type: str, run_ts_col, status: str = "co
         F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
         run_ts_col.alias("ingestion_timestamp"),
         F.lit(status).alias("processing_status"),
-        F.lit(error).cast("string").alias("error_message"),
+        (error if isinstance(error, Column) else F.lit(error)).cast("string").alias("error_message"),
         F.col("modificationTime").alias("modification_time"),
     )
 

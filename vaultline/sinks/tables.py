@@ -1,8 +1,9 @@
 """Table storage on plain Parquet.
 
-* Raw tables are append-only and partitioned by ingestion date and file: a file's rows
-  become visible as one directory, so writing a file again replaces it and a file that
-  is there is there whole.
+* Raw tables are append-only and partitioned by ingestion date and file, or pack of small
+  files: their rows become visible as one directory, so writing them again replaces it
+  and what is there is there whole. A manifest names the files of a pack before its rows
+  are written.
 * ``VersionedTable`` keeps merged tables and logs. Every attempt writes into a folder
   of its own; a small commit file names the folders that make up a version and is put
   in place by a rename that fails if the version exists. Readers take the highest
@@ -91,38 +92,50 @@ class _FS:
 INGEST_DATE, FILE_PART = "_ingest_date", "_file_part"
 
 
-def _by_file(df: DataFrame):
+def _by_part(df: DataFrame):
     day = F.to_date(F.col("_ingested_at").cast("timestamp_ntz"))
     # the letter keeps an all-digit hash from being read back as a number
-    return (df.withColumn(INGEST_DATE, day).withColumn(FILE_PART, F.concat(F.lit("f"), "_file_hash"))
+    own = F.concat(F.lit("f"), "_file_hash")
+    part = F.coalesce("_pack", own) if "_pack" in df.columns else own
+    return (df.withColumn(INGEST_DATE, day).withColumn(FILE_PART, part).drop("_pack")
             .write.partitionBy(INGEST_DATE, FILE_PART).mode("overwrite"))
 
 
 def append_raw(df: DataFrame, path: str) -> None:
-    """Add files' rows to a raw table; a file written again on the same day replaces itself.
+    """Add files' rows to a raw table; a part written again on the same day replaces itself.
 
-    Incremental readers turn their watermark into a partition predicate
-    (``since_watermark``), so a run lists and reads only the days after the watermark.
-    Columns are matched by name; new columns are allowed (read with schema merging
-    after a logged drift).
+    A part is a file, or where ``_pack`` is given (not null) the pack it names, which must
+    hold all files that the manifest gives it. Incremental readers turn their watermark
+    into a partition predicate (``since_watermark``), so a run lists and reads only the
+    days after the watermark. Columns are matched by name; new columns are allowed (read
+    with schema merging after a logged drift).
     """
-    _by_file(df).option("partitionOverwriteMode", "dynamic").parquet(path)
+    _by_part(df).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def reload_raw(df: DataFrame, path: str) -> None:
     """Drop and recreate a raw table from ``df``, in the layout of ``append_raw``."""
-    _by_file(df).option("partitionOverwriteMode", "static").parquet(path)
+    _by_part(df).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def raw_exists(spark: SparkSession, path: str) -> bool:
     return any(n.startswith(f"{INGEST_DATE}=") for n in _FS(spark, path).list_names())
 
 
-def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct ``file_hash`` of the files whose rows a raw table holds (partition values only)."""
+def stored_files(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
+    """Distinct ``file_hash`` of the files whose rows a raw table holds.
+
+    Only partition values are read: a part is a file, or a pack of the files that
+    ``manifest`` (pack, file_hash) lists for it. A pack that was announced but never
+    written is not there, and its files are not stored.
+    """
     if not raw_exists(spark, path):
         return spark.createDataFrame([], "file_hash string")
-    return spark.read.parquet(path).select(F.substring(FILE_PART, 2, 64).alias("file_hash")).distinct()
+    parts = spark.read.parquet(path).select(F.col(FILE_PART).alias("pack")).distinct()
+    single = parts.where("pack like 'f%'").select(F.substring("pack", 2, 64).alias("file_hash"))
+    if manifest is None:
+        return single
+    return single.unionByName(manifest.join(parts, "pack", "left_semi").select("file_hash")).distinct()
 
 
 def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:

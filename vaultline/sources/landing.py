@@ -75,13 +75,27 @@ def _files(spark: SparkSession, directory: str | Sequence[str], prefix: str, suf
 
 def list_landing(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv",
                  recursive: bool = True) -> DataFrame:
-    """(path, file_name, length, modificationTime) of landing files; content is not read."""
+    """(path, file_name, length, modificationTime) of landing files; content is not read, files of no bytes are left out."""
     return _files(spark, directory, prefix, suffix, recursive).select(
         "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime")
 
 
+_EXAMINED = ("path string, length long, modificationTime timestamp, file_hash string, header array<string>, "
+             "quoted_newline boolean, error string")
+
+
+def _examined(pieces: Iterable[bytes]) -> tuple:
+    """``examine``, or the error that this one file gives."""
+    try:
+        return *examine(pieces), None
+    except Exception as exc:  # a file that is gone, unreadable or not text must not stop the others
+        return None, [], False, f"{type(exc).__name__}: {exc}"
+
+
 def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str = "", suffix: str = ".csv") -> DataFrame:
-    """(path, length, modificationTime, file_hash, header, quoted_newline) per file.
+    """(path, length, modificationTime, file_hash, header, quoted_newline, error) per file.
+
+    ``error`` says why a file cannot be read (its hash is null then); it is null for all others.
 
     The hash is the MD5 of the bytes for files of every size. Executors read each file
     once, a fixed piece at a time; a store that only Spark can open is read as whole
@@ -93,21 +107,20 @@ def fingerprint(spark: SparkSession, directory: str | Sequence[str], prefix: str
 
     def run(batches):
         for b in batches:
-            pieces = map(_chunks, b.column("path").to_pylist()) if streamed else ([c] for c in b.column("content").to_pylist())
-            found = [examine(p) for p in pieces]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("path"), b.column("length"), b.column("modificationTime"), pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.list_(pa.string())), pa.array([f[2] for f in found], pa.bool_())],
-                ["path", "length", "modificationTime", "file_hash", "header", "quoted_newline"])
+            pieces = [_chunks(p) for p in b.column("path").to_pylist()] if streamed else [[c] for c in b.column("content").to_pylist()]
+            found = list(zip(*map(_examined, pieces))) or [()] * 4
+            types = [pa.string(), pa.list_(pa.string()), pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("length"), b.column("modificationTime"),
+                                              *[pa.array(f, t) for f, t in zip(found, types)]],
+                                             [c.split()[0] for c in _EXAMINED.split(", ")])
 
     columns = ["path", "length", "modificationTime"] + ([] if streamed else ["content"])
-    return files.select(*columns).mapInArrow(
-        run, "path string, length long, modificationTime timestamp, file_hash string, header array<string>, quoted_newline boolean")
+    return files.select(*columns).mapInArrow(run, _EXAMINED)
 
 
 def scan_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
              aliases: Mapping[str, str] | None = None, keep_extra: bool = False,
-             files: DataFrame | None = None) -> DataFrame:
+             files: DataFrame | None = None, keep_rejects: bool = False) -> DataFrame:
     """CSV with a header, every column as text, NA tokens → NULL, selected by name.
 
     Every file is read by its own header: files with the same header (and the same need
@@ -116,33 +129,66 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     ``aliases``. ``files`` is a stored ``fingerprint`` of the files; without it they are
     examined first. A file with quoted line breaks is one split, all others split
     freely. Adds ``_path`` and ``_block`` from the hidden ``_metadata`` column.
+
+    A record with fewer fields than the header ends in nulls. With ``keep_rejects``, a
+    record with more fields is a row whose ``_reject`` holds its text (null in all others).
     """
     if files is None:
         files = materialize(fingerprint(spark, path), "landing_files")
     layouts = files.groupBy("header", "quoted_newline").agg(F.collect_list("path").alias("paths")).collect()
-    scans = [_scan_layout(spark, r.header, r.paths, r.quoted_newline, columns, aliases, keep_extra) for r in layouts]
+    scans = [_scan_layout(spark, r.header, r.paths, r.quoted_newline, columns, aliases, keep_extra, keep_rejects) for r in layouts]
+    own = ("_path", "_block", *(["_reject"] if keep_rejects else []))
     if not scans:
-        fields = [StructField(c, StringType()) for c in (*columns, "_path")]
+        fields = [StructField(c, StringType()) for c in (*columns, *(c for c in own if c != "_block"))]
         return spark.createDataFrame([], StructType(fields)).withColumn("_block", F.lit(0).cast("long"))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    extra = [c for c in united.columns if c not in columns and c not in ("_path", "_block")]
-    return united.select(*columns, *extra, "_path", "_block")
+    extra = [c for c in united.columns if c not in columns and c not in own]
+    return united.select(*columns, *extra, *own)
+
+
+def _places(header: Sequence[str], aliases: Mapping[str, str] | None) -> dict[str, int]:
+    """Lower-case column name -> place in the header."""
+    return {(aliases or {}).get(n.strip().lower(), n.strip()).lower(): i for i, n in enumerate(header)}
+
+
+def header_error(header: Sequence[str], columns: Sequence[str], aliases: Mapping[str, str] | None = None) -> str | None:
+    """Why files with this header cannot be loaded; None if they can."""
+    places = _places(header, aliases)
+    missing = [c for c in columns if c.lower() not in places]
+    if not header:
+        return "landing file has no header"
+    if missing or len(places) < len(header):
+        return f"landing file lacks columns {missing} or repeats one; header is {list(header)}"
+    return None
+
+
+def _too_long(record: str, fields: int):
+    """Whether a record's text has more fields than the header: commas outside quoted parts."""
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.translate(bare, ",", "")) >= fields
 
 
-def _scan_layout(spark, header, paths, multiline, columns, aliases, keep_extra) -> DataFrame:
+def _scan_layout(spark, header, paths, multiline, columns, aliases, keep_extra, keep_rejects=False) -> DataFrame:
     """One scan of files that share a header."""
-    lookup = {(aliases or {}).get(n.strip().lower(), n.strip()).lower(): i for i, n in enumerate(header)}
-    missing = [c for c in columns if c.lower() not in lookup]
-    if missing or len(lookup) < len(header):
-        raise ValueError(f"landing file lacks columns {missing} or repeats one; header is {header}")
+    if error := header_error(header, columns, aliases):
+        raise ValueError(error)
+    lookup = _places(header, aliases)
     by_place = StructType([StructField(f"c{i}", StringType()) for i in range(len(header))])
-    df = (spark.read.schema(by_place).options(**CSV_TEXT).option("header", True).option("multiLine", multiline)
-          .option("mode", "PERMISSIVE").csv(paths))
+    reader = spark.read.options(**CSV_TEXT).option("header", True).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    rejects = []
+    if keep_rejects:  # Spark gives the text of records whose number of fields is not the header's
+        by_place.add("_malformed", StringType())
+        reader = reader.option("columnNameOfCorruptRecord", "_malformed").option("columnPruning", False)
+        # Spark refuses a scan of this column alone, so the first one is named as well
+        parsed = F.col("c0").isNull() | F.col("c0").isNotNull()
+        long = F.col("_malformed").isNotNull() & _too_long("_malformed", len(header)) & parsed
+        rejects = [F.when(long, F.col("_malformed")).alias("_reject")]
+    df = reader.schema(by_place).csv(paths)
     wanted = [na_to_null(f"c{lookup[c.lower()]}").alias(c) for c in columns]
     known = {c.lower() for c in columns}
     extra = [na_to_null(f"c{i}").alias(header[i].strip()) for n, i in lookup.items() if n not in known] if keep_extra else []
     return df.select(*wanted, *extra, F.col("_metadata.file_path").alias("_path"),
-                     F.col("_metadata.file_block_start").alias("_block"))
+                     F.col("_metadata.file_block_start").alias("_block"), *rejects)
 
 
 def latest_file(listing: DataFrame) -> DataFrame:
@@ -179,14 +225,15 @@ def unprocessed(listing: DataFrame, ledger: DataFrame | None, file_type: str | N
 
 
 def block_table(scanned: DataFrame) -> DataFrame:
-    """Per (file, split): row count ``_n``, first row id ``_first``, rows before it in the file ``_offset``.
+    """Per (file, split): row count ``_n``, rejects ``_bad``, first row id ``_first``, rows before it in the file ``_offset``.
 
     Materialised in the shared checkpoint folder: one scan computes it, its size is
     then known exactly, and lineage is cut (safe against executor loss).
     The table is small (one row per split), so it is written once and read back.
     """
     base = scanned.withColumn("_rid", F.monotonically_increasing_id())
-    blocks = base.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
+    bad = F.count("_reject") if "_reject" in scanned.columns else F.lit(0).cast("bigint")
+    blocks = base.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), bad.alias("_bad"), F.min("_rid").alias("_first"))
     w = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     return materialize(blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))), "blocks")
 
@@ -208,7 +255,8 @@ def with_row_numbers(scanned: DataFrame, blocks: DataFrame | None = None) -> Dat
 
 
 def file_row_counts(blocks: DataFrame) -> DataFrame:
-    return blocks.groupBy(F.col("_path").alias("path")).agg(F.sum("_n").cast("bigint").alias("row_count"))
+    """Loaded rows per file (rejected records are not among them)."""
+    return blocks.groupBy(F.col("_path").alias("path")).agg(F.sum(F.col("_n") - F.col("_bad")).cast("bigint").alias("row_count"))
 
 
 def with_lineage(scanned: DataFrame, fingerprints: DataFrame, run_ts=None,

@@ -40,10 +40,10 @@ def customer_source_rows(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select("CustomerID", "Name", "HasLoan", "nation", F.expr(f"okey div {SLICE}").alias("slice"), "okey")
 
 
-def write_csv(df: DataFrame, path: str, part: str = "month", mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, part: str = "month", mode: str = "overwrite", **options) -> None:
     """One CSV file per delivery and slice, rows ordered by ``okey``; text written verbatim."""
     (df.repartition(part, "slice").sortWithinPartitions(part, "slice", "okey").drop("okey")
-       .write.mode(mode).partitionBy(part, "slice").options(**CSV_TEXT).option("header", True).csv(path))
+       .write.mode(mode).partitionBy(part, "slice").options(**CSV_TEXT).options(**options).option("header", True).csv(path))
 
 
 def month_of(path_col) -> F.Column:
