@@ -70,6 +70,36 @@ def test_stream_ingestion_follows_the_batch_rules(spark, tmp):
     land("d.csv", head + "A3,C1,3,savings\n")
     drain("ck")
     assert len(pairs) == 1
+    os.utime(f"{tmp}/in/a_again.csv", (2_000_000_000, 2_000_000_000))  # delivered again, known bytes: no new pair
+    drain("ck")
+    land("bad.csv", "no,header\n1,2\n")  # a bad file fails by itself, the stream goes on
+    drain("ck")
+    assert len(pairs) == 1 and {r.processing_status for r in cat.ledger(spark).read().where("file_name = 'bad.csv'").collect()} == {"failed"}
+    land("e.csv", head + "A4,C1,4,savings\n")
+    drain("ck")
+    assert len(pairs) == 2 and pairs[0]["customers"] == pairs[1]["customers"] and pairs[0]["accounts"] < pairs[1]["accounts"]
+
+
+def test_a_pair_fires_once_whoever_sees_it(spark, tmp):
+    from vaultline.streaming.jobs import fire_pair
+    cat, fired, at = I.Catalog(f"{tmp}/wh"), [], dt.datetime(2024, 1, 1)
+    newest = lambda a, c: spark.createDataFrame([("accounts", a), ("customers", c)], "file_type string, modified timestamp_ntz")
+    assert fire_pair(spark, cat, newest(at, None), ("one", 0), fired.append) is None
+    pair, later = newest(at, at), newest(at, at + dt.timedelta(days=1))
+
+    def dies(found):
+        fired.append("died")
+        raise OSError("the run died")
+
+    try:
+        fire_pair(spark, cat, pair, ("one", 0), dies)
+    except OSError:
+        pass
+    assert fire_pair(spark, cat, pair, ("two", 0), fired.append) is None  # claimed by the first
+    assert fire_pair(spark, cat, pair, ("one", 0), fired.append) and len(fired) == 2  # its replay calls again
+    assert fire_pair(spark, cat, pair, ("one", 1), fired.append) is None and fire_pair(spark, cat, pair, ("two", 1), fired.append) is None
+    assert fire_pair(spark, cat, later, ("two", 2), fired.append) and len(fired) == 3
+    assert sorted(tuple(r) for r in cat.pair_log(spark).read().select("stream", "batch", "status").collect()) == [("one", 0, "done"), ("two", 2, "done")]
 
 
 def test_a_lost_checkpoint_and_a_second_stream_lose_nothing(spark, tmp):

@@ -7,7 +7,7 @@ uses ``limit(1)`` so a gate stops at the first pending row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.operators.incremental import has_new
@@ -54,3 +54,28 @@ def pair_gate(ledger: DataFrame | None, since=None) -> DataFrame:
         (F.count_if(F.col("file_type") == "accounts") > 0).alias("accounts_ready"),
         (F.count_if(F.col("file_type") == "customers") > 0).alias("customers_ready"),
     ).withColumn("ready", F.col("accounts_ready") & F.col("customers_ready"))
+
+
+PAIR_SIDES = ("accounts", "customers")
+
+
+def newest_files(ledger: DataFrame) -> DataFrame:
+    """(file_type, modified): the newest completed file of each source."""
+    return (ledger.filter((F.col("processing_status") == "completed") & F.col("file_type").isin(*PAIR_SIDES))
+            .groupBy("file_type").agg(F.max("modification_time").alias("modified")))
+
+
+def pair_triggers(arrivals: DataFrame) -> DataFrame:
+    """Arrivals (poll, file_type, modified) -> (poll, accounts_modified, customers_modified, fires), one row a poll.
+
+    A poll fires when both sources have a file and the pair of their newest ones is not
+    the pair of the poll before. Files are reduced to one row a poll first, so the
+    window over all polls sees no files.
+    """
+    newest = [F.max(F.when(F.col("file_type") == s, F.col("modified"))).alias(f"{s}_modified") for s in PAIR_SIDES]
+    polls = arrivals.groupBy("poll").agg(*newest)
+    so_far = Window.orderBy("poll").rowsBetween(Window.unboundedPreceding, 0)
+    polls = polls.select("poll", *[F.max(f"{s}_modified").over(so_far).alias(f"{s}_modified") for s in PAIR_SIDES])
+    pair = F.struct(*[f"{s}_modified" for s in PAIR_SIDES])
+    both = F.col("accounts_modified").isNotNull() & F.col("customers_modified").isNotNull()
+    return polls.withColumn("fires", both & ~pair.eqNullSafe(F.lag(pair).over(Window.orderBy("poll"))))

@@ -69,6 +69,12 @@ class Catalog:
     def ledger(self, spark: SparkSession) -> VersionedTable:
         return self.table(spark, "raw", "file_ingestion_metadata")
 
+    def newest_files(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "raw", "newest_files")
+
+    def pair_log(self, spark: SparkSession) -> VersionedTable:
+        return self.table(spark, "raw", "pair_log")
+
     def schema_log(self, spark: SparkSession) -> VersionedTable:
         return self.table(spark, "raw", "schema_version_tracking")
 

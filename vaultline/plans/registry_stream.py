@@ -8,18 +8,19 @@ from vaultline.functions.audit import append_history, history_entry
 from vaultline.plans import models as M
 from vaultline.plans import oracle as O
 from vaultline.plans.present import present
+from vaultline.plans.gates import pair_triggers
 from vaultline.plans.ingest import ACCOUNTS, Catalog
 from vaultline.plans.registry import curated_full, query, structured_full, two_runs
 from vaultline.plans.registry_ingest import CLEAN_LOAD, _LostLedger, _raw_rows
 from vaultline.session import work_dir
 from vaultline.sinks.export import export_csv
-from vaultline.sinks.tables import VersionedTable
+from vaultline.sinks.tables import VersionedTable, _FS
 from vaultline.sources import landing as L
 from vaultline.sources import landing_fixtures as LF
 from vaultline.sources import testdata as T
 from vaultline.streaming.jobs import ACCOUNTS as ACCOUNT_STREAM
 from vaultline.streaming.jobs import CUSTOMERS as CUSTOMER_STREAM
-from vaultline.streaming.jobs import ingest_batch, ingest_stream, stream_structured
+from vaultline.streaming.jobs import ingest_batch, ingest_stream, stream_structured, watch_pairs
 
 
 def _stream_catalog(spark, sf):
@@ -36,6 +37,78 @@ def q_stream_ingest(spark, sf):
     return _raw_rows(spark, _stream_catalog(spark, sf)[0])
 
 
+# Deliveries of both sources, by phase: the account files of some years and the customer files of some
+# nations. A file's time follows from its month or nation, so phase 2 brings only older files.
+PHASES = ((("1997",), ()), ((), range(10)), (("1995", "1996"), ()), (("1998",), range(10, 15)), ((), range(15, 25)),
+          ("rest", ()))
+_PHASE_A = "case " + " ".join(f"when year = '{y}' then {k}" for k, (ys, _) in enumerate(PHASES) if ys != "rest" for y in ys) \
+    + f" else {len(PHASES) - 1} end"
+_PHASE_C = "case " + " ".join(f"when nation in ({', '.join(map(str, ns))}) then {k}" for k, (_, ns) in enumerate(PHASES) if ns) + " end"
+DELIVERIES = ("deliveries", f"""
+select {_PHASE_A} as poll, 'accounts' as file_type, timestamp '2020-01-01' + to_days(30 * (cast(year as integer) - 1995) * 12 + 30 * month) as modified
+from (select strftime(o_orderdate, '%Y') as year, cast(month(o_orderdate) as integer) as month from orders group by all)
+union all
+select {_PHASE_C}, 'customers', timestamp '2020-01-01' + to_days(40 * nation) from (select distinct cast(c_nationkey as integer) as nation from customer)""")
+TRIGGERS = ("polls", """
+select poll, max(max(modified) filter (where file_type = 'accounts')) over (order by poll) as accounts_modified,
+       max(max(modified) filter (where file_type = 'customers')) over (order by poll) as customers_modified from deliveries group by poll""")
+_FIRES = """accounts_modified is not null and customers_modified is not null and
+    (accounts_modified, customers_modified) is distinct from (lag(accounts_modified) over (order by poll), lag(customers_modified) over (order by poll))"""
+
+
+def _set_times(spark, path, at):
+    """Give every file below the time that ``at`` reads from its path (days after the first)."""
+    day, first = 86_400_000, 1_577_836_800_000
+    for r in L.list_landing(spark, path).select("path", at.alias("days")).collect():
+        files = _FS(spark, r.path)
+        files.fs.setTimes(files.root, first + r.days * day, -1)
+
+
+def _deliver(spark, sf, root, phase):
+    years, nations = PHASES[phase]
+    number = lambda pattern: F.regexp_extract("path", pattern, 1).cast("int")
+    if years:
+        year = F.substring("month", 1, 4)
+        named = [y for ys, _ in PHASES if ys != "rest" for y in ys]
+        rows = LF.account_source_rows(spark, sf).where(~year.isin(*named) if years == "rest" else year.isin(*years))
+        LF.write_csv(rows, f"{root}/accounts", mode="append")
+        _set_times(spark, f"{root}/accounts", (number(r"month=(\d+)") - 1995) * 360 + 30 * number(r"month=\d+-(\d+)"))
+    if nations:
+        rows = LF.customer_source_rows(spark, sf).where(F.col("nation").isin(*map(str, nations)))
+        LF.write_csv(rows, f"{root}/customers", part="nation", mode="append")
+        _set_times(spark, f"{root}/customers", 40 * number(r"nation=(\d+)"))
+
+
+@query("pair_cursor", O.over([DELIVERIES, TRIGGERS], f"""
+select poll, accounts_modified, customers_modified, 'done' as status, count(*) over () as calls
+from (select *, {_FIRES} as fires from polls) p where fires"""))
+def q_pair_cursor(spark, sf):
+    """Six deliveries, a poll each; the pair log after each poll was drained twice: four pairs, each fired once."""
+    root, cat, checkpoint, fired = work_dir(spark, "landing"), Catalog(work_dir(spark, "catalog")), work_dir(spark, "pair-ckpt"), []
+    for d in ("accounts", "customers"):
+        files = _FS(spark, f"{root}/{d}")
+        files.fs.mkdirs(files.root)
+    for phase in range(len(PHASES)):
+        _deliver(spark, sf, root, phase)
+        for _ in range(2):
+            watch_pairs(spark, cat, f"{root}/accounts", f"{root}/customers", checkpoint, fired.append).awaitTermination()
+    return cat.pair_log(spark).read().select(F.col("batch").alias("poll"), "accounts_modified", "customers_modified", "status",
+                                             F.lit(len(fired)).cast("bigint").alias("calls"))
+
+
+@query("pair_triggers", O.over([DELIVERIES, TRIGGERS], f"select poll, accounts_modified, customers_modified, {_FIRES} as fires from polls"))
+def q_pair_triggers(spark, sf):
+    """The same deliveries as a table of arrivals: which poll fires."""
+    year, month = F.date_format("o_orderdate", "yyyy"), F.month("o_orderdate")
+    months = T.read_table(spark, sf, "orders").select(year.alias("year"), month.alias("month")).distinct()
+    nations = T.read_table(spark, sf, "customer").select(F.col("c_nationkey").cast("int").alias("nation")).distinct()
+    at = lambda days: F.expr(f"timestamp_ntz'2020-01-01' + make_dt_interval({days})")
+    arrivals = months.select(F.expr(_PHASE_A).cast("bigint").alias("poll"), F.lit("accounts").alias("file_type"),
+                             at("360 * (cast(year as int) - 1995) + 30 * month").alias("modified")).unionByName(
+        nations.select(F.expr(_PHASE_C).cast("bigint").alias("poll"), F.lit("customers").alias("file_type"), at("40 * nation").alias("modified")))
+    return pair_triggers(arrivals)
+
+
 @query("stream_replay", CLEAN_LOAD)
 def q_stream_replay(spark, sf):
     """A micro-batch that wrote its rows and died is offered again, then once more after it completed."""

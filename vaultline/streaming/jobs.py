@@ -24,13 +24,16 @@ from pyspark.sql.types import StructType
 from vaultline.operators.dedupe import keep_latest
 from vaultline.operators.incremental import _ntz
 from vaultline.plans import models as M
-from vaultline.plans.gates import pair_gate
+from vaultline.plans.gates import PAIR_SIDES, newest_files
 from vaultline.plans.ingest import Catalog, Source, ingest_files
 from vaultline.session import materialize
 from vaultline.sinks.tables import CommitConflict, VersionedTable, _FS
 
 # Merges tried on top of other writers' commits.
 MERGE_TRIES = 10
+# Spark's file stream passes over files this much older than the newest it has seen (a week unless told
+# otherwise), and remembers the names of younger ones.
+MAX_FILE_AGE = "3650d"
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -45,25 +48,94 @@ def ingest_batch(spark: SparkSession, catalog: Catalog, source: Source, arrived:
     return ingest_files(spark, catalog, source, materialize(arrived.select("path", "length", "modificationTime"), "arrived"), run_ts)
 
 
+def fire_pair(spark: SparkSession, catalog: Catalog, newest: DataFrame, writer: tuple[str, int],
+              on_pair: Callable[[dict], None]) -> dict | None:
+    """Call ``on_pair`` once for a pair of newest files (file_type, modified) that has not fired; returns the pair.
+
+    The pair's row in the catalog's pair log is the cursor: it is claimed before the call
+    and marked done after it. A claim that another stream holds, or one that is done, is
+    left alone; a claim of the same stream is a call that died, and is made again.
+    """
+    found = {r.file_type: r.modified for r in newest.collect()}
+    if set(found) != set(PAIR_SIDES) or None in found.values():
+        return None
+    log, (stream, batch) = catalog.pair_log(spark), writer
+    sides = [F.lit(found[s].isoformat(sep=" ")).cast("timestamp_ntz").alias(f"{s}_modified") for s in PAIR_SIDES]
+    row = spark.range(1).select(F.lit("_".join(found[s].isoformat() for s in PAIR_SIDES)).alias("pair_id"), *sides,
+                                F.lit(stream).alias("stream"), F.lit(batch).cast("bigint").alias("batch"), F.lit("started").alias("status"))
+    for _ in range(MERGE_TRIES):
+        base = log.version()
+        known = log.read(base)
+        held = known.join(row.select("pair_id"), "pair_id", "left_semi").select("stream", "status").first() if known is not None else None
+        if held is not None and (held.status == "done" or held.stream != stream):
+            return None
+        try:
+            log.upsert(materialize(row, "pair"), "pair_id", base=base)
+            break
+        except CommitConflict:
+            continue
+    else:
+        raise CommitConflict(f"the pair log {log.path} is changed by too many writers")
+    on_pair(found)
+    done = materialize(row.withColumn("status", F.lit("done")), "pair")
+    for last in range(MERGE_TRIES):
+        try:
+            log.upsert(done, "pair_id")
+            return found
+        except CommitConflict:
+            if last == MERGE_TRIES - 1:
+                raise
+
+
+def _arrivals(spark: SparkSession, landing_dir: str, max_files_per_trigger: int) -> DataFrame:
+    """File names as a stream: path, length, modificationTime; files that kept an old time when they arrived as well."""
+    return (spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv")
+            .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_trigger).option("maxFileAge", MAX_FILE_AGE)
+            .load(landing_dir).select("path", "length", "modificationTime"))
+
+
+def watch_pairs(spark: SparkSession, catalog: Catalog, accounts_dir: str, customers_dir: str, checkpoint: str,
+                on_pair: Callable[[dict], None], trigger: str = "availableNow", max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Watch both landing folders and call ``on_pair`` once per new pair of newest files.
+
+    One stream over both sources: a micro-batch is a poll. The newest file of each side
+    is kept in the catalog (two rows), merged once per batch, so neither a batch with one
+    side only, nor files that are older than the newest, nor a replay fires anything.
+    """
+    sides = zip(PAIR_SIDES, (accounts_dir, customers_dir))
+    files = [_arrivals(spark, d, max_files_per_trigger).select(F.lit(s).alias("file_type"), F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
+             for s, d in sides]
+
+    def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+        return stored.unionByName(new).groupBy("file_type").agg(F.max("modified").alias("modified"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        writer, state = (_stream_of(spark, checkpoint), batch_id), catalog.newest_files(spark)
+        arrived = materialize(batch.groupBy("file_type").agg(F.max("modified").alias("modified")), "arrived")
+        state.upsert(arrived, "file_type", writer=writer, merge=merge)
+        fire_pair(spark, catalog, state.read(), writer, on_pair)
+
+    both = files[0].unionByName(files[1])
+    return _trigger(both.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
+
+
 def ingest_stream(spark: SparkSession, catalog: Catalog, source: Source, landing_dir: str, checkpoint: str,
                   trigger: str = "availableNow", max_files_per_trigger: int = 1000,
                   run_ts_of_batch: Callable[[int], str] | None = None,
-                  on_pair: Callable[[int], None] | None = None) -> StreamingQuery:
+                  on_pair: Callable[[dict], None] | None = None) -> StreamingQuery:
     """Landing files → raw table under the rules of batch ingestion (ledger, hashes, headers, drift).
 
-    The stream carries file names only. ``on_pair`` is called after a micro-batch that
-    leaves completed files of both sources, that is when the next layers can run.
+    The stream carries file names only. ``on_pair`` is called once per new pair of the
+    newest completed files of both sources, whichever source's stream completes it.
     """
-    arrived = (spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files_per_trigger)
-               .load(landing_dir).select("path", "length", "modificationTime"))
-
     def sink(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(spark, catalog, source, batch, run_ts_of_batch(batch_id) if run_ts_of_batch else None)
-        ready = pair_gate(catalog.ledger(spark).read()) if on_pair else None
-        if ready is not None and ready.first()["ready"]:
-            on_pair(batch_id)
+        ledger = catalog.ledger(spark).read() if on_pair else None
+        if ledger is not None:
+            newest = newest_files(ledger).withColumn("modified", F.col("modified").cast("timestamp_ntz"))
+            fire_pair(spark, catalog, newest, (_stream_of(spark, checkpoint), batch_id), on_pair)
 
+    arrived = _arrivals(spark, landing_dir, max_files_per_trigger)
     return _trigger(arrived.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
 
 
