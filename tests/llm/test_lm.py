@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import SF_SMALL
@@ -10,6 +11,7 @@ from llm_fixtures import make_docs
 from pyspark.sql import functions as F
 
 from vaultline.llm import lm
+from vaultline.session import materialize
 
 
 def plain_base(pairs, held):
@@ -101,8 +103,7 @@ def test_frequent_words_are_clustered_at_any_vocabulary_size(spark, monkeypatch)
     m = lm.frequent_words(words)
     assert m.clustered == 1200  # more than SEEDS
     want = Counter()
-    unit = {w: int(m.look_up(np.array([lm._WordNames()[w]], np.uint64))[2][0])
-            for w in [x.encode() for k in kinds for x in k] + [lm.END]}
+    unit = {w: int(m.look_up(lm.names_of(pa.array([w.decode()])))[2][0]) for w in [x.encode() for k in kinds for x in k] + [lm.END]}
     for t in texts:
         ws = [lm.END, *t.encode().split(), lm.END]
         want.update((unit[a], unit[b]) for a, b in zip(ws, ws[1:]))
@@ -120,3 +121,15 @@ def test_frequent_words_are_clustered_at_any_vocabulary_size(spark, monkeypatch)
     # words of one kind share no class with words of another
     held = [{int(of[unit[w.encode()]]) for w in k} for k in kinds]
     assert np.mean([len(a & b) for a, b in zip(held, held[1:])]) <= 1
+
+
+def test_tokens_are_the_words_of_a_plain_split():
+    texts = ["", " ", None, "A b\x1cC\x85d\u2003e É", "  x\t\x0by\x0c\r\nX ", "w", "long " * 5, "\n"]
+    names, at, sizes = lm._tokens(pa.array(texts, pa.string()))
+    want = [[*(t or "").encode().lower().split(), lm.END] for t in texts]
+    assert sizes.tolist() == [len(w) for w in want]
+    flat = [w.decode() for ws in want for w in ws]
+    assert names[at].tolist() == lm.names_of(pa.array(flat)).tolist()
+    assert len(set(lm.names_of(pa.array(flat)).tolist())) == len(set(flat))
+    sliced = pa.array(["zz", *flat]).slice(1)
+    assert lm.names_of(sliced).tolist() == lm.names_of(pa.array(flat)).tolist()

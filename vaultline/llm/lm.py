@@ -23,17 +23,17 @@ Two words share a name with probability 2**-58. Only the id and text columns are
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.arrays import array_rows, summed
-from vaultline.llm.text import MEMO_WORDS, slices, texts_frame, texts_of
+from vaultline.llm.text import slices, texts_frame
 from vaultline.session import materialize
 
 SHARE = 2_000_000
@@ -43,57 +43,95 @@ SUFFIXES = 1 << SUFFIX_BITS
 END = b"\n"  # no word holds white space
 PULL = 10.0  # weight of the class shares in a transition
 _LOW = np.uint64(SUFFIXES - 1)
+# Bytes of text tokenised at once.
+AT_ONCE = 16 << 20
 # Distinct words a task counts before it hands them on.
 COUNTED = 400_000
 # Distinct unit bigrams a task counts before it hands them on.
 PAIRS = 1_000_000
 
 
-class _WordNames(dict):
-    """word -> 64-bit name with the suffix bucket in the low bits."""
+def names_of(words: pa.StringArray) -> np.ndarray:
+    """64-bit names of words, the suffix bucket (hashed from the last 3 bytes) in the low bits."""
+    names = hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    last = np.zeros(len(words), np.uint32)
+    for k in (1, 2, 3):
+        has = np.diff(ends) >= k
+        last[has] |= data[ends[1:][has] - k].astype(np.uint32) << np.uint32(8 * k - 8)
+    bucket = (last * np.uint32(0x9E3779B1)) >> np.uint32(32 - SUFFIX_BITS)
+    return names >> np.uint64(SUFFIX_BITS) << np.uint64(SUFFIX_BITS) | bucket.astype(np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        bucket = xxhash.xxh3_64_intdigest(word[-3:], 5) & (SUFFIXES - 1)
-        name = self[word] = xxhash.xxh3_64_intdigest(word) >> SUFFIX_BITS << SUFFIX_BITS | bucket
-        return name
 
+END_NAME = names_of(pa.array([END.decode()]))[0]
 
-END_NAME = np.uint64(_WordNames()[END])
 
+def _tokens(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the distinct tokens (the end last), the place of each token among them, and tokens per text.
 
-def _tokens(texts: list[bytes], memo: _WordNames) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all tokens, each text closed by the end, and tokens per text."""
-    split = [t.lower().split() for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split)) + 1
-    return np.fromiter((memo[w] for ws in split for w in (*ws, END)), np.uint64, int(sizes.sum())), sizes
+    Lower case, the cuts at white space and the distinct words are Arrow's, so Python
+    sees a word once a slice.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = lists.flatten().dictionary_encode()
+    names, at = np.append(names_of(coded.dictionary), END_NAME), np.asarray(coded.indices).astype(np.int64)
+    parts = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+    empty = pc.index(coded.dictionary, "").as_py()  # what stands before a leading and after a trailing cut
+    whole = at != empty
+    n = np.diff(np.concatenate(([0], np.cumsum(whole)))[np.concatenate(([0], np.cumsum(parts)))])
+    out = np.full(int(n.sum()) + len(n), len(names) - 1)
+    keep = np.ones(len(out), bool)
+    keep[np.cumsum(n + 1) - 1] = False  # the end closes every text
+    out[keep] = at[whole]
+    return names, out, n + 1
 
 
 def _each_slice(batches):
-    memo = _WordNames()
+    """Rows with their tokens, ``AT_ONCE`` bytes of text at a time."""
+    held, size = [], 0
     for batch in batches:
         for b in slices(batch, "t"):
-            yield b, *_tokens(texts_of(b, "t"), memo)
+            held.append(b)
+            size += b.column("t").nbytes
+            if size >= AT_ONCE:
+                whole = pa.concat_batches(held)
+                yield whole, *_tokens(whole.column("t"))
+                held, size = [], 0
+    if held:
+        whole = pa.concat_batches(held)
+        yield whole, *_tokens(whole.column("t"))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up."""
+    keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+
+def _counted(pairs, limit: int):
+    """(keys, counts) of a task, merged, handed on when more than ``limit`` distinct keys are held."""
+    parts, held = [], 0
+    for keys, n in pairs:
+        parts.append((keys, n))
+        held += len(keys)
+        if held > 2 * limit:
+            parts = [_merged(parts)]
+            held = len(parts[0][0])
+            if held > limit:
+                yield parts[0]
+                parts, held = [], 0
+    if parts:
+        yield _merged(parts)
 
 
 def count_words(train: DataFrame) -> DataFrame:
     """``(name, c)`` over all training texts ``(t)``."""
-    def rows(total):
-        return pa.RecordBatch.from_arrays([pa.array(np.fromiter(total, np.uint64, len(total)).view(np.int64)),
-                                           pa.array(np.fromiter(total.values(), np.int64, len(total)))], ["name", "c"])
-
     def run(batches):
-        total: Counter = Counter()
-        for _, names, _ in _each_slice(batches):
-            some, n = np.unique(names, return_counts=True)
-            for k, v in zip(some.tolist(), n.tolist()):
-                total[k] += v
-            if len(total) > COUNTED:
-                yield rows(total)
-                total = Counter()
-        if total:
-            yield rows(total)
+        counts = ((names, np.bincount(at, minlength=len(names))) for _, names, at, _ in _each_slice(batches))
+        for names, n in _counted(counts, COUNTED):
+            used = n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(names[used].view(np.int64)), pa.array(n[used])], ["name", "c"])
 
     return train.mapInArrow(run, "name long, c long").groupBy("name").agg(F.sum("c").alias("c"))
 
@@ -155,29 +193,16 @@ def unit_bigrams(train: DataFrame, model: Model) -> DataFrame:
     those before it with the number of units added. A text begins after an end."""
     size = model.end + 1
 
-    def merged(parts):
-        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(place, np.concatenate([p[1] for p in parts])).astype(np.int64)
-
-    def rows(keys, n):
-        return pa.RecordBatch.from_arrays([pa.array((keys // size).astype(np.int32)), pa.array((keys % size).astype(np.int32)),
-                                           pa.array(n)], ["a", "b", "n"])
-
     def run(batches):
-        parts, held = [], 0
-        for _, names, _ in _each_slice(batches):
-            unit = model.look_up(names)[2]
-            before = np.concatenate(([model.end], unit[:-1]))
-            parts.append(np.unique(before * size + unit, return_counts=True))
-            held += len(parts[-1][0])
-            if held > 2 * PAIRS:
-                parts = [merged(parts)]
-                held = len(parts[0][0])
-                if held > PAIRS:
-                    yield rows(*parts[0])
-                    parts, held = [], 0
-        if parts:
-            yield rows(*merged(parts))
+        def pairs():
+            for _, names, at, _ in _each_slice(batches):
+                unit = model.look_up(names)[2][at]
+                before = np.concatenate(([model.end], unit[:-1]))
+                yield np.unique(before * size + unit, return_counts=True)
+
+        for keys, n in _counted(pairs(), PAIRS):
+            yield pa.RecordBatch.from_arrays([pa.array((keys // size).astype(np.int32)), pa.array((keys % size).astype(np.int32)),
+                                              pa.array(n)], ["a", "b", "n"])
 
     pairs = train.mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     sides = pairs.select(F.expr(f"inline(array(named_struct('unit', a, 'key', b, 'n', n), "
@@ -330,9 +355,9 @@ def learn(train: DataFrame, vocabulary: DataFrame) -> Model:
 def _score_frequent(docs: DataFrame, model: Model) -> DataFrame:
     """Per row what needs no other count, and its rare words with their number of times."""
     def run(batches):
-        for b, names, sizes in _each_slice(batches):
-            ends = np.cumsum(sizes)
-            known, count, unit = model.look_up(names)
+        for b, distinct, at, sizes in _each_slice(batches):
+            ends, names = np.cumsum(sizes), distinct[at]
+            known, count, unit = (x[at] for x in model.look_up(distinct))
             cls = model.classes[unit]
             before = np.concatenate(([model.classes[model.end]], cls[:-1]))
             shape = np.add.reduceat(model.move[before, cls] - model.spread[cls], ends - sizes)
