@@ -100,3 +100,39 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5), (7, 6)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[1000 + i] == 1000 for i in range(50))
+
+
+def bits(monkeypatch):
+    """Texts are fingerprints, written as hex digits."""
+    from pyspark.sql import functions as F
+    signed = lambda c: F.conv(c, 16, -10).cast("long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, id_col, text_col, shingle, key=None: docs.select(
+        (F.lit(None) if key is None else key).cast("long").alias("key"), F.col(id_col).cast("long").alias("id"), signed(F.col(text_col)).alias("fp")))
+
+
+def test_a_null_id_bridges_but_never_names(spark, monkeypatch):
+    bits(monkeypatch)
+    docs = make_docs(spark, [(1, "0"), (None, "f"), (2, "ff"), (None, "ffff0000ffff0000"), (9, "ffff0000")])
+    got = sorted(((r.id, r.component) for r in simhash.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (None, 1), (2, 1), (None, None), (9, 9)], key=str)
+
+
+def test_longer_keys_find_the_same_links(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = collect(simhash.near_duplicates(docs, agree=2))
+    assert collect(simhash.near_duplicates(docs, agree=4)) == want
+    assert simhash._agreeing(250_000, 4) == 2 < simhash._agreeing(50_000_000_000, 4)
+
+
+def test_one_of_each_loses_no_text(spark):
+    from pyspark.sql import functions as F
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = make_docs(spark, [(1, a), (1, b), (2, b), (None, c), (None, c), (3, c), (4, a), (4, a), (5, None), (6, "")])
+    for name in ("id", "fp", "key", "root", "_copy", "_again", "_id", "_text", "k"):
+        docs = docs.withColumn(name, F.lit(7))
+    out = simhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, a), (1, b), (3, c), (5, None)], key=str)
+    nameless = make_docs(spark, [(None, a), (None, a), (None, b)])
+    assert sorted(r.text for r in simhash.one_of_each(nameless).collect()) == [a, b]
+    assert simhash.one_of_each(docs.limit(0)).collect() == []
