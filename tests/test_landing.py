@@ -350,3 +350,44 @@ def test_files_are_ingested_in_slices(spark, tmp, monkeypatch):
     got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
     assert (got["status"], got["files"], got["schema_version"]) == ("completed", 5, 1)
     assert spark.read.parquet(cat.raw("raw_accounts")).count() == 5
+
+
+def test_a_file_with_quoted_line_breaks_is_read_in_splits(spark, tmp, monkeypatch):
+    """Row numbers and values equal the one-split scan, wherever the splits are cut."""
+    import random
+    rng = random.Random(4)
+    text = ['CustomerID,Name,HasLoan\n']
+    for i in range(300):
+        name = rng.choice(["plain", '"two\nlines"', '"a ""quoted"" word"', '"\n\n"', '"comma, and\r\nbreak"', '""', '"\n  \n"', '"""\n"""'])
+        text.append(f"{i},{name},{rng.choice(['yes', 'no', ''])}" + rng.choice(["\n", "\n\n"]))
+    _write(f"{tmp}/p/a.csv", "".join(text))
+    _write(f"{tmp}/p/dos.csv", 'CustomerID,Name,HasLoan\r\n1,"x\r\ny",no\r\n\r\n2,"z",\r\n')
+    _write(f"{tmp}/p/b.csv", 'CustomerID,Name,HasLoan\n1,"x\ny",no')  # no line end at the end
+    _write(f"{tmp}/p/stray.csv", 'CustomerID,Name,HasLoan\n1,5" pipe,no\n2,"two\nlines",yes\n')  # a quote inside a plain field
+
+    def scan():
+        found = L.scan_csv(spark, f"{tmp}/p", L.CUSTOMER_COLUMNS, keep_rejects=True)
+        out = L.with_lineage(found, L.fingerprint(spark, f"{tmp}/p"), "2025-01-01 00:00:00")
+        return rows(out.select("_source_file", "_row_number", *[F.coalesce(c, F.lit("?")) for c in L.CUSTOMER_COLUMNS]))
+
+    want = scan()
+    assert len(want) == 305
+    monkeypatch.setattr(L, "QUOTED_SPLIT_BYTES", 0)
+    kinds = {r.path.rpartition("/")[2]: (r.quoted_newline, r.regular_quotes) for r in L.fingerprint(spark, f"{tmp}/p").collect()}
+    assert kinds == {"a.csv": (True, True), "b.csv": (True, True), "dos.csv": (True, True), "stray.csv": (True, False)}
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (37, 64, 1000):
+        spark.conf.set(key, size)
+        try:
+            assert scan() == want
+        finally:
+            spark.conf.set(key, before)
+
+
+def test_a_quoted_field_that_is_not_closed_fails_its_file(spark, tmp):
+    from vaultline.plans import ingest as I
+    _write(f"{tmp}/in/a.csv", HEAD + 'A1,C1,"1,savings\nA2,C1,2,savings\n')
+    _write(f"{tmp}/in/b.csv", HEAD + "B1,C1,1,savings\n")
+    cat = _catalog(tmp)
+    got = I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    assert (got["status"], got["files"], got["failed"]) == ("partial", 1, 1) and _status(spark, cat)["a.csv"][2] == "ValueError"

@@ -132,7 +132,7 @@ class _Slice:
         examined = materialize(L.fingerprint(self.spark, paths), "examined")
         known = L.unprocessed(examined.where("error is null"), self.ledger.read(), self.source.file_type)
         # the same bytes delivered under several names are one file
-        first = F.min(F.struct("path", "length", "modificationTime", "header", "quoted_newline"))
+        first = F.min(F.struct("path", "length", "modificationTime", "header", "quoted_newline", "regular_quotes"))
         pending = materialize(known.groupBy("file_hash").agg(first.alias("f")).select("f.*", "file_hash"), "pending")
 
         layouts = pending.groupBy("header", "quoted_newline", (F.col("length") < PACK_BYTES).alias("small")).count().collect()

@@ -148,7 +148,7 @@ def q_csv_scan_mixed_headers(spark, sf):
     _write_quoted(rows.where("odd = 1").select("Name", "CustomerID", "HasLoan"), f"{root}/a")
     _write_quoted(rows.where("odd = 0").select(F.col("HasLoan").alias("hasloan"), F.col("CustomerID").alias("customerid"),
                                                "Segment", F.col("Name").alias("name")), f"{root}/b")
-    return L.scan_csv(spark, root, L.CUSTOMER_COLUMNS, L.CUSTOMER_ALIASES, keep_extra=True).drop("_path", "_block")
+    return L.scan_csv(spark, root, L.CUSTOMER_COLUMNS, L.CUSTOMER_ALIASES, keep_extra=True).drop("_path", "_block", "_pos")
 
 
 @query("csv_scan_quoted", f"""
@@ -160,6 +160,19 @@ def q_csv_scan_quoted(spark, sf):
     return L.scan_csv(spark, root, L.CUSTOMER_COLUMNS).select(*L.CUSTOMER_COLUMNS)
 
 
+@query("csv_scan_quoted_splits", f"""
+select concat('CUS', cast(c_custkey as varchar)) as CustomerID, {ODD_NAME_DUCK} as Name, 'yes' as HasLoan,
+       row_number() over (order by c_custkey) as _row_number from customer""")
+def q_csv_scan_quoted_splits(spark, sf):
+    """One file with quoted line breaks, read in many splits: the records and their row numbers."""
+    root, rows = work_dir(spark, "landing"), _odd_customers(spark, sf)
+    key = F.regexp_replace("CustomerID", "[^0-9]", "").cast("bigint")
+    _write_quoted(rows.select("CustomerID", "Name", "HasLoan").coalesce(1).sortWithinPartitions(key), root)
+    files = materialize(L.fingerprint(spark, root), "landing_files").withColumn("length", F.lit(L.QUOTED_SPLIT_BYTES + 1))
+    scanned = L.scan_csv(spark, [], L.CUSTOMER_COLUMNS, files=files)
+    return L.with_row_numbers(scanned).select(*L.CUSTOMER_COLUMNS, "_row_number")
+
+
 # ---------------------------------------------------------------- A5, K2, B1, B6, B7
 
 @query("unprocessed_files", O.over([], "select strftime(o_orderdate, '%Y-%m') as month from orders "
