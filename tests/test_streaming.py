@@ -150,3 +150,18 @@ def test_a_streamed_merge_goes_on_top_of_another_writers_commit(spark, tmp, monk
     assert table.commit_info()["writers"] == {"s": 1, "t": 0}
     used = {p[1].split("/")[1] for v in (1, 2, 3) for p in table.commit_info(v)["parts"]}
     assert set(os.listdir(f"{tmp}/t/data")) == used  # the attempt that lost is gone
+
+
+def test_strict_streams_set_late_rows_apart_once(spark, tmp):
+    row = lambda key, v, day: (key, "C1", v, "savings", "f", "h", 1, day and dt.datetime(2024, 1, day))
+    batch = lambda *data: spark.createDataFrame(list(data), RAW)
+    table, late = VersionedTable(spark, f"{tmp}/t"), VersionedTable(spark, f"{tmp}/late")
+    assert upsert_batch(table, ACCOUNTS, batch(row("A", "1", 5), row("B", "1", 3)), ("s", 0), RUN, late) == 1
+    assert not late.exists() and table.commit_info()["mark"].startswith("2024-01-05")
+    second = batch(row("A", "2", 5), row("C", "2", 4), row("D", "2", None), row("B", "2", 6))
+    assert upsert_batch(table, ACCOUNTS, second, ("s", 1), RUN, late) == 2
+    assert upsert_batch(table, ACCOUNTS, second, ("s", 1), RUN, late) is None
+    assert {k: str(v) for k, v in rows(table.read(), "account_id", "original_balance")} == {"A": "1.00", "B": "2.00"}
+    assert sorted(r.AccountID for r in late.read().collect()) == ["A", "C", "D"]
+    assert upsert_batch(table, ACCOUNTS, batch(row("A", "3", 6)), ("s", 2), RUN, late) == 3  # nothing new in it
+    assert table.commit_info()["mark"].startswith("2024-01-06") and late.read().count() == 4

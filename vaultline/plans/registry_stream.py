@@ -165,6 +165,32 @@ def q_stream_restart(spark, sf):
     return present(VersionedTable(spark, table).read())
 
 
+def _strict_stream(spark, sf):
+    """Two deliveries as two micro-batches under the strict rule: (table, late rows)."""
+    raw_path, table, late, checkpoint = (work_dir(spark, n) for n in ("raw", "streamed", "late", "stream-ckpt"))
+    for delivery in T.account_deliveries(spark, sf):
+        delivery.write.mode("append").parquet(raw_path)
+        stream_structured(spark, ACCOUNT_STREAM, raw_path, table, checkpoint, delivery.schema, max_files_per_trigger=1_000_000,
+                          run_ts_of_batch=lambda b: (O.RUN_1, O.RUN_2)[b], late_path=late).awaitTermination()
+    return VersionedTable(spark, table).read(), VersionedTable(spark, late).read()
+
+
+@query("stream_strict_upsert", O.over(O.TWO_RUNS, f"select * {O.money('original_balance')} from str_accounts_r2"))
+def q_stream_strict_upsert(spark, sf):
+    """Under the strict rule a stream of two deliveries equals two batch runs: the late checking file is ignored."""
+    return present(_strict_stream(spark, sf)[0])
+
+
+@query("stream_late_rows", O.over(O.TWO_RUNS, """
+select AccountID, _row_number, _ingested_at, (select max(_last_processed_at) from str_accounts_r1) as _late_after from raw_accounts r
+where _ingested_at <= (select max(_last_processed_at) from str_accounts_r1)
+  and not exists (select 1 from raw_accounts_1 f where f._row_number = r._row_number)"""))
+def q_stream_late_rows(spark, sf):
+    """The rows that the strict rule left out, with the mark they missed."""
+    late = _strict_stream(spark, sf)[1]
+    return late.select("AccountID", "_row_number", "_ingested_at", "_late_after")
+
+
 @query("stream_str_customers", O.over([O.RAW_C, O.RAW_C_UPD, O.RAW_C_ALL], O.str_customers_sql("raw_customers_all", None, O.RUN_1)))
 def q_stream_str_customers(spark, sf):
     """Streamed customers, first file and update file, equal the batch model's table."""

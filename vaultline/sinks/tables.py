@@ -244,6 +244,7 @@ class VersionedTable:
         """Put version ``base + 1`` in place; fails, and drops what was ``written`` for it, if another writer has done so."""
         v = (base or 0) + 1
         writers = before.get("writers", {}) | ({writer[0]: writer[1]} if writer else {})
+        info = {"mark": before.get("mark")} | info
         body = json.dumps({"version": v, "schema": schema.jsonValue(), "parts": parts, "writers": writers, **info})
         if not self._fs.create_new(body, "_commits", f"{v}.json"):
             self._fs.delete(written)
@@ -261,14 +262,24 @@ class VersionedTable:
         folder, parts = self._write_parts(df, keys, buckets, nbytes)
         return self._commit(base, df.schema, parts, before, folder, mode="overwrite", key=keys, buckets=buckets, **info)
 
-    def append(self, df: DataFrame, base: int | None = -1, **info) -> int:
-        """Add rows: one more folder, nothing rewritten."""
+    def append(self, df: DataFrame, base: int | None = -1, writer: tuple[str, int] | None = None, **info) -> int | None:
+        """Add rows: one more folder, nothing rewritten. A replay by ``writer`` is skipped as in ``upsert``."""
         base = self.version() if base == -1 else base
         before = self.commit_info(base) if base else {}
+        if writer and self._replayed(before, writer):
+            return None
         schema = StructType.fromJson(before["schema"]) if before else df.schema
         folder, parts = self._write_parts(df.select(*schema.names), None, 1, 0)
         kept = {k: before[k] for k in ("key", "buckets") if k in before}
-        return self._commit(base, schema, before.get("parts", []) + parts, before, folder, mode="append", **kept, **info)
+        return self._commit(base, schema, before.get("parts", []) + parts, before, folder, writer, mode="append", **kept, **info)
+
+    @staticmethod
+    def _replayed(info: dict, writer: tuple[str, int]) -> bool:
+        return writer[1] <= info.get("writers", {}).get(writer[0], -1)
+
+    def has_batch(self, writer: tuple[str, int]) -> bool:
+        """Whether the current version holds this batch of this stream."""
+        return self._replayed(self.commit_info(), writer)
 
     def upsert(self, updates: DataFrame, key: str | Sequence[str], writer: tuple[str, int] | None = None, base: int | None = -1,
                merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **info) -> int | None:
@@ -285,7 +296,7 @@ class VersionedTable:
         base = self.version() if base == -1 else base
         keys = [key] if isinstance(key, str) else list(key)
         before = self.commit_info(base) if base else {}
-        if writer and writer[1] <= before.get("writers", {}).get(writer[0], -1):
+        if writer and self._replayed(before, writer):
             return None
         added = _input_bytes(updates)
         if not before:

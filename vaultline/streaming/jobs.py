@@ -159,14 +159,36 @@ def _newest_first():
     return F.desc("_last_processed_at"), F.desc(field("row_number").cast("bigint")), F.desc(field("file_hash"))
 
 
-def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, writer: tuple[str, int], run_ts=None) -> int | None:
+def _late_apart(table: VersionedTable, raw: DataFrame, writer: tuple[str, int], late: VersionedTable) -> tuple[DataFrame, str | None]:
+    """The batch's rows newer than the table's event-time mark, and the mark; the others go to ``late``, once."""
+    mark = table.commit_info().get("mark")
+    if mark is None:
+        return raw, None
+    newer = F.coalesce(F.col("_ingested_at").cast("timestamp_ntz") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
+    rows = materialize(raw.where(~newer).withColumn("_late_after", F.lit(mark).cast("timestamp_ntz")), "late")
+    if not rows.isEmpty():
+        late.append(rows, writer=writer)
+    return raw.where(newer), mark
+
+
+def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, writer: tuple[str, int], run_ts=None,
+                 late: VersionedTable | None = None) -> int | None:
     """Merge one micro-batch of raw rows into a structured table, whatever the order of arrival.
 
     The batch is reduced to one row a key and stored; only buckets with one of its keys
     are read and rewritten, and the newest row a key stays with the ``created_date`` that
     is stored. ``writer`` is (stream, batch): a replay by the same stream is skipped;
     after another writer's commit the merge is done again on top of it.
+
+    With a ``late`` table the batch path's strict rule holds: the event-time mark (the
+    newest row merged so far) is committed with the table, and rows at or before it are
+    not merged but put into ``late``, with the mark they missed.
     """
+    mark = None
+    if late is not None:
+        if table.has_batch(writer):
+            return None
+        raw, mark = _late_apart(table, raw, writer, late)
     latest = keep_latest(model.clean(raw), [model.key], M.latest_first())
     changes = materialize(model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts), "stream_changes")
 
@@ -177,12 +199,16 @@ def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, wr
         return (both.withColumn("_created", created).withColumn("_place", F.row_number().over(of_key.orderBy(*_newest_first())))
                 .where("_place = 1").withColumn("created_date", F.coalesce("_created", "created_date")).select(*model.columns))
 
+    info = {}
+    if late is not None:
+        newest = changes.agg(F.max("_last_processed_at").cast("string")).first()[0]
+        info["mark"] = max(filter(None, (mark, newest)), default=None)
     for _ in range(MERGE_TRIES - 1):
         try:
-            return table.upsert(changes, model.key, writer=writer, merge=merge)
+            return table.upsert(changes, model.key, writer=writer, merge=merge, **info)
         except CommitConflict:
             continue
-    return table.upsert(changes, model.key, writer=writer, merge=merge)
+    return table.upsert(changes, model.key, writer=writer, merge=merge, **info)
 
 
 def _stream_of(spark: SparkSession, checkpoint: str) -> str:
@@ -192,16 +218,20 @@ def _stream_of(spark: SparkSession, checkpoint: str) -> str:
 
 def stream_structured(spark: SparkSession, model: StreamedModel, raw_path: str, table_path: str, checkpoint: str,
                       raw_schema: StructType, trigger: str = "availableNow", max_files_per_trigger: int = 1000,
-                      run_ts_of_batch: Callable[[int], str] | None = None) -> StreamingQuery:
+                      run_ts_of_batch: Callable[[int], str] | None = None, late_path: str | None = None) -> StreamingQuery:
     """Raw rows (Parquet, append-only) → structured table with the batch model's columns, merged per micro-batch.
 
     Several streams may write one table, and a stream may start again from a new
-    checkpoint: it then offers rows again, which changes nothing.
+    checkpoint: it then offers rows again, which changes nothing. Rows may be late by
+    any time; with ``late_path`` the strict rule holds instead (``upsert_batch``), for
+    one stream a table.
     """
     table = VersionedTable(spark, table_path)
+    late = VersionedTable(spark, late_path) if late_path else None
     stream = spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(raw_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(table, model, batch, (_stream_of(spark, checkpoint), batch_id), run_ts_of_batch(batch_id) if run_ts_of_batch else None)
+        run_ts = run_ts_of_batch(batch_id) if run_ts_of_batch else None
+        upsert_batch(table, model, batch, (_stream_of(spark, checkpoint), batch_id), run_ts, late)
 
     return _trigger(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
