@@ -10,7 +10,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 SKIP = {"csv_scan", "lineage_columns", "file_fingerprint", "latest_file", "unprocessed_files", "raw_append",
         "file_ledger_upsert", "ledger_report", "schema_version_log", "latest_schema_version", "schema_drift",
         "stream_ingest", "stream_upsert", "csv_export_roundtrip", "csv_scan_mixed_headers", "csv_scan_quoted", "ingest_retry",
-        "schema_report", "process_log", "stream_replay", "stream_str_accounts", "stream_str_customers", "pair_gate"}
+        "schema_report", "process_log", "stream_replay", "stream_str_accounts", "stream_str_customers", "pair_gate",
+        "stream_restart", "stream_strict_upsert", "stream_late_rows", "ingest_quarantine", "pair_cursor", "csv_scan_quoted_splits",
+        "raw_reload", "whole_run"}
 
 
 def _plan(df, aqe_off=True):

@@ -8,10 +8,11 @@ from vaultline.functions.columns import NA_TOKENS
 from vaultline.operators.schema import detect_schema, latest_versions, schema_drift, schema_json
 from vaultline.plans import oracle as O
 from vaultline.plans.ingest import ACCOUNTS, CUSTOMERS, Catalog, Source, ingest
+from vaultline.plans.present import present
 from vaultline.plans.registry import query
 from vaultline.session import materialize, work_dir
 from vaultline.sinks.ledgers import ledger_report, process_report, schema_report
-from vaultline.sinks.tables import _FS, read_raw
+from vaultline.sinks.tables import _FS, append_raw, read_raw, reload_raw
 from vaultline.sources import landing as L
 from vaultline.sources import landing_fixtures as LF
 from vaultline.sources import testdata as T
@@ -439,3 +440,40 @@ def q_process_log(spark, sf):
     except OSError:
         pass
     return process_report(cat.process_log(spark).read()).drop("duration_seconds")
+
+
+# ---------------------------------------------------------------- A7, I9
+
+@query("raw_reload", O.over([O.RAW_A], f"select AccountID, CustomerID, Balance, AccountType, _row_number, {O.lit_ts(O.RUN_2)} as _ingested_at "
+                                       "from raw_accounts"))
+def q_raw_reload(spark, sf):
+    """A raw table that holds another delivery is dropped and loaded again with the whole one."""
+    raw, path = T.raw_accounts(spark, sf), work_dir(spark, "raw")
+    at = lambda run: F.lit(run).cast("timestamp_ntz")
+    append_raw(raw.where("_row_number % 3 = 0").withColumns({"_file_hash": F.md5(F.lit("older")), "_ingested_at": at(O.RUN_1)}), path)
+    reload_raw(raw.withColumn("_ingested_at", at(O.RUN_2)), path)
+    return read_raw(spark, path).select(*L.ACCOUNT_COLUMNS, "_row_number", "_ingested_at")
+
+
+# The accounts as their landing files carry them: rows numbered by file, all ingested at once.
+LANDED_A = ("landed_accounts", f"""
+select m.AccountID, m.CustomerID, m.Balance, m.AccountType, '' as _source_file, md5(t.body) as _file_hash,
+       row_number() over (partition by m.month, m.slice order by m.okey_rn) as _row_number, {O.lit_ts(O.RUN_1)} as _ingested_at
+from raw_accounts_m m join file_text t on t.month = m.month and t.slice = m.slice""")
+LANDED_C = ("landed_customers", f"""
+select CustomerID, {_na('Name')} as Name, {_na('HasLoan')} as HasLoan, '' as _source_file, '' as _file_hash, _row_number,
+       {O.lit_ts(O.RUN_1)} as _ingested_at from raw_customers""")
+
+
+@query("whole_run", O.over([O.RAW_A, O.RAW_C, RAW_A_MONTH, FILE_TEXT, LANDED_A, LANDED_C,
+                            ("str_accounts", O.str_accounts_sql("landed_accounts", None, O.RUN_1)),
+                            ("str_customers", O.str_customers_sql("landed_customers", None, O.RUN_1)),
+                            ("fact", O.fact_sql("str_accounts", "str_customers", None, O.RUN_1))], O.summary_sql("fact")))
+def q_whole_run(spark, sf):
+    """The whole job over landing files: ingestion, structured, curated and access layers, checks; the report it stores."""
+    from vaultline.plans.runner import run_all
+    landing, root = work_dir(spark, "landing"), work_dir(spark, "warehouse")
+    LF.write_csv(LF.account_source_rows(spark, sf), f"{landing}/accounts")
+    LF.write_csv(LF.customer_source_rows(spark, sf), f"{landing}/customers", part="nation")
+    run_all(spark, root, f"{landing}/accounts", f"{landing}/customers", O.RUN_1)
+    return present(Catalog(root).table(spark, "access", "account_summary").read())
