@@ -25,3 +25,25 @@ def test_enforce_raises_only_for_error_severity(spark):
 def test_failing_rows_of_unique(spark):
     t = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert rows(Q.failing_rows({"t": t}, Q.unique("t", "k"))) == [("a", 2)]
+
+
+def test_row_checks_counted_by_the_write_equal_a_pass(spark, tmp):
+    df = spark.createDataFrame([(1, "a", 5), (2, None, -1), (None, "c", None), (2, None, 7)], "k int, t string, v int").repartition(3)
+    checks = [Q.not_null("x", "k"), Q.not_null("x", "t", "error"), Q.expression_is_true("x", "v", ">= 0"), Q.unique("x", "k"),
+              Q.not_null("y", "k")]
+    counts = Q.RowChecks("x", checks)
+    counts.on(df).write.parquet(f"{tmp}/x")
+    tables = {"x": spark.read.parquet(f"{tmp}/x"), "y": df.limit(0)}
+    want = sorted(map(tuple, Q.run_checks(tables, checks).collect()))
+    got = Q.run_checks(tables, checks, [counts, Q.RowChecks("none", checks)])
+    assert sorted(map(tuple, got.collect())) == want and [r[3] for r in want if r[0] == "x"].count(1) == 3
+
+
+def test_the_report_scans_nothing_for_row_checks(spark):
+    from conftest import SF_SMALL
+
+    from vaultline.plans.registry_quality import ALL_SUITES, LayerTables
+    tables = LayerTables(spark, SF_SMALL, ALL_SUITES).commit()
+    rest = [c for c in ALL_SUITES if c.kind not in ("not_null", "expression")]
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert scans(Q.run_checks(tables, ALL_SUITES, tables.counted)) == scans(Q.run_checks(tables, rest))

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ("table_name", "check_name", "column_name", "failures", "severity", "passed")
@@ -86,19 +86,49 @@ def _result(c: Check, failures) -> DataFrame:
     )
 
 
-def _row_level(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one table in a single aggregate, unpivoted to one row per check."""
-    aggs = [F.count_if(_row_level_fail(c)).alias(f"c{i}") for i, c in enumerate(checks)]
-    wide = df.agg(*aggs)
+def _failures(checks: Sequence[Check]) -> list[Column]:
+    return [F.count_if(_row_level_fail(c)).alias(f"c{i}") for i, c in enumerate(checks)]
+
+
+def _row_results(wide: DataFrame, checks: Sequence[Check], failures: Sequence[Column]) -> DataFrame:
+    """One row a check from one row of failure counts."""
     rows = F.array(*[
         F.struct(F.lit(c.table).alias("table_name"), F.lit(c.name).alias("check_name"),
-                 F.lit(c.column).alias("column_name"), F.col(f"c{i}").cast("bigint").alias("failures"),
+                 F.lit(c.column).alias("column_name"), n.cast("bigint").alias("failures"),
                  F.lit(c.severity).alias("severity"))
-        for i, c in enumerate(checks)
+        for c, n in zip(checks, failures)
     ])
     return wide.select(F.inline(rows))
 
 
+def _row_level(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """All row-level checks of one table in a single aggregate, unpivoted to one row per check."""
+    return _row_results(df.agg(*_failures(checks)), checks, [F.col(f"c{i}") for i in range(len(checks))])
+
+
+class RowChecks:
+    """The row-level checks of one table, counted by the job that writes it.
+
+    ``on`` attaches the counts to the frame that is written, and nothing else may come
+    between: they are then taken in the tasks that write, once a partition. ``results``
+    waits for that job.
+    """
+
+    def __init__(self, table: str, checks: Sequence[Check]):
+        self.table = table
+        self.checks = [c for c in checks if c.table == table and c.kind in ("not_null", "expression")]
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *_failures(self.checks)) if self.checks else df
+
+    def results(self, spark: SparkSession) -> DataFrame | None:
+        if not self.checks:
+            return None
+        counts = self._seen.get
+        return _row_results(spark.range(1), self.checks, [F.lit(counts[f"c{i}"]) for i in range(len(self.checks))])
+
+
 def failing_rows(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     """The offending rows / values of one check (what a data test returns)."""
     df = tables[c.table]
@@ -155,10 +185,15 @@ def _value_level(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
         F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"), "severity")
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], counted: Sequence[RowChecks] = ()) -> DataFrame:
     """Run checks: one aggregate pass per table for row-level checks, one grouped
-    aggregate for all value-level checks, one anti-join per relationship."""
+    aggregate for all value-level checks, one anti-join per relationship. Row-level
+    checks that were ``counted`` when their table was written cost no pass."""
+    known = {c for w in counted for c in w.checks}
     parts: list[DataFrame] = []
+    spark = next((tables[c.table].sparkSession for c in checks), None)
+    parts += [r for w in counted if (r := w.results(spark)) is not None]
+    checks = [c for c in checks if c not in known]
     row_level: dict[str, list[Check]] = {}
     value_level: list[Check] = []
     for c in checks:

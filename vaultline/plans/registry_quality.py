@@ -24,34 +24,50 @@ RAISED = Tariff(tier_3_rate=Decimal("0.03"))
 
 class LayerTables(Mapping):
     """The layer tables as a run commits them, each built when a check first names it and
-    written once; later layers are built from the stored ones."""
+    written once; later layers are built from the stored ones.
+
+    With ``checks``, the dimensions and the report are written too, and the job that
+    writes a table counts its row checks (``counted``)."""
 
     _BUILD = {
         "raw_accounts": lambda t: T.raw_accounts(t.spark, t.sf),
         "raw_customers": lambda t: T.raw_customers(t.spark, t.sf),
         "clean_accounts": lambda t: M.clean_accounts(t["raw_accounts"]),
-        "str_accounts": lambda t: materialize(M.str_accounts(t["raw_accounts"], None, O.RUN_1), "str_accounts"),
-        "str_customers": lambda t: materialize(M.str_customers(t["raw_customers"], None, O.RUN_1), "str_customers"),
+        "str_accounts": lambda t: M.str_accounts(t["raw_accounts"], None, O.RUN_1),
+        "str_customers": lambda t: M.str_customers(t["raw_customers"], None, O.RUN_1),
         "dim_account": lambda t: M.dim_account(t["str_accounts"]),
         "dim_customer": lambda t: M.dim_customer(t["str_customers"]),
-        "fact_customer_balances": lambda t: materialize(
-            M.fact_customer_balances(t["str_accounts"], t["str_customers"], None, O.RUN_1), "fact"),
+        "fact_customer_balances": lambda t: M.fact_customer_balances(t["str_accounts"], t["str_customers"], None, O.RUN_1),
         "fact_repriced": lambda t: M.fact_customer_balances(t["str_accounts"], t["str_customers"], None, O.RUN_1, RAISED),
         "account_summary": lambda t: M.account_summary(t["fact_customer_balances"], ordered=False),
     }
 
     _LATER = ("fact_customer_balances", "fact_repriced", "account_summary")
+    _STORED = ("str_accounts", "str_customers", "fact_customer_balances")
+    _COMMITTED = (*_STORED, "dim_account", "dim_customer", "account_summary")
 
-    def __init__(self, spark, sf):
-        self.spark, self.sf, self._built = spark, sf, {}
+    def __init__(self, spark, sf, checks=()):
+        self.spark, self.sf, self._built, self._checks, self.counted = spark, sf, {}, checks, []
 
     def __getitem__(self, name):
         if name not in self._built:
             if name in self._LATER and "str_accounts" not in self._built:
                 at_once(lambda: self["str_accounts"], lambda: self["str_customers"])  # independent chains
-            self._built[name] = self._BUILD[name](self)
+            built = self._BUILD[name](self)
+            if name in (self._COMMITTED if self._checks else self._STORED):
+                counts = Q.RowChecks(name, self._checks)
+                built = materialize(counts.on(built), name)
+                self.counted.append(counts)
+            self._built[name] = built
         return self._built[name]
 
+    def commit(self):
+        """Write all tables of the layers, those of one layer side by side."""
+        at_once(lambda: self["str_accounts"], lambda: self["str_customers"])
+        at_once(*[lambda n=n: self[n] for n in ("dim_account", "dim_customer", "fact_customer_balances")])
+        self["account_summary"]
+        return self
+
     def __iter__(self):
         return iter(self._BUILD)
 
@@ -132,7 +148,13 @@ q_dq_unique = _suite_query("dq_unique", _kind("unique"))
 q_dq_accepted_values = _suite_query("dq_accepted_values", _kind("accepted_values"))
 q_dq_relationships = _suite_query("dq_relationships", _kind("relationships"))
 q_dq_expression = _suite_query("dq_expression", _kind("expression"))
-q_dq_report = _suite_query("dq_report", ALL_SUITES)
+
+
+@query("dq_report", suite_sql(ALL_SUITES))
+def q_dq_report(spark, sf):
+    """All suites over the tables of a run; the jobs that write the tables count the row checks."""
+    tables = LayerTables(spark, sf, ALL_SUITES).commit()
+    return Q.run_checks(tables, ALL_SUITES, tables.counted)
 
 
 # The rule: interest is balance times rate, to the cent; the new balance is their sum.
