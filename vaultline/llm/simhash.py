@@ -211,7 +211,8 @@ def _groups(prints: DataFrame, max_bits: int, agree: int | None = None) -> DataF
                .select("k", F.least("at", "other").alias("x"), F.greatest("at", "other").alias("y"), "fp"))
     pairs = (chunked.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
              .mapInArrow(_compare(max_bits), "a long, b long"))
-    return connected_components(pairs, "simhash_links").select(F.col("node").alias("fp"), "root")
+    roots = connected_components(pairs, "simhash_links").select(F.col("node").alias("fp"), "root")
+    return materialize(roots, "simhash_roots")  # a stored side lets Spark split a join on a fingerprint that many rows share
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -225,7 +226,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = materialize(_groups(prints, max_bits, agree).join(ids, "fp"), "simhash_linked")
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
     named = ids.join(linked.join(least, "root").select("fp", "component"), "fp", "left")
-    named = named.select("fp", F.coalesce("component", "least").alias("component"))
+    named = materialize(named.select("fp", F.coalesce("component", "least").alias("component")), "simhash_named")
     return prints.join(named, "fp", "left").select("id", "fp", "component")
 
 
