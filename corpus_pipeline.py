@@ -4,6 +4,13 @@ Quality classifier (rejected documents go), SimHash near-dedup (the smallest id
 each group stays), benchmark decontamination (leaking documents go), secret scans
 (secret values are replaced), BPE encoding with its decoding as the last table. Every
 stage works on all that the one before it kept, read back from Parquet.
+
+Defined cases: a null text is empty to every stage, and all but the last return it as it
+is; rows are judged one by one, so a null or repeated id neither saves nor drops another
+row; of rows equal in fingerprint the one with the smallest id stays (null last, then the
+first stored), also of rows that share id and text; an empty table stays empty through
+all stages; the columns of ``documents`` are kept whatever they are called, the last
+stage returns ``doc_id`` and the encoding alone.
 """
 
 from __future__ import annotations
