@@ -79,7 +79,8 @@ def test_all_items_in_the_test_documents_are_found(spark):
 def test_edge_cases(spark, monkeypatch, bound):
     monkeypatch.setattr(decontam, "MAX_SENT_BYTES", bound)
     passage = "one two three four five six seven eight"
-    docs = make_docs(spark, [None, "", passage, passage, "w " * 60_000 + passage, "tiny"]).withColumn("item_id", F.lit("clash"))
+    docs = make_docs(spark, [None, "", passage, passage, "w " * 60_000 + passage, "tiny"]).withColumn("item_id", F.lit("clash")) \
+        .withColumn("_leaks_row", F.lit(0)).withColumn("key", F.lit(1)).withColumn("t", F.lit("clash"))
     rows = [(0, passage), (0, passage), (1, "tiny"), (2, None), (None, passage), (3, "")]
     bench = spark.createDataFrame(rows, "item_id long, text string")
     assert set(found(docs, bench)) == {(2, 0), (3, 0), (4, 0)}

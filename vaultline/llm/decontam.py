@@ -22,6 +22,7 @@ sides of the bound (beyond it each carries a key of its own), also without a uni
 from __future__ import annotations
 
 import heapq
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -218,10 +219,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """The rows of ``docs``, all columns, that leak no item."""
     items = _items(benchmark, item_col, item_text)
     if not _small(items):
-        keyed = materialize(texts_frame(docs).withColumn("_leaks_row", F.monotonically_increasing_id()), "leaks_rows")
-        src = keyed.select(F.col("_leaks_row").alias("key"), F.col(text_col).cast("string").alias("t"))
-        bad = _find_joined(src, items, min_match, min_coverage).select(F.col("key").alias("_leaks_row")).distinct()
-        return keyed.join(bad, "_leaks_row", "left_anti").select(docs.columns)
+        row = f"_row_{uuid.uuid4().hex}"
+        keyed = materialize(texts_frame(docs).withColumn(row, F.monotonically_increasing_id()), "leaks_rows")
+        src = keyed.select(F.col(row).alias("key"), F.col(text_col).cast("string").alias("t"))
+        bad = _find_joined(src, items, min_match, min_coverage).select(F.col("key").alias(row)).distinct()
+        return keyed.join(bad, row, "left_anti").select(docs.columns)
     get = _sent([(r.item, r.text.encode()) for r in items.orderBy("item", "text").collect()], min_match)
 
     def run(batches):
