@@ -80,7 +80,8 @@ def test_stream_ingestion_follows_the_batch_rules(spark, tmp):
     assert len(pairs) == 2 and pairs[0]["customers"] == pairs[1]["customers"] and pairs[0]["accounts"] < pairs[1]["accounts"]
 
 
-def test_a_pair_fires_once_whoever_sees_it(spark, tmp):
+def test_a_pair_fires_once_whoever_sees_it(spark, tmp, monkeypatch):
+    from vaultline.streaming import jobs
     from vaultline.streaming.jobs import fire_pair
     cat, fired, at = I.Catalog(f"{tmp}/wh"), [], dt.datetime(2024, 1, 1)
     newest = lambda a, c: spark.createDataFrame([("accounts", a), ("customers", c)], "file_type string, modified timestamp_ntz")
@@ -100,6 +101,14 @@ def test_a_pair_fires_once_whoever_sees_it(spark, tmp):
     assert fire_pair(spark, cat, pair, ("one", 1), fired.append) is None and fire_pair(spark, cat, pair, ("two", 1), fired.append) is None
     assert fire_pair(spark, cat, later, ("two", 2), fired.append) and len(fired) == 3
     assert sorted(tuple(r) for r in cat.pair_log(spark).read().select("stream", "batch", "status").collect()) == [("one", 0, "done"), ("two", 2, "done")]
+    last = newest(at, at + dt.timedelta(days=2))
+    try:
+        fire_pair(spark, cat, last, ("gone", 0), dies)
+    except OSError:
+        pass
+    assert fire_pair(spark, cat, last, ("two", 3), fired.append) is None
+    monkeypatch.setattr(jobs, "CLAIM_SECONDS", 0)  # the stream that claimed it never came back
+    assert fire_pair(spark, cat, last, ("two", 3), fired.append) and len(fired) == 5
 
 
 def test_a_lost_checkpoint_and_a_second_stream_lose_nothing(spark, tmp):

@@ -31,6 +31,8 @@ from vaultline.sinks.tables import CommitConflict, VersionedTable, _FS
 
 # Merges tried on top of other writers' commits.
 MERGE_TRIES = 10
+# Seconds after which another stream's call for a pair counts as dead.
+CLAIM_SECONDS = 6 * 3600
 # Spark's file stream passes over files this much older than the newest it has seen (a week unless told
 # otherwise), and remembers the names of younger ones.
 MAX_FILE_AGE = "3650d"
@@ -53,8 +55,9 @@ def fire_pair(spark: SparkSession, catalog: Catalog, newest: DataFrame, writer:
     """Call ``on_pair`` once for a pair of newest files (file_type, modified) that has not fired; returns the pair.
 
     The pair's row in the catalog's pair log is the cursor: it is claimed before the call
-    and marked done after it. A claim that another stream holds, or one that is done, is
-    left alone; a claim of the same stream is a call that died, and is made again.
+    and marked done after it. A claim that is done, or that another stream has held for
+    less than ``CLAIM_SECONDS``, is left alone; a claim of the same stream is a call that
+    died, and is made again, as is an older claim of a stream that never came back.
     """
     found = {r.file_type: r.modified for r in newest.collect()}
     if set(found) != set(PAIR_SIDES) or None in found.values():
@@ -62,12 +65,14 @@ def fire_pair(spark: SparkSession, catalog: Catalog, newest: DataFrame, writer:
     log, (stream, batch) = catalog.pair_log(spark), writer
     sides = [F.lit(found[s].isoformat(sep=" ")).cast("timestamp_ntz").alias(f"{s}_modified") for s in PAIR_SIDES]
     row = spark.range(1).select(F.lit("_".join(found[s].isoformat() for s in PAIR_SIDES)).alias("pair_id"), *sides,
-                                F.lit(stream).alias("stream"), F.lit(batch).cast("bigint").alias("batch"), F.lit("started").alias("status"))
+                                F.lit(stream).alias("stream"), F.lit(batch).cast("bigint").alias("batch"), F.lit("started").alias("status"),
+                                F.unix_timestamp().alias("claimed_at"))
     for _ in range(MERGE_TRIES):
         base = log.version()
         known = log.read(base)
-        held = known.join(row.select("pair_id"), "pair_id", "left_semi").select("stream", "status").first() if known is not None else None
-        if held is not None and (held.status == "done" or held.stream != stream):
+        held = known.join(row.select("pair_id"), "pair_id", "left_semi").select(
+            "stream", "status", (F.unix_timestamp() - F.col("claimed_at")).alias("age")).first() if known is not None else None
+        if held is not None and (held.status == "done" or (held.stream != stream and held.age < CLAIM_SECONDS)):
             return None
         try:
             log.upsert(materialize(row, "pair"), "pair_id", base=base)
