@@ -120,6 +120,20 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, tmp, monkeypatch):
     assert t.read().count() == 4000
 
 
+def test_one_bucket_is_written_by_tasks_of_bounded_bytes(spark, tmp, monkeypatch):
+    from vaultline.session import materialize
+    from vaultline.sinks import tables
+    monkeypatch.setattr(tables, "TASK_BYTES", 4000)
+    t = VersionedTable(spark, f"{tmp}/t")
+    t.overwrite(materialize(frame(spark, [(f"k{i}", i) for i in range(4000)])), "k")
+    assert t.commit_info()["buckets"] == 1 and len(files(tmp)) > 2
+    before = files(tmp)
+    t.upsert(frame(spark, [("k7", -7), (None, 1)]), "k")
+    assert len(files(tmp) - before) > 2
+    got = dict(rows(t.read().na.fill("none")))
+    assert len(got) == 4001 and got["k7"] == -7 and got["k8"] == 8 and got["none"] == 1
+
+
 def test_a_target_is_read_where_the_change_set_falls(spark, tmp):
     from vaultline.operators.incremental import new_or_newer, preserve_created
     from vaultline.session import materialize

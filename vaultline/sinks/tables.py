@@ -146,6 +146,8 @@ def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataF
 
 # Bytes of a key bucket, and the most buckets a table is cut into (its commit file lists them all).
 BUCKET_BYTES, MAX_BUCKETS = 256 << 20, 1 << 16
+# Stored bytes that a task writes: a task sorts its rows by bucket, and they take many times these bytes in memory.
+TASK_BYTES = 16 << 20
 # Spark's default for a source of unknown size is about this or more.
 UNKNOWN_BYTES = 1 << 62
 # Unnamed folders of attempts that died are dropped after this time.
@@ -223,18 +225,21 @@ class VersionedTable:
         hit = {r[0] for r in changes.select(self._bucket(keys, buckets)).distinct().collect()}  # at most ``buckets``
         return [p for p in parts if p[0] in hit], [p for p in parts if p[0] not in hit]
 
-    def _write_parts(self, df: DataFrame, keys: Sequence[str] | None, buckets: int, nbytes: int) -> tuple[str, list]:
+    def _write_parts(self, df: DataFrame, keys: Sequence[str] | None, buckets: int, nbytes: int, filled: int = 0) -> tuple[str, list]:
         """Write into a new folder: the folder, and its parts as [bucket or None, folder, bytes].
 
-        A bucket of more than ``BUCKET_BYTES`` is written by several tasks.
+        ``nbytes`` fall into ``filled`` buckets (default: all). A task writes about
+        ``TASK_BYTES`` of them, so several tasks write a large bucket.
         """
         folder = f"data/{uuid.uuid4().hex}"
         if not keys:
             df.write.parquet(f"{self.path}/{folder}")
             return folder, [[None, folder, self._fs.size(folder)]]
-        salts = -(-nbytes // (buckets * BUCKET_BYTES)) or 1
-        spread = [F.pmod(F.xxhash64(F.lit("salt"), *keys), F.lit(salts))] if salts > 1 else []
-        (df.withColumn("_bucket", self._bucket(keys, buckets)).repartition("_bucket", *spread)
+        filled = filled or buckets
+        salts = max(1, -(-nbytes // (filled * min(TASK_BYTES, BUCKET_BYTES))))
+        salt, tasks = F.pmod(F.xxhash64(F.lit("salt"), *keys), F.lit(salts)), filled * salts
+        (df.withColumn("_bucket", self._bucket(keys, buckets))
+           .repartitionById(tasks, F.pmod(F.col("_bucket") * salts + salt, F.lit(tasks)).cast("int"))
            .write.partitionBy("_bucket").parquet(f"{self.path}/{folder}"))
         names = [n for n in self._fs.list_names(folder) if n.startswith("_bucket=")]
         return folder, [[int(n.split("=")[1]), f"{folder}/{n}", self._fs.size(folder, n)] for n in names]
