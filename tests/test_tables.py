@@ -134,6 +134,30 @@ def test_one_bucket_is_written_by_tasks_of_bounded_bytes(spark, tmp, monkeypatch
     assert len(got) == 4001 and got["k7"] == -7 and got["k8"] == 8 and got["none"] == 1
 
 
+def test_small_change_sets_stand_beside_the_table_until_they_are_a_share_of_it(spark, tmp):
+    from vaultline.sinks.tables import Newest
+    t, rule = VersionedTable(spark, f"{tmp}/t"), Newest(("at",), "made")
+    change = lambda made, *r: spark.createDataFrame([(k, at, made) for k, at in r], "k string, at long, made string").coalesce(1)
+    t.upsert(change("first", *[(f"k{i}", i) for i in range(5000)]), "k", writer=("s", 0), merge=rule)
+    base = files(tmp)
+    for b in range(1, 5):  # k7 is renewed, k8 is offered an older row, a new key comes and is renewed
+        t.upsert(change(f"b{b}", ("k7", 100 + b), ("k8", -b), ("new", b)), "k", writer=("s", b), merge=rule)
+    assert base < files(tmp) and len(files(tmp)) == len(base) + 4  # nothing is rewritten
+    want = {"k7": (104, "first"), "k8": (8, "first"), "new": (4, "b1")}
+    seen = lambda: {r.k: (r.at, r.made) for r in t.read().collect()}
+    assert len(seen()) == 5001 and want.items() <= seen().items() and t.read().columns == ["k", "at", "made"]
+    assert t.upsert(change("again", ("k7", 999)), "k", writer=("s", 4), merge=rule) is None  # a replay
+    assert t.stored().matching(change("x", ("new", 1)), "k").where("k = 'new'").count() == 1
+    t.upsert(change("big", *[(f"k{i}", i + 1) for i in range(4000)]), "k", writer=("s", 5), merge=rule)  # merged with those before it
+    assert {len(p) for p in t.commit_info()["parts"]} == {3} and len(seen()) == 5001
+    assert {"k7": (104, "first"), "k8": (9, "first"), "new": (4, "b1")}.items() <= seen().items()
+    t.upsert(change("late", ("new", 3)), "k", writer=("s", 6), merge=rule)
+    t.upsert(change("plain", ("k8", 0)), "k")  # a merge by key takes in what stands beside the table
+    assert {"k8": (0, "plain"), "new": (4, "b1")}.items() <= seen().items()
+    t.expire(keep=1)
+    assert len(seen()) == 5001 and {p[1].split("/")[1] for p in t.commit_info()["parts"]} == {f.split("/t/data/")[1].split("/")[0] for f in files(tmp)}
+
+
 def test_a_target_is_read_where_the_change_set_falls(spark, tmp):
     from vaultline.operators.incremental import new_or_newer, preserve_created
     from vaultline.session import materialize

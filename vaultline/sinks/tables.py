@@ -16,10 +16,11 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vaultline.operators.incremental import Stored, upsert
 
@@ -154,6 +155,28 @@ UNKNOWN_BYTES = 1 << 62
 ORPHAN_SECONDS = 24 * 3600
 
 
+# Change sets stand beside a table until they are this share of its bytes, or this many; then they are merged into it.
+BESIDE_SHARE, MAX_BESIDE = 0.5, 1000
+# The version that put a change set beside the table; null in merged rows, which are older.
+_WRITTEN = "_written"
+
+
+@dataclass(frozen=True)
+class Newest:
+    """A merge that a table can also make when it is read: of a key's rows the first under ``order`` (SQL, descending)
+    stays, of equal ones the one written first, with ``first`` taken from the row that was written first."""
+
+    order: Sequence[str]
+    first: str
+
+    def of(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        of_key, written = Window.partitionBy(*keys), F.coalesce(_WRITTEN, F.lit(-1))
+        first = F.min_by(self.first, F.when(F.col(self.first).isNotNull(), written)).over(of_key)
+        place = F.row_number().over(of_key.orderBy(*[F.expr(o).desc() for o in self.order], written))
+        return (rows.withColumn("_first", first).withColumn("_place", place).where("_place = 1")
+                .withColumn(self.first, F.col("_first")).drop("_first", "_place", _WRITTEN))
+
+
 def _input_bytes(df: DataFrame) -> int:
     """Bytes of what a frame reads: exact for stored tables, 0 for sources whose size Spark does not know."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -168,6 +191,10 @@ class VersionedTable:
     into more when it has outgrown them, unless ``buckets`` fixes their number. The
     commit needs a store whose rename without overwrite is atomic (HDFS and its kin, a
     local disk); S3-like stores are not such a store.
+
+    With a ``Newest`` merge, small change sets are put beside the table as they come and
+    merged when they add up to a share of it, so a row is rewritten a fixed number of times
+    however many change sets follow. Readers see them merged.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
@@ -194,6 +221,13 @@ class VersionedTable:
         schema = StructType.fromJson(info["schema"])
         if not parts:
             return self.spark.createDataFrame([], schema)
+        if all(len(p) == 3 for p in parts):
+            return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
+        return Newest(**info["newest"]).of(self._unmerged(info, parts), info["key"]).select(*schema.names)
+
+    def _unmerged(self, info: dict, parts: Sequence) -> DataFrame:
+        """All rows of the parts, those of change sets beside the table with the version that wrote them."""
+        schema = StructType([*StructType.fromJson(info["schema"]).fields, StructField(_WRITTEN, LongType())])
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
 
     def read(self, version: int | None = None) -> DataFrame | None:
@@ -275,7 +309,7 @@ class VersionedTable:
             return None
         schema = StructType.fromJson(before["schema"]) if before else df.schema
         folder, parts = self._write_parts(df.select(*schema.names), None, 1, 0)
-        kept = {k: before[k] for k in ("key", "buckets") if k in before}
+        kept = {k: before[k] for k in ("key", "buckets", "newest") if k in before}
         return self._commit(base, schema, before.get("parts", []) + parts, before, folder, writer, mode="append", **kept, **info)
 
     @staticmethod
@@ -287,11 +321,12 @@ class VersionedTable:
         return self._replayed(self.commit_info(), writer)
 
     def upsert(self, updates: DataFrame, key: str | Sequence[str], writer: tuple[str, int] | None = None, base: int | None = -1,
-               merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, **info) -> int | None:
+               merge: Callable[[DataFrame, DataFrame], DataFrame] | Newest | None = None, **info) -> int | None:
         """Merge ``updates`` (unique on ``key``, stored) into the current state.
 
         Only the buckets that hold a key of ``updates`` are read and rewritten. ``merge``
-        gives their new rows from (stored rows, updates); the default replaces by key.
+        gives their new rows from (stored rows, updates); the default replaces by key. With
+        a ``Newest`` merge a small change set is put beside the table first.
 
         ``writer`` is (stream, batch) of an exactly-once writer: the last batch of every
         stream is committed with the version, and a batch that its own stream has
@@ -303,21 +338,54 @@ class VersionedTable:
         before = self.commit_info(base) if base else {}
         if writer and self._replayed(before, writer):
             return None
+        if isinstance(merge, Newest):
+            return self._upsert_newest(updates, keys, merge, base, before, writer, **info)
         added = _input_bytes(updates)
         if not before:
             rows = merge(updates.limit(0), updates) if merge else updates
             return self._replace(rows, keys, base, before, added, writer=writer, **info)
-        schema, buckets = StructType.fromJson(before["schema"]), before.get("buckets") or 1
-        nbytes = added + sum(p[2] for p in before["parts"])
-        touched, kept = self._touched(before, updates, keys)
-        if not kept or self._bucket_count(nbytes) > 2 * buckets:  # outgrown: cut anew
-            buckets = max(buckets, self._bucket_count(nbytes))
-            touched, kept = before["parts"], []
+        schema = StructType.fromJson(before["schema"])
+        touched, kept, buckets = self._layout(before, updates, keys, added)
         stored = self._load(before, touched)
         merged = merge(stored, updates) if merge else upsert(stored, updates, keys)
-        folder, parts = self._write_parts(merged.select(*schema.names), keys, buckets, added + sum(p[2] for p in touched))
+        folder, parts = self._write_parts(merged.select(*schema.names), keys, buckets, added + sum(p[2] for p in touched), self._filled(touched, kept))
         return self._commit(base, schema, kept + parts, before, folder, writer, mode="upsert", key=keys, buckets=buckets, **info)
 
+    @staticmethod
+    def _filled(touched: list, kept: list) -> int:
+        """Buckets that a merge writes; 0 for all."""
+        return len({p[0] for p in touched}) if kept else 0
+
+    def _layout(self, before: dict, updates: DataFrame, keys: Sequence[str], added: int) -> tuple[list, list, int]:
+        """Parts that a merge of ``updates`` rewrites, those it keeps, and the number of buckets it writes for."""
+        buckets, needed = before.get("buckets") or 1, self._bucket_count(added + sum(p[2] for p in before["parts"]))
+        touched, kept = self._touched(before, updates, keys)
+        if not kept or needed > 2 * buckets:  # outgrown: cut anew
+            return before["parts"], [], max(buckets, needed)
+        return touched, kept, buckets
+
+    def _upsert_newest(self, updates: DataFrame, keys: list, rule: Newest, base: int | None, before: dict, writer, **info) -> int:
+        """Put a change set, computed here, beside the table; merge all that stand there where they are a share of it."""
+        schema = StructType.fromJson(before["schema"]) if before else updates.schema
+        written = F.lit((base or 0) + 1).cast("bigint")
+        folder, [part] = self._write_parts(updates.select(*schema.names).withColumn(_WRITTEN, written), None, 1, 0)
+        parts = before.get("parts", [])
+        beside = [p for p in parts if len(p) > 3]
+        later, total = part[2] + sum(p[2] for p in beside), part[2] + sum(p[2] for p in parts)
+        if before.get("key") == keys and len(beside) < MAX_BESIDE and later < BESIDE_SHARE * (total - later):
+            return self._commit(base, schema, parts + [[*part, "beside"]], before, folder, writer, mode="upsert", key=keys,
+                                buckets=before["buckets"], newest=asdict(rule), **info)
+        try:
+            new = self._unmerged({"schema": schema.jsonValue()}, [part])
+            if not before:
+                return self._replace(new.drop(_WRITTEN), keys, base, before, part[2], writer=writer, **info)
+            touched, kept, buckets = self._layout(before, new, keys, part[2])
+            merged = rule.of(self._unmerged(before, [*touched, part]), keys).select(*schema.names)
+            target, merged_parts = self._write_parts(merged, keys, buckets, part[2] + sum(p[2] for p in touched), self._filled(touched, kept))
+            return self._commit(base, schema, kept + merged_parts, before, target, writer, mode="upsert", key=keys, buckets=buckets, **info)
+        finally:
+            self._fs.delete(folder)
+
     def expire(self, keep: int = 2) -> list[str]:
         """Drop all but the newest ``keep`` versions, the folders only they use, and old folders of attempts that died."""
         versions = self._commits()

@@ -16,7 +16,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -27,7 +27,7 @@ from vaultline.plans import models as M
 from vaultline.plans.gates import PAIR_SIDES, newest_files
 from vaultline.plans.ingest import Catalog, Source, ingest_files
 from vaultline.session import materialize
-from vaultline.sinks.tables import CommitConflict, VersionedTable, _FS
+from vaultline.sinks.tables import CommitConflict, Newest, VersionedTable, _FS
 
 # Merges tried on top of other writers' commits.
 MERGE_TRIES = 10
@@ -158,10 +158,9 @@ ACCOUNTS = StreamedModel("account_id", M.clean_accounts, M.audit_accounts, M.STR
 CUSTOMERS = StreamedModel("customer_id", M.clean_customers, M.audit_customers, M.STR_CUSTOMER_COLUMNS)
 
 
-def _newest_first():
-    """The order of ``latest_first``, read from a structured row's lineage."""
-    field = lambda k: F.get_json_object("metadata_json", f"$.{k}")
-    return F.desc("_last_processed_at"), F.desc(field("row_number").cast("bigint")), F.desc(field("file_hash"))
+# The order of ``latest_first``, read from a structured row's lineage.
+NEWEST = Newest(("_last_processed_at", "CAST(get_json_object(metadata_json, '$.row_number') AS BIGINT)",
+                 "get_json_object(metadata_json, '$.file_hash')"), first="created_date")
 
 
 def _late_apart(table: VersionedTable, raw: DataFrame, writer: tuple[str, int], late: VersionedTable) -> tuple[DataFrame, str | None]:
@@ -180,10 +179,10 @@ def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, wr
                  late: VersionedTable | None = None) -> int | None:
     """Merge one micro-batch of raw rows into a structured table, whatever the order of arrival.
 
-    The batch is reduced to one row a key and stored; only buckets with one of its keys
-    are read and rewritten, and the newest row a key stays with the ``created_date`` that
-    is stored. ``writer`` is (stream, batch): a replay by the same stream is skipped;
-    after another writer's commit the merge is done again on top of it.
+    The batch is reduced to one row a key and put beside the table, or merged into it with
+    those before it once they are a share of it (``Newest``); the newest row a key stays with
+    the ``created_date`` that is stored. ``writer`` is (stream, batch): a replay by the same
+    stream is skipped; after another writer's commit the merge is done again on top of it.
 
     With a ``late`` table the batch path's strict rule holds: the event-time mark (the
     newest row merged so far) is committed with the table, and rows at or before it are
@@ -195,25 +194,19 @@ def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, wr
             return None
         raw, mark = _late_apart(table, raw, writer, late)
     latest = keep_latest(model.clean(raw), [model.key], M.latest_first())
-    changes = materialize(model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts), "stream_changes")
-
-    def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
-        both = stored.withColumn("_stored", F.lit(True)).unionByName(new.select(*stored.columns).withColumn("_stored", F.lit(False)))
-        of_key = Window.partitionBy(model.key)
-        created = F.max(F.when(F.col("_stored"), F.col("created_date"))).over(of_key)
-        return (both.withColumn("_created", created).withColumn("_place", F.row_number().over(of_key.orderBy(*_newest_first())))
-                .where("_place = 1").withColumn("created_date", F.coalesce("_created", "created_date")).select(*model.columns))
+    changes = model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts)
 
     info = {}
     if late is not None:
+        changes = materialize(changes, "stream_changes")
         newest = changes.agg(F.max("_last_processed_at").cast("string")).first()[0]
         info["mark"] = max(filter(None, (mark, newest)), default=None)
     for _ in range(MERGE_TRIES - 1):
         try:
-            return table.upsert(changes, model.key, writer=writer, merge=merge, **info)
+            return table.upsert(changes, model.key, writer=writer, merge=NEWEST, **info)
         except CommitConflict:
             continue
-    return table.upsert(changes, model.key, writer=writer, merge=merge, **info)
+    return table.upsert(changes, model.key, writer=writer, merge=NEWEST, **info)
 
 
 def _stream_of(spark: SparkSession, checkpoint: str) -> str:
