@@ -341,6 +341,18 @@ def test_small_files_share_a_raw_part_and_a_lost_pack_is_written_again(spark, tm
     assert spark.read.parquet(cat.raw("raw_accounts")).count() == 300
 
 
+def test_a_pack_is_written_by_tasks_of_bounded_bytes(spark, tmp, monkeypatch):
+    from vaultline.plans import ingest as I
+    monkeypatch.setattr(I, "TASK_BYTES", 1000)
+    for k in range(60):
+        _write(f"{tmp}/in/f{k:03d}.csv", HEAD + "".join(f"A{k}_{i},C1,{k},savings\n" for i in range(5)))
+    cat = _catalog(tmp)
+    I.ingest(spark, cat, I.ACCOUNTS, f"{tmp}/in", "2025-01-01 00:00:00", "all_unseen")
+    raw = spark.read.parquet(cat.raw("raw_accounts"))
+    assert raw.count() == 300 == raw.select("AccountID").distinct().count() and raw.select("_file_part").distinct().count() == 1
+    assert len(raw.inputFiles()) > 2
+
+
 def test_files_are_ingested_in_slices(spark, tmp, monkeypatch):
     from vaultline.plans import ingest as I
     monkeypatch.setattr(I, "SLICE_FILES", 2)

@@ -35,6 +35,8 @@ from vaultline.sources import landing as L
 LEDGER_KEY = ("file_type", "file_hash")
 # Files ingested at once (their paths are on the driver), and bytes up to which files share a raw part.
 SLICE_FILES, PACK_BYTES = 10_000, 64 << 20
+# Landing bytes that a task writes: it sorts its rows by part, and they take many times these bytes in memory.
+TASK_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -195,14 +197,17 @@ class _Slice:
         missing = missing.select(F.col("file_hash").alias("_file_hash"), "length")
         if small:
             missing = materialize(self._packed(missing), "packed")
+            tasks = self._tasks(missing)
             packs = missing.where("_pack is not null").select(F.col("_pack").alias("pack"), F.col("_file_hash").alias("file_hash"))
             if not packs.isEmpty():
                 manifest.append(packs)
         else:
             missing = missing.withColumn("_pack", F.lit(None).cast("string"))
         rows = L.with_lineage(scanned, files, self.run_ts, self.source_name, blocks).join(missing.drop("length"), "_file_hash")
-        if small:  # few bytes a part: one task writes a part, instead of every task a piece of every part
-            rows = rows.repartition(F.coalesce("_pack", "_file_hash"))
+        if small:  # few bytes a part: a few tasks write a part, instead of every task a piece of every part
+            parts, pieces = tasks
+            piece = F.pmod(F.xxhash64("_file_hash", "_row_number"), F.lit(pieces))
+            rows = rows.repartitionById(parts * pieces, (F.col("_number") * pieces + piece).cast("int")).drop("_number")
         append_raw(rows.where("_reject is null").drop("_reject"), self.raw)
         rejected = int(blocks.agg(F.coalesce(F.sum("_bad"), F.lit(0))).first()[0])
         if rejected:
@@ -211,14 +216,21 @@ class _Slice:
             append_raw(bad, self.catalog.rejects(self.source.table_name))
         return files, scanned, blocks, rejected
 
+    @staticmethod
+    def _tasks(packed: DataFrame) -> tuple[int, int]:
+        """Number of parts, and of tasks that write the largest of them."""
+        sizes = packed.groupBy("_number").agg(F.sum("length").alias("bytes")).agg(F.max("_number").alias("last"), F.max("bytes").alias("bytes")).first()
+        return int(sizes["last"] or 0) + 1, max(1, -(-(sizes["bytes"] or 0) // TASK_BYTES))
+
     @staticmethod
     def _packed(files: DataFrame) -> DataFrame:
-        """Files with ``_pack``, null for one that fills a part by itself; at most ``SLICE_FILES`` files pass the window."""
+        """Files with ``_number``, their part, and ``_pack``, null for one that fills a part by itself; at most
+        ``SLICE_FILES`` files pass the window."""
         before = Window.orderBy("_file_hash").rowsBetween(Window.unboundedPreceding, -1)
         number = F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / F.lit(PACK_BYTES))
         placed = files.withColumn("_number", number).withColumn("_count", F.count(F.lit(1)).over(Window.partitionBy("_number")))
         name = F.concat(F.lit(f"p{uuid.uuid4().hex}-"), F.col("_number").cast("string"))
-        return placed.withColumn("_pack", F.when(F.col("_count") > 1, name)).drop("_number", "_count")
+        return placed.withColumn("_pack", F.when(F.col("_count") > 1, name)).drop("_count")
 
     def _log_schema(self, scans: list[DataFrame]) -> int:
         united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
