@@ -131,3 +131,10 @@ def test_incremental_run_prunes_raw_partitions(spark, tmp):
     from vaultline.operators.incremental import since_watermark
     plan = _plan(since_watermark(raw, "_ingested_at", first, "_last_processed_at"))
     assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "(_ingest_date" in plan and ">= 1996-" in plan
+
+
+def test_the_second_dimension_run_reads_stored_accounts(spark):
+    """The merge of run 2 is a step of its own: only the joins with the dimension are left in the last one."""
+    import __spark_entry__ as E
+    df = E.queries()["dim_account_incremental"](spark, SF_SMALL)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2

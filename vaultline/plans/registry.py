@@ -84,12 +84,12 @@ class TwoRuns:
         return M.str_customers(raw_all, self.cust1, O.RUN_2)
 
     @cached_property
-    def acc2(self):
-        return upsert(self.acc1, self.acc_d2, "account_id")
+    def acc2(self):  # a change set is read twice, as rows and as keys, so it is stored
+        return upsert(self.acc1, materialize(self.acc_d2, "account_changes_r2"), "account_id")
 
     @cached_property
     def cust2(self):
-        return upsert(self.cust1, self.cust_d2, "customer_id")
+        return upsert(self.cust1, materialize(self.cust_d2, "customer_changes_r2"), "customer_id")
 
     @cached_property
     def acc2_stored(self):
@@ -107,7 +107,7 @@ class TwoRuns:
 
     @cached_property
     def fact2(self):
-        return upsert(self.fact1, self.fact_d2, "account_id")
+        return upsert(self.fact1, materialize(self.fact_d2, "fact_changes_r2"), "account_id")
 
 
 def two_runs(spark, sf) -> TwoRuns:

@@ -59,7 +59,7 @@ where e.account_id is null or a.modified_date > coalesce(e.modified_date, timest
 def q_dim_account_incremental(spark, sf):
     r = two_runs(spark, sf)
     dim1 = M.dim_account(r["acc1"])
-    return present(M.dim_account(r["acc2"], dim1))
+    return present(M.dim_account(r["acc2_stored"], dim1))
 
 
 @query("empty_relation", over(FULL, "select account_id, account_type, cast(original_balance as double) as "
