@@ -174,3 +174,25 @@ def test_strict_streams_set_late_rows_apart_once(spark, tmp):
     assert sorted(r.AccountID for r in late.read().collect()) == ["A", "C", "D"]
     assert upsert_batch(table, ACCOUNTS, batch(row("A", "3", 6)), ("s", 2), RUN, late) == 3  # nothing new in it
     assert table.commit_info()["mark"].startswith("2024-01-06") and late.read().count() == 4
+
+
+def test_a_small_batch_is_one_job_and_compiles_no_code_of_its_own(spark, tmp):
+    codegen = getattr(spark.sparkContext._jvm, "org.apache.spark.metrics.source.CodegenMetrics$").__getattr__("MODULE$")
+    compiled = lambda: codegen.METRIC_COMPILATION_TIME().getCount()
+    row = lambda i: (f"A{i}", "C1", f"{i}.00", "savings", "f", "h", i, dt.datetime(2024, 1, 1 + i % 5))
+
+    def drain(*batches):
+        for b in batches:
+            spark.createDataFrame([row(i) for i in b], RAW).coalesce(1).write.mode("append").parquet(f"{tmp}/raw")
+        before = compiled()
+        query = stream_structured(spark, ACCOUNTS, f"{tmp}/raw", f"{tmp}/t", f"{tmp}/ck", spark.createDataFrame([], RAW).schema,
+                                  max_files_per_trigger=1, run_ts_of_batch=lambda b: RUN)
+        query.awaitTermination()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(query.runId)), compiled() - before
+
+    drain(range(5000))
+    drain(range(5000, 5010))
+    assert drain(range(5010, 5020), range(5, 15), range(5020, 5030)) == (3, 0)
+    table = VersionedTable(spark, f"{tmp}/t")
+    assert table.version() == 5 and len(table.commit_info()["parts"]) == 5  # all beside the first
+    assert sorted(int(k[1:]) for k, in rows(table.read(), "account_id")) == list(range(5030))

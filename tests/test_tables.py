@@ -186,3 +186,57 @@ def test_folders_of_attempts_that_died_go_after_a_day(spark, tmp):
         os.utime(f"{tmp}/t/data/{name}", (os.stat(f"{tmp}/t").st_mtime - age,) * 2)
     assert t.expire() == ["data/dead"]
     assert "running" in os.listdir(f"{tmp}/t/data") and rows(t.read()) == [("a", 1)]
+
+
+def test_a_writer_finds_the_newest_version_without_listing_all(spark, tmp, monkeypatch):
+    t, other = VersionedTable(spark, f"{tmp}/t"), VersionedTable(spark, f"{tmp}/t")
+    t.append(frame(spark, [("a", 0)]))
+    listings, commits = [], VersionedTable._commits
+    monkeypatch.setattr(VersionedTable, "_commits", lambda self: listings.append(1) or commits(self))
+    for i in range(1, 4):
+        t.append(frame(spark, [("a", i)]))
+    assert t.version() == 4 and not listings and len(t.read().collect()) == 4
+    assert other.version() == 4 and t.commit_info(2)["version"] == 2 and t.commit_info()["version"] == 4
+    for i in range(4, 7):
+        other.append(frame(spark, [("a", i)]))
+    assert t.version() == 7
+    for i in range(7, 10):
+        other.append(frame(spark, [("a", i)]))
+    other.expire(keep=1)  # the versions that ``t`` knows are gone, and so is the next one
+    assert t.version() == 10 and t.append(frame(spark, [("a", 10)])) == 11 and len(t.read().collect()) == 11
+
+
+def test_a_newest_merge_equals_brute_force_and_computes_what_orders_ties_for_ties_only(spark):
+    import random
+    from vaultline.sinks.tables import Newest
+    rnd, some = random.Random(1), lambda *v: rnd.choice([None, *v])
+    data = [(f"k{rnd.randrange(60)}", some(1, 2, 3), some(1, 2), some("x", "y"), w) for w in [None, *range(1, 9)] for _ in range(30)]
+    data = list({(r[0], r[4]): r for r in data}.values())  # one row a key in every change set
+    rows_of = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], "k string, at long, n long, made string, _written long, id long")
+    got = {r.k: (r.id, r.made) for r in Newest(("at", "n"), "made").of(rows_of, ["k"]).collect()}
+    low = float("-inf")
+    age = lambda r: -1 if r[4] is None else r[4]
+    want = {}
+    for k in {r[0] for r in data}:
+        mine = [(i, r) for i, r in enumerate(data) if r[0] == k]
+        best = min(mine, key=lambda x: (*(-(low if v is None else v) for v in x[1][1:3]), age(x[1])))
+        want[k] = best[0], next((r[3] for _, r in sorted(mine, key=lambda x: age(x[1])) if r[3] is not None), None)
+    assert got == want and len(got) > 40
+    single = spark.createDataFrame([("a", 1, "m", None), ("a", 2, "m", 1), ("b", 1, "m", None)], "k string, at long, made string, _written long")
+    parsed = Newest(("at", "raise_error('parsed')"), "made")
+    assert rows(parsed.of(single, ["k"]), "k", "at") == [("a", 2), ("b", 1)]
+
+
+def test_change_sets_that_older_code_put_beside_a_table_keep_their_place(spark, tmp):
+    import json
+    from vaultline.sinks.tables import Newest
+    t, rule = VersionedTable(spark, f"{tmp}/t"), Newest(("at",), "made")
+    change = lambda made, *r: spark.createDataFrame([(k, at, made) for k, at in r], "k string, at long, made string").coalesce(1)
+    t.upsert(change("first", *[(f"k{i}", i) for i in range(5000)]), "k", writer=("s", 0), merge=rule)
+    t.upsert(change("b1", ("new", 1)), "k", writer=("s", 1), merge=rule)
+    part = t.commit_info()["parts"][-1][1]
+    old = change("b1", ("new", 1)).selectExpr("*", "2L as _written")
+    old.write.mode("overwrite").parquet(f"{tmp}/t/{part}")  # as it was stored before: a number
+    t.upsert(change("b2", ("new", 1)), "k", writer=("s", 2), merge=rule)
+    assert json.loads(open(f"{tmp}/t/_commits/3.json").read())["parts"][-1][3] == "beside"
+    assert [tuple(r) for r in t.read().where("k = 'new'").collect()] == [("new", 1, "b1")] and t.read().count() == 5001

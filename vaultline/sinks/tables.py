@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vaultline.operators.incremental import Stored, upsert
 
@@ -51,6 +51,9 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p)]
 
+    def exists(self, *parts: str) -> bool:
+        return self.fs.exists(self.path(*parts))
+
     def create_new(self, text: str, *parts: str) -> bool:
         """Put a whole small file in place; False if it exists already, other errors are raised."""
         target = self.path(*parts)
@@ -157,8 +160,9 @@ ORPHAN_SECONDS = 24 * 3600
 
 # Change sets stand beside a table until they are this share of its bytes, or this many; then they are merged into it.
 BESIDE_SHARE, MAX_BESIDE = 0.5, 1000
-# The version that put a change set beside the table; null in merged rows, which are older.
-_WRITTEN = "_written"
+# The version that put a change set beside the table; null in merged rows, which are older. It is stored as text: text is
+# no part of the code that is compiled for a query, a number would make every batch compile its code anew.
+_WRITTEN, _WRITTEN_TEXT = "_written", "_written_text"
 
 
 @dataclass(frozen=True)
@@ -171,10 +175,16 @@ class Newest:
 
     def of(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         of_key, written = Window.partitionBy(*keys), F.coalesce(_WRITTEN, F.lit(-1))
-        first = F.min_by(self.first, F.when(F.col(self.first).isNotNull(), written)).over(of_key)
-        place = F.row_number().over(of_key.orderBy(*[F.expr(o).desc() for o in self.order], written))
-        return (rows.withColumn("_first", first).withColumn("_place", place).where("_place = 1")
-                .withColumn(self.first, F.col("_first")).drop("_first", "_place", _WRITTEN))
+        leading, *others = self.order
+        by_leading = of_key.orderBy(F.expr(leading).desc())
+        first = F.min_by(self.first, F.when(F.col(self.first).isNotNull(), written))
+        # one sort gives the leading rows; the other order expressions, which may parse text, are computed for ties only
+        led = rows.select("*", first.over(by_leading.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_first"),
+                          F.rank().over(by_leading).alias("_rank"),
+                          F.count(F.lit(1)).over(by_leading.rangeBetween(Window.currentRow, Window.currentRow)).alias("_ties")).where("_rank = 1")
+        place = F.row_number().over(of_key.orderBy(*[F.when(F.col("_ties") > 1, F.expr(o)).desc() for o in others], written))
+        return (led.withColumn("_place", place).where("_place = 1")
+                .withColumn(self.first, F.col("_first")).drop("_first", "_rank", "_ties", "_place", _WRITTEN))
 
 
 def _input_bytes(df: DataFrame) -> int:
@@ -202,17 +212,32 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.buckets = buckets
         self._fs = _FS(spark, self.path)
+        self._newest: tuple[int, dict] | None = None  # the last commit met: commits are never changed
 
     def _commits(self) -> list[int]:
         return sorted(int(n.split(".")[0]) for n in self._fs.list_names("_commits") if n.endswith(".json"))
 
     def version(self) -> int | None:
+        """The newest version: found one by one from the last commit met, so a stream's batches do not list all of them."""
+        v = self._newest[0] if self._newest else None
+        if v is not None:
+            while self._fs.exists("_commits", f"{v + 1}.json"):
+                v += 1
+            if self._fs.exists("_commits", f"{v}.json"):  # else ``v + 1`` may be missing because both have expired
+                return v
         c = self._commits()
         return c[-1] if c else None
 
     def commit_info(self, version: int | None = None) -> dict:
         v = self.version() if version is None else version
-        return {} if v is None else json.loads(self._fs.read_text("_commits", f"{v}.json"))
+        if v is None:
+            return {}
+        if not self._newest or self._newest[0] != v:
+            info = json.loads(self._fs.read_text("_commits", f"{v}.json"))
+            if self._newest and v < self._newest[0]:
+                return info
+            self._newest = v, info
+        return self._newest[1]
 
     def exists(self) -> bool:
         return self.version() is not None
@@ -223,12 +248,20 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         if all(len(p) == 3 for p in parts):
             return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
-        return Newest(**info["newest"]).of(self._unmerged(info, parts), info["key"]).select(*schema.names)
+        return self._newest_of(Newest(**info["newest"]), info, parts, info["key"])
 
     def _unmerged(self, info: dict, parts: Sequence) -> DataFrame:
         """All rows of the parts, those of change sets beside the table with the version that wrote them."""
-        schema = StructType([*StructType.fromJson(info["schema"]).fields, StructField(_WRITTEN, LongType())])
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
+        schema = StructType([*StructType.fromJson(info["schema"]).fields, StructField(_WRITTEN, LongType()), StructField(_WRITTEN_TEXT, StringType())])
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/{p[1]}" for p in parts])
+        return rows.withColumn(_WRITTEN, F.coalesce(_WRITTEN, F.col(_WRITTEN_TEXT).cast("bigint"))).drop(_WRITTEN_TEXT)  # older ones have numbers
+
+    def _newest_of(self, rule: Newest, info: dict, parts: Sequence, keys: Sequence[str]) -> DataFrame:
+        """The parts' rows merged; a task sorts about ``TASK_BYTES`` of them."""
+        rows, tasks = self._unmerged(info, parts), -(-sum(p[2] for p in parts) // TASK_BYTES)
+        if tasks > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            rows = rows.repartition(tasks, *keys)
+        return rule.of(rows, keys).select(*StructType.fromJson(info["schema"]).names)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         info = self.commit_info(version)
@@ -288,6 +321,7 @@ class VersionedTable:
         if not self._fs.create_new(body, "_commits", f"{v}.json"):
             self._fs.delete(written)
             raise CommitConflict(f"version {v} of {self.path} was committed by another writer")
+        self._newest = v, json.loads(body)
         return v
 
     def overwrite(self, df: DataFrame, key: str | Sequence[str] | None = None, base: int | None = -1, **info) -> int:
@@ -367,8 +401,8 @@ class VersionedTable:
     def _upsert_newest(self, updates: DataFrame, keys: list, rule: Newest, base: int | None, before: dict, writer, **info) -> int:
         """Put a change set, computed here, beside the table; merge all that stand there where they are a share of it."""
         schema = StructType.fromJson(before["schema"]) if before else updates.schema
-        written = F.lit((base or 0) + 1).cast("bigint")
-        folder, [part] = self._write_parts(updates.select(*schema.names).withColumn(_WRITTEN, written), None, 1, 0)
+        written = F.lit(str((base or 0) + 1))
+        folder, [part] = self._write_parts(updates.select(*schema.names).withColumn(_WRITTEN_TEXT, written), None, 1, 0)
         parts = before.get("parts", [])
         beside = [p for p in parts if len(p) > 3]
         later, total = part[2] + sum(p[2] for p in beside), part[2] + sum(p[2] for p in parts)
@@ -380,7 +414,7 @@ class VersionedTable:
             if not before:
                 return self._replace(new.drop(_WRITTEN), keys, base, before, part[2], writer=writer, **info)
             touched, kept, buckets = self._layout(before, new, keys, part[2])
-            merged = rule.of(self._unmerged(before, [*touched, part]), keys).select(*schema.names)
+            merged = self._newest_of(rule, before, [*touched, part], keys)
             target, merged_parts = self._write_parts(merged, keys, buckets, part[2] + sum(p[2] for p in touched), self._filled(touched, kept))
             return self._commit(base, schema, kept + merged_parts, before, target, writer, mode="upsert", key=keys, buckets=buckets, **info)
         finally:

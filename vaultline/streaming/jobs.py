@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from vaultline.plans import models as M
 from vaultline.plans.gates import PAIR_SIDES, newest_files
 from vaultline.plans.ingest import Catalog, Source, ingest_files
 from vaultline.session import materialize
-from vaultline.sinks.tables import CommitConflict, Newest, VersionedTable, _FS
+from vaultline.sinks.tables import TASK_BYTES, CommitConflict, Newest, VersionedTable, _FS
 
 # Merges tried on top of other writers' commits.
 MERGE_TRIES = 10
@@ -175,6 +176,11 @@ def _late_apart(table: VersionedTable, raw: DataFrame, writer: tuple[str, int],
     return raw.where(newer), mark
 
 
+def _plan_bytes(df: DataFrame) -> int:
+    """Bytes of a frame as Spark estimates them: of stored files what they hold, more than any table where it does not know."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, writer: tuple[str, int], run_ts=None,
                  late: VersionedTable | None = None) -> int | None:
     """Merge one micro-batch of raw rows into a structured table, whatever the order of arrival.
@@ -193,6 +199,8 @@ def upsert_batch(table: VersionedTable, model: StreamedModel, raw: DataFrame, wr
         if table.has_batch(writer):
             return None
         raw, mark = _late_apart(table, raw, writer, late)
+    if _plan_bytes(raw) <= TASK_BYTES:
+        raw = raw.coalesce(1)  # one task's rows need no shuffle
     latest = keep_latest(model.clean(raw), [model.key], M.latest_first())
     changes = model.audit(latest.withColumn("created_date", _ntz(run_ts)), run_ts)
 
@@ -227,9 +235,10 @@ def stream_structured(spark: SparkSession, model: StreamedModel, raw_path: str,
     table = VersionedTable(spark, table_path)
     late = VersionedTable(spark, late_path) if late_path else None
     stream = spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(raw_path)
+    stream_id = cache(lambda: _stream_of(spark, checkpoint))  # there once the query runs
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         run_ts = run_ts_of_batch(batch_id) if run_ts_of_batch else None
-        upsert_batch(table, model, batch, (_stream_of(spark, checkpoint), batch_id), run_ts, late)
+        upsert_batch(table, model, batch, (stream_id(), batch_id), run_ts, late)
 
     return _trigger(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), trigger).start()
